@@ -1,0 +1,34 @@
+"""Write small Avro container files for tests through the JVM's Avro library.
+
+Records are given in Avro's JSON encoding (unions as ``{"type": value}``,
+bytes as ISO-8859-1 text) and decoded by Avro itself, so every field gets
+exactly its declared type.
+"""
+
+from __future__ import annotations
+
+import json
+
+
+def decimal_bytes(unscaled: int) -> str:
+    """Big-endian two's-complement bytes of an unscaled decimal, as Avro JSON text."""
+    length = max(1, (unscaled.bit_length() + 8) // 8)
+    return unscaled.to_bytes(length, "big", signed=True).decode("latin-1")
+
+
+def write_avro(spark, path: str, schema: dict, records: list[dict], codec: str | None = None) -> None:
+    jvm = spark._jvm
+    avro = jvm.org.apache.avro
+    parsed = avro.Schema.Parser().parse(json.dumps(schema))
+    writer = avro.file.DataFileWriter(avro.generic.GenericDatumWriter(parsed))
+    if codec == "deflate":
+        writer.setCodec(avro.file.CodecFactory.deflateCodec(6))
+    writer.create(parsed, jvm.java.io.File(path))
+    reader = avro.generic.GenericDatumReader(parsed)
+    factory = avro.io.DecoderFactory.get()
+    try:
+        for rec in records:
+            decoder = factory.jsonDecoder(parsed, json.dumps(rec))
+            writer.append(reader.read(None, decoder))
+    finally:
+        writer.close()
