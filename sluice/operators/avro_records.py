@@ -128,32 +128,30 @@ def json_text_schema(schema: str | dict) -> T.StructType:
     return T.StructType(fields)
 
 
+def _unsigned(hexed: Column) -> Column:
+    """Unsigned value of up to 32 hex digits, exactly (two 64-bit halves)."""
+    n = F.length(hexed)
+    lo_len = F.least(n, F.lit(16))
+    hi_len = n - lo_len
+    lo = F.conv(F.substring(hexed, hi_len + 1, 16), 16, 10).cast("decimal(38,0)")
+    hi = F.conv(F.substring(hexed, 1, hi_len), 16, 10).cast("decimal(38,0)")
+    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
+    return F.when(hi_len > 0, hi * two64 + lo).otherwise(lo)
+
+
 def twos_complement_decimal(raw: Column, precision: int, scale: int) -> Column:
     """Big-endian two's-complement bytes (as ISO-8859-1 text) -> decimal(p, s).
 
-    Split into a signed high part and an unsigned low 64-bit part so values up
-    to 38 digits decode exactly with ``conv``.
+    A negative value is -(~x + 1), with ~x taken digit by digit on the hex
+    text, so no floating point is involved; the scale is applied by shifting
+    the decimal point in text.
     """
     hexed = F.hex(F.encode(raw, "ISO-8859-1"))
-    n = F.length(hexed)
-    lo_len = F.least(n, F.lit(16))
-    hi_len = n - lo_len
-    lo_hex = F.substring(hexed, hi_len + 1, 16)
-    hi_hex = F.substring(hexed, 1, hi_len)
-    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
-    lo_u = F.conv(lo_hex, 16, 10).cast("decimal(38,0)")
-    hi_u = F.when(hi_len > 0, F.conv(hi_hex, 16, 10).cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
-    first = F.substring(hexed, 1, 1)
-    negative = first.isin("8", "9", "A", "B", "C", "D", "E", "F")
-    # Unsigned value of the whole; subtract 2^(4*n) when the sign bit is set.
-    hi_span = F.when(hi_len > 0, F.pow(F.lit(16), hi_len).cast("decimal(38,0)")).otherwise(F.lit(1))
-    lo_span = F.pow(F.lit(16), lo_len).cast("decimal(38,0)")
-    signed_hi = F.when(negative & (hi_len > 0), hi_u - hi_span).otherwise(hi_u)
-    whole = F.when(hi_len > 0, signed_hi * two64 + lo_u).otherwise(
-        F.when(negative, lo_u - lo_span).otherwise(lo_u)
-    )
-    value = whole.cast("decimal(38,0)") / F.pow(F.lit(10), F.lit(scale)).cast("decimal(38,0)")
-    return F.when(raw.isNotNull(), value.cast(f"decimal({precision},{scale})"))
+    negative = F.substring(hexed, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
+    flipped = F.translate(hexed, "0123456789ABCDEF", "FEDCBA9876543210")
+    whole = F.when(negative, -(_unsigned(flipped) + 1)).otherwise(_unsigned(hexed))
+    shifted = F.concat(whole.cast("decimal(38,0)").cast("string"), F.lit(f"E-{scale}"))
+    return F.when(raw.isNotNull() & (F.length(hexed) > 0), shifted.try_cast(f"decimal({precision},{scale})"))
 
 
 def decode_json_datums(df: DataFrame, json_col: str, schema: str | dict, keep: list[str] | None = None) -> DataFrame:

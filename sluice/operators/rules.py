@@ -107,7 +107,7 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
     prior = F.col(ERROR_COL) if ERROR_COL in df.columns else F.lit(None).cast("string")
     cur = df.select(
         *[F.col(f"`{c}`") for c in record],
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in record])).alias(RAW_COL),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in record]), {"ignoreNullFields": "false"}).alias(RAW_COL),
         src.alias(SRC_COL),
         prior.alias(_ERR),
     )
