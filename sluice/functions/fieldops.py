@@ -81,17 +81,25 @@ class OpPlan:
     always_fails: bool = False         # fails every value, empty or not
     nulled_type: str | None = None     # compat: result replaced by NULL of this type
 
-    def error(self, text: Column, value: Column) -> Column:
+    def error(self, text: Column, parsed: Column) -> Column:
+        """Failure text given the input and a reference to the parse result.
+
+        ``finish`` never turns a non-NULL parse into NULL, so a NULL parse of
+        a non-empty input is exactly a failure.
+        """
         if self.always_fails:
             return self.reason
         if self.reason is None:
             return F.lit(None).cast("string")
-        return F.when(text.isNotNull() & (text != "") & value.isNull(), self.reason)
+        return F.when(text.isNotNull() & (text != "") & parsed.isNull(), self.reason)
+
+    def value(self, parsed: Column) -> Column:
+        return F.lit(None).cast(self.nulled_type) if self.nulled_type else self.finish(parsed)
 
     def inline(self, text: Column) -> Typed:
         """Single-expression form (the parse may be evaluated more than once)."""
         value = self.finish(self.parse)
-        error = self.error(text, value)
+        error = self.error(text, self.parse)
         if self.nulled_type:
             value = F.lit(None).cast(self.nulled_type)
         return Typed(value, error)
@@ -344,28 +352,22 @@ def compile_field(spec: FieldSpec, text: Column, *, compat: bool = False) -> Typ
     return plan_spec(spec, text, compat=compat).inline(text)
 
 
-def apply_plans(df: DataFrame, items: list[tuple[str, OpPlan]], passthrough: list[str]):
-    """Evaluate ``(text column name, OpPlan)`` items in two narrow stages.
+def apply_plans(df: DataFrame, items: list[tuple[Column, OpPlan]], passthrough: list[str]):
+    """Evaluate each plan's parse once: ``(text column, OpPlan)`` items.
 
-    The plans must be built over ``F.col(text column name)``.  Stage 1
-    evaluates each heavy parse once, stage 2 formats it; the returned error
-    columns derive the failure text from a NULL result, so no parse is
-    repeated.  Catalyst keeps the stages apart because each stage output is
-    used more than once.  Returns ``(frame, values, errors)``, where values and
-    errors are columns of the returned frame, in item order.
+    Projects ``passthrough`` plus one ``__p<i>`` column per item, and returns
+    ``(frame, values, errors)`` where values and errors are expressions over
+    that frame for the caller's next projection.  Each parse column is used
+    twice there (value and error), so Catalyst keeps the two projections
+    apart and no parse is repeated.  The text columns must survive in
+    ``passthrough`` when an error needs them.
     """
-    texts = list(dict.fromkeys(name for name, _ in items))
     p = [f"__p{i}" for i in range(len(items))]
-    v = [f"__v{i}" for i in range(len(items))]
-    carry = list(dict.fromkeys(passthrough + texts))
-    s1 = df.select(*carry, *[plan.parse.alias(p[i]) for i, (_, plan) in enumerate(items)])
-    s2 = s1.select(*carry, *[plan.finish(F.col(p[i])).alias(v[i]) for i, (_, plan) in enumerate(items)])
-    errors = [plan.error(F.col(name), F.col(v[i])) for i, (name, plan) in enumerate(items)]
-    values = [
-        F.lit(None).cast(plan.nulled_type) if plan.nulled_type else F.col(v[i])
-        for i, (_, plan) in enumerate(items)
-    ]
-    return s2, values, errors
+    staged = df.select(*[F.col(f"`{c}`") for c in passthrough],
+                       *[plan.parse.alias(p[i]) for i, (_, plan) in enumerate(items)])
+    values = [plan.value(F.col(p[i])) for i, (_, plan) in enumerate(items)]
+    errors = [plan.error(text, F.col(p[i])) for i, (text, plan) in enumerate(items)]
+    return staged, values, errors
 
 
 # ---------------------------------------------------------------- library helpers

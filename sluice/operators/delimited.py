@@ -124,8 +124,9 @@ def parse_delimited(
         wrong.alias("__wrong"), raw_arity.alias("__raw_arity"),
         *[c.alias(f"__t{i}") for i, c in enumerate(cells)],
     )
-    items = [(f"__t{i}", plan_spec(spec, F.col(f"__t{i}"))) for i, spec in enumerate(specs)]
-    staged, values, errors = apply_plans(texts, items, keep + ["__src", "__wrong", "__raw_arity"])
+    items = [(F.col(f"__t{i}"), plan_spec(spec, F.col(f"__t{i}"))) for i, spec in enumerate(specs)]
+    passthrough = keep + ["__src", "__wrong", "__raw_arity"] + [f"__t{i}" for i in range(n)]
+    staged, values, errors = apply_plans(texts, items, passthrough)
 
     wrong_c = F.col("__wrong")
     error = F.when(wrong_c, F.lit(ARITY_ERROR)).otherwise(first_error(errors))

@@ -20,13 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.fieldops import apply_plans, plan_op
+from sluice.functions.fieldops import apply_plans, plan_op, result_type
 from sluice.functions.spec import parse_field_spec
 from sluice.operators.results import (
-    ERROR_COL, INTERNAL_COLS, RAW_COL, SRC_COL, first_error, stage_barrier,
+    BARRIER_COL, ERROR_COL, INTERNAL_COLS, RAW_COL, SRC_COL, first_error, stage_barrier,
 )
 
-_TEXT = "__rule_text"
 _ERR = "__rule_err"
 
 
@@ -99,7 +98,9 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
     """Apply rules in order; adds ``_error`` and ``_raw`` (the record as JSON text).
 
     ``compat=True`` keeps the quirk where INTEGER, DOUBLE, FLOAT, BIGINT and
-    BIGDECIMAL results are written as NULL.
+    BIGDECIMAL results are written as NULL.  The record's schema is tracked
+    on the driver as rules rewrite fields, so building the plan costs two
+    projections per rule and no re-analysis.
     """
     rules = parse_rules(rules)
     record = _record_columns(df)
@@ -111,43 +112,33 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
         src.alias(SRC_COL),
         prior.alias(_ERR),
     )
+    fields = {f.name: f.dataType for f in df.schema.fields if f.name in record}
+    order = list(record)
     for rule in rules:
         segments = pointer_segments(rule.location)
         if segments is None:
             reason = F.lit(f"Invalid input: JSON Pointer expression must start with '/': \"{rule.location}\"")
             cur = cur.withColumn(_ERR, F.coalesce(F.col(_ERR), reason))
             continue
-        found = resolve(cur.select(*[F.col(f"`{c}`") for c in _user_columns(cur)]).schema, segments)
+        found = resolve(T.StructType([T.StructField(n, fields[n]) for n in order]), segments)
         if found is None:
             continue
         value_col, dtype = found
         target = segments[-1]
-        staged = cur.withColumn(_TEXT, as_text(value_col, dtype))
-        plan = plan_op(rule.operation, F.col(_TEXT), compat=compat, name="")
-        s2, values, errors = apply_plans(staged, [(_TEXT, plan)], staged.columns)
-        cols = [c for c in staged.columns if c != _TEXT]
-        out = []
-        for c in cols:
-            if c == _ERR:
-                out.append(F.coalesce(F.col(_ERR), errors[0]).alias(_ERR))
-            elif c == target:
-                out.append(values[0].alias(target))
-            else:
-                out.append(F.col(f"`{c}`"))
-        if target not in cols:
-            out.insert(len(_user_columns(cur)), values[0].alias(target))
-        cur = s2.select(*out)
-    user = _user_columns(cur)
+        text = as_text(value_col, dtype)
+        plan = plan_op(rule.operation, text, compat=compat, name="")
+        staged, values, errors = apply_plans(cur, [(text, plan)], order + [RAW_COL, SRC_COL, _ERR])
+        if target not in fields:
+            order.append(target)
+        fields[target] = T._parse_datatype_string(plan.nulled_type or result_type(rule.operation))
+        out = [values[0].alias(target) if c == target else F.col(f"`{c}`") for c in order]
+        cur = staged.select(*out, F.col(RAW_COL), F.col(SRC_COL), F.coalesce(F.col(_ERR), errors[0]).alias(_ERR))
     return cur.select(
-        *[F.col(f"`{c}`") for c in user],
+        *[F.col(f"`{c}`") for c in order],
         F.col(_ERR).alias(ERROR_COL), F.col(RAW_COL), F.col(SRC_COL), stage_barrier(),
     )
 
 
-def _user_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in (RAW_COL, SRC_COL, _ERR, _TEXT) and c not in INTERNAL_COLS]
-
-
 def derive_field(df: DataFrame, new_field: str, target_spec: str) -> DataFrame:
     """T5: ``new_field`` = the operation of ``name:OP(arg)`` applied to field ``name``.
 
@@ -159,10 +150,10 @@ def derive_field(df: DataFrame, new_field: str, target_spec: str) -> DataFrame:
     if spec.name not in df.columns:
         raise ValueError(f"no field {spec.name!r} to derive {new_field!r} from")
     text = F.col(f"`{spec.name}`").cast("string")
-    staged = df.withColumn(_TEXT, text)
-    plan = plan_op(spec.op, F.col(_TEXT), name=spec.name)
-    s2, values, errors = apply_plans(staged, [(_TEXT, plan)], staged.columns)
+    plan = plan_op(spec.op, text, name=spec.name)
+    carry = [c for c in df.columns if c not in (new_field, BARRIER_COL)]
+    staged, values, errors = apply_plans(df, [(text, plan)], carry)
     prior = F.col(ERROR_COL) if ERROR_COL in df.columns else F.lit(None).cast("string")
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in (ERROR_COL, new_field, INTERNAL_COLS[-1])]
-    return s2.select(*keep, values[0].alias(new_field), first_error([prior, errors[0]]).alias(ERROR_COL),
-                     stage_barrier())
+    keep = [F.col(f"`{c}`") for c in carry if c != ERROR_COL]
+    return staged.select(*keep, values[0].alias(new_field), first_error([prior, errors[0]]).alias(ERROR_COL),
+                         stage_barrier())
