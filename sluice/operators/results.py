@@ -64,11 +64,12 @@ def good_rows(df: DataFrame) -> DataFrame:
     return df.filter(_status(df, True)).drop(*[c for c in INTERNAL_COLS if c in df.columns])
 
 
-def bad_rows(df: DataFrame) -> DataFrame:
+def bad_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Dead-letter records: ``value`` (text), ``error`` (reason), ``source``."""
     src = F.col(SRC_COL) if SRC_COL in df.columns else F.lit(None).cast("string")
     return df.filter(_status(df, False)).select(
-        F.col(RAW_COL).alias("value"), F.col(ERROR_COL).alias("error"), src.alias("source")
+        F.col(RAW_COL).alias("value"), F.col(ERROR_COL).alias("error"), src.alias("source"),
+        *[F.col(c) for c in (keep or [])],
     )
 
 
