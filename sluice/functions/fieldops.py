@@ -149,8 +149,12 @@ def _integral(text: Column, spark_type: str) -> OpPlan:
 
 
 def _floating(text: Column, spark_type: str) -> OpPlan:
-    special_ok = ~F.lower(text).rlike(SPARK_SPECIAL_RX) | text.rlike(JAVA_SPECIAL_RX)
-    return OpPlan(F.when(special_ok, text.try_cast(spark_type)), reason=number_error(text))
+    # Spark also reads 'nan', 'inf', 'infinity' in any case; Java reads only
+    # 'NaN' and 'Infinity'.  Only a NaN or infinite result needs the check.
+    parsed = text.try_cast(spark_type)
+    special = F.isnan(parsed) | (F.abs(parsed) == F.lit(float("inf")))
+    java_ok = ~F.lower(text).rlike(SPARK_SPECIAL_RX) | text.rlike(JAVA_SPECIAL_RX)
+    return OpPlan(F.when(~special | java_ok, parsed), reason=number_error(text))
 
 
 def _big_decimal(text: Column, scale: int) -> OpPlan:
@@ -158,37 +162,47 @@ def _big_decimal(text: Column, scale: int) -> OpPlan:
     return OpPlan(parsed, reason=number_error(text))
 
 
-def plain_decimal_text(text: Column) -> OpPlan:
-    """Decimal text -> plain text with the scale the text implies.
+_DECIMAL_PARTS_RX = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
 
-    ``1E3`` -> ``1000``, ``1.50`` -> ``1.50``, ``.5`` -> ``0.5``,
-    ``1.50E1`` -> ``15.0``, ``-0.0`` -> ``0.0``.  Built from string functions so
-    it has no precision limit.
-    """
-    valid = text.rlike(DECIMAL_RX)
-    sign = F.regexp_extract(text, r"^([+-]?)", 1)
-    int_part = F.regexp_extract(text, r"^[+-]?([0-9]*)", 1)
-    frac_part = F.regexp_extract(text, r"^[+-]?[0-9]*\.?([0-9]*)", 1)
-    exp_text = F.regexp_extract(text, r"[eE]([+-]?[0-9]+)\z", 1)
-    exponent = F.when(exp_text == "", F.lit(0)).otherwise(exp_text.try_cast("int"))
-    scale = F.length(frac_part) - exponent
-    unscaled = F.regexp_replace(F.concat(int_part, frac_part), r"^0+", "")
+
+def _decimal_parts(text: Column) -> Column:
+    """sign, integer digits, fraction digits and exponent of a valid decimal text."""
+    exp_text = F.regexp_extract(text, _DECIMAL_PARTS_RX, 4)
+    return F.when(text.rlike(DECIMAL_RX), F.struct(
+        F.regexp_extract(text, _DECIMAL_PARTS_RX, 1).alias("sign"),
+        F.concat(F.regexp_extract(text, _DECIMAL_PARTS_RX, 2), F.regexp_extract(text, _DECIMAL_PARTS_RX, 3))
+        .alias("digits"),
+        (F.length(F.regexp_extract(text, _DECIMAL_PARTS_RX, 3))
+         - F.when(exp_text == "", F.lit(0)).otherwise(exp_text.try_cast("int"))).alias("scale"),
+    ))
+
+
+def _plain_from_parts(parts: Column) -> Column:
+    scale = parts["scale"]
+    unscaled = F.ltrim(parts["digits"], F.lit("0"))
     is_zero = unscaled == ""
-    neg = F.when((sign == "-") & ~is_zero, F.lit("-")).otherwise(F.lit(""))
+    neg = F.when((parts["sign"] == "-") & ~is_zero, F.lit("-")).otherwise(F.lit(""))
     width = F.greatest(F.length(unscaled), scale + 1)
     padded = F.lpad(unscaled, width, "0")
     cut = width - scale
-    positive_scale = F.concat(
-        neg, F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, scale)
-    )
     plain = (
         F.when(is_zero & (scale <= 0), F.lit("0"))
         .when(is_zero, F.concat(F.lit("0."), F.repeat(F.lit("0"), scale)))
         .when(scale <= 0, F.concat(neg, unscaled, F.repeat(F.lit("0"), -scale)))
-        .otherwise(positive_scale)
+        .otherwise(F.concat(neg, F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, scale)))
     )
-    in_range = exponent.isNotNull() & (F.abs(scale) <= MAX_PLAIN_SCALE)
-    return OpPlan(F.when(valid & in_range, plain), reason=number_error(text))
+    return F.when(parts.isNotNull() & scale.isNotNull() & (F.abs(scale) <= MAX_PLAIN_SCALE), plain)
+
+
+def plain_decimal_text(text: Column) -> OpPlan:
+    """Decimal text -> plain text with the scale the text implies.
+
+    ``1E3`` -> ``1000``, ``1.50`` -> ``1.50``, ``.5`` -> ``0.5``,
+    ``1.50E1`` -> ``15.0``, ``-0.0`` -> ``0.0``.  Built from string functions so
+    it has no precision limit; the text is taken apart once (parse stage) and
+    put back together from those parts (finish stage).
+    """
+    return OpPlan(_decimal_parts(text), _plain_from_parts, number_error(text))
 
 
 def _java_int(text: str) -> int | None:

@@ -82,10 +82,6 @@ def conforms(x: Column, dtype: T.DataType) -> Column:
     return _is_absent(x) | ~_is_container(x)
 
 
-def _field_path(name: str) -> str:
-    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-
-
 def bind_json_messages(
     df: DataFrame,
     schema: T.StructType = APPOINTMENTS,
@@ -98,15 +94,19 @@ def bind_json_messages(
     keep = list(keep or [])
     payload = F.col(payload_col)
     attrs = F.coalesce(F.col(attributes_col), F.create_map().cast("map<string,string>"))
-    base = df.select(
-        *keep,
-        payload.alias("__payload"),
-        attrs.alias("__attrs"),
-        F.json_object_keys(payload).alias("__keys"),
-        F.try_parse_json(payload).alias("__v"),
-        F.from_json(payload, schema).alias("__rec"),
+    # Parse once into a VARIANT; the rare payload it rejects (malformed, or
+    # duplicate keys, where the last value wins) falls back to the text parsers.
+    parsed = df.select(*keep, payload.alias("__payload"), attrs.alias("__attrs"),
+                       F.try_parse_json(payload).alias("__v"))
+    v0 = F.col("__v")
+    base = parsed.select(
+        *keep, "__payload", "__attrs", "__v",
+        F.try_variant_get(v0, "$", "map<string,variant>").alias("__top"),
+        F.when(v0.isNotNull(), F.try_variant_get(v0, "$", schema.simpleString()))
+        .otherwise(F.from_json(F.col("__payload"), schema)).alias("__rec"),
     )
-    p, a, keys, v, rec = (F.col(c) for c in ("__payload", "__attrs", "__keys", "__v", "__rec"))
+    p, a, v, top, rec = (F.col(c) for c in ("__payload", "__attrs", "__v", "__top", "__rec"))
+    keys = F.when(v.isNotNull(), F.map_keys(top)).otherwise(F.json_object_keys(p))
     allowed = F.array(*[F.lit(f.name) for f in schema.fields])
 
     errors = [F.when(p.isNull() | keys.isNull(), F.lit(MALFORMED))]
@@ -128,7 +128,7 @@ def bind_json_messages(
         else:
             attr_typed = attr_val.try_cast(f.dataType)
             attr_ok = attr_typed.isNotNull()
-        sub = F.try_variant_get(v, _field_path(f.name), "variant")
+        sub = F.element_at(top, F.lit(f.name))
         payload_ok = conforms(sub, f.dataType)
         bad = F.when(from_attr, ~attr_ok).otherwise(~payload_ok)
         errors.append(F.when(bad, F.lit(f'Cannot bind field "{f.name}" to {f.dataType.simpleString()}')))
