@@ -217,9 +217,9 @@ def _java_int(text: str) -> int | None:
 def _precision(text: Column, arg: str) -> OpPlan:
     scale = _java_int(arg)
     if scale is None:
-        return _always_fail(text, F.lit(f'For input string: "{arg}"'))
+        return _always_fail(F.lit(f'For input string: "{arg}"'))
     if scale > 38:
-        return _always_fail(text, F.lit(f"scale {scale} exceeds 38 digits"))
+        return _always_fail(F.lit(f"scale {scale} exceeds 38 digits"))
     if scale >= 0:
         rounded = text.try_cast(f"decimal(38,{scale})")
     else:

@@ -1,0 +1,139 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from avro_fixture import decimal_bytes, write_avro
+from sluice.operators.results import bad_rows, good_rows
+from sluice.operators.rules import apply_rules, derive_field
+from sluice.plans.jobs import avro_batch
+
+
+@pytest.fixture
+def records(spark):
+    return spark.createDataFrame(
+        [("1", "2.345", None, ("a", "20191228"), "5"), ("2", "x", "k", ("b", "bad"), "6")],
+        "id string, amount string, maybe string, nested struct<name:string,day:string>, n string",
+    )
+
+
+def test_rules_in_order_nested_read_root_write(spark, records):
+    rules = [
+        {"location": "/amount", "operation": "PRECISION(1)"},
+        {"location": "/nested/name", "operation": "STRING"},
+        {"location": "/absent", "operation": "LONG"},
+        {"location": "/id", "operation": "int2bigDecimal"},
+        {"location": "/id", "operation": "PRECISION(2)"},
+        {"location": "/maybe", "operation": "STRING"},
+    ]
+    out = apply_rules(records.filter("id = '1'"), rules)
+    r = good_rows(out).first()
+    assert (r.amount, r.name, r.id, r.maybe) == ("2.3", "a", "1.00", None)
+    assert "absent" not in out.columns
+
+
+def test_failed_rule_dead_letters_original_record(spark, records):
+    out = apply_rules(records, [{"location": "/amount", "operation": "DOUBLE"}])
+    bad = bad_rows(out).first()
+    assert json.loads(bad.value) == {"id": "2", "amount": "x", "maybe": "k", "nested": {"name": "b", "day": "bad"}, "n": "6"}
+    assert bad.error == 'failed at field: , trace:For input string: "x"'
+    assert [r.amount for r in good_rows(out).collect()] == [2.345]
+
+
+@pytest.mark.parametrize("op,typed", [("INTEGER", 5), ("DOUBLE", 5.0), ("FLOAT", 5.0), ("LONG", 5)])
+def test_numeric_results_in_both_compat_modes(spark, records, op, typed):
+    one = records.filter("id = '1'")
+    plain = good_rows(apply_rules(one, [{"location": "/n", "operation": op}])).first().n
+    compat = good_rows(apply_rules(one, [{"location": "/n", "operation": op}], compat=True)).first().n
+    assert plain == typed
+    assert compat == (typed if op == "LONG" else None)
+
+
+def test_pointer_without_slash_fails_every_record(spark, records):
+    out = apply_rules(records, [{"location": "amount", "operation": "STRING"}])
+    assert good_rows(out).count() == 0 and bad_rows(out).count() == 2
+
+
+def test_empty_rule_list_passes_through(spark, records):
+    assert good_rows(apply_rules(records, [])).count() == 2
+
+
+def test_derive_field(spark):
+    df = spark.createDataFrame([("2019-12-28 10:00:00",), (None,)], "ts string")
+    out = derive_field(df, "p", "ts:DATE(yyyy-MM-dd HH:mm:ss)")
+    assert sorted(r.p or "" for r in good_rows(out).collect()) == ["", "2019-12-28"]
+
+
+AVRO_SCHEMA = {
+    "type": "record", "name": "Appt", "fields": [
+        {"name": "Type", "type": {"type": "enum", "name": "K", "symbols": ["Booked", "Cancelled"]}},
+        {"name": "AppointmentId", "type": "string"},
+        {"name": "TimestampUTC", "type": "string"},
+        {"name": "Discipline", "type": ["null", "string"]},
+        {"name": "Day", "type": {"type": "int", "logicalType": "date"}},
+        {"name": "At", "type": {"type": "int", "logicalType": "time-millis"}},
+        {"name": "Ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+        {"name": "Micros", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "Amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 20, "scale": 2}},
+        {"name": "Count", "type": "int"}, {"name": "F", "type": "float"}, {"name": "D", "type": "double"},
+        {"name": "Back", "type": ["long", "null"]},
+    ],
+}
+
+
+def avro_records():
+    base = {"Type": "Booked", "AppointmentId": "6c1", "TimestampUTC": "2017-06-17:09:37Z",
+            "Discipline": {"string": "physio"}, "Day": 18000, "At": 34567890, "Ts": 1577836800123,
+            "Micros": 1577836800123456, "Amount": decimal_bytes(-12345), "Count": 5, "F": 1.5, "D": 2.25,
+            "Back": {"long": 7}}
+    other = dict(base, Type="Cancelled", AppointmentId="x", Discipline=None, Amount=decimal_bytes(10 ** 17 + 1),
+                 Back=None, Count=-1)
+    return [base, other]
+
+
+def test_avro_job_normalises_and_routes(spark, scratch):
+    import os
+
+    os.makedirs(f"{scratch}/in/20191228")
+    write_avro(spark, f"{scratch}/in/20191228/appointments.avro", AVRO_SCHEMA, avro_records(), codec="deflate")
+    os.makedirs(f"{scratch}/table")
+    config = {
+        "AvroSource": {"path": f"{scratch}/in/*/*.avro", "partition": {"extractDateRegex": r"(\d{8})", "pFieldName": "pdate"}},
+        "JsonStrategyTransform": {"jsonStrategy": [
+            {"location": "/pdate", "operation": "DATE(yyyyMMdd)"},
+            {"location": "/appointmentid", "operation": "LONG"},
+        ]},
+        "BigQuerySinkDynamic": {"table": f"{scratch}/table", "loadTimeField": "", "pField": ""},
+        "errorPath": f"{scratch}/errors",
+    }
+    avro_batch(spark, config)
+    table = spark.read.parquet(f"{scratch}/table")
+    assert table.count() == 0                              # both ids fail LONG
+    dead = spark.read.json(f"{scratch}/errors").collect()
+    assert len(dead) == 2
+    rec = json.loads(sorted(d.value for d in dead)[0])
+    assert rec["type"] == "Booked" and rec["day"] == "2019-04-14" and rec["at"] == "09:36:07.890"
+    assert rec["ts"] == "2020-01-01T00:00:00.123Z" and rec["micros"] == 1577836800123456
+    assert rec["amount"] == -123.45 and rec["back"] == 7 and rec["pdate"] == "20191228"
+    assert rec["bq_row_id"] and rec["bq_row_src"].endswith("appointments.avro")
+
+
+def test_reference_case_avro(spark, scratch):
+    import os
+
+    os.makedirs(f"{scratch}/in")
+    write_avro(spark, f"{scratch}/in/appointments.avro", AVRO_SCHEMA, avro_records())
+    os.makedirs(f"{scratch}/table")
+    config = {
+        "AvroSource": {"path": f"{scratch}/in/appointments.avro", "partition": {"extractDateRegex": "", "pFieldName": ""}},
+        "JsonStrategyTransform": {"jsonStrategy": []},
+        "BigQuerySinkDynamic": {"table": f"{scratch}/table", "loadTimeField": "", "pField": ""},
+        "errorPath": f"{scratch}/errors",
+    }
+    avro_batch(spark, config)
+    table = spark.read.parquet(f"{scratch}/table")
+    r = table.filter("type = 'Booked'").first()
+    assert (r.type, r.appointmentid, r.timestamputc, r.discipline) == ("Booked", "6c1", "2017-06-17:09:37Z", "physio")
+    assert r.bq_row_id and "appointments.avro" in r.bq_row_src
+    big = table.filter("type = 'Cancelled'").first()
+    assert str(big.amount) == "1000000000000000.01" and big.discipline is None and big.back is None
