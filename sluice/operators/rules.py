@@ -94,6 +94,32 @@ def _record_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in INTERNAL_COLS]
 
 
+def _is_invalid(rule: Rule) -> bool:
+    return pointer_segments(rule.location) is None
+
+
+def _stages(rules: list[Rule]) -> list[list[Rule]]:
+    """Group consecutive rules that can run in one projection.
+
+    A rule starts a new stage when it reads, or writes, a field that an
+    earlier rule of the current stage writes, so every rule still sees the
+    results of all rules before it.
+    """
+    stages: list[list[Rule]] = []
+    written: set[str] = set()
+    for rule in rules:
+        segments = pointer_segments(rule.location) or []
+        reads = segments[0] if segments else None
+        target = segments[-1] if segments else None
+        if not stages or reads in written or target in written:
+            stages.append([])
+            written = set()
+        stages[-1].append(rule)
+        if target:
+            written.add(target)
+    return stages
+
+
 def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, compat: bool = False) -> DataFrame:
     """Apply rules in order; adds ``_error`` and ``_raw`` (the record as JSON text).
 
@@ -114,25 +140,47 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
     )
     fields = {f.name: f.dataType for f in df.schema.fields if f.name in record}
     order = list(record)
-    for rule in rules:
-        segments = pointer_segments(rule.location)
-        if segments is None:
-            reason = F.lit(f"Invalid input: JSON Pointer expression must start with '/': \"{rule.location}\"")
-            cur = cur.withColumn(_ERR, F.coalesce(F.col(_ERR), reason))
-            continue
-        found = resolve(T.StructType([T.StructField(n, fields[n]) for n in order]), segments)
-        if found is None:
+    for stage in _stages(rules):
+        schema = T.StructType([T.StructField(n, fields[n]) for n in order])
+        items, targets, invalid = [], [], []
+        for rule in stage:
+            segments = pointer_segments(rule.location)
+            if segments is None:
+                invalid.append(F.lit(f"Invalid input: JSON Pointer expression must start with '/': \"{rule.location}\""))
+                items.append(None)
+                continue
+            found = resolve(schema, segments)
+            if found is None:
+                items.append(None)
+                continue
+            text = as_text(*found)
+            items.append((text, plan_op(rule.operation, text, compat=compat, name="")))
+            targets.append((segments[-1], rule.operation))
+        live = [it for it in items if it is not None]
+        if not live and not invalid:
             continue
-        value_col, dtype = found
-        target = segments[-1]
-        text = as_text(value_col, dtype)
-        plan = plan_op(rule.operation, text, compat=compat, name="")
-        staged, values, errors = apply_plans(cur, [(text, plan)], order + [RAW_COL, SRC_COL, _ERR])
-        if target not in fields:
-            order.append(target)
-        fields[target] = T._parse_datatype_string(plan.nulled_type or result_type(rule.operation))
-        out = [values[0].alias(target) if c == target else F.col(f"`{c}`") for c in order]
-        cur = staged.select(*out, F.col(RAW_COL), F.col(SRC_COL), F.coalesce(F.col(_ERR), errors[0]).alias(_ERR))
+        staged, values, errors = apply_plans(cur, live, order + [RAW_COL, SRC_COL, _ERR])
+        # Errors in rule order (an invalid pointer fails where it stands).
+        ordered_errors, k, m = [], 0, 0
+        for it in items:
+            if it is None:
+                if m < len(invalid) and _is_invalid(stage[len(ordered_errors)]):
+                    ordered_errors.append(invalid[m])
+                    m += 1
+                else:
+                    ordered_errors.append(None)
+            else:
+                ordered_errors.append(errors[k])
+                k += 1
+        new_values = {}
+        for (target, op), value, (_, plan) in zip(targets, values, live):
+            new_values[target] = value
+            if target not in fields:
+                order.append(target)
+            fields[target] = T._parse_datatype_string(plan.nulled_type or result_type(op))
+        out = [new_values[c].alias(c) if c in new_values else F.col(f"`{c}`") for c in order]
+        err = first_error([F.col(_ERR)] + [e for e in ordered_errors if e is not None])
+        cur = staged.select(*out, F.col(RAW_COL), F.col(SRC_COL), err.alias(_ERR))
     return cur.select(
         *[F.col(f"`{c}`") for c in order],
         F.col(_ERR).alias(ERROR_COL), F.col(RAW_COL), F.col(SRC_COL), stage_barrier(),
