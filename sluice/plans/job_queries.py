@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from sluice.plans.jobs import csv_batch
 from sluice.plans.message_queries import SQL as MESSAGE_SQL
 from sluice.plans.message_queries import json_envelopes, xml_envelopes
+from sluice.plans.table_queries import SQL as TABLE_SQL
 from sluice.plans.table_queries import csv_line, pin_utc, read
 from sluice.session import scratch_path
 from sluice.sinks.table import write_table
@@ -66,6 +67,27 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag,
        strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS ship_day FROM lineitem
 """
 
+def csv_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 dead-letter path end to end: damaged order files -> dead-letter store."""
+    from sluice.plans.table_queries import ORDERS_HEADERS, damaged_order_lines
+
+    pin_utc(spark)
+    root = scratch_path(spark, "csv-dead")
+    lines = damaged_order_lines(read(spark, sf_dir, "orders")).withColumnRenamed("line", "value")
+    lines.write.text(f"{root}/in")
+    _mkdir(spark, f"{root}/table")
+    config = {
+        "FileSource": {"location": {"path": f"{root}/in/*.txt", "extractDateRegex": ""},
+                       "headerRegex": None, "trailerRegex": None, "splitter": ","},
+        "CsvToTableRowTransform": {"headers": ORDERS_HEADERS},
+        "BigQuerySinkDynamic": {"table": f"{root}/table", "loadTimeField": "", "pField": ""},
+        "errorPath": f"{root}/errors",
+    }
+    csv_batch(spark, config)
+    schema = "value string, error string, source string"
+    return spark.read.schema(schema).json(f"{root}/errors").select("value", "error")
+
+
 SINK_SCHEMA = T.StructType([
     T.StructField("o_orderkey", T.LongType()),
     T.StructField("o_orderdate", T.StringType()),
@@ -131,11 +153,13 @@ def stream_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, sf_dir, "xml")
 
 
+SQL["csv_dead_letters"] = TABLE_SQL["csv_rejects"]
 SQL["stream_json"] = MESSAGE_SQL["json_bind"]
 SQL["stream_xml"] = MESSAGE_SQL["xml_bind"]
 
 QUERIES = {
     "csv_batch_files": csv_batch_files,
+    "csv_dead_letters": csv_dead_letters,
     "sink_partitioned": sink_partitioned,
     "stream_json": stream_json,
     "stream_xml": stream_xml,

@@ -107,3 +107,27 @@ def test_unusable_patterns_fail_each_value_without_raising(spark, op):
 def test_invalid_calendar_date_is_rejected(spark):
     # A lenient resolver would move 2019-02-30 to 2019-02-28; here it fails (documented divergence).
     assert apply(spark, "DATE(yyyy-MM-dd)", ["2019-02-30"])["2019-02-30"][1]
+
+
+def test_library_date_helpers(spark):
+    from sluice.functions.fieldops import parse_iso_instant, parse_local_date, zoned_to_utc_date
+
+    df = spark.createDataFrame([("28/12/2019", "2019-12-28T10:00:00+02:00", "2019-12-28 23:30 -0500"),
+                                (None, None, None)], "d string, i string, z string")
+    r = df.select(parse_local_date(F.col("d"), "dd/MM/yyyy").cast("string").alias("d"),
+                  parse_iso_instant(F.col("i")).cast("string").alias("i"),
+                  zoned_to_utc_date(F.col("z"), "yyyy-MM-dd HH:mm Z").alias("z")).collect()
+    assert tuple(r[0]) == ("2019-12-28", "2019-12-28 08:00:00", "2019-12-29")
+    assert tuple(r[1]) == (None, None, None)
+
+
+def test_document_to_row(spark):
+    from pyspark.sql import types as T
+
+    from sluice.operators.documents import document_to_row
+
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("n", T.LongType())])
+    df = spark.createDataFrame([('{"a":"x","n":5,"extra":1}',), ("not json",)], "doc string")
+    got = {r._raw: (r.a, r.n, r._error) for r in document_to_row(df, "doc", schema).collect()}
+    assert got['{"a":"x","n":5,"extra":1}'] == ("x", 5, None)
+    assert got["not json"][2] == "not a JSON object"
