@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from sluice.operators.delimited import drop_header_trailer, parse_delimited
 from sluice.operators.results import bad_rows, good_rows
+from sluice.sources.tables import read_table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def pin_utc(spark: SparkSession) -> None:
