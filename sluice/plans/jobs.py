@@ -23,6 +23,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,22 @@ MODES = ("csv_batch", "avro_batch", "json_stream", "xml_stream")
 class BatchOutputs:
     good: DataFrame          # rows as written to the table (without the load time)
     bad: DataFrame           # dead letters: value, error, source
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
+
+
+def _maybe_cache(parsed: DataFrame, single_scan: bool) -> DataFrame:
+    """``single_scan`` parses the input once and keeps the result on executor disk.
+
+    The default re-reads the input for each output instead; which is cheaper
+    depends on how expensive the source is to read again versus writing and
+    reading the parsed rows locally.  Lost cached blocks are recomputed from
+    the source, so executor loss is safe either way.
+    """
+    return parsed.persist(StorageLevel.DISK_ONLY) if single_scan else parsed
 
 
 def _get(conf: Mapping[str, Any], dotted: str, default: Any = None) -> Any:
@@ -57,7 +74,7 @@ def prepare_session(spark: SparkSession) -> None:
 
 
 def csv_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
-                on_no_date: str = "fail") -> BatchOutputs:
+                on_no_date: str = "fail", single_scan: bool = False) -> BatchOutputs:
     """J1 plan: delimited files -> typed rows + dead letters (nothing written)."""
     prepare_session(spark)
     path = resolve_path(_get(config, "FileSource.location.path"), file_path)
@@ -71,12 +88,13 @@ def csv_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str |
         date_col="file_date" if date_regex else None,
         src_col="path",
     )
+    parsed = _maybe_cache(parsed, single_scan)
     stamped = parsed.withColumn(ROW_ID_COL, F.expr("uuid()")).withColumn(ROW_SRC_COL, F.col(SRC_COL))
-    return BatchOutputs(good_rows(stamped), bad_rows(parsed))
+    return BatchOutputs(good_rows(stamped), bad_rows(parsed), parsed if single_scan else None)
 
 
 def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
-                 compat: bool = False) -> BatchOutputs:
+                 compat: bool = False, single_scan: bool = False) -> BatchOutputs:
     """J2 plan: Avro files -> normalised records -> update rules -> rows + dead letters."""
     prepare_session(spark)
     path = resolve_path(_get(config, "AvroSource.path"), file_path)
@@ -86,7 +104,9 @@ def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str
         partition_field=_get(config, "AvroSource.partition.pFieldName", "") or "",
     )
     ruled = apply_rules(records, _get(config, "JsonStrategyTransform.jsonStrategy", []) or [], compat=compat)
-    return BatchOutputs(good_rows(ruled), bad_rows(ruled))
+    # The records carry uuid() lineage: caching keeps one id per record across both outputs.
+    ruled = _maybe_cache(ruled, single_scan)
+    return BatchOutputs(good_rows(ruled), bad_rows(ruled), ruled if single_scan else None)
 
 
 def _write_batch(outputs: BatchOutputs, config: Mapping[str, Any], disposition: str,
@@ -113,19 +133,25 @@ def write_dead_letters(bad: DataFrame, path: str, fmt: str = "json", partition_c
 
 def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
               disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-              on_no_date: str = "fail") -> BatchOutputs:
+              on_no_date: str = "fail", single_scan: bool = False) -> BatchOutputs:
     """Run the delimited job and write both outputs."""
-    outputs = csv_outputs(spark, config, file_path, on_no_date)
-    _write_batch(outputs, config, disposition, dead_letter_format)
+    outputs = csv_outputs(spark, config, file_path, on_no_date, single_scan)
+    try:
+        _write_batch(outputs, config, disposition, dead_letter_format)
+    finally:
+        outputs.release()
     return outputs
 
 
 def avro_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
                disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-               compat: bool = False) -> BatchOutputs:
+               compat: bool = False, single_scan: bool = False) -> BatchOutputs:
     """Run the Avro job and write both outputs."""
-    outputs = avro_outputs(spark, config, file_path, compat)
-    _write_batch(outputs, config, disposition, dead_letter_format)
+    outputs = avro_outputs(spark, config, file_path, compat, single_scan)
+    try:
+        _write_batch(outputs, config, disposition, dead_letter_format)
+    finally:
+        outputs.release()
     return outputs
 
 

@@ -147,3 +147,10 @@ def test_good_bad_split_counts(spark):
     df = lines_df(spark, ["a,1", "b,x", "c"])
     parsed = parse_delimited(df, "n:STRING,v:INTEGER")
     assert good_rows(parsed).count() == 1 and bad_rows(parsed).count() == 2
+
+
+def test_single_scan_gives_the_same_outputs(spark, scratch):
+    write(f"{scratch}/in/a.csv", APPOINTMENT_LINE + "\nonly,two\n")
+    csv_batch(spark, csv_config(scratch, f"{scratch}/in/a.csv"), single_scan=True)
+    assert spark.read.parquet(f"{scratch}/table").count() == 1
+    assert spark.read.json(f"{scratch}/errors").count() == 1
