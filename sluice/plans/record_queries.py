@@ -136,7 +136,8 @@ def avro_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     physical = decode_json_datums(event_datums(spark, sf_dir), "datum", EVENT_AVRO_SCHEMA)
     rows = normalise_records(physical, EVENT_AVRO_SCHEMA)
-    return rows.withColumn("amount", F.col("amount").cast("string"))
+    return (rows.withColumn("amount", F.col("amount").cast("string"))
+            .withColumn("userid", F.col("userid").cast("string")))
 
 
 SQL["avro_normalise"] = """
@@ -148,7 +149,7 @@ SELECT event_id AS eventid, event_type AS kind,
        epoch_us(ts) AS micros,
        CAST(CAST(round(value * 100) * (CASE WHEN event_id % 2 = 1 THEN -1 ELSE 1 END) / 100 AS DECIMAL(12,2)) AS VARCHAR) AS amount,
        CASE WHEN event_id % 2 = 0 THEN props END AS props,
-       CASE WHEN event_id % 5 <> 0 THEN user_id END AS userid
+       CASE WHEN event_id % 5 <> 0 THEN CAST(user_id AS VARCHAR) END AS userid
 FROM e
 """
 
