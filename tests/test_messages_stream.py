@@ -135,3 +135,22 @@ def test_replayed_batch_is_idempotent(spark, scratch):
     assert spark.read.json(f"{scratch}/errors").count() == 1
     # Payloads are archived verbatim, so the multi-line XML counts as several lines.
     assert spark.read.text(f"{scratch}/archive").count() == XML_PAYLOAD.count("\n") + 2
+
+
+def test_topic_sink_round_trip_and_payload_decoding(spark, scratch):
+    from sluice.sinks.table import write_topic
+    from sluice.sources.messages import decode_payload, read_messages
+
+    write_topic(spark.createDataFrame([("a",), ("b",)], "value string"), f"{scratch}/topic")
+    assert sorted(r.payload for r in read_messages(spark, f"{scratch}/topic").collect()) == ["a", "b"]
+    raw = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"\xff\xfe"),)], "b binary")
+    assert [r[0] for r in raw.select(decode_payload(F.col("b"))).collect()] == ["ok", None]
+
+
+def test_run_dispatches_streams(spark, scratch):
+    from sluice.plans.jobs import run
+
+    cfg = stream_config(scratch)
+    write_envelopes(spark, envelopes(spark, [(XML_PAYLOAD, ATTRS, None)]), f"{scratch}/in")
+    run(spark, "xml_stream", cfg, subscription=f"{scratch}/in", available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{scratch}/table").first().MessageId == "messsage-id-001-23323"

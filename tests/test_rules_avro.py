@@ -137,3 +137,21 @@ def test_reference_case_avro(spark, scratch):
     assert r.bq_row_id and "appointments.avro" in r.bq_row_src
     big = table.filter("type = 'Cancelled'").first()
     assert str(big.amount) == "1000000000000000.01" and big.discipline is None and big.back is None
+
+
+def test_avro_accepts_types_beyond_the_original_set(spark, scratch):
+    import os
+
+    from sluice.sources.avro import read_avro
+
+    schema = {"type": "record", "name": "R", "fields": [
+        {"name": "Flag", "type": "boolean"},
+        {"name": "Tags", "type": {"type": "array", "items": "string"}},
+        {"name": "Counts", "type": {"type": "map", "values": "long"}},
+        {"name": "Inner", "type": {"type": "record", "name": "I", "fields": [{"name": "x", "type": "int"}]}},
+    ]}
+    os.makedirs(f"{scratch}/in")
+    write_avro(spark, f"{scratch}/in/r.avro", schema,
+               [{"Flag": True, "Tags": ["a", "b"], "Counts": {"k": 3}, "Inner": {"x": 1}}])
+    r = read_avro(spark, f"{scratch}/in/r.avro").first()
+    assert (r.flag, r.tags, r.counts, r.inner.x) == (True, ["a", "b"], {"k": 3}, 1)
