@@ -25,7 +25,9 @@ def scratch(spark):
     """A fresh folder under the shared checkpoint root."""
     from sluice.session import ensure_checkpoint_dir
 
-    path = f"{ensure_checkpoint_dir(spark)}/sluice-tests/{uuid.uuid4().hex[:12]}"
+    # Letters only: date regexes match on the full path, so no digits may sneak in.
+    name = uuid.uuid4().hex[:12].translate(str.maketrans("0123456789", "ghijklmnop"))
+    path = f"{ensure_checkpoint_dir(spark)}/sluice-tests/{name}"
     os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path.removeprefix("file:")
 
