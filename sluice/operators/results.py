@@ -8,8 +8,6 @@ a plan branches into good and bad records.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +31,6 @@ def first_error(errors: list[Column]) -> Column:
     return F.coalesce(*errors)
 
 
-def merge_errors(df: DataFrame, *errors: Column) -> DataFrame:
-    """Keep an earlier error; otherwise take the first of the new ones."""
-    new = first_error(list(errors))
-    if ERROR_COL in df.columns:
-        return df.withColumn(ERROR_COL, F.coalesce(F.col(ERROR_COL), new))
-    return df.withColumn(ERROR_COL, new)
-
 
 def stage_barrier() -> Column:
     """A cheap non-deterministic column for the projection that computes ``_error``.
@@ -84,17 +75,3 @@ def split(df: DataFrame, storage: StorageLevel | None = None) -> tuple[DataFrame
     if storage is not None:
         df = df.persist(storage)
     return good_rows(df), bad_rows(df)
-
-
-def stamp_lineage(df: DataFrame, source: Column | None = None) -> DataFrame:
-    """Add ``bq_row_id`` (random UUID) and ``bq_row_src`` (source path)."""
-    src = source if source is not None else (F.col(SRC_COL) if SRC_COL in df.columns else F.lit(None).cast("string"))
-    return df.withColumn(ROW_ID_COL, F.expr("uuid()")).withColumn(ROW_SRC_COL, src)
-
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in INTERNAL_COLS if c in df.columns])
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -6,8 +6,6 @@ a missing target is an error, as is a non-empty one under ``WRITE_EMPTY``.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,7 +151,3 @@ def write_topic(df: DataFrame, topic: str, value_col: str = "value", bootstrap_s
         F.current_timestamp().alias("publish_time"),
     )
     envelope.write.mode("append").json(topic)
-
-
-def describe_target(target: str, partition_field: str) -> str:
-    return json.dumps({"target": target, "partition": day_column(partition_field) if partition_field else None})
