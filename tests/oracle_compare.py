@@ -57,6 +57,10 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     spark = local_session()
+    for kv in os.environ.get("ORACLE_SPARK_CONF", "").split(","):
+        if "=" in kv:
+            k, v = kv.split("=", 1)
+            spark.conf.set(k, v)
     con = duckdb.connect()
     for t in TABLES:
         path = f"{sf}/{t}.parquet"
