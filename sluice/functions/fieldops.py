@@ -258,18 +258,47 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def clamped_day_text(text: Column, info: PatternInfo) -> Column | None:
+    """The text with a day-of-month past the month's end moved to its last day.
+
+    java.time's default resolver accepts ``2019-02-30`` as ``2019-02-28`` (and
+    ``04-31`` as ``04-30``) but not day 32; Spark rejects them all.  Where
+    the pattern fixes the text positions of year, month and day, the text is
+    rewritten that way, to be parsed again only after the strict parse failed.
+    """
+    if info.ymd_offsets is None:
+        return None
+    oy, om, od = info.ymd_offsets
+    year = F.substring(text, oy + 1, 4).try_cast("int")
+    month = F.substring(text, om + 1, 2).try_cast("int")
+    day = F.substring(text, od + 1, 2).try_cast("int")
+    ok_month = month.between(1, 12) & year.between(1, 9999)
+    last = F.dayofmonth(F.last_day(F.make_date(F.when(ok_month, year), F.when(ok_month, month), F.lit(1))))
+    fix = ok_month & day.between(29, 31) & (day > last)
+    return F.when(fix, F.overlay(text, F.lpad(last.cast("string"), 2, "0"), F.lit(od + 1), F.lit(2)))
+
+
+def _with_clamp(parse, text: Column, info: PatternInfo) -> Column:
+    """Strict parse; on failure, the parse of the day-clamped text (if any)."""
+    clamped = clamped_day_text(text, info)
+    first = parse(text)
+    return first if clamped is None else F.coalesce(first, parse(clamped))
+
+
 def parse_instant(text: Column, info: PatternInfo) -> Column:
-    return F.try_to_timestamp(text, F.lit(info.pattern))
+    return _with_clamp(lambda t: F.try_to_timestamp(t, F.lit(info.pattern)), text, info)
 
 
 def parse_local(text: Column, info: PatternInfo) -> Column:
     """Local date-time fields of the text; a zone in the text is ignored."""
-    if info.has_zone:
-        fits = F.try_to_timestamp(text, F.lit(info.pattern)).isNotNull()
-        return F.when(fits, F.to_timestamp_ntz(text, F.lit(info.pattern)))
-    # Zoneless text parses in the session zone; the jobs pin it to UTC, where
-    # the round trip to wall-clock time is exact.
-    return F.try_to_timestamp(text, F.lit(info.pattern)).cast("timestamp_ntz")
+    def strict(t: Column) -> Column:
+        if info.has_zone:
+            fits = F.try_to_timestamp(t, F.lit(info.pattern)).isNotNull()
+            return F.when(fits, F.to_timestamp_ntz(t, F.lit(info.pattern)))
+        # Zoneless text parses in the session zone; the jobs pin it to UTC,
+        # where the round trip to wall-clock time is exact.
+        return F.try_to_timestamp(t, F.lit(info.pattern)).cast("timestamp_ntz")
+    return _with_clamp(strict, text, info)
 
 
 def _datetime_op(kind: str, text: Column, arg: str) -> OpPlan:
@@ -293,7 +322,8 @@ def _datetime_op(kind: str, text: Column, arg: str) -> OpPlan:
     if kind == "DATE":
         if info.has_zone:
             return OpPlan(parse_local(text, info).cast("date").cast("string"), reason=reason)
-        return OpPlan(F.try_to_date(text, info.pattern).cast("string"), reason=reason)
+        return OpPlan(_with_clamp(lambda t: F.try_to_date(t, info.pattern), text, info).cast("string"),
+                      reason=reason)
     if kind == "UTC_TIMESTAMP":
         return OpPlan(parse_local(text, info), iso_local_datetime, reason)
     if kind == "TIME":

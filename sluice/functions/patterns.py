@@ -24,11 +24,22 @@ MAX_LETTER_COUNT = {
 }
 
 
+# Text widths of the numeric fields whose width the letter count fixes.
+FIXED_WIDTHS = {
+    ("y", 4): 4, ("y", 2): 2, ("M", 2): 2, ("d", 2): 2, ("D", 3): 3, ("H", 2): 2, ("h", 2): 2,
+    ("K", 2): 2, ("k", 2): 2, ("m", 2): 2, ("s", 2): 2,
+    **{("S", n): n for n in range(1, 10)},
+}
+
+
 @dataclass
 class PatternInfo:
     pattern: str                 # pattern handed to Spark (after rewrites)
     letters: dict[str, int] = field(default_factory=dict)
     problem: str | None = None   # set when the pattern cannot be used
+    # 0-based text offsets of the year (4 digits), month and day (2 digits each)
+    # when every field before them has a fixed width; else None.
+    ymd_offsets: tuple[int, int, int] | None = None
 
     @property
     def has_zone(self) -> bool:
@@ -95,10 +106,14 @@ def classify(pattern: str) -> PatternInfo:
         return PatternInfo(pattern, problem="empty datetime pattern")
     out: list[str] = []
     letters: dict[str, int] = {}
+    offsets: dict[str, int] = {}
+    pos: int | None = 0          # text offset while all widths so far are fixed
     try:
         for tok in _tokens(pattern):
             if tok[0] == "literal":
                 out.append(_quote_literal(tok[1]))
+                if pos is not None:
+                    pos = None if tok[1] in "[]" else pos + len(tok[1])
                 continue
             _, ch, count = tok
             if ch not in JAVA_PATTERN_LETTERS:
@@ -111,6 +126,12 @@ def classify(pattern: str) -> PatternInfo:
                 return PatternInfo(pattern, letters, problem=f"Unsupported pattern letter for parsing: {ch}")
             letters[ch] = count
             out.append(ch * count)
+            if pos is not None:
+                if (ch, count) in (("y", 4), ("M", 2), ("d", 2)):
+                    offsets.setdefault(ch, pos)
+                width = FIXED_WIDTHS.get((ch, count))
+                pos = None if width is None else pos + width
     except ValueError as exc:
         return PatternInfo(pattern, letters, problem=str(exc))
-    return PatternInfo("".join(out), letters)
+    ymd = (offsets["y"], offsets["M"], offsets["d"]) if len(offsets) == 3 else None
+    return PatternInfo("".join(out), letters, ymd_offsets=ymd)

@@ -104,9 +104,16 @@ def test_unusable_patterns_fail_each_value_without_raising(spark, op):
     assert r[""] == (None, None) and r["2019-12-28"][1]
 
 
-def test_invalid_calendar_date_is_rejected(spark):
-    # A lenient resolver would move 2019-02-30 to 2019-02-28; here it fails (documented divergence).
-    assert apply(spark, "DATE(yyyy-MM-dd)", ["2019-02-30"])["2019-02-30"][1]
+def test_day_past_month_end_is_moved_to_the_last_day(spark):
+    r = apply(spark, "DATE(yyyy-MM-dd)", ["2019-02-30", "2020-02-30", "2019-04-31", "2019-02-32", "2019-13-01"])
+    assert r["2019-02-30"] == ("2019-02-28", None) and r["2020-02-30"] == ("2020-02-29", None)
+    assert r["2019-04-31"] == ("2019-04-30", None)
+    assert r["2019-02-32"][1] and r["2019-13-01"][1]
+    assert ok(apply(spark, "DATE(dd/MM/yyyy)", ["31/06/2019"])) == {"31/06/2019": "2019-06-30"}
+    assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-MM-dd HH:mm)", ["2019-02-29 10:00"])) == {
+        "2019-02-29 10:00": "2019-02-28T10:00"}
+    assert ok(apply(spark, "TIMESTAMP(yyyy-MM-dd HH:mmXXX)", ["2019-02-29 23:00-02:00"])) == {
+        "2019-02-29 23:00-02:00": "2019-03-01T01:00"}
 
 
 def test_library_date_helpers(spark):
