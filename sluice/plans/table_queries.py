@@ -198,6 +198,26 @@ SQL["path_date"] = """
 SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders
 """
 
+def month_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days past the month's end move to its last day (F10 with the default resolver, Q12).
+
+    Every order date is written with day 31 (``yyyy-MM-dd``) and day 30
+    (``dd/MM/yyyy``) of its month.
+    """
+    pin_utc(spark)
+    o = read(spark, sf_dir, "orders")
+    d31 = F.concat(F.date_format("o_orderdate", "yyyy-MM-"), F.lit("31"))
+    d30 = F.concat(F.lit("30/"), F.date_format("o_orderdate", "MM/yyyy"))
+    lines = o.select(csv_line(F.col("o_orderkey"), d31, d30).alias("line"))
+    return good_rows(parse_delimited(lines, "o_orderkey:LONG,day31:DATE(yyyy-MM-dd),day30:DATE(dd/MM/yyyy)"))
+
+
+SQL["month_end_dates"] = """
+SELECT o_orderkey, strftime(last_day(o_orderdate), '%Y-%m-%d') AS day31,
+       strftime(make_date(year(o_orderdate), month(o_orderdate), least(30, day(last_day(o_orderdate)))), '%Y-%m-%d') AS day30
+FROM orders
+"""
+
 # ---------------------------------------------------------------- numbers
 
 
@@ -364,6 +384,7 @@ QUERIES = {
     "csv_rejects": csv_rejects,
     "csv_nulls": csv_nulls,
     "path_date": path_date,
+    "month_end_dates": month_end_dates,
     "precision": precision,
     "big_numbers": big_numbers,
     "ts_zoned": ts_zoned,
