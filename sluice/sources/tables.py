@@ -4,9 +4,10 @@ A parquet file is split by row group, so a table stored as one file with one
 row group is read by a single task however many cores there are.  When the
 scan cannot yield at least one split per core (few files, few row groups:
 checked from the file footers, a metadata read bounded by the core count),
-the rows are redistributed once after the scan, hash-partitioned on a hash of
-the whole row (no sort, deterministic on retry, and only identical rows share
-a task).  Large tables
+the rows are redistributed once after the scan, hash-partitioned on a row id
+(``monotonically_increasing_id``: unique per row, so even many identical
+copies spread evenly; a re-read of the same split gives the same ids, so a
+retried task sends each row where it went before; no sort is needed).  Large tables
 with many files or row groups are left exactly as scanned: no shuffle.
 """
 
@@ -41,4 +42,4 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         return df
     from pyspark.sql import functions as F
 
-    return df.repartition(cores, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return df.repartition(cores, F.monotonically_increasing_id())
