@@ -53,10 +53,10 @@ def _has_data(spark: SparkSession, path: str) -> bool:
 def spread(df: DataFrame, key: str, files_per_key: int) -> DataFrame:
     """Shuffle rows so each key value is written by ``files_per_key`` tasks.
 
-    The salt is a hash of the row (deterministic, so a retried task sees the
-    same rows), which splits a hot key over several writers instead of one.
+    The salt cycles with the row id, so a hot key -- even one made of
+    identical copies -- is split over several writers instead of one.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_key))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_key))
     return df.repartition(F.col(f"`{key}`"), salt)
 
 
