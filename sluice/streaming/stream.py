@@ -31,7 +31,7 @@ from sluice.operators.messages_json import bind_json_messages
 from sluice.operators.messages_xml import archive_lines, bind_xml_messages
 from sluice.operators.results import bad_rows, good_rows
 from sluice.session import ensure_checkpoint_dir
-from sluice.sinks.table import day_column, partition_key, path_exists, stamp_load_time
+from sluice.sinks.table import day_column, partition_key, path_exists, spread, stamp_load_time
 from sluice.sources.messages import read_message_stream
 
 BATCH_COL = "batch"
@@ -45,8 +45,14 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], f
 
 
 def process_batch(batch: DataFrame, batch_id: int, kind: str, config: Mapping[str, Any],
-                  bind_options: Mapping[str, Any] | None = None) -> None:
-    """The body of one micro-batch (also usable on a static frame of envelopes)."""
+                  bind_options: Mapping[str, Any] | None = None, files_per_window: int | None = None) -> None:
+    """The body of one micro-batch (also usable on a static frame of envelopes).
+
+    ``files_per_window`` gathers each window's archive and dead-letter lines
+    into that many writers (a salted shuffle), which bounds the file count
+    when one batch spans many minutes, e.g. while catching up on a backlog.
+    By default every task writes its own lines of each window.
+    """
     sink = dict(config.get("BigQuerySinkDynamicStream", {}) or {})
     table = sink.get("table")
     if not table:
@@ -60,6 +66,8 @@ def process_batch(batch: DataFrame, batch_id: int, kind: str, config: Mapping[st
         archive_root = config.get("messages-bucket")
         if archive_root:
             archive = archive_lines(batch).withColumn(BATCH_COL, bid)
+            if files_per_window:
+                archive = spread(archive, "window", files_per_window)
             _overwrite_partitions(archive, archive_root, ["window", BATCH_COL], "text")
 
         keep = ["publish_time"]
@@ -85,6 +93,8 @@ def process_batch(batch: DataFrame, batch_id: int, kind: str, config: Mapping[st
                 bad = bad_rows(parsed, keep=["publish_time"])
                 window = F.date_format(F.window("publish_time", "1 minute").start, "yyyy-MM-dd'T'HH:mm")
                 bad = bad.select(window.alias("window"), "value", "error", "source").withColumn(BATCH_COL, bid)
+                if files_per_window:
+                    bad = spread(bad, "window", files_per_window)
                 _overwrite_partitions(bad, error_root, ["window", BATCH_COL], "json")
         finally:
             parsed.unpersist()
@@ -104,6 +114,7 @@ def start_message_stream(
     kafka_options: Mapping[str, str] | None = None,
     bind_options: Mapping[str, Any] | None = None,
     max_files_per_trigger: int | None = None,
+    files_per_window: int | None = None,
 ) -> StreamingQuery:
     """Start J3 (``kind='json'``) or J4 (``kind='xml'``).
 
@@ -116,7 +127,7 @@ def start_message_stream(
         f"{ensure_checkpoint_dir(spark)}/sluice/stream-{kind}-{uuid.uuid4().hex[:12]}")
     source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger)
     writer = (source.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, bid, kind, config, bind_options))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, kind, config, bind_options, files_per_window))
               .option("checkpointLocation", location))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -154,3 +154,15 @@ def test_run_dispatches_streams(spark, scratch):
     write_envelopes(spark, envelopes(spark, [(XML_PAYLOAD, ATTRS, None)]), f"{scratch}/in")
     run(spark, "xml_stream", cfg, subscription=f"{scratch}/in", available_now=True).awaitTermination()
     assert spark.read.parquet(f"{scratch}/table").first().MessageId == "messsage-id-001-23323"
+
+
+def test_files_per_window_bounds_archive_files(spark, scratch):
+    cfg = stream_config(scratch)
+    t0 = dt.datetime(2019, 12, 28, 10, 0, 5)
+    items = [(JSON_PAYLOAD, dict(ATTRS, MessageId=f"m{i}"), t0 + dt.timedelta(seconds=7 * i)) for i in range(40)]
+    batch = envelopes(spark, items).repartition(4)
+    process_batch(batch, 0, "json", cfg, files_per_window=1)
+    for window in os.listdir(f"{scratch}/archive"):
+        files = [f for f in os.listdir(f"{scratch}/archive/{window}/batch=0") if f.endswith(".txt")]
+        assert len(files) == 1
+    assert spark.read.text(f"{scratch}/archive").count() == 40
