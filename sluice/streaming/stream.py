@@ -9,15 +9,17 @@ Each micro-batch is processed in ``foreachBatch``:
    (K2, K3, K4);
 3. failed messages go to the dead-letter store under their window (W3).
 
-Writes are idempotent per batch: every output lands in a ``batch=<id>``
+Writes are idempotent per batch: every output lands in a ``batch=<run>-<id>``
 partition written with dynamic partition overwrite, so a batch replayed after
 a failure (same offsets, from the checkpoint) replaces its own files instead
-of adding duplicates.  Late messages keep their own minute's folder; nothing
-is dropped.
+of adding duplicates.  ``<run>`` is kept inside the checkpoint, so a new
+checkpoint never overwrites the batches of an earlier one.  Late messages keep
+their own minute's folder; nothing is dropped.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 from typing import Any
@@ -44,7 +46,35 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], f
     writer.save(path)
 
 
-def process_batch(batch: DataFrame, batch_id: int, kind: str, config: Mapping[str, Any],
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """A random id stored in the checkpoint folder at first start, read back on restarts."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/sluice-run-id")
+    fs = path.getFileSystem(conf)
+    if fs.exists(path):
+        stream = fs.open(path)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return reader.readLine().strip()
+        finally:
+            stream.close()
+    run = uuid.uuid4().hex[:12]
+    out = fs.create(path, False)
+    try:
+        out.write(bytearray(run.encode()))
+    finally:
+        out.close()
+    return run
+
+
+def default_checkpoint(spark: SparkSession, kind: str, subscription: str, table: str) -> str:
+    """A stable checkpoint folder for one stream, under the shared checkpoint root."""
+    key = hashlib.sha1(f"{kind}|{subscription}|{table}".encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark)}/sluice/stream-{kind}-{key}"
+
+
+def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapping[str, Any],
                   bind_options: Mapping[str, Any] | None = None, files_per_window: int | None = None) -> None:
     """The body of one micro-batch (also usable on a static frame of envelopes).
 
@@ -62,7 +92,7 @@ def process_batch(batch: DataFrame, batch_id: int, kind: str, config: Mapping[st
         raise FileNotFoundError(f"target table {table} does not exist (tables are never created)")
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        bid = F.lit(int(batch_id))
+        bid = F.lit(str(batch_id))
         archive_root = config.get("messages-bucket")
         if archive_root:
             archive = archive_lines(batch).withColumn(BATCH_COL, bid)
@@ -123,11 +153,13 @@ def start_message_stream(
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sink = config.get("BigQuerySinkDynamicStream", {}) or {}
-    location = checkpoint or sink.get("customGcsTempLocation") or (
-        f"{ensure_checkpoint_dir(spark)}/sluice/stream-{kind}-{uuid.uuid4().hex[:12]}")
+    location = checkpoint or sink.get("customGcsTempLocation") or default_checkpoint(
+        spark, kind, subscription, str(sink.get("table")))
+    run = _run_id(spark, location)
     source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger)
     writer = (source.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, bid, kind, config, bind_options, files_per_window))
+              .foreachBatch(lambda df, bid: process_batch(df, f"{run}-{bid}", kind, config, bind_options,
+                                                          files_per_window))
               .option("checkpointLocation", location))
     if available_now:
         writer = writer.trigger(availableNow=True)

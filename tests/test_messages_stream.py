@@ -92,6 +92,14 @@ def test_archive_keeps_every_message_with_empty_slot(spark):
                    ("2019-12-28T10:01", "p2,t,,")]
 
 
+def batch_runs(table):
+    """Run ids of the ``batch=<run>-<id>`` folders anywhere under a table."""
+    runs = set()
+    for _, dirs, _ in os.walk(table):
+        runs |= {d.split("=", 1)[1].rsplit("-", 1)[0] for d in dirs if d.startswith("batch=")}
+    return runs
+
+
 def stream_config(root):
     os.makedirs(f"{root}/table", exist_ok=True)
     return {"errorPath": f"{root}/errors", "messages-bucket": f"{root}/archive",
@@ -117,15 +125,29 @@ def test_stream_equals_batch_and_restarts_without_duplicates(spark, scratch):
     assert sorted(os.listdir(f"{scratch}/archive"))[:2] == ["window=2019-12-28T10%3A00", "window=2019-12-28T10%3A01"]
     assert spark.read.json(f"{scratch}/errors").count() == 1
 
-    # A late message arrives in a later batch; restart from the same checkpoint.
+    # A late message arrives in a later batch; restart from the same checkpoint:
+    # the run id stored in the checkpoint keeps the batch folders apart.
+    runs = batch_runs(f"{scratch}/table")
+    assert len(runs) == 1
     late = [(JSON_PAYLOAD, dict(ATTRS, MessageId="late"), t0 - dt.timedelta(hours=1))]
     write_envelopes(spark, envelopes(spark, late), f"{scratch}/in")
     start_message_stream(spark, "json", cfg, f"{scratch}/in", available_now=True).awaitTermination()
     ids = sorted(r.MessageId for r in spark.read.parquet(f"{scratch}/table").collect())
     assert ids == ["late", "m2", "messsage-id-001-23323"]
+    assert batch_runs(f"{scratch}/table") == runs
     assert "window=2019-12-28T09%3A00" in os.listdir(f"{scratch}/archive")
 
 
+def test_new_checkpoint_does_not_overwrite_earlier_batches(spark, scratch):
+    cfg = stream_config(scratch)
+    write_envelopes(spark, envelopes(spark, [(JSON_PAYLOAD, ATTRS, None)]), f"{scratch}/in")
+    for ckpt in ("c1", "c2"):
+        start_message_stream(spark, "json", cfg, f"{scratch}/in", available_now=True,
+                             checkpoint=f"{scratch}/{ckpt}").awaitTermination()
+    # Both runs started at batch 0, yet each kept its own output.
+    assert spark.read.parquet(f"{scratch}/table").count() == 2
+
+
 def test_replayed_batch_is_idempotent(spark, scratch):
     cfg = stream_config(scratch)
     batch = envelopes(spark, [(XML_PAYLOAD, ATTRS, None), ("<bad", ATTRS, None)])
