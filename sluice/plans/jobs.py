@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sluice.operators.delimited import drop_header_trailer, parse_delimited
 from sluice.operators.results import ROW_ID_COL, ROW_SRC_COL, SRC_COL, bad_rows, good_rows
 from sluice.operators.rules import apply_rules
-from sluice.sinks.table import write_table, write_text
+from sluice.sinks.table import RUN_COL, write_table, write_text
 from sluice.sources.avro import read_avro
 from sluice.sources.files import read_dated_lines, resolve_path
 
@@ -110,34 +110,52 @@ def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str
 
 
 def _write_batch(outputs: BatchOutputs, config: Mapping[str, Any], disposition: str,
-                 dead_letter_format: str) -> None:
+                 dead_letter_format: str, run_id: str | None = None) -> None:
     sink = _get(config, "BigQuerySinkDynamic", {}) or {}
+    if run_id is not None and disposition != "WRITE_APPEND":
+        raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
     error_path = _get(config, "errorPath")
     if error_path:
-        write_dead_letters(outputs.bad, error_path, dead_letter_format)
+        write_dead_letters(outputs.bad, error_path, dead_letter_format, run_id=run_id)
     write_table(outputs.good, sink["table"], disposition=disposition,
-                partition_field=sink.get("pField", "") or "", load_time_field=sink.get("loadTimeField", "") or "")
+                partition_field=sink.get("pField", "") or "", load_time_field=sink.get("loadTimeField", "") or "",
+                run_id=run_id)
 
 
 def write_dead_letters(bad: DataFrame, path: str, fmt: str = "json", partition_cols: list[str] | None = None,
-                       mode: str = "append") -> None:
-    """Dead letters as JSON lines (value, error, source) or as bare text lines."""
+                       mode: str = "append", run_id: str | None = None) -> None:
+    """Dead letters as JSON lines (value, error, source) or as bare text lines.
+
+    With ``run_id`` they land in an ``ingest_run=<run_id>`` folder replaced as
+    a whole, so a rerun of the same load does not duplicate them.
+    """
+    parts = list(partition_cols or [])
+    if run_id is not None:
+        bad = bad.withColumn(RUN_COL, F.lit(str(run_id)))
+        parts.append(RUN_COL)
+        mode = "overwrite"
     if fmt == "text":
-        write_text(bad, path, "value", partition_cols=partition_cols, mode=mode)
+        if run_id is None:
+            write_text(bad, path, "value", partition_cols=parts, mode=mode)
+            return
+        bad = bad.select(*[F.col(c) for c in parts], F.col("value"))
+        bad.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).text(path)
         return
     writer = bad.write.mode(mode)
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
+    if run_id is not None:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.json(path)
 
 
 def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
               disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-              on_no_date: str = "fail", single_scan: bool = False) -> BatchOutputs:
-    """Run the delimited job and write both outputs."""
+              on_no_date: str = "fail", single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
+    """Run the delimited job and write both outputs (``run_id``: repeatable appends)."""
     outputs = csv_outputs(spark, config, file_path, on_no_date, single_scan)
     try:
-        _write_batch(outputs, config, disposition, dead_letter_format)
+        _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:
         outputs.release()
     return outputs
@@ -145,11 +163,11 @@ def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | N
 
 def avro_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
                disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-               compat: bool = False, single_scan: bool = False) -> BatchOutputs:
-    """Run the Avro job and write both outputs."""
+               compat: bool = False, single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
+    """Run the Avro job and write both outputs (``run_id``: repeatable appends)."""
     outputs = avro_outputs(spark, config, file_path, compat, single_scan)
     try:
-        _write_batch(outputs, config, disposition, dead_letter_format)
+        _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:
         outputs.release()
     return outputs

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DISPOSITIONS = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
+RUN_COL = "ingest_run"
 
 
 def partition_key(day: Column) -> Column:
@@ -69,12 +70,15 @@ def write_table(
     create: bool = False,
     files_per_partition: int | None = None,
     fmt: str = "parquet",
+    run_id: str | None = None,
 ) -> None:
     """K1: write rows to ``target`` (path or catalog table), never creating it by default.
 
     With ``partition_field`` the rows are routed to day partitions keyed by
     that field's date (``<field>_day=yyyymmdd``); a NULL date goes to the
-    default partition.
+    default partition.  With ``run_id`` (append only) the rows land in
+    ``ingest_run=<run_id>`` partitions replaced as a whole, so running the
+    same load again after a failure does not duplicate rows.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown write disposition {disposition!r}")
@@ -95,7 +99,15 @@ def write_table(
                 writer_df = spread(writer_df, key, files_per_partition)
             parts = [key]
         mode = "overwrite" if disposition == "WRITE_TRUNCATE" else "append"
+        if run_id is not None:
+            if disposition != "WRITE_APPEND":
+                raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
+            writer_df = writer_df.withColumn(RUN_COL, F.lit(str(run_id)))
+            parts.append(RUN_COL)
+            mode = "overwrite"
         writer = writer_df.write.mode(mode).format(fmt)
+        if run_id is not None:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.save(target)

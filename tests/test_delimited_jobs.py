@@ -154,3 +154,16 @@ def test_single_scan_gives_the_same_outputs(spark, scratch):
     csv_batch(spark, csv_config(scratch, f"{scratch}/in/a.csv"), single_scan=True)
     assert spark.read.parquet(f"{scratch}/table").count() == 1
     assert spark.read.json(f"{scratch}/errors").count() == 1
+
+
+def test_rerun_with_run_id_does_not_duplicate(spark, scratch):
+    write(f"{scratch}/in/a.csv", APPOINTMENT_LINE + "\nonly,two\n")
+    cfg = csv_config(scratch, f"{scratch}/in/a.csv")
+    for _ in range(2):
+        csv_batch(spark, cfg, run_id="load-20191228")
+    csv_batch(spark, cfg, run_id="load-20191229")
+    table = spark.read.parquet(f"{scratch}/table")
+    assert sorted(r.ingest_run for r in table.collect()) == ["load-20191228", "load-20191229"]
+    assert spark.read.json(f"{scratch}/errors").count() == 2
+    with pytest.raises(ValueError):
+        csv_batch(spark, cfg, disposition="WRITE_TRUNCATE", run_id="x")
