@@ -278,8 +278,28 @@ def clamped_day_text(text: Column, info: PatternInfo) -> Column | None:
     return F.when(fix, F.overlay(text, F.lpad(last.cast("string"), 2, "0"), F.lit(od + 1), F.lit(2)))
 
 
+# English day names, as java.time prints them for E..EEE and EEEE.
+SHORT_DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+FULL_DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
 def _with_clamp(parse, text: Column, info: PatternInfo) -> Column:
-    """Strict parse; on failure, the parse of the day-clamped text (if any)."""
+    """Strict parse; on failure, the parse of the day-clamped text (if any).
+
+    A leading day name (``EEE, dd MMM yyyy ...``) is cut off before parsing
+    and must name the parsed date's weekday, as java.time checks it.
+    """
+    if info.day_name_letters:
+        names = FULL_DAY_NAMES if info.day_name_letters == 4 else SHORT_DAY_NAMES
+        name = F.regexp_extract(text, "^(" + "|".join(names) + ")", 1)
+        rest = F.substring(text, F.length(name) + 1, F.lit(1 << 30))
+        parsed = _clamped_parse(parse, rest, info)
+        shown = F.date_format(parsed, "EEEE" if info.day_name_letters == 4 else "EEE")
+        return F.when((name != "") & (shown == name), parsed)
+    return _clamped_parse(parse, text, info)
+
+
+def _clamped_parse(parse, text: Column, info: PatternInfo) -> Column:
     clamped = clamped_day_text(text, info)
     first = parse(text)
     return first if clamped is None else F.coalesce(first, parse(clamped))

@@ -40,6 +40,9 @@ class PatternInfo:
     # 0-based text offsets of the year (4 digits), month and day (2 digits each)
     # when every field before them has a fixed width; else None.
     ymd_offsets: tuple[int, int, int] | None = None
+    # A leading day-of-week field (E, EE, EEE or EEEE): Spark cannot parse it,
+    # so it is taken off the pattern and checked against the parsed date.
+    day_name_letters: int = 0
 
     @property
     def has_zone(self) -> bool:
@@ -108,8 +111,13 @@ def classify(pattern: str) -> PatternInfo:
     letters: dict[str, int] = {}
     offsets: dict[str, int] = {}
     pos: int | None = 0          # text offset while all widths so far are fixed
+    day_name = 0
     try:
-        for tok in _tokens(pattern):
+        tokens = list(_tokens(pattern))
+        if tokens and tokens[0][0] == "letter" and tokens[0][1] == "E" and tokens[0][2] <= 4:
+            day_name = tokens[0][2]
+            tokens = tokens[1:]
+        for tok in tokens:
             if tok[0] == "literal":
                 out.append(_quote_literal(tok[1]))
                 if pos is not None:
@@ -134,4 +142,4 @@ def classify(pattern: str) -> PatternInfo:
     except ValueError as exc:
         return PatternInfo(pattern, letters, problem=str(exc))
     ymd = (offsets["y"], offsets["M"], offsets["d"]) if len(offsets) == 3 else None
-    return PatternInfo("".join(out), letters, ymd_offsets=ymd)
+    return PatternInfo("".join(out), letters, ymd_offsets=ymd, day_name_letters=day_name)

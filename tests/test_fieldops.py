@@ -98,7 +98,16 @@ def test_local_ops(spark):
         "2019-12-28 23:30": "2019-12-28"}
 
 
-@pytest.mark.parametrize("op", ["DATE(YYYY-MM-dd)", "DATE(EEE yyyy-MM-dd)", "DATE(yyyy-MM-dd bb)", "UTC_TIMESTAMP(yyyy-MM-dd)"])
+def test_leading_day_name_is_checked(spark):
+    r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)",
+              ["Sat, 28 Dec 2019 10:15:30 +0100", "Mon, 28 Dec 2019 10:15:30 +0100", "28 Dec 2019 10:15:30 +0100"])
+    assert r["Sat, 28 Dec 2019 10:15:30 +0100"] == ("2019-12-28T09:15:30", None)
+    assert r["Mon, 28 Dec 2019 10:15:30 +0100"][1] and r["28 Dec 2019 10:15:30 +0100"][1]
+    assert ok(apply(spark, "DATE(EEEE yyyy-MM-dd)", ["Saturday 2019-12-28"])) == {"Saturday 2019-12-28": "2019-12-28"}
+    assert ok(apply(spark, "DATE(EEE yyyy-MM-dd)", ["Mon 2019-02-30"])) == {}   # clamped to Thu 28th: wrong name
+
+
+@pytest.mark.parametrize("op", ["DATE(YYYY-MM-dd)", "DATE(yyyy EEE MM-dd)", "DATE(yyyy-MM-dd bb)", "UTC_TIMESTAMP(yyyy-MM-dd)"])
 def test_unusable_patterns_fail_each_value_without_raising(spark, op):
     r = apply(spark, op, ["2019-12-28", ""])
     assert r[""] == (None, None) and r["2019-12-28"][1]
