@@ -283,18 +283,20 @@ SHORT_DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 FULL_DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
-def _with_clamp(parse, text: Column, info: PatternInfo) -> Column:
+def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
     """Strict parse; on failure, the parse of the day-clamped text (if any).
 
     A leading day name (``EEE, dd MMM yyyy ...``) is cut off before parsing
-    and must name the parsed date's weekday, as java.time checks it.
+    and must name the weekday of the date written in the text (``local``
+    parses it ignoring any zone), as java.time checks it.
     """
     if info.day_name_letters:
         names = FULL_DAY_NAMES if info.day_name_letters == 4 else SHORT_DAY_NAMES
         name = F.regexp_extract(text, "^(" + "|".join(names) + ")", 1)
         rest = F.substring(text, F.length(name) + 1, F.lit(1 << 30))
         parsed = _clamped_parse(parse, rest, info)
-        shown = F.date_format(parsed, "EEEE" if info.day_name_letters == 4 else "EEE")
+        written = parsed if local is None else _clamped_parse(local, rest, info)
+        shown = F.date_format(written, "EEEE" if info.day_name_letters == 4 else "EEE")
         return F.when((name != "") & (shown == name), parsed)
     return _clamped_parse(parse, text, info)
 
@@ -305,12 +307,7 @@ def _clamped_parse(parse, text: Column, info: PatternInfo) -> Column:
     return first if clamped is None else F.coalesce(first, parse(clamped))
 
 
-def parse_instant(text: Column, info: PatternInfo) -> Column:
-    return _with_clamp(lambda t: F.try_to_timestamp(t, F.lit(info.pattern)), text, info)
-
-
-def parse_local(text: Column, info: PatternInfo) -> Column:
-    """Local date-time fields of the text; a zone in the text is ignored."""
+def _local_parser(info: PatternInfo):
     def strict(t: Column) -> Column:
         if info.has_zone:
             fits = F.try_to_timestamp(t, F.lit(info.pattern)).isNotNull()
@@ -318,7 +315,16 @@ def parse_local(text: Column, info: PatternInfo) -> Column:
         # Zoneless text parses in the session zone; the jobs pin it to UTC,
         # where the round trip to wall-clock time is exact.
         return F.try_to_timestamp(t, F.lit(info.pattern)).cast("timestamp_ntz")
-    return _with_clamp(strict, text, info)
+    return strict
+
+
+def parse_instant(text: Column, info: PatternInfo) -> Column:
+    return _with_clamp(lambda t: F.try_to_timestamp(t, F.lit(info.pattern)), text, info, _local_parser(info))
+
+
+def parse_local(text: Column, info: PatternInfo) -> Column:
+    """Local date-time fields of the text; a zone in the text is ignored."""
+    return _with_clamp(_local_parser(info), text, info)
 
 
 def _datetime_op(kind: str, text: Column, arg: str) -> OpPlan:

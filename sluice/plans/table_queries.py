@@ -356,6 +356,36 @@ SELECT event_id, {_iso_sql('t')} AS ts_utc, strftime(t, '%Y-%m-%d') AS day_utc F
 """
 
 
+def ts_day_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RFC-1123-style text: a leading day name checked against the date.
+
+    Local time at an offset from -07:00 to +07:00 is printed as
+    ``EEE, dd MMM yyyy HH:mm:ss Z``; every seventh event names the next day
+    instead, so it must be rejected.
+    """
+    pin_utc(spark)
+    e = read(spark, sf_dir, "events")
+    ts = F.date_trunc("second", F.col("ts"))
+    mins = _offset_minutes(F.col("event_id"))
+    local = ts + F.make_dt_interval(F.lit(0), F.lit(0), mins)
+    day = F.when(F.col("event_id") % 7 == 0, F.date_format(F.date_add(F.to_date(local), 1), "EEE")) \
+        .otherwise(F.date_format(local, "EEE"))
+    zone = F.regexp_replace(_offset_text(mins), ":", "")
+    text = F.concat(day, F.lit(", "), F.date_format(local, "dd MMM yyyy HH:mm:ss"), F.lit(" "), zone)
+    lines = e.select(F.col("event_id"), text.alias("line"))
+    parsed = parse_delimited(lines.select(F.concat(F.col("event_id").cast("string"), F.lit(',"'), F.col("line"),
+                                                   F.lit('"')).alias("line")),
+                             "event_id:LONG,ts_utc:TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)")
+    return good_rows(parsed)
+
+
+SQL["ts_day_names"] = """
+SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M') ||
+       CASE WHEN second(ts) = 0 THEN '' ELSE strftime(date_trunc('second', ts), ':%S') END AS ts_utc
+FROM events WHERE event_id % 7 <> 0
+"""
+
+
 def ts_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zoneless timestamps, times of day and dates."""
     pin_utc(spark)
@@ -389,4 +419,5 @@ QUERIES = {
     "big_numbers": big_numbers,
     "ts_zoned": ts_zoned,
     "ts_local": ts_local,
+    "ts_day_names": ts_day_names,
 }
