@@ -74,7 +74,9 @@ def bind_xml_messages(
     payload = F.col(payload_col)
     attrs = F.coalesce(F.col(attributes_col), F.create_map().cast("map<string,string>"))
     full = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
-    opts = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    # Text keeps its surrounding blanks, as an XML binder keeps them.
+    opts = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _CORRUPT}
     base = df.select(
         *keep,
         payload.alias("__payload"),

@@ -188,3 +188,9 @@ def test_files_per_window_bounds_archive_files(spark, scratch):
         files = [f for f in os.listdir(f"{scratch}/archive/{window}/batch=0") if f.endswith(".txt")]
         assert len(files) == 1
     assert spark.read.text(f"{scratch}/archive").count() == 40
+
+
+def test_xml_text_keeps_surrounding_blanks(spark):
+    payload = "<Appointments><Type>  x y  </Type><Data><AppointmentId> 1 </AppointmentId></Data></Appointments>"
+    out = good_rows(bind_xml_messages(envelopes(spark, [(payload, ATTRS, None)]))).first()
+    assert out.Type == "  x y  " and out.Data[0].AppointmentId == " 1 "
