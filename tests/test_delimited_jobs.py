@@ -167,3 +167,24 @@ def test_rerun_with_run_id_does_not_duplicate(spark, scratch):
     assert spark.read.json(f"{scratch}/errors").count() == 2
     with pytest.raises(ValueError):
         csv_batch(spark, cfg, disposition="WRITE_TRUNCATE", run_id="x")
+
+
+def test_spread_splits_a_hot_key_of_identical_rows(spark):
+    from sluice.sinks.table import spread
+
+    hot = spark.range(30000).select(F.lit("2019-12-28").alias("day"), F.lit("same").alias("v"))
+    cold = spark.range(60000).select(F.date_format(F.date_add(F.lit("2019-01-01"), (F.col("id") % 50).cast("int")),
+                                                   "yyyy-MM-dd").alias("day"), F.lit("x").alias("v"))
+    # At this size AQE would merge all shuffle partitions into one; at scale the
+    # salted pieces of a hot key are large and stay apart.
+    # Likewise a cluster uses many shuffle partitions, so salted pieces rarely collide.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        spread_df = spread(hot.union(cold), "day", 4)
+        per_task = (spread_df.filter("day = '2019-12-28'").groupBy(F.spark_partition_id().alias("p")).count()
+                    .collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(per_task) >= 3 and max(r["count"] for r in per_task) <= 30000 // 2

@@ -194,3 +194,9 @@ def test_xml_text_keeps_surrounding_blanks(spark):
     payload = "<Appointments><Type>  x y  </Type><Data><AppointmentId> 1 </AppointmentId></Data></Appointments>"
     out = good_rows(bind_xml_messages(envelopes(spark, [(payload, ATTRS, None)]))).first()
     assert out.Type == "  x y  " and out.Data[0].AppointmentId == " 1 "
+
+
+def test_xml_parse_partitions_spreads_the_parse(spark):
+    items = [(XML_PAYLOAD, dict(ATTRS, MessageId=f"m{i}"), None) for i in range(50)]
+    out = bind_xml_messages(envelopes(spark, items).coalesce(1), parse_partitions=5)
+    assert out.rdd.getNumPartitions() == 5 and good_rows(out).count() == 50
