@@ -27,12 +27,17 @@ def decode_payload(payload: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def _from_kafka(df: DataFrame) -> DataFrame:
-    headers = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"], decode_payload(h["value"])),
-    ))
-    return df.select(decode_payload(F.col("value")).alias("payload"), headers.alias("attributes"),
+def kafka_envelopes(df: DataFrame) -> DataFrame:
+    """Kafka rows -> envelopes: value -> payload, headers -> attributes, timestamp -> publish time.
+
+    A header key may repeat in Kafka; the last value wins (a map cannot hold
+    the key twice).
+    """
+    headers = F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>"))
+    keys = F.transform(headers, lambda h: h["key"])
+    last = F.filter(headers, lambda h, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), h["key"]))
+    attributes = F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], decode_payload(h["value"]))))
+    return df.select(decode_payload(F.col("value")).alias("payload"), attributes.alias("attributes"),
                      F.col("timestamp").alias("publish_time"))
 
 
@@ -52,7 +57,7 @@ def read_message_stream(
         reader = spark.readStream.format("kafka").option("subscribe", subscription).option("includeHeaders", "true")
         for k, v in kafka_options.items():
             reader = reader.option(k, v)
-        return _from_kafka(reader.load())
+        return kafka_envelopes(reader.load())
     reader = spark.readStream.schema(ENVELOPE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

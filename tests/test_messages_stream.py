@@ -200,3 +200,18 @@ def test_xml_parse_partitions_spreads_the_parse(spark):
     items = [(XML_PAYLOAD, dict(ATTRS, MessageId=f"m{i}"), None) for i in range(50)]
     out = bind_xml_messages(envelopes(spark, items).coalesce(1), parse_partitions=5)
     assert out.rdd.getNumPartitions() == 5 and good_rows(out).count() == 50
+
+
+def test_kafka_rows_become_envelopes(spark):
+    from sluice.sources.messages import kafka_envelopes
+
+    rows = [(bytearray(JSON_PAYLOAD.encode()), [("MessageId", bytearray(b"a")), ("TopicName", bytearray(b"t")),
+                                                ("MessageId", bytearray(b"b")), ("LogicalDate", bytearray(b"d"))],
+             dt.datetime(2019, 12, 28, 10, 0)),
+            (bytearray(b"\xff"), None, dt.datetime(2019, 12, 28, 10, 0))]
+    df = spark.createDataFrame(rows, "value binary, headers array<struct<key:string,value:binary>>, timestamp timestamp")
+    env = kafka_envelopes(df).collect()
+    assert env[0].attributes == {"MessageId": "b", "TopicName": "t", "LogicalDate": "d"}
+    assert env[0].payload == JSON_PAYLOAD and env[1].payload is None and env[1].attributes == {}
+    bound = bind_json_messages(kafka_envelopes(df))
+    assert good_rows(bound).count() == 1 and bad_rows(bound).count() == 1
