@@ -43,6 +43,7 @@ RULE_NULLED_OPS = {"INTEGER", "DOUBLE", "FLOAT", "BIGINT", "BIGDECIMAL"}
 UNSUPPORTED = "Data type not supported"
 INT_RX = r"^[+-]?[0-9]+\z"
 DECIMAL_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+ZERO_RX = r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?\z"
 JAVA_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
 SPARK_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(nan|inf|infinity)[\x00-\x20]*\z"
 BIGDECIMAL_SCALE = 18
@@ -157,8 +158,13 @@ def _floating(text: Column, spark_type: str) -> OpPlan:
     return OpPlan(F.when(~special | java_ok, parsed), reason=number_error(text))
 
 
+def _decimal_number(text: Column) -> Column:
+    """The text for a decimal cast; a zero is cast as '0' (Spark rejects e.g. '0e38')."""
+    return F.when(text.rlike(ZERO_RX), F.lit("0")).otherwise(text)
+
+
 def _big_decimal(text: Column, scale: int) -> OpPlan:
-    parsed = F.when(text.rlike(DECIMAL_RX), text.try_cast(f"decimal(38,{scale})"))
+    parsed = F.when(text.rlike(DECIMAL_RX), _decimal_number(text).try_cast(f"decimal(38,{scale})"))
     return OpPlan(parsed, reason=number_error(text))
 
 
@@ -220,10 +226,11 @@ def _precision(text: Column, arg: str) -> OpPlan:
         return _always_fail(F.lit(f'For input string: "{arg}"'))
     if scale > 38:
         return _always_fail(F.lit(f"scale {scale} exceeds 38 digits"))
+    number = _decimal_number(text)
     if scale >= 0:
-        rounded = text.try_cast(f"decimal(38,{scale})")
+        rounded = number.try_cast(f"decimal(38,{scale})")
     else:
-        rounded = F.round(text.try_cast(f"decimal(38,{BIGDECIMAL_SCALE})"), scale).cast("decimal(38,0)")
+        rounded = F.round(number.try_cast(f"decimal(38,{BIGDECIMAL_SCALE})"), scale).cast("decimal(38,0)")
     return OpPlan(F.when(text.rlike(DECIMAL_RX), rounded.cast("string")), reason=number_error(text))
 
 
