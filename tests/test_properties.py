@@ -103,3 +103,72 @@ def test_integer_and_long_match_java(spark, values):
             if text == "":
                 continue
             assert got[text][0] == int_model(text, bits), (op, text)
+
+
+# Java's Double.parseDouble: blanks (<= ' ') around; NaN / Infinity without a
+# suffix; decimal numbers with an optional f/F/d/D suffix.
+JAVA_DOUBLE = re.compile(
+    r"[\x00-\x20]*([+-]?)(?:(NaN|Infinity)|((?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)[fFdD]?)[\x00-\x20]*"
+)
+
+
+def double_model(text):
+    m = JAVA_DOUBLE.fullmatch(text)
+    if not m:
+        return None
+    core = m.group(2) or m.group(3)
+    return float(m.group(1) + core.replace("Infinity", "inf"))
+
+
+double_text = st.builds(
+    lambda pad1, core, suffix, pad2: pad1 + core + suffix + pad2,
+    st.sampled_from(["", " ", "\t"]),
+    st.one_of(decimal_text, st.sampled_from(["NaN", "-Infinity", "+NaN", "nan", "inf", "-inf", "infinity", "1e400",
+                                             "4.9e-324", "1e-400"])),
+    st.sampled_from(["", "", "d", "F"]),
+    st.sampled_from(["", " ", "\n"]),
+)
+
+
+@FAST
+@given(st.lists(st.one_of(double_text, noise), min_size=50, max_size=150))
+def test_double_matches_java(spark, values):
+    import math
+
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    t = compile_op("DOUBLE", F.col("x"))
+    got = {r.x: r.v for r in df.select("x", t.value.alias("v")).collect()}
+    for text in values:
+        if text == "":
+            continue
+        want = double_model(text)
+        have = got[text]
+        if want is None:
+            assert have is None, repr(text)
+        elif math.isnan(want):
+            assert have is not None and math.isnan(have), repr(text)
+        else:
+            assert have == want, repr(text)
+
+
+def date_model(text):
+    m = re.fullmatch(r"([0-9]{4})-([0-9]{2})-([0-9]{2})", text)
+    if not m:
+        return None
+    import calendar
+
+    y, mo, d = (int(g) for g in m.groups())
+    if not (1 <= mo <= 12 and 1 <= d <= 31) or y == 0:
+        return None
+    d = min(d, calendar.monthrange(y, mo)[1])
+    return f"{y:04d}-{mo:02d}-{d:02d}"
+
+
+@FAST
+@given(st.lists(st.builds(lambda y, m, d, sep: f"{y:04d}{sep}{m:02d}{sep}{d:02d}",
+                          st.integers(1, 9999), st.integers(0, 13), st.integers(0, 32), st.sampled_from(["-", "-", "/"])),
+                min_size=50, max_size=150))
+def test_date_matches_java_default_resolver(spark, values):
+    got = run(spark, "DATE(yyyy-MM-dd)", values)
+    for text in values:
+        assert got[text][0] == date_model(text), text
