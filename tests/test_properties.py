@@ -172,3 +172,62 @@ def test_date_matches_java_default_resolver(spark, values):
     got = run(spark, "DATE(yyyy-MM-dd)", values)
     for text in values:
         assert got[text][0] == date_model(text), text
+
+
+scalar = st.one_of(st.text(alphabet="abcXYZ é", max_size=5), st.integers(-5, 5), st.booleans(), st.none())
+anything = st.recursive(scalar, lambda inner: st.one_of(st.lists(inner, max_size=3),
+                                                        st.dictionaries(st.sampled_from(["a", "b"]), inner, max_size=2)),
+                        max_leaves=4)
+detail = st.dictionaries(st.sampled_from(["AppointmentId", "TimestampUtc", "Disciplines", "Room"]),
+                         st.one_of(scalar, st.lists(st.one_of(scalar, anything), max_size=3), anything), max_size=4)
+document = st.dictionaries(
+    st.sampled_from(["Type", "Data", "Extra"]),
+    st.one_of(scalar, st.lists(st.one_of(detail, st.none(), scalar), max_size=3), detail, anything),
+    max_size=3,
+)
+
+
+def _scalar(v):
+    return not isinstance(v, (list, dict))
+
+
+def binds(doc):
+    """Whether a strict object binder accepts the document as the appointment record."""
+    if set(doc) - {"Type", "Data"}:
+        return False
+    if not _scalar(doc.get("Type")):
+        return False
+    data = doc.get("Data")
+    if data is None:
+        return True
+    if not isinstance(data, list):
+        return False
+    for item in data:
+        if item is None:
+            continue
+        if not isinstance(item, dict) or set(item) - {"AppointmentId", "TimestampUtc", "Disciplines"}:
+            return False
+        if not (_scalar(item.get("AppointmentId")) and _scalar(item.get("TimestampUtc"))):
+            return False
+        disc = item.get("Disciplines")
+        if disc is not None and not (isinstance(disc, list) and all(_scalar(x) for x in disc)):
+            return False
+    return True
+
+
+@FAST
+@given(st.lists(document, min_size=30, max_size=80))
+def test_json_binding_matches_strict_binder(spark, docs):
+    import json as _json
+
+    from sluice.operators.messages_json import bind_json_messages
+
+    attrs = {"TopicName": "t", "MessageId": "m", "LogicalDate": "d"}
+    payloads = [_json.dumps(d, ensure_ascii=False) for d in docs]
+    df = spark.createDataFrame([(p, attrs) for p in payloads], "payload string, attributes map<string,string>")
+    got = {r._raw: (r._error, r.Type) for r in bind_json_messages(df).collect()}
+    for doc, payload in zip(docs, payloads):
+        error, typ = got[payload]
+        assert (error is None) == binds(doc), (payload, error)
+        if error is None and isinstance(doc.get("Type"), str):
+            assert typ == doc["Type"]
