@@ -54,8 +54,13 @@ def pointer_segments(location: str) -> list[str] | None:
     return [seg.replace("~1", "/").replace("~0", "~") for seg in location[1:].split("/")]
 
 
-def resolve(schema: T.StructType, segments: list[str]) -> tuple[Column, T.DataType] | None:
-    """Column and type at a pointer, or None when the location is absent."""
+def resolve(schema: T.StructType, segments: list[str]) -> tuple[Column, T.DataType, Column] | None:
+    """Column, type and per-row presence at a pointer; None when no row can have it.
+
+    A location under a NULL record, past the end of an array or under a
+    missing map key is absent for that row (the rule then leaves the row
+    alone), while a NULL value at the location itself is present.
+    """
     if not segments:
         return None
     names = {f.name: f for f in schema.fields}
@@ -64,19 +69,23 @@ def resolve(schema: T.StructType, segments: list[str]) -> tuple[Column, T.DataTy
         return None
     col: Column = F.col(f"`{first.name}`")
     dtype = first.dataType
+    present: Column = F.lit(True)
     for seg in segments[1:]:
         if isinstance(dtype, T.StructType):
             match = next((f for f in dtype.fields if f.name == seg), None)
             if match is None:
                 return None
+            present = present & col.isNotNull()
             col, dtype = col.getField(match.name), match.dataType
         elif isinstance(dtype, T.ArrayType) and seg.isdigit() and (seg == "0" or not seg.startswith("0")):
+            present = present & col.isNotNull() & (F.size(col) > int(seg))
             col, dtype = F.get(col, int(seg)), dtype.elementType
         elif isinstance(dtype, T.MapType) and isinstance(dtype.keyType, T.StringType):
+            present = present & col.isNotNull() & F.coalesce(F.map_contains_key(col, F.lit(seg)), F.lit(False))
             col, dtype = F.try_element_at(col, F.lit(seg)), dtype.valueType
         else:
             return None
-    return col, dtype
+    return col, dtype, present
 
 
 def as_text(col: Column, dtype: T.DataType) -> Column:
@@ -153,9 +162,10 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
             if found is None:
                 items.append(None)
                 continue
-            text = as_text(*found)
+            value_col, dtype, present = found
+            text = as_text(value_col, dtype)
             items.append((text, plan_op(rule.operation, text, compat=compat, name="")))
-            targets.append((segments[-1], rule.operation))
+            targets.append((segments[-1], rule.operation, present))
         live = [it for it in items if it is not None]
         if not live and not invalid:
             continue
@@ -170,14 +180,17 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
                 else:
                     ordered_errors.append(None)
             else:
-                ordered_errors.append(errors[k])
+                ordered_errors.append(F.when(targets[k][2], errors[k]))
                 k += 1
         new_values = {}
-        for (target, op), value, (_, plan) in zip(targets, values, live):
-            new_values[target] = value
+        for (target, op, present), value, (_, plan) in zip(targets, values, live):
+            new_type = T._parse_datatype_string(plan.nulled_type or result_type(op))
+            # Where the location is absent the row keeps what it had (NULL for a new field).
+            before = F.col(f"`{target}`").try_cast(new_type) if target in fields else F.lit(None).cast(new_type)
+            new_values[target] = F.when(present, value).otherwise(before)
             if target not in fields:
                 order.append(target)
-            fields[target] = T._parse_datatype_string(plan.nulled_type or result_type(op))
+            fields[target] = new_type
         out = [new_values[c].alias(c) if c in new_values else F.col(f"`{c}`") for c in order]
         err = first_error([F.col(_ERR)] + [e for e in ordered_errors if e is not None])
         cur = staged.select(*out, F.col(RAW_COL), F.col(SRC_COL), err.alias(_ERR))

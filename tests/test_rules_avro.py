@@ -155,3 +155,9 @@ def test_avro_accepts_types_beyond_the_original_set(spark, scratch):
                [{"Flag": True, "Tags": ["a", "b"], "Counts": {"k": 3}, "Inner": {"x": 1}}])
     r = read_avro(spark, f"{scratch}/in/r.avro").first()
     assert (r.flag, r.tags, r.counts, r.inner.x) == (True, ["a", "b"], {"k": 3}, 1)
+
+
+def test_rule_under_a_null_record_leaves_the_row_alone(spark):
+    df = spark.createDataFrame([("keep", None), ("old", ("new",))], "c string, b struct<c:string>")
+    out = good_rows(apply_rules(df, [{"location": "/b/c", "operation": "STRING"}]))
+    assert sorted(r.c for r in out.collect()) == ["keep", "new"]
