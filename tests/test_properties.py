@@ -231,3 +231,67 @@ def test_json_binding_matches_strict_binder(spark, docs):
         assert (error is None) == binds(doc), (payload, error)
         if error is None and isinstance(doc.get("Type"), str):
             assert typ == doc["Type"]
+
+
+rule_value = st.sampled_from(["12.34", "-0.05", "7", "abc", "", None, "1e3", "+5", "0.95", "2147483648"])
+record = st.fixed_dictionaries({"a": rule_value, "n": rule_value,
+                                "b": st.one_of(st.none(), st.fixed_dictionaries({"c": rule_value}))})
+rule = st.tuples(st.sampled_from(["/a", "/b/c", "/c", "/n", "/x"]),
+                 st.sampled_from(["STRING", "LONG", "PRECISION(1)", "int2bigDecimal"]))
+
+
+def rules_model(rec, rules):
+    """Apply rules with JSON-pointer semantics and Java's number rules; None when the record fails."""
+    rec = {k: (dict(v) if isinstance(v, dict) else v) for k, v in rec.items()}
+    for loc, op in rules:
+        node, found = rec, True
+        for seg in loc[1:].split("/"):
+            if isinstance(node, dict) and seg in node:
+                node = node[seg]
+            else:
+                found = False
+                break
+        if not found:
+            continue
+        text = None if node is None or isinstance(node, dict) else str(node)
+        if text is None or text == "":
+            result = None
+        elif op == "STRING":
+            result = text
+        elif op == "LONG":
+            result = int_model(text, 64)
+            if result is None:
+                return None
+            result = int(result)
+        elif op == "PRECISION(1)":
+            result = half_up_model(text, 1)
+            if result is None:
+                return None
+        else:
+            result = plain_model(text)
+            if result is None:
+                return None
+        rec[loc.rsplit("/", 1)[1]] = result
+    return rec
+
+
+@FAST
+@given(st.lists(record, min_size=20, max_size=60), st.lists(rule, min_size=1, max_size=6))
+def test_update_rules_match_json_pointer_model(spark, recs, rules):
+    from sluice.operators.results import ERROR_COL
+    from sluice.operators.rules import apply_rules
+
+    rows = [(i, r["a"], r["n"], None if r["b"] is None else (r["b"]["c"],)) for i, r in enumerate(recs)]
+    df = spark.createDataFrame(rows, "id long, a string, n string, b struct<c:string>")
+    out = apply_rules(df, [{"location": loc, "operation": op} for loc, op in rules])
+    cols = [c for c in ("a", "n", "c") if c in out.columns]
+    got = {r.id: r for r in out.select("id", ERROR_COL, *[F.col(c).cast("string").alias(c) for c in cols]).collect()}
+    for i, rec in enumerate(recs):
+        want = rules_model(rec, rules)
+        have = got[i]
+        assert (have[ERROR_COL] is None) == (want is not None), (rec, rules, have)
+        if want is None:
+            continue
+        for c in cols:
+            expected = want.get(c)
+            assert have[c] == (None if expected is None else str(expected)), (rec, rules, c, have)
