@@ -11,9 +11,11 @@ a JSON object binder does by default:
 * a non-array where an array is expected rejects the message;
 * a missing key or JSON null gives NULL.
 
-Malformed JSON and a missing required attribute are dead-lettered (the text
-kept is the payload).  The strictness checks read the payload as a VARIANT
-once; the values come from ``from_json``; all of it is JVM-side.
+Numbers bound to text read as the parser that fed the binder printed them:
+integers exactly, other numbers as doubles (``1.50`` -> ``1.5``,
+``0.00001`` -> ``1.0E-5``).  Malformed JSON and a missing required attribute
+are dead-lettered (the text kept is the payload).  The payload is parsed once
+into a VARIANT; checks and values both read it, all JVM-side.
 """
 
 from __future__ import annotations
@@ -82,6 +84,30 @@ def conforms(x: Column, dtype: T.DataType) -> Column:
     return _is_absent(x) | ~_is_container(x)
 
 
+def _text_of(x: Column) -> Column:
+    """A scalar as bound text: a fractional or exponent number reads as its double prints."""
+    kind = F.schema_of_variant(x)
+    fractional = (kind.startswith("DECIMAL") & ~kind.endswith(",0)")) | kind.isin("DOUBLE", "FLOAT")
+    return F.when(fractional, F.try_variant_get(x, "$", "double").cast("string")) \
+        .otherwise(F.try_variant_get(x, "$", "string"))
+
+
+def bound_value(x: Column, dtype: T.DataType) -> Column:
+    """The value a strict binder produces from VARIANT ``x`` for ``dtype`` (after ``conforms``)."""
+    if isinstance(dtype, T.StructType):
+        obj = _as_object(x)
+        return F.when(obj.isNotNull(), F.struct(*[
+            bound_value(F.element_at(obj, F.lit(f.name)), f.dataType).alias(f.name) for f in dtype.fields
+        ]))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(_as_array(x), lambda e: bound_value(e, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(_as_object(x), lambda k, e: bound_value(e, dtype.valueType))
+    if isinstance(dtype, T.StringType):
+        return F.when(~_is_absent(x), _text_of(x))
+    return F.try_variant_get(x, "$", dtype.simpleString())
+
+
 def bind_json_messages(
     df: DataFrame,
     schema: T.StructType = APPOINTMENTS,
@@ -102,10 +128,9 @@ def bind_json_messages(
     base = parsed.select(
         *keep, "__payload", "__attrs", "__v",
         F.try_variant_get(v0, "$", "map<string,variant>").alias("__top"),
-        F.when(v0.isNotNull(), F.try_variant_get(v0, "$", schema.simpleString()))
-        .otherwise(F.from_json(F.col("__payload"), schema)).alias("__rec"),
+        F.when(v0.isNull(), F.from_json(F.col("__payload"), schema)).alias("__fallback"),
     )
-    p, a, v, top, rec = (F.col(c) for c in ("__payload", "__attrs", "__v", "__top", "__rec"))
+    p, a, v, top, fallback = (F.col(c) for c in ("__payload", "__attrs", "__v", "__top", "__fallback"))
     keys = F.when(v.isNotNull(), F.map_keys(top)).otherwise(F.json_object_keys(p))
     allowed = F.array(*[F.lit(f.name) for f in schema.fields])
 
@@ -132,7 +157,8 @@ def bind_json_messages(
         payload_ok = conforms(sub, f.dataType)
         bad = F.when(from_attr, ~attr_ok).otherwise(~payload_ok)
         errors.append(F.when(bad, F.lit(f'Cannot bind field "{f.name}" to {f.dataType.simpleString()}')))
-        values.append(F.when(from_attr, attr_typed).otherwise(rec.getField(f.name)).alias(f.name))
+        from_payload = F.when(v.isNotNull(), bound_value(sub, f.dataType)).otherwise(fallback.getField(f.name))
+        values.append(F.when(from_attr, attr_typed).otherwise(from_payload).alias(f.name))
     error = first_error(errors)
     src = F.element_at(a, F.lit("MessageId")) if "MessageId" in required_attributes else F.lit(None).cast("string")
     return base.select(*keep, *values, error.alias(ERROR_COL), p.alias(RAW_COL), src.alias(SRC_COL), stage_barrier())

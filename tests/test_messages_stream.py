@@ -215,3 +215,13 @@ def test_kafka_rows_become_envelopes(spark):
     assert env[0].payload == JSON_PAYLOAD and env[1].payload is None and env[1].attributes == {}
     bound = bind_json_messages(kafka_envelopes(df))
     assert good_rows(bound).count() == 1 and bad_rows(bound).count() == 1
+
+
+def test_numbers_bound_to_text_read_as_doubles(spark):
+    payload = ('{"Type": 1.50, "Data": [{"AppointmentId": 12345678.9, "TimestampUtc": 0.00001, '
+               '"Disciplines": [5, 1e2, 123456789012345678901234567890]}]}')
+    out = good_rows(bind_json_messages(envelopes(spark, [(payload, ATTRS, None)]))).first()
+    assert out.Type == "1.5"
+    d = out.Data[0]
+    assert (d.AppointmentId, d.TimestampUtc) == ("1.23456789E7", "1.0E-5")
+    assert d.Disciplines == ["5", "100.0", "123456789012345678901234567890"]
