@@ -98,7 +98,9 @@ def parse_delimited(
 
     # Stage 0: split each line exactly once.
     if date_col is None:
+        no_date = F.lit(False)
         base = df.select(*keep, line.alias("__line"), F.lit("").alias("__date"), src.alias("__src"),
+                         no_date.alias("__no_date"),
                          (_csv_struct(line, n, splitter) if n else F.lit(None)).alias("__cells"))
         cells = _cells_of(F.col("__cells"), n)
         wrong = _wrong_count(F.col("__cells") if n else None, F.col("__line"))
@@ -106,7 +108,8 @@ def parse_delimited(
     else:
         k = max(n - 1, 0)
         base = df.select(*keep, line.alias("__line"), F.coalesce(F.col(date_col), F.lit("")).alias("__date"),
-                         src.alias("__src"), (_csv_struct(line, k, splitter) if k else F.lit(None)).alias("__cells"))
+                         src.alias("__src"), F.col(date_col).isNull().alias("__no_date"),
+                         (_csv_struct(line, k, splitter) if k else F.lit(None)).alias("__cells"))
         ln, date = F.col("__line"), F.col("__date")
         has_date = date != ""
         short_cells = _cells_of(F.col("__cells"), k) + [date]
@@ -120,16 +123,18 @@ def parse_delimited(
         raw_arity = F.when(has_date, F.concat(ln, F.lit(","), date)).otherwise(ln)
 
     texts = base.select(
-        *keep, "__src",
+        *keep, "__src", "__no_date",
         wrong.alias("__wrong"), raw_arity.alias("__raw_arity"),
         *[c.alias(f"__t{i}") for i, c in enumerate(cells)],
     )
     items = [(F.col(f"__t{i}"), plan_spec(spec, F.col(f"__t{i}"))) for i, spec in enumerate(specs)]
-    passthrough = keep + ["__src", "__wrong", "__raw_arity"] + [f"__t{i}" for i in range(n)]
+    passthrough = keep + ["__src", "__no_date", "__wrong", "__raw_arity"] + [f"__t{i}" for i in range(n)]
     staged, values, errors = apply_plans(texts, items, passthrough)
 
     wrong_c = F.col("__wrong")
-    error = F.when(wrong_c, F.lit(ARITY_ERROR)).otherwise(first_error(errors))
+    # A path without a date (when such rows are kept) is the first reason.
+    error = (F.when(F.col("__no_date"), F.concat(F.lit("no date in path: "), F.coalesce(F.col("__src"), F.lit(""))))
+             .when(wrong_c, F.lit(ARITY_ERROR)).otherwise(first_error(errors)))
     joined = F.concat_ws(",", *[F.col(f"__t{i}") for i in range(n)]) if n else F.lit("")
     raw = F.when(wrong_c, F.col("__raw_arity")).otherwise(joined)
 

@@ -109,7 +109,9 @@ def test_path_without_date_fails_or_dead_letters(spark, scratch):
     from sluice.plans.jobs import csv_outputs
 
     out = csv_outputs(spark, cfg, on_no_date="dead_letter")
-    assert out.good.count() == 0 and out.bad.count() == 1
+    assert out.good.count() == 0
+    (bad,) = out.bad.collect()
+    assert bad.error.startswith("no date in path: ") and bad.error.endswith("nodate.csv")
 
 
 def test_runtime_path_wins_and_unknown_mode(spark, scratch):
