@@ -5,7 +5,9 @@ ignored, a repeated single element keeps the last one).  ``from_xml`` does
 not check the root element's name, so a regex on the first element's local
 name does (after an XML declaration, comments or a DOCTYPE).  Malformed XML,
 a wrong root or a missing attribute sends the message to the dead-letter
-store as ``payload,TopicName,MessageId,LogicalDate``.
+store as ``payload,TopicName,MessageId,LogicalDate``.  Document type
+declarations are not processed (no entity expansion, nothing fetched), so a
+payload that carries one is dead-lettered as malformed.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from sluice.operators.messages_json import ATTRIBUTE_KEYS
 from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, first_error, stage_barrier
 
-ROOT_RX = r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<(?:[\w.-]+:)?([\w.-]+)"
+ROOT_RX = r"(?s)^\uFEFF?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<(?:[\w.-]+:)?([\w.-]+)"
 _CORRUPT = "_corrupt_record"
 
 XML_APPOINTMENT = T.StructType([

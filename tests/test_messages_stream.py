@@ -225,3 +225,11 @@ def test_numbers_bound_to_text_read_as_doubles(spark):
     d = out.Data[0]
     assert (d.AppointmentId, d.TimestampUtc) == ("1.23456789E7", "1.0E-5")
     assert d.Disciplines == ["5", "100.0", "123456789012345678901234567890"]
+
+
+def test_xml_bom_and_doctype(spark):
+    items = ["﻿<Appointments><Type>bom</Type></Appointments>",
+             '<!DOCTYPE Appointments [<!ENTITY x SYSTEM "file:///etc/hostname">]><Appointments><Type>&x;</Type></Appointments>']
+    out = bind_xml_messages(envelopes(spark, [(p, ATTRS, None) for p in items]))
+    assert [r.Type for r in good_rows(out).collect()] == ["bom"]
+    assert [r.error for r in bad_rows(out).collect()] == ["malformed XML payload"]
