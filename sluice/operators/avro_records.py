@@ -68,8 +68,11 @@ def normalise_field(col: Column, spark_type: T.DataType, avro_type: Any) -> Colu
         instant = col if isinstance(spark_type, T.TimestampType) else F.timestamp_millis(col)
         return F.date_format(utc_wall_clock(instant), INSTANT_FORMAT)
     if base == "long" and isinstance(spark_type, (T.TimestampType, T.TimestampNTZType)):
-        # timestamp-micros and friends stay raw longs.
-        return F.unix_micros(col.cast("timestamp"))
+        # Other timestamp logical types stay raw longs in their own unit.
+        # A local timestamp (no zone) counts from the epoch as if it were UTC.
+        instant = col if isinstance(spark_type, T.TimestampType) else \
+            F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast("timestamp")
+        return F.unix_millis(instant) if (logical_type or "").endswith("millis") else F.unix_micros(instant)
     if base in ("bytes", "fixed") and logical_type == "decimal":
         return col.cast(f"decimal({int(info['precision'])},{int(info.get('scale', 0))})")
     return col

@@ -161,3 +161,17 @@ def test_rule_under_a_null_record_leaves_the_row_alone(spark):
     df = spark.createDataFrame([("keep", None), ("old", ("new",))], "c string, b struct<c:string>")
     out = good_rows(apply_rules(df, [{"location": "/b/c", "operation": "STRING"}]))
     assert sorted(r.c for r in out.collect()) == ["keep", "new"]
+
+
+def test_other_timestamp_logical_types_stay_raw_longs(spark):
+    from sluice.operators.avro_records import normalise_records
+
+    schema = {"type": "record", "name": "R", "fields": [
+        {"name": "a", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "b", "type": {"type": "long", "logicalType": "local-timestamp-millis"}},
+        {"name": "c", "type": {"type": "long", "logicalType": "local-timestamp-micros"}}]}
+    # As Spark's Avro reader would type them.
+    df = spark.sql("select timestamp_micros(1577836800123456) a, "
+                   "cast('2020-01-01 00:00:00.123' as timestamp_ntz) b, "
+                   "cast('2020-01-01 00:00:00.123456' as timestamp_ntz) c")
+    assert tuple(normalise_records(df, schema).first()) == (1577836800123456, 1577836800123, 1577836800123456)
