@@ -273,16 +273,32 @@ def clamped_day_text(text: Column, info: PatternInfo) -> Column | None:
     the pattern fixes the text positions of year, month and day, the text is
     rewritten that way, to be parsed again only after the strict parse failed.
     """
-    if info.ymd_offsets is None:
+    if info.ymd_offsets is not None:
+        oy, om, od = info.ymd_offsets
+        year = F.substring(text, oy + 1, 4).try_cast("int")
+        month = F.substring(text, om + 1, 2).try_cast("int")
+        day = F.substring(text, od + 1, 2).try_cast("int")
+        last, fix = _month_end(year, month, day)
+        return F.when(fix, F.overlay(text, F.lpad(last.cast("string"), 2, "0"), F.lit(od + 1), F.lit(2)))
+    if info.field_regex is None or info.ymd_groups is None:
         return None
-    oy, om, od = info.ymd_offsets
-    year = F.substring(text, oy + 1, 4).try_cast("int")
-    month = F.substring(text, om + 1, 2).try_cast("int")
-    day = F.substring(text, od + 1, 2).try_cast("int")
+    # Variable-width fields: take the text apart by the pattern's regex and
+    # put it back together with the day replaced.
+    rx = info.field_regex
+    gy, gm, gd = info.ymd_groups
+    year = F.regexp_extract(text, rx, gy).try_cast("int")
+    month = F.regexp_extract(text, rx, gm).try_cast("int")
+    day = F.regexp_extract(text, rx, gd).try_cast("int")
+    last, fix = _month_end(year, month, day)
+    pieces = [last.cast("string") if g == gd else F.regexp_extract(text, rx, g) for _, g in info.token_groups]
+    return F.when(fix & text.rlike(rx), F.concat(*pieces))
+
+
+def _month_end(year: Column, month: Column, day: Column) -> tuple[Column, Column]:
+    """The month's last day, and whether ``day`` (29-31) lies past it."""
     ok_month = month.between(1, 12) & year.between(1, 9999)
     last = F.dayofmonth(F.last_day(F.make_date(F.when(ok_month, year), F.when(ok_month, month), F.lit(1))))
-    fix = ok_month & day.between(29, 31) & (day > last)
-    return F.when(fix, F.overlay(text, F.lpad(last.cast("string"), 2, "0"), F.lit(od + 1), F.lit(2)))
+    return last, ok_month & day.between(29, 31) & (day > last)
 
 
 # English day names, as java.time prints them for E..EEE and EEEE.

@@ -9,6 +9,7 @@ would report it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # The pattern letters of java.time's DateTimeFormatter.
@@ -43,6 +44,11 @@ class PatternInfo:
     # A leading day-of-week field (E, EE, EEE or EEEE): Spark cannot parse it,
     # so it is taken off the pattern and checked against the parsed date.
     day_name_letters: int = 0
+    # For patterns without fixed offsets: a regex with one group per token and
+    # the group numbers of year, month and day (None when not derivable).
+    field_regex: str | None = None
+    token_groups: tuple[tuple[str, int], ...] = ()
+    ymd_groups: tuple[int, int, int] | None = None
 
     @property
     def has_zone(self) -> bool:
@@ -95,6 +101,47 @@ def _tokens(pattern: str):
             i += 1
 
 
+def _field_rx(ch: str, count: int) -> str | None:
+    """Regex of the text one numeric-or-simple field spans, or None when not expressible."""
+    if ch == "y":
+        return r"(\d{2})" if count == 2 else r"(\d{%d,19})" % count
+    if ch in "MLdHhKkms":
+        if ch in "ML" and count >= 3:
+            return None
+        return r"(\d{1,2})" if count == 1 else r"(\d{2})"
+    if ch == "D":
+        return r"(\d{%d,3})" % count
+    if ch == "S":
+        return r"(\d{%d})" % count
+    if ch == "a":
+        return r"([AaPp][Mm])"
+    if ch in ZONE_LETTERS:
+        return r"(\S+)"
+    return None
+
+
+def _field_regex(tokens) -> tuple[str, tuple[tuple[str, int], ...], tuple[int, int, int]] | None:
+    parts, groups, where = ["^"], [], {}
+    for tok in tokens:
+        if tok[0] == "literal":
+            if tok[1] in "[]":
+                return None
+            parts.append("(" + re.escape(tok[1]) + ")")
+            groups.append(("lit", len(groups) + 1))
+            continue
+        ch, count = ("y" if tok[1] == "u" else tok[1]), tok[2]
+        rx = _field_rx(ch, count)
+        if rx is None:
+            return None
+        parts.append(rx)
+        groups.append((ch, len(groups) + 1))
+        if ch in "yMd" and (ch != "y" or count != 2):
+            where.setdefault(ch, len(groups))
+    if len(where) != 3:
+        return None
+    return "".join(parts) + r"\z", tuple(groups), (where["y"], where["M"], where["d"])
+
+
 def _quote_literal(text: str) -> str:
     if text == "'":
         return "''"
@@ -142,4 +189,9 @@ def classify(pattern: str) -> PatternInfo:
     except ValueError as exc:
         return PatternInfo(pattern, letters, problem=str(exc))
     ymd = (offsets["y"], offsets["M"], offsets["d"]) if len(offsets) == 3 else None
-    return PatternInfo("".join(out), letters, ymd_offsets=ymd, day_name_letters=day_name)
+    info = PatternInfo("".join(out), letters, ymd_offsets=ymd, day_name_letters=day_name)
+    if ymd is None:
+        derived = _field_regex(tokens)
+        if derived is not None:
+            info.field_regex, info.token_groups, info.ymd_groups = derived
+    return info

@@ -98,6 +98,13 @@ def test_local_ops(spark):
         "2019-12-28 23:30": "2019-12-28"}
 
 
+def test_month_end_with_variable_width_fields(spark):
+    r = apply(spark, "DATE(d/M/yyyy)", ["31/6/2019", "30/2/2020", "32/1/2019", "5/13/2019", "9/9/2019"])
+    assert r["31/6/2019"] == ("2019-06-30", None) and r["30/2/2020"] == ("2020-02-29", None)
+    assert r["9/9/2019"] == ("2019-09-09", None) and r["32/1/2019"][1] and r["5/13/2019"][1]
+    assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-M-d H:mm)", ["2019-2-30 9:05"])) == {"2019-2-30 9:05": "2019-02-28T09:05"}
+
+
 def test_leading_day_name_is_checked(spark):
     r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)",
               ["Sat, 28 Dec 2019 10:15:30 +0100", "Mon, 28 Dec 2019 10:15:30 +0100", "28 Dec 2019 10:15:30 +0100"])
