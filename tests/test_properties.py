@@ -295,3 +295,20 @@ def test_update_rules_match_json_pointer_model(spark, recs, rules):
         for c in cols:
             expected = want.get(c)
             assert have[c] == (None if expected is None else str(expected)), (rec, rules, c, have)
+
+
+def dmy_model(text):
+    m = re.fullmatch(r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", text)
+    if not m:
+        return None
+    return date_model(f"{m.group(3)}-{int(m.group(2)):02d}-{int(m.group(1)):02d}")
+
+
+@FAST
+@given(st.lists(st.builds(lambda d, m, y, pad: f"{d:0{pad}d}/{m}/{y:04d}",
+                          st.integers(0, 33), st.integers(0, 13), st.integers(1, 9999), st.sampled_from([1, 2])),
+                min_size=50, max_size=150))
+def test_variable_width_date_matches_java_default_resolver(spark, values):
+    got = run(spark, "DATE(d/M/yyyy)", values)
+    for text in values:
+        assert got[text][0] == dmy_model(text), text
