@@ -287,7 +287,15 @@ def clamped_day_text(text: Column, info: PatternInfo) -> Column | None:
     rx = info.field_regex
     gy, gm, gd = info.ymd_groups
     year = F.regexp_extract(text, rx, gy).try_cast("int")
-    month = F.regexp_extract(text, rx, gm).try_cast("int")
+    if info.two_digit_year:
+        year = year + 2000
+    month_text = F.regexp_extract(text, rx, gm)
+    if info.month_is_text:
+        names = FULL_MONTH_NAMES if len(info.pattern) and "MMMM" in info.pattern else SHORT_MONTH_NAMES
+        month = F.array_position(F.array(*[F.lit(n) for n in names]), month_text).cast("int")
+        month = F.when(month > 0, month)
+    else:
+        month = month_text.try_cast("int")
     day = F.regexp_extract(text, rx, gd).try_cast("int")
     last, fix = _month_end(year, month, day)
     pieces = [last.cast("string") if g == gd else F.regexp_extract(text, rx, g) for _, g in info.token_groups]
@@ -301,6 +309,10 @@ def _month_end(year: Column, month: Column, day: Column) -> tuple[Column, Column
     return last, ok_month & day.between(29, 31) & (day > last)
 
 
+# English month names, as java.time prints them for MMM and MMMM.
+SHORT_MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+FULL_MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September",
+                    "October", "November", "December"]
 # English day names, as java.time prints them for E..EEE and EEEE.
 SHORT_DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 FULL_DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]

@@ -49,6 +49,8 @@ class PatternInfo:
     field_regex: str | None = None
     token_groups: tuple[tuple[str, int], ...] = ()
     ymd_groups: tuple[int, int, int] | None = None
+    month_is_text: bool = False      # MMM / MMMM
+    two_digit_year: bool = False     # yy: 2000-2099
 
     @property
     def has_zone(self) -> bool:
@@ -105,9 +107,11 @@ def _field_rx(ch: str, count: int) -> str | None:
     """Regex of the text one numeric-or-simple field spans, or None when not expressible."""
     if ch == "y":
         return r"(\d{2})" if count == 2 else r"(\d{%d,19})" % count
+    if ch in "ML" and count == 3:
+        return r"([A-Za-z]{3})"
+    if ch in "ML" and count == 4:
+        return r"([A-Za-z]+)"
     if ch in "MLdHhKkms":
-        if ch in "ML" and count >= 3:
-            return None
         return r"(\d{1,2})" if count == 1 else r"(\d{2})"
     if ch == "D":
         return r"(\d{%d,3})" % count
@@ -120,8 +124,9 @@ def _field_rx(ch: str, count: int) -> str | None:
     return None
 
 
-def _field_regex(tokens) -> tuple[str, tuple[tuple[str, int], ...], tuple[int, int, int]] | None:
-    parts, groups, where = ["^"], [], {}
+def _field_regex(tokens):
+    """(regex, token groups, year/month/day groups, month is text, two-digit year) or None."""
+    parts, groups, where, kinds = ["^"], [], {}, {}
     for tok in tokens:
         if tok[0] == "literal":
             if tok[1] in "[]":
@@ -135,11 +140,14 @@ def _field_regex(tokens) -> tuple[str, tuple[tuple[str, int], ...], tuple[int, i
             return None
         parts.append(rx)
         groups.append((ch, len(groups) + 1))
-        if ch in "yMd" and (ch != "y" or count != 2):
-            where.setdefault(ch, len(groups))
+        key = "M" if ch == "L" else ch
+        if key in "yMd" and key not in where:
+            where[key] = len(groups)
+            kinds[key] = count
     if len(where) != 3:
         return None
-    return "".join(parts) + r"\z", tuple(groups), (where["y"], where["M"], where["d"])
+    return ("".join(parts) + r"\z", tuple(groups), (where["y"], where["M"], where["d"]),
+            kinds["M"] >= 3, kinds["y"] == 2)
 
 
 def _quote_literal(text: str) -> str:
@@ -193,5 +201,6 @@ def classify(pattern: str) -> PatternInfo:
     if ymd is None:
         derived = _field_regex(tokens)
         if derived is not None:
-            info.field_regex, info.token_groups, info.ymd_groups = derived
+            (info.field_regex, info.token_groups, info.ymd_groups,
+             info.month_is_text, info.two_digit_year) = derived
     return info

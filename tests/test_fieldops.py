@@ -103,6 +103,12 @@ def test_month_end_with_variable_width_fields(spark):
     assert r["31/6/2019"] == ("2019-06-30", None) and r["30/2/2020"] == ("2020-02-29", None)
     assert r["9/9/2019"] == ("2019-09-09", None) and r["32/1/2019"][1] and r["5/13/2019"][1]
     assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-M-d H:mm)", ["2019-2-30 9:05"])) == {"2019-2-30 9:05": "2019-02-28T09:05"}
+    assert ok(apply(spark, "DATE(dd MMM yyyy)", ["31 Jun 2019", "29 Feb 2019", "31 Foo 2019"])) == {
+        "31 Jun 2019": "2019-06-30", "29 Feb 2019": "2019-02-28"}
+    assert ok(apply(spark, "DATE(dd MMMM yyyy)", ["31 September 2019"])) == {"31 September 2019": "2019-09-30"}
+    assert ok(apply(spark, "DATE(dd/MM/yy)", ["30/02/20"])) == {"30/02/20": "2020-02-29"}
+    r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)", ["Sun, 31 Jun 2019 10:00:00 +0000"])
+    assert r["Sun, 31 Jun 2019 10:00:00 +0000"] == ("2019-06-30T10:00", None)
 
 
 def test_leading_day_name_is_checked(spark):
