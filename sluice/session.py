@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 DEFAULT_CHECKPOINT_DIR = "/tmp/sluice-checkpoints"
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -25,6 +26,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         # Call-site capture for error messages costs several JVM round trips per
         # column expression while a plan is built; jobs do not need it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Wide typed projections generate large per-row methods; let the JIT
+        # compile them instead of interpreting them (set the same on clusters).
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
