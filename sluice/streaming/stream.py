@@ -75,13 +75,16 @@ def default_checkpoint(spark: SparkSession, kind: str, subscription: str, table:
 
 
 def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapping[str, Any],
-                  bind_options: Mapping[str, Any] | None = None, files_per_window: int | None = None) -> None:
+                  bind_options: Mapping[str, Any] | None = None, files_per_window: int | None = None,
+                  table_files: int | None = None) -> None:
     """The body of one micro-batch (also usable on a static frame of envelopes).
 
     ``files_per_window`` gathers each window's archive and dead-letter lines
     into that many writers (a salted shuffle), which bounds the file count
     when one batch spans many minutes, e.g. while catching up on a backlog.
-    By default every task writes its own lines of each window.
+    ``table_files`` spreads the batch's table rows evenly over that many
+    writers (the original loads used 200 shards).  By default every task
+    writes its own rows.
     """
     sink = dict(config.get("BigQuerySinkDynamicStream", {}) or {})
     table = sink.get("table")
@@ -116,6 +119,8 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
             if pfield:
                 good = good.withColumn(day_column(pfield), partition_key(F.col(pfield)))
                 parts = [day_column(pfield), BATCH_COL]
+            if table_files:
+                good = good.repartition(table_files, F.pmod(F.monotonically_increasing_id(), F.lit(table_files)))
             _overwrite_partitions(good, table, parts, "parquet")
 
             error_root = config.get("errorPath")
@@ -145,6 +150,7 @@ def start_message_stream(
     bind_options: Mapping[str, Any] | None = None,
     max_files_per_trigger: int | None = None,
     files_per_window: int | None = None,
+    table_files: int | None = None,
 ) -> StreamingQuery:
     """Start J3 (``kind='json'``) or J4 (``kind='xml'``).
 
@@ -159,7 +165,7 @@ def start_message_stream(
     source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger)
     writer = (source.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, f"{run}-{bid}", kind, config, bind_options,
-                                                          files_per_window))
+                                                          files_per_window, table_files))
               .option("checkpointLocation", location))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -233,3 +233,12 @@ def test_xml_bom_and_doctype(spark):
     out = bind_xml_messages(envelopes(spark, [(p, ATTRS, None) for p in items]))
     assert [r.Type for r in good_rows(out).collect()] == ["bom"]
     assert [r.error for r in bad_rows(out).collect()] == ["malformed XML payload"]
+
+
+def test_table_files_bounds_table_writers(spark, scratch):
+    cfg = stream_config(scratch)
+    cfg["BigQuerySinkDynamicStream"]["pField"] = ""
+    items = [(JSON_PAYLOAD, dict(ATTRS, MessageId=f"m{i}"), None) for i in range(60)]
+    process_batch(envelopes(spark, items).repartition(6), 0, "json", cfg, table_files=2)
+    files = [f for f in os.listdir(f"{scratch}/table/batch=0") if f.endswith(".parquet")]
+    assert len(files) <= 2 and spark.read.parquet(f"{scratch}/table").count() == 60
