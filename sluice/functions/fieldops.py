@@ -336,10 +336,31 @@ def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
     return _clamped_parse(parse, text, info)
 
 
+def _text_fields_cased(text: Column, info: PatternInfo) -> Column | None:
+    """java.time matches month names and AM/PM case-sensitively; Spark does not."""
+    checks = []
+    for letter in ("M", "L"):
+        count = info.letters.get(letter, 0)
+        if count == 3:
+            checks.append(text.rlike("(" + "|".join(SHORT_MONTH_NAMES) + ")"))
+        elif count == 4:
+            checks.append(text.rlike("(" + "|".join(FULL_MONTH_NAMES) + ")"))
+    if "a" in info.letters:
+        checks.append(text.rlike("(AM|PM)"))
+    if not checks:
+        return None
+    ok = checks[0]
+    for c in checks[1:]:
+        ok = ok & c
+    return ok
+
+
 def _clamped_parse(parse, text: Column, info: PatternInfo) -> Column:
     clamped = clamped_day_text(text, info)
     first = parse(text)
-    return first if clamped is None else F.coalesce(first, parse(clamped))
+    parsed = first if clamped is None else F.coalesce(first, parse(clamped))
+    cased = _text_fields_cased(text, info)
+    return parsed if cased is None else F.when(cased, parsed)
 
 
 def _local_parser(info: PatternInfo):

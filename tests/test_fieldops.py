@@ -111,6 +111,13 @@ def test_month_end_with_variable_width_fields(spark):
     assert r["Sun, 31 Jun 2019 10:00:00 +0000"] == ("2019-06-30T10:00", None)
 
 
+def test_month_names_and_am_pm_are_case_sensitive(spark):
+    assert ok(apply(spark, "DATE(dd MMM yyyy)", ["28 Jun 2019", "28 jun 2019", "28 JUN 2019"])) == {
+        "28 Jun 2019": "2019-06-28"}
+    assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-MM-dd hh:mm a)", ["2019-06-28 10:00 PM", "2019-06-28 10:00 pm"])) == {
+        "2019-06-28 10:00 PM": "2019-06-28T22:00"}
+
+
 def test_leading_day_name_is_checked(spark):
     r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)",
               ["Sat, 28 Dec 2019 10:15:30 +0100", "Mon, 28 Dec 2019 10:15:30 +0100", "28 Dec 2019 10:15:30 +0100"])
