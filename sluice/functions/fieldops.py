@@ -337,8 +337,14 @@ def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
 
 
 def _text_fields_cased(text: Column, info: PatternInfo) -> Column | None:
-    """java.time matches month names and AM/PM case-sensitively; Spark does not."""
+    """Checks java.time makes that Spark's parser does not.
+
+    Month names and AM/PM match case-sensitively, and a fraction field takes
+    exactly as many digits as the pattern has letters.
+    """
     checks = []
+    if "S" in info.letters and info.full_regex is not None:
+        checks.append(text.rlike(info.full_regex))
     for letter in ("M", "L"):
         count = info.letters.get(letter, 0)
         if count == 3:

@@ -51,6 +51,8 @@ class PatternInfo:
     ymd_groups: tuple[int, int, int] | None = None
     month_is_text: bool = False      # MMM / MMMM
     two_digit_year: bool = False     # yy: 2000-2099
+    # The whole text as a regex (fixed field widths), when every token has one.
+    full_regex: str | None = None
 
     @property
     def has_zone(self) -> bool:
@@ -144,9 +146,10 @@ def _field_regex(tokens):
         if key in "yMd" and key not in where:
             where[key] = len(groups)
             kinds[key] = count
+    regex = "".join(parts) + r"\z"
     if len(where) != 3:
-        return None
-    return ("".join(parts) + r"\z", tuple(groups), (where["y"], where["M"], where["d"]),
+        return regex, tuple(groups), None, False, False
+    return (regex, tuple(groups), (where["y"], where["M"], where["d"]),
             kinds["M"] >= 3, kinds["y"] == 2)
 
 
@@ -198,9 +201,10 @@ def classify(pattern: str) -> PatternInfo:
         return PatternInfo(pattern, letters, problem=str(exc))
     ymd = (offsets["y"], offsets["M"], offsets["d"]) if len(offsets) == 3 else None
     info = PatternInfo("".join(out), letters, ymd_offsets=ymd, day_name_letters=day_name)
-    if ymd is None:
-        derived = _field_regex(tokens)
-        if derived is not None:
+    derived = _field_regex(tokens)
+    if derived is not None:
+        info.full_regex = derived[0]
+        if ymd is None and derived[2] is not None:
             (info.field_regex, info.token_groups, info.ymd_groups,
              info.month_is_text, info.two_digit_year) = derived
     return info

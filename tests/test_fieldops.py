@@ -111,6 +111,12 @@ def test_month_end_with_variable_width_fields(spark):
     assert r["Sun, 31 Jun 2019 10:00:00 +0000"] == ("2019-06-30T10:00", None)
 
 
+def test_fraction_takes_exactly_its_digits(spark):
+    assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-MM-dd HH:mm:ss.SSS)",
+                    ["2019-06-28 10:15:30.100", "2019-06-28 10:15:30.1", "2019-06-28 10:15:30.1000"])) == {
+        "2019-06-28 10:15:30.100": "2019-06-28T10:15:30.100"}
+
+
 def test_month_names_and_am_pm_are_case_sensitive(spark):
     assert ok(apply(spark, "DATE(dd MMM yyyy)", ["28 Jun 2019", "28 jun 2019", "28 JUN 2019"])) == {
         "28 Jun 2019": "2019-06-28"}
