@@ -45,7 +45,8 @@ def appointments_row(parsed: Column, attrs: Column) -> list[Column]:
     detail = F.struct(
         data.getField("AppointmentId").alias("AppointmentId"),
         data.getField("TimestampUtc").alias("TimestampUtc"),
-        data.getField("Discipline").alias("Disciplines"),
+        # A bound list is never NULL: no <Discipline> gives an empty list.
+        F.coalesce(data.getField("Discipline"), F.array().cast("array<string>")).alias("Disciplines"),
     )
     return [
         parsed.getField("Type").alias("Type"),

@@ -189,7 +189,7 @@ SQL["xml_bind"] = _XML_CTE + """
 SELECT event_type AS "Type",
        'evt-' || eid || CASE k WHEN 4 THEN '-b' ELSE '' END AS "AppointmentId",
        CASE k WHEN 4 THEN NULL ELSE ts_text END AS "TimestampUtc",
-       CASE k WHEN 4 THEN NULL WHEN 1 THEN event_type ELSE event_type || '|k' || kval END AS disciplines,
+       CASE k WHEN 4 THEN '' WHEN 1 THEN event_type ELSE event_type || '|k' || kval END AS disciplines,
        'events' AS "TopicName", 'msg-' || eid AS "MessageId", strftime(ts, '%Y-%m-%d') AS "LogicalDate"
 FROM e WHERE k IN (0, 1, 4, 5, 6)
 """

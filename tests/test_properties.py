@@ -312,3 +312,77 @@ def test_variable_width_date_matches_java_default_resolver(spark, values):
     got = run(spark, "DATE(d/M/yyyy)", values)
     for text in values:
         assert got[text][0] == dmy_model(text), text
+
+
+xml_text = st.text(alphabet="ab ÄZ<&", min_size=0, max_size=4)
+xml_child = st.one_of(
+    st.tuples(st.just("Type"), xml_text),
+    st.tuples(st.just("Unknown"), xml_text),
+    st.tuples(st.just("Data"), st.lists(st.one_of(
+        st.tuples(st.sampled_from(["AppointmentId", "TimestampUtc", "Discipline", "Other"]), xml_text)), max_size=4)),
+)
+xml_doc = st.tuples(st.sampled_from(["Appointments", "Appointments", "appointments", "Other"]), st.booleans(),
+                    st.lists(xml_child, max_size=5))
+
+
+def _esc(t):
+    return t.replace("&", "&amp;").replace("<", "&lt;")
+
+
+def render_xml(doc):
+    root, ns, children = doc
+    pre = "p:" if ns else ""
+    body = []
+    for name, value in children:
+        if name == "Data":
+            inner = "".join(f"<{pre}{n}>{_esc(v)}</{pre}{n}>" for n, v in value)
+            body.append(f"<{pre}Data>{inner}</{pre}Data>")
+        else:
+            body.append(f"<{pre}{name}>{_esc(value)}</{pre}{name}>")
+    decl = ' xmlns:p="urn:x"' if ns else ""
+    return f"<{pre}{root}{decl}>{''.join(body)}</{pre}{root}>"
+
+
+def xml_model(doc):
+    """(accepted, Type, (AppointmentId, TimestampUtc, Disciplines) or None) as an XML object binder gives them."""
+    root, _, children = doc
+    if root != "Appointments":
+        return False, None, None
+    typ, data = None, None
+    for name, value in children:
+        if name == "Type":
+            typ = value
+        elif name == "Data":
+            fields = {"AppointmentId": None, "TimestampUtc": None}
+            disciplines = []
+            for n, v in value:
+                if n == "Discipline":
+                    disciplines.append(v)
+                elif n in fields:
+                    fields[n] = v
+            data = (fields["AppointmentId"], fields["TimestampUtc"], disciplines)
+    return True, typ, data
+
+
+@FAST
+@given(st.lists(xml_doc, min_size=20, max_size=60))
+def test_xml_binding_matches_object_binder(spark, docs):
+    from sluice.operators.messages_xml import bind_xml_messages
+
+    attrs = {"TopicName": "t", "MessageId": "m", "LogicalDate": "d"}
+    payloads = [render_xml(d) for d in docs]
+    df = spark.createDataFrame([(i, p, attrs) for i, p in enumerate(payloads)],
+                               "i long, payload string, attributes map<string,string>")
+    got = {r.i: r for r in bind_xml_messages(df, keep=["i"]).collect()}
+    for i, doc in enumerate(docs):
+        accepted, typ, data = xml_model(doc)
+        r = got[i]
+        assert (r._error is None) == accepted, (payloads[i], r._error)
+        if not accepted:
+            continue
+        assert r.Type == typ, payloads[i]
+        if data is None:
+            assert r.Data is None, payloads[i]
+        else:
+            d = r.Data[0]
+            assert (d.AppointmentId, d.TimestampUtc, list(d.Disciplines)) == data, payloads[i]
