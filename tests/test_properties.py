@@ -386,3 +386,36 @@ def test_xml_binding_matches_object_binder(spark, docs):
         else:
             d = r.Data[0]
             assert (d.AppointmentId, d.TimestampUtc, list(d.Disciplines)) == data, payloads[i]
+
+
+csv_cell = st.one_of(
+    st.tuples(st.text(alphabet="ab 1#é", max_size=5), st.just(False)),          # unquoted: trimmed
+    st.tuples(st.text(alphabet='ab ,"1', max_size=5), st.just(True)),            # quoted: kept as is
+)
+
+
+def render_cell(text, quoted):
+    return '"' + text.replace('"', '""') + '"' if quoted else text
+
+
+def cell_model(text, quoted):
+    value = text if quoted else text.strip(" ")
+    return value if value != "" else None
+
+
+@FAST
+@given(st.lists(st.lists(csv_cell, min_size=2, max_size=4), min_size=30, max_size=80))
+def test_csv_split_matches_reference_parser_rules(spark, lines):
+    from sluice.operators.delimited import ARITY_ERROR, parse_delimited
+
+    rendered = [",".join(render_cell(t, q) for t, q in cells) for cells in lines]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rendered)], "i long, line string")
+    out = parse_delimited(df, "a:STRING,b:STRING,c:STRING", keep=["i"])
+    got = {r.i: r for r in out.collect()}
+    for i, cells in enumerate(lines):
+        r = got[i]
+        if len(cells) != 3:
+            assert r._error == ARITY_ERROR, rendered[i]
+            continue
+        assert r._error is None, rendered[i]
+        assert (r.a, r.b, r.c) == tuple(cell_model(t, q) for t, q in cells), rendered[i]
