@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from avro_fixture import decimal_bytes, write_avro
 from sluice.operators.results import bad_rows, good_rows
