@@ -327,8 +327,14 @@ def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
     """
     if info.day_name_letters:
         names = FULL_DAY_NAMES if info.day_name_letters == 4 else SHORT_DAY_NAMES
-        name = F.regexp_extract(text, "^(" + "|".join(names) + ")", 1)
-        rest = F.substring(text, F.length(name) + 1, F.lit(1 << 30))
+        if info.day_name_regex is not None:
+            # The name sits inside the text: take it out by the pattern's regex.
+            rx = info.day_name_regex
+            name = F.regexp_extract(text, rx, info.day_name_group)
+            rest = F.concat(*[F.regexp_extract(text, rx, g) for g in info.rest_groups])
+        else:
+            name = F.regexp_extract(text, "^(" + "|".join(names) + ")", 1)
+            rest = F.substring(text, F.length(name) + 1, F.lit(1 << 30))
         parsed = _clamped_parse(parse, rest, info)
         written = parsed if local is None else _clamped_parse(local, rest, info)
         shown = F.date_format(written, "EEEE" if info.day_name_letters == 4 else "EEE")

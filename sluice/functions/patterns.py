@@ -25,6 +25,9 @@ MAX_LETTER_COUNT = {
 }
 
 
+# English day names as java.time prints them for E..EEE and EEEE.
+SHORT_DAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+FULL_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 # Text widths of the numeric fields whose width the letter count fixes.
 FIXED_WIDTHS = {
     ("y", 4): 4, ("y", 2): 2, ("M", 2): 2, ("d", 2): 2, ("D", 3): 3, ("H", 2): 2, ("h", 2): 2,
@@ -53,6 +56,11 @@ class PatternInfo:
     two_digit_year: bool = False     # yy: 2000-2099
     # The whole text as a regex (fixed field widths), when every token has one.
     full_regex: str | None = None
+    # A day name elsewhere in the pattern: the regex of the original text, the
+    # group holding the name, and the groups that form the text without it.
+    day_name_regex: str | None = None
+    day_name_group: int = 0
+    rest_groups: tuple[int, ...] = ()
 
     @property
     def has_zone(self) -> bool:
@@ -121,6 +129,8 @@ def _field_rx(ch: str, count: int) -> str | None:
         return r"(\d{%d})" % count
     if ch == "a":
         return r"([AaPp][Mm])"
+    if ch == "E" and count <= 4:
+        return "(" + "|".join(FULL_DAYS if count == 4 else SHORT_DAYS) + ")"
     if ch in ZONE_LETTERS:
         return r"(\S+)"
     return None
@@ -172,9 +182,18 @@ def classify(pattern: str) -> PatternInfo:
     day_name = 0
     try:
         tokens = list(_tokens(pattern))
+        inner_name = None
         if tokens and tokens[0][0] == "letter" and tokens[0][1] == "E" and tokens[0][2] <= 4:
             day_name = tokens[0][2]
             tokens = tokens[1:]
+        else:
+            e_at = [i for i, t in enumerate(tokens) if t[0] == "letter" and t[1] == "E"]
+            if len(e_at) == 1 and tokens[e_at[0]][2] <= 4:
+                inner_name = _field_regex(tokens)
+                if inner_name is not None:
+                    day_name = tokens[e_at[0]][2]
+                    inner_name = (inner_name[0], e_at[0] + 1, tuple(g for _, g in inner_name[1] if g != e_at[0] + 1))
+                    tokens = tokens[:e_at[0]] + tokens[e_at[0] + 1:]
         for tok in tokens:
             if tok[0] == "literal":
                 out.append(_quote_literal(tok[1]))
@@ -201,6 +220,8 @@ def classify(pattern: str) -> PatternInfo:
         return PatternInfo(pattern, letters, problem=str(exc))
     ymd = (offsets["y"], offsets["M"], offsets["d"]) if len(offsets) == 3 else None
     info = PatternInfo("".join(out), letters, ymd_offsets=ymd, day_name_letters=day_name)
+    if inner_name is not None:
+        info.day_name_regex, info.day_name_group, info.rest_groups = inner_name
     derived = _field_regex(tokens)
     if derived is not None:
         info.full_regex = derived[0]

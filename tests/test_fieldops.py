@@ -124,6 +124,16 @@ def test_month_names_and_am_pm_are_case_sensitive(spark):
         "2019-06-28 10:00 PM": "2019-06-28T22:00"}
 
 
+def test_day_name_inside_the_pattern_is_checked(spark):
+    # (An operation's argument ends at its first ')', so patterns hold no parentheses.)
+    r = apply(spark, "DATE(dd MMM yyyy, EEE)", ["28 Dec 2019, Sat", "28 Dec 2019, Mon", "31 Jun 2019, Sun"])
+    assert r["28 Dec 2019, Sat"] == ("2019-12-28", None)
+    assert r["28 Dec 2019, Mon"][1]
+    assert r["31 Jun 2019, Sun"] == ("2019-06-30", None)
+    assert ok(apply(spark, "UTC_TIMESTAMP(yyyy-MM-dd EEEE HH:mm)", ["2019-12-28 Saturday 10:05"])) == {
+        "2019-12-28 Saturday 10:05": "2019-12-28T10:05"}
+
+
 def test_leading_day_name_is_checked(spark):
     r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)",
               ["Sat, 28 Dec 2019 10:15:30 +0100", "Mon, 28 Dec 2019 10:15:30 +0100", "28 Dec 2019 10:15:30 +0100"])
@@ -133,7 +143,7 @@ def test_leading_day_name_is_checked(spark):
     assert ok(apply(spark, "DATE(EEE yyyy-MM-dd)", ["Mon 2019-02-30"])) == {}   # clamped to Thu 28th: wrong name
 
 
-@pytest.mark.parametrize("op", ["DATE(YYYY-MM-dd)", "DATE(yyyy EEE MM-dd)", "DATE(yyyy-MM-dd bb)", "UTC_TIMESTAMP(yyyy-MM-dd)"])
+@pytest.mark.parametrize("op", ["DATE(YYYY-MM-dd)", "DATE(yyyy-MM-dd EEE EEE)", "DATE(yyyy-MM-dd bb)", "UTC_TIMESTAMP(yyyy-MM-dd)"])
 def test_unusable_patterns_fail_each_value_without_raising(spark, op):
     r = apply(spark, op, ["2019-12-28", ""])
     assert r[""] == (None, None) and r["2019-12-28"][1]

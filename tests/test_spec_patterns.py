@@ -43,7 +43,7 @@ def test_pattern_classification():
     assert classify("uuuu-MM-dd").pattern == "yyyy-MM-dd"
     assert classify("YYYY-MM-dd").problem
     assert classify("EEE yyyy-MM-dd").day_name_letters == 3 and classify("EEE yyyy-MM-dd").problem is None
-    assert classify("yyyy-MM-dd EEE").problem
+    assert classify("yyyy-MM-dd EEE").day_name_regex and classify("yyyy-MM-dd EEE EEE").problem
     assert classify("yyyy-MM-dd bb").problem
     assert classify("yyyy-MM-dd'").problem
     assert classify("").problem
