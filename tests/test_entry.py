@@ -31,3 +31,19 @@ def test_query_matches_oracle_at_smoke_scale(spark, name):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     rel = con.sql(oracle_sql()[name])
     assert digest(sdf.columns, [tuple(r) for r in sdf.collect()])[0] == digest(rel.columns, rel.fetchall())[0]
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SMOKE, BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, "bench.py", "csv_nulls", "sql_source"], cwd=root, env=env,
+                         capture_output=True, text=True, timeout=600)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout
+    result = json.loads(lines[0])
+    assert result["unit"] == "sec" and set(result["queries"]) == {"csv_nulls", "sql_source"} and result["sf"] == 0.001
