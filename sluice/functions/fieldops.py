@@ -260,6 +260,10 @@ def iso_local_time(ts: Column) -> Column:
     )
 
 
+def _plus_day(value: Column) -> Column:
+    return value + F.make_dt_interval(F.lit(1))
+
+
 def utc_wall_clock(instant: Column) -> Column:
     """TIMESTAMP (an instant) -> TIMESTAMP_NTZ wall clock in UTC."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
@@ -318,7 +322,7 @@ SHORT_DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 FULL_DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
-def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
+def _with_clamp(parse, text: Column, info: PatternInfo, local=None, plus_day=_plus_day) -> Column:
     """Strict parse; on failure, the parse of the day-clamped text (if any).
 
     A leading day name (``EEE, dd MMM yyyy ...``) is cut off before parsing
@@ -335,11 +339,11 @@ def _with_clamp(parse, text: Column, info: PatternInfo, local=None) -> Column:
         else:
             name = F.regexp_extract(text, "^(" + "|".join(names) + ")", 1)
             rest = F.substring(text, F.length(name) + 1, F.lit(1 << 30))
-        parsed = _clamped_parse(parse, rest, info)
-        written = parsed if local is None else _clamped_parse(local, rest, info)
+        parsed = _clamped_parse(parse, rest, info, plus_day)
+        written = parsed if local is None else _clamped_parse(local, rest, info, plus_day)
         shown = F.date_format(written, "EEEE" if info.day_name_letters == 4 else "EEE")
         return F.when((name != "") & (shown == name), parsed)
-    return _clamped_parse(parse, text, info)
+    return _clamped_parse(parse, text, info, plus_day)
 
 
 def _text_fields_cased(text: Column, info: PatternInfo) -> Column | None:
@@ -367,10 +371,34 @@ def _text_fields_cased(text: Column, info: PatternInfo) -> Column | None:
     return ok
 
 
-def _clamped_parse(parse, text: Column, info: PatternInfo) -> Column:
+def end_of_day_text(text: Column, info: PatternInfo) -> Column | None:
+    """``24:00`` (all smaller fields zero) rewritten as ``00:00``, for the next day.
+
+    java.time's default resolver reads hour 24 at the end of a day as the
+    next day's midnight; Spark rejects it.  Used only after the strict parse
+    failed.
+    """
+    if info.full_regex is None:
+        return None
+    hours = [g for ch, g in info.full_groups if ch == "H"]
+    if len(hours) != 1:
+        return None
+    rx, gh = info.full_regex, hours[0]
+    cond = text.rlike(rx) & (F.regexp_extract(text, rx, gh) == "24")
+    for ch, g in info.full_groups:
+        if ch in "msS":
+            cond = cond & F.regexp_extract(text, rx, g).rlike("^0+$")
+    pieces = [F.lit("00") if g == gh else F.regexp_extract(text, rx, g) for _, g in info.full_groups]
+    return F.when(cond, F.concat(*pieces))
+
+
+def _clamped_parse(parse, text: Column, info: PatternInfo, plus_day=_plus_day) -> Column:
     clamped = clamped_day_text(text, info)
     first = parse(text)
     parsed = first if clamped is None else F.coalesce(first, parse(clamped))
+    midnight = end_of_day_text(text, info)
+    if midnight is not None:
+        parsed = F.coalesce(parsed, plus_day(parse(midnight)))
     cased = _text_fields_cased(text, info)
     return parsed if cased is None else F.when(cased, parsed)
 
@@ -416,8 +444,8 @@ def _datetime_op(kind: str, text: Column, arg: str) -> OpPlan:
     if kind == "DATE":
         if info.has_zone:
             return OpPlan(parse_local(text, info).cast("date").cast("string"), reason=reason)
-        return OpPlan(_with_clamp(lambda t: F.try_to_date(t, info.pattern), text, info).cast("string"),
-                      reason=reason)
+        return OpPlan(_with_clamp(lambda t: F.try_to_date(t, info.pattern), text, info,
+                                  plus_day=lambda d: F.date_add(d, 1)).cast("string"), reason=reason)
     if kind == "UTC_TIMESTAMP":
         return OpPlan(parse_local(text, info), iso_local_datetime, reason)
     if kind == "TIME":

@@ -54,8 +54,10 @@ class PatternInfo:
     ymd_groups: tuple[int, int, int] | None = None
     month_is_text: bool = False      # MMM / MMMM
     two_digit_year: bool = False     # yy: 2000-2099
-    # The whole text as a regex (fixed field widths), when every token has one.
+    # The whole text as a regex (fixed field widths), when every token has one,
+    # with one (letter or "lit", group number) entry per token.
     full_regex: str | None = None
+    full_groups: tuple[tuple[str, int], ...] = ()
     # A day name elsewhere in the pattern: the regex of the original text, the
     # group holding the name, and the groups that form the text without it.
     day_name_regex: str | None = None
@@ -224,7 +226,7 @@ def classify(pattern: str) -> PatternInfo:
         info.day_name_regex, info.day_name_group, info.rest_groups = inner_name
     derived = _field_regex(tokens)
     if derived is not None:
-        info.full_regex = derived[0]
+        info.full_regex, info.full_groups = derived[0], derived[1]
         if ymd is None and derived[2] is not None:
             (info.field_regex, info.token_groups, info.ymd_groups,
              info.month_is_text, info.two_digit_year) = derived

@@ -134,6 +134,15 @@ def test_day_name_inside_the_pattern_is_checked(spark):
         "2019-12-28 Saturday 10:05": "2019-12-28T10:05"}
 
 
+def test_hour_24_is_the_next_days_midnight(spark):
+    r = apply(spark, "UTC_TIMESTAMP(yyyy-MM-dd HH:mm)", ["2019-12-31 24:00", "2019-12-31 24:01"])
+    assert r["2019-12-31 24:00"] == ("2020-01-01T00:00", None) and r["2019-12-31 24:01"][1]
+    assert ok(apply(spark, "DATE(yyyy-MM-dd HH:mm)", ["2019-12-31 24:00"])) == {"2019-12-31 24:00": "2020-01-01"}
+    assert ok(apply(spark, "TIME(HH:mm:ss)", ["24:00:00"])) == {"24:00:00": "00:00"}
+    assert ok(apply(spark, "TIMESTAMP(yyyy-MM-dd HH:mmXXX)", ["2019-12-31 24:00+01:00"])) == {
+        "2019-12-31 24:00+01:00": "2019-12-31T23:00"}
+
+
 def test_leading_day_name_is_checked(spark):
     r = apply(spark, "TIMESTAMP(EEE, dd MMM yyyy HH:mm:ss Z)",
               ["Sat, 28 Dec 2019 10:15:30 +0100", "Mon, 28 Dec 2019 10:15:30 +0100", "28 Dec 2019 10:15:30 +0100"])
