@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import ensure_checkpoint_dir
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NO_ID = 2**63 - 1
 """Stands in for a null id while rows are compared: such rows sort after all others."""
 
@@ -37,7 +38,13 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        conf = self.spark.conf
+        before = conf.get(SHUFFLE_CLEANUP, None)
+        conf.set(SHUFFLE_CLEANUP, "true")  # the table replaces them
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 
 CACHE_WORDS = 400_000
-"""Distinct words kept per Python worker; the cache starts anew beyond that."""
+"""Entries per cache and Python worker; a cache starts anew beyond that."""
 
 
 def worker_cache(name: str) -> dict:
@@ -20,66 +21,74 @@ class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     For tokenizers that split at white space and drop it, a text's ids are its
-    words' ids in a row, so each distinct word is encoded once per worker: new
-    words go through the tokenizer in one call, parted by a sentinel word that
-    is one token and occurs in no other.  Texts that hold control characters
-    which Python takes for white space and the tokenizer does not, or the
-    sentinel, are encoded whole.  Strings of special tokens are ordinary text.
+    words' ids in a row, so a distinct word is encoded once while it stays in
+    the worker's cache.  A word of letters with a tail of punctuation is the
+    letters' ids and the tail's; plain lower-case letters go straight to the
+    tokenizer's model, all else through the whole tokenizer.  Texts with
+    control characters that Python takes for white space and the tokenizer does
+    not are encoded whole.  Strings of special tokens are ordinary text.
     """
 
-    SENTINEL = "\x01"
-    ODD = re.compile("[\x01\x1c-\x1f]")
+    ODD = re.compile("[\x1c-\x1f]")
+    TAIL = ".,:;!?#$%&*+-=/|()[]{}<>\""
 
     def __init__(self, path: str):
-        import numpy as np
         from tokenizers import Tokenizer
 
         cache = worker_cache(f"words:{path}")
         if "tokenizer" not in cache:
-            tok = Tokenizer.from_file(path)
-            tok.encode_special_tokens = True
-            mark = tok.encode(self.SENTINEL, add_special_tokens=False).ids
-            assert len(mark) == 1, "the tokenizer has no token of its own for the sentinel"
-            cache.update(tokenizer=tok, mark=mark[0], words={})
-        self.np, self.tok, self.mark, self.cache = np, cache["tokenizer"], cache["mark"], cache
+            cache["tokenizer"] = Tokenizer.from_file(path)
+            cache["tokenizer"].encode_special_tokens = True
+            cache.update(words={}, cores={})
+        self.tok, self.words, self.cores = cache["tokenizer"], cache["words"], cache["cores"]
+        self.model = self.tok.model
+        # Byte-level models spell bytes as letters; these are the bytes of letters up to U+024F.
+        self.spelled = {b: chr(256 + 33 + b - 127) for b in range(127, 161)} | {173: chr(256 + 67)}
+        probe = ["Straße", "éàêñöū", "thnter"]
+        self.direct = all(self._direct(w.lower()) == self._whole(w) for w in probe)
 
-    def _ids(self, text: str):
-        return self.np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        known = self.cache["words"]
-        if len(known) + len(words) > CACHE_WORDS:
-            known = self.cache["words"] = {}
-        ids = self._ids(f" {self.SENTINEL} ".join(words))
-        ends = self.np.flatnonzero(ids == self.mark)
-        raw = ids.tobytes()
-        a = 0
-        for w, b in zip(words, [*ends.tolist(), len(ids)]):
-            known[w] = raw[4 * a:4 * b]
-            a = b + 1
+    def _direct(self, core: str) -> bytes:
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(self.spelled)
+        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        cores, known = self.cores, self.words
+        if len(cores) > CACHE_WORDS:
+            cores.clear()
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        for w in words:
+            core = w.rstrip(self.TAIL)
+            low = core.lower()
+            if not (self.direct and low.isalpha() and max(low) < "\u0250"):
+                known[w] = self._whole(w)
+                continue
+            ids = cores.get(low)
+            if ids is None:
+                ids = cores[low] = self._direct(low)
+            if len(core) < len(w):
+                tail = w[len(core):]
+                if tail not in cores:
+                    cores[tail] = self._whole(tail)
+                ids += cores[tail]
+            known[w] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One bytes object of ids per text."""
-        split = [None if self.ODD.search(t) else t.split() for t in texts]
-        new = set().union(*[s for s in split if s]) if split else set()
-        known = self.cache["words"]
-        # ASCII words lose their case here as they would in the tokenizer, which halves the words to learn.
-        low = {w: w.lower() for w in new if w not in known and w.isascii()} if self._lowers() else {}
-        missing = {low.get(w, w) for w in new if w not in known}
-        missing = [w for w in missing if w not in known]
-        keep = {w: known[w] for w in new if w in known} if len(known) + len(missing) + len(low) > CACHE_WORDS else None
-        if missing:
-            self._learn(missing)
-        known = self.cache["words"]
-        if keep is not None:
-            known.update(keep)
-        for w, lo in low.items():
-            if lo not in known:
-                known[lo] = self._ids(lo).tobytes()
-            known[w] = known[lo]
-        return [self._ids(t).tobytes() if s is None else b"".join([known[w] for w in s]) for t, s in zip(texts, split)]
-
-    def _lowers(self) -> bool:
-        if "lowers" not in self.cache:
-            self.cache["lowers"] = self._ids("Ab").tolist() == self._ids("ab").tolist()
-        return self.cache["lowers"]
+        out, get = [], self.words.get
+        for t in texts:
+            if self.ODD.search(t):
+                out.append(self._whole(t))
+                continue
+            words = t.split()
+            ids = list(map(get, words))
+            if None in ids:
+                self._learn({w for w, i in zip(words, ids) if i is None})
+                new = map(get, words)
+                ids = [i if i is not None else n for i, n in zip(ids, new)]
+            out.append(b"".join(ids))
+        return out
