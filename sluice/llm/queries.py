@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.packing import pack_documents
+from sluice.llm.simhash import hex_digits, near_duplicates
+from sluice.llm.suffix_dedup import remove_repeats
 
 SQL: dict[str, str] = {}
 
@@ -19,6 +21,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that start earlier."""
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of 4-word shingles, and the components of those at most 4 bits apart."""
+    out = near_duplicates(read(spark, sf_dir, "documents"), max_bits=4, words=4, seed=42)
+    return out.select("doc_id", hex_digits().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_simhash_dedup": op3_simhash_dedup,
 }
