@@ -9,6 +9,7 @@ from sluice.llm.common import read
 from sluice.llm.packing import pack_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.warc import archive
 
 SQL: dict[str, str] = {}
 
@@ -32,8 +33,25 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", hex_digits().alias("fingerprint"), "component_id")
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the merged capture index."""
+    return archive(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op4_warc_index"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+     top AS (SELECT html, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN top.top > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top.top > p.page_id THEN top.top END AS refers_to
+FROM p LEFT JOIN top ON p.html = top.html AND p.n >= 1000
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_warc_index": op4_warc_index,
 }
