@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import read
+from sluice.llm.decontaminate import find_contamination, items_digest
 from sluice.llm.packing import pack_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
@@ -49,9 +50,42 @@ FROM p LEFT JOIN top ON p.html = top.html AND p.n >= 1000
 """
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' words inside passages of 10 words that benchmark items hold."""
+    out = find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", items_digest().alias("items_sha256"), "contaminated")
+
+
+SQL["op7_decontamination"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM words, sizes WHERE len(w) >= n)),
+hits AS (SELECT g.doc_id, g.i, g.n, x.item_id FROM grams g JOIN windows x ON g.n = x.n AND g.phrase = x.phrase),
+per_doc AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+per_item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_warc_index": op4_warc_index,
+    "op7_decontamination": op7_decontamination,
 }
