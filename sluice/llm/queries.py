@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.decontaminate import find_contamination, items_digest
+from sluice.llm.embedding_dedup import near_vectors
 from sluice.llm.packing import pack_documents
+from sluice.llm.sharding import shard_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.warc import archive
@@ -50,6 +52,30 @@ FROM p LEFT JOIN top ON p.html = top.html AND p.n >= 1000
 """
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a label linked at a cosine of 0.98 or more, and their components."""
+    return near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+SQL["op5_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.q > 0 AND b.q > 0 AND list_dot_product(a.e, b.e) / sqrt(a.q * b.q) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT e.vec_id, CAST((SELECT count(*) FROM links WHERE a = e.vec_id) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
+"""
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 8 shards of equal counts, copies together."""
+    return shard_documents(read(spark, sf_dir, "documents"), shards=8)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' words inside passages of 10 words that benchmark items hold."""
     out = find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
@@ -87,5 +113,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_warc_index": op4_warc_index,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
 }
