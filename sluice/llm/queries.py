@@ -9,6 +9,7 @@ from sluice.llm.common import read
 from sluice.llm.decontaminate import find_contamination, items_digest
 from sluice.llm.embedding_dedup import near_vectors
 from sluice.llm.packing import pack_documents
+from sluice.llm.quality import fit, held_out, score
 from sluice.llm.sharding import shard_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
@@ -108,6 +109,13 @@ FROM words LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by votes of labelled neighbours."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -116,4 +124,5 @@ QUERIES = {
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
