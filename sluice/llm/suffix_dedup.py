@@ -229,8 +229,8 @@ def _refine(batches):
         yield frame([held[0][2]], [held[0][3]], MIXED)
 
 
-def _judged(entries: DataFrame) -> DataFrame:
-    return (entries.repartition("bucket").sortWithinPartitions("bucket", "sig", "loc")
+def _judged(entries: DataFrame, *by: str) -> DataFrame:
+    return (entries.repartition(*by).sortWithinPartitions("bucket", "sig", "loc")
             .mapInPandas(_refine, "loc long, ext int, kind int"))
 
 
@@ -293,10 +293,10 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     doc = F.shiftright("loc", AT_BITS).alias("id")
 
     long_enough = texts.where(F.octet_length("text") >= LENGTH)
-    runs = tmp.keep(_judged(long_enough.mapInPandas(_run_entries, ENTRY)), "runs")
+    runs = tmp.keep(_judged(long_enough.mapInPandas(_run_entries, ENTRY), "bucket"), "runs")
     mixed = runs.where(F.col("kind") == MIXED).select(doc, at.alias("at")).groupBy("id").agg(F.collect_list("at").alias("runs"))
     windows = long_enough.join(mixed, "id").mapInPandas(_window_entries, ENTRY)
-    single = tmp.keep(_judged(windows).where(F.col("kind") == REMOVED), "windows")
+    single = tmp.keep(_judged(windows, "bucket", "sig").where(F.col("kind") == REMOVED), "windows")
     spans = (runs.where(F.col("kind") == REMOVED).unionByName(single)
              .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("spans")))
     out = texts.join(spans, "id", "left").mapInPandas(
