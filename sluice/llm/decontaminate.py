@@ -207,7 +207,7 @@ def _near_hits(queries: Queries, slop: int):
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int | None = None,
                        doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, items, spans, contaminated``.
+    """Per row of ``docs``: ``doc_id, text_hash, n_words, n_hit, n_items, items, spans, contaminated``.
 
     A window is ``window`` consecutive words of a benchmark item (an item of
     fewer, but not none, is one window).  ``spans`` are the documents' word
@@ -264,7 +264,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     hit = F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda s, x: s + x)
     # A null id comes back as null: real documents keep their own.
     doc = F.when(F.col("id") != F.lit(2**63 - 1), F.col("id")).cast(docs.schema["doc_id"].dataType)
-    return out.select(doc.alias("doc_id"), "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
+    return out.select(doc.alias("doc_id"), F.col("th").alias("text_hash"), "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
                       listed.alias("items"), spans.alias("spans"), (hit > 0).alias("contaminated"))
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from sluice.llm.common import read
 from sluice.llm.decontaminate import find_contamination, items_digest
 from sluice.llm.embedding_dedup import near_vectors
+from sluice.llm.html_extract import extract
 from sluice.llm.packing import pack_documents
 from sluice.llm.quality import fit, held_out, score
 from sluice.llm.sharding import shard_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.token_counts import apply_edits, build_trees
 from sluice.llm.warc import archive
 
 SQL: dict[str, str] = {}
@@ -109,6 +111,20 @@ FROM words LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(read(spark, sf_dir, "pages"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after long numbers and addresses are hidden, the second by its edited tree."""
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    out = apply_edits(build_trees(read(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    return out.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by votes of labelled neighbours."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -124,5 +140,7 @@ QUERIES = {
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }

@@ -19,7 +19,7 @@ from itertools import accumulate, combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, text_hash
 from sluice.llm.components import components
 
 BITS = 64
@@ -28,7 +28,7 @@ LARGE = 1 << 12
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (64 bits as a signed long) of each row.
+    """``doc_id``, ``text_hash`` (XXH64) and ``fp`` (64 bits as a signed long) of each row.
 
     A-Z are lower-cased, words are runs of other than space and \\x09-\\x0D;
     each shingle of ``words`` words (repeats included; one shingle of all words
@@ -59,11 +59,12 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str =
 
         for pdf in frames:
             out = pd.DataFrame({"doc_id": pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None),
-                                "fp": [fingerprint(t) for t in pdf["text"]]})
+                                "text_hash": pdf["text_hash"], "fp": [fingerprint(t) for t in pdf["text"]]})
             yield out
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    return docs.select(F.col(doc_col).alias("doc_id"), text).mapInPandas(batches, f"doc_id {id_type}, fp long")
+    rows = docs.select(F.col(doc_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), text)
+    return rows.mapInPandas(batches, f"doc_id {id_type}, text_hash long, fp long")
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -185,7 +186,7 @@ def near_links(fps: DataFrame, max_bits: int, m: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, words: int = 4, seed: int = 42, segments: int | None = None,
                     doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the smallest id reachable by links of at most ``max_bits`` bits.
+    """Per row of ``docs``: ``doc_id``, ``text_hash``, ``fp``, ``component_id`` (the smallest id reachable by links of at most ``max_bits`` bits) and ``component`` (its smallest fingerprint).
 
     Rows without words share fingerprint 0 and link like any other.  A null id
     is no smallest id unless all ids reachable are null; repeated rows get equal
@@ -200,8 +201,8 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, words: int = 4, seed: in
     classes = components(near_links(distinct, max_bits, m), tmp).withColumnRenamed("node", "fp")
     named = distinct.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = named.join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(smallest, "component").select("fp", "component_id", "component")
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "component")
 
 
 def hex_digits(fp: str = "fp"):

@@ -27,10 +27,9 @@ so a bucket of any size streams through its task.  Entries that repeat within
 a batch of documents are settled there, before the shuffle.
 """
 
-from __future__ import annotations
-
 import hashlib
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,27 +233,19 @@ def _judged(entries: DataFrame, *by: str) -> DataFrame:
             .mapInPandas(_refine, "loc long, ext int, kind int"))
 
 
-def _cut(batches):
+def _cut(text: bytes, spans) -> tuple[bytes, int, int]:
+    """What is left of ``text``, and the bytes and maximal runs removed."""
     import numpy as np
-    import pandas as pd
 
-    for pdf in batches:
-        rows = []
-        for text, spans in zip(pdf["text"], pdf["spans"]):
-            n = len(text)
-            if spans is None or not len(spans):
-                rows.append((n, 0, 0, hashlib.sha256(text).hexdigest(), text))
-                continue
-            spans = np.sort(np.asarray(spans, np.int64))
-            a = spans >> 7
-            end = np.maximum.accumulate(a + (spans & 127) + LENGTH)
-            new = np.append(True, a[1:] > end[:-1])
-            a, b = a[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
-            kept = b"".join(text[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), n]))
-            rows.append((n, int((b - a).sum()), len(a), hashlib.sha256(kept).hexdigest(), kept))
-        out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-        out.insert(0, "id", pdf["id"])
-        yield out
+    if spans is None or not len(spans):
+        return text, 0, 0
+    spans = np.sort(np.asarray(spans, np.int64))
+    a = spans >> 7
+    end = np.maximum.accumulate(a + (spans & 127) + LENGTH)
+    new = np.append(True, a[1:] > end[:-1])
+    a, b = a[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
+    kept = b"".join(text[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(text)]))
+    return kept, int((b - a).sum()), len(a)
 
 
 def _order(docs: DataFrame, tmp: Scratch) -> tuple[DataFrame, DataFrame | None]:
@@ -276,18 +267,9 @@ def _order(docs: DataFrame, tmp: Scratch) -> tuple[DataFrame, DataFrame | None]:
     return names.join(named.dropDuplicates(["_id", "_th"]), ["_id", "_th"]).select("id", "text"), names
 
 
-def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Remove each byte covered by a 100-byte string that also starts earlier.
-
-    Returns a row per row of ``docs``: ``doc_id``, ``n_bytes``, ``n_removed``,
-    ``n_spans`` (maximal removed runs), ``kept_sha256`` and ``kept`` (the
-    remaining bytes).  A null text is empty; nothing is removed from texts under
-    100 bytes.  Rows with equal id and text count as one document and get equal
-    rows; rows with an equal id and unlike texts are ordered by the texts'
-    XXH64; a null id comes after all others.  Other columns are left out.
-    """
+def _spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Removed runs of windows per document, as start and extent packed into longs, and the key columns they go by."""
     tmp = Scratch(docs.sparkSession, "suffix")
-    docs = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts, names = _order(docs, tmp)
     at = F.col("loc").bitwiseAND(F.lit((1 << AT_BITS) - 1))
     doc = F.shiftright("loc", AT_BITS).alias("id")
@@ -298,10 +280,57 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     windows = long_enough.join(mixed, "id").mapInPandas(_window_entries, ENTRY)
     single = tmp.keep(_judged(windows, "bucket", "sig").where(F.col("kind") == REMOVED), "windows")
     spans = (runs.where(F.col("kind") == REMOVED).unionByName(single)
-             .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("spans")))
-    out = texts.join(spans, "id", "left").mapInPandas(
-        _cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+             .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("_spans")))
     if names is None:
-        return out.withColumnRenamed("id", "doc_id")
-    rows = docs.select("doc_id", id_key("doc_id").alias("_id"), text_hash("text").alias("_th"))
-    return rows.join(out.join(names, "id"), ["_id", "_th"]).drop("_id", "_th", "id")
+        return spans.withColumnRenamed("id", "_id"), ["_id"]
+    return spans.join(names, "id").drop("id"), ["_id", "_th"]
+
+
+def _with_spans(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    spans, keys = _spans(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")))
+    made = {"_id": id_key(doc_col), "_th": text_hash(text_col)}
+    bare = docs.drop("_id", "_th", "_spans", "_text")
+    rows = bare.withColumns({k: made[k] for k in keys} | {"_text": F.coalesce(F.col(text_col), F.lit("")).cast("binary")})
+    return rows.join(spans, keys, "left").drop(*keys)
+
+
+def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Remove each byte covered by a 100-byte string that also starts earlier.
+
+    Returns a row per row of ``docs``: ``doc_id``, ``n_bytes``, ``n_removed``,
+    ``n_spans`` (maximal removed runs), ``kept_sha256`` and ``kept`` (the
+    remaining bytes).  A null text is empty; nothing is removed from texts under
+    100 bytes.  Rows with equal id and text count as one document and get equal
+    rows; rows with an equal id and unlike texts are ordered by the texts'
+    XXH64; a null id comes after all others.  Other columns are left out.
+    """
+    def cut(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            rows = []
+            for doc, text, spans in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), pdf["_text"], pdf["_spans"]):
+                kept, removed, n = _cut(text, spans)
+                rows.append((doc, len(text), removed, n, hashlib.sha256(kept).hexdigest(), kept))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    rows = _with_spans(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    id_type = docs.schema[doc_col].dataType.simpleString()
+    return rows.drop("text").mapInPandas(
+        cut, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+def without_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the text that ``remove_repeats`` leaves, all other columns as they are.
+
+    Texts from which nothing is removed, null ones too, stay untouched; a
+    character of which only some bytes are left goes.  A column whose name is
+    one of ``_id, _th, _spans, _text`` is left out.
+    """
+    @F.pandas_udf("string")
+    def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([_cut(t, s)[0].decode(errors="ignore") for t, s in zip(texts, spans)], dtype=object)
+
+    rows = _with_spans(docs, doc_col, text_col)
+    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(left("_text", "_spans"))
+    return rows.withColumn(text_col, text).select(*[c for c in docs.columns if c not in ("_id", "_th", "_spans", "_text")])
