@@ -26,6 +26,7 @@ from sluice.llm.common import Scratch, blocks_for
 
 FILE_BYTES = 16 << 20
 MIN_REVISIT = 1000
+BROADCAST_REVISITS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = 1_577_836_800  # 2020-01-01T00:00:00Z
 
@@ -95,16 +96,18 @@ def decide(pages: DataFrame, tmp: Scratch, min_revisit: int = MIN_REVISIT) -> Da
 
     Of records with equal payloads of at least ``min_revisit`` bytes the one
     with the largest id is the response, the others refer to it.  Only ids and
-    digests are grouped; payloads move once, to their decision.
+    digests are grouped; payloads stay where they are read while the revisits
+    are few enough to be sent to all executors, else they move once.
     """
     long = F.octet_length("payload") >= min_revisit
-    keys = tmp.keep(pages.where(long).select("page_id", "url", F.sha2("payload", 256).alias("same")), "digests")
+    keys = tmp.keep(pages.where(long).select("page_id", "url", F.sha1("payload").alias("digest"), F.sha2("payload", 256).alias("same")), "digests")
     top = (keys.groupBy("same").agg(F.max(F.struct("page_id", "url")).alias("top"), F.count(F.lit(1)).alias("n"))
            .where("n > 1").select("same", "top"))
     revisits = (keys.join(top, "same").where(F.col("page_id") < F.col("top.page_id"))
-                .select("page_id", "same", F.col("top.page_id").alias("refers_to"), F.col("top.url").alias("refers_url")).distinct())
-    both = pages.withColumn("digest", F.sha1("payload")).withColumn("same", F.when(long, F.sha2("payload", 256)))
-    return both.join(revisits, ["page_id", "same"], "left").drop("same")
+                .select("page_id", "digest", F.col("top.page_id").alias("refers_to"), F.col("top.url").alias("refers_url")).distinct())
+    revisits = tmp.keep(revisits, "revisits")
+    few = revisits.count() <= BROADCAST_REVISITS
+    return pages.withColumn("digest", F.sha1("payload")).join(F.broadcast(revisits) if few else revisits, ["page_id", "digest"], "left")
 
 
 def write_archives(pages: DataFrame, path: str, per_file: int) -> None:
