@@ -34,6 +34,10 @@ def _words(text: bytes | None) -> list[bytes]:
     return text.translate(WORDS).split() if text else []
 
 
+def _in_order(items: set) -> list:
+    return sorted(items - {None}) + [None] * (None in items)
+
+
 class Queries:
     """One block of benchmark items as term sequences, with the anchors its windows are looked up by."""
 
@@ -157,7 +161,7 @@ def _phrase_hits(queries: Queries):
                             items |= queries.owners[q]
                 if items:
                     spans = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(hit)[:-1] > 0, [0])).astype(np.int8)))
-                    rows.append((doc, th, spans.tolist(), sorted(items)))
+                    rows.append((doc, th, spans.tolist(), _in_order(items)))
             yield pd.DataFrame(rows, columns=["id", "th", "spans", "items"])
 
     return check
@@ -199,7 +203,7 @@ def _near_hits(queries: Queries, slop: int):
                         else:
                             flat[-1] = max(flat[-1], y)
                         end = flat[-1]
-                    rows.append((doc, th, flat, sorted(items)))
+                    rows.append((doc, th, flat, _in_order(items)))
             yield pd.DataFrame(rows, columns=["id", "th", "spans", "items"])
 
     return check
@@ -254,7 +258,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         for h in hits[1:]:
             found = found.unionByName(h.dropDuplicates(["id", "th"]))
         if len(hits) > 1:
-            found = found.groupBy("id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.flatten(F.collect_list("items"))).alias("items"))
+            found = found.groupBy("id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
             found = found.withColumn("spans", _merged("spans"))
     else:
         found = spark.createDataFrame([], f"id long, th long, spans array<int>, items array<{item_type}>")
