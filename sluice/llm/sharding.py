@@ -2,12 +2,15 @@
 
 Documents with equal texts are linked through their text's hash.  From a
 scatter by hash, rounds of joins move linked documents towards the shard that
-holds most of their neighbours, as far as the shards' capacity goes; movers to
-a shard are ranked and the first of them accepted.  Whatever a shard then
-holds too much goes, with the unlinked documents, to wherever places are left,
-so that counts differ by one at most.
-
-Everything is DataFrame expressions; the driver sees one count per shard.
+holds most of their neighbours.  Of the moves wanted from shard to shard, as
+many are allowed as leave no shard above its capacity (movers one way make
+room for movers the other way); movers are ranked and the first of them
+accepted.  A shard that had to refuse some takes no more, and their neighbours
+gather elsewhere in the next round.  Whatever a shard then holds too much goes,
+with the unlinked documents, to wherever places are left, so that counts differ
+by one at most.
+
+Everything is DataFrame expressions; the driver sees one count per pair of shards.
 """
 
 from __future__ import annotations
@@ -32,28 +35,55 @@ def _counts(df: DataFrame, shards: int) -> list[int]:
     return [got.get(s, 0) for s in range(shards)]
 
 
-def _propagate(linked: DataFrame, shards: int, capacity: list[int], rows: int, tmp: Scratch) -> tuple[DataFrame, int]:
-    """One round: (node, hub, shard) after the accepted moves, and how many there were."""
+def _allowed(wanted: list[list[int]], held: list[int], capacity: list[int]) -> list[list[int]]:
+    """Of the moves wanted from shard to shard, the most that leave no shard above its capacity (or above what it held)."""
+    moves, shards = [[*row] for row in wanted], range(len(held))
+    while True:
+        over = False
+        for b in shards:
+            come, go = sum(moves[a][b] for a in shards), sum(moves[b])
+            surplus = min(come, held[b] + come - go - max(capacity[b], held[b] - go))
+            if surplus > 0:
+                over = True
+                for a in shards:
+                    # Each origin gives up its share, rounded up, while any surplus is left.
+                    cut = min(moves[a][b], -(-surplus * moves[a][b] // come)) if come else 0
+                    cut = min(cut, surplus)
+                    come -= moves[a][b]
+                    moves[a][b] -= cut
+                    surplus -= cut
+        if not over:
+            return moves
+
+
+def _propagate(linked: DataFrame, shards: int, capacity: list[int], closed: set[int], rows: int, tmp: Scratch) -> tuple[DataFrame, int]:
+    """One round: (node, hub, shard) after the accepted moves, and how many there were.
+
+    ``closed`` shards take nobody; those that have to refuse some are added to it.
+    """
     held = _counts(linked, shards)
-    free = [max(0, c - h) for c, h in zip(capacity, held)]
-    votes = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("votes"))
-    # Best of the shards with room, by votes, then by number.
-    room = _by_shard(F.col("shard"), free) > 0
-    best = votes.where(room).groupBy("hub").agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("best"))
-    split = votes.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
-    best = best.join(split, "hub").select("hub", F.col("best.votes").alias("most"), (-F.col("best.s")).alias("target"))
-    # A document moves to a shard with more of its neighbours, or as many and a lower number.
-    want = (votes.join(best, "hub")
-            .where((F.col("target") != F.col("shard")) & ((F.col("most") > F.col("votes")) | ((F.col("most") == F.col("votes")) & (F.col("target") < F.col("shard")))))
-            .select("hub", "shard", "target", (F.col("most") - F.col("votes")).alias("gain")))
-    movers = linked.join(want, ["hub", "shard"])
-    ranked = tmp.keep(numbered(movers, ["target"], ["hub", "node"], "rank", rows), "movers")
-    accepted = ranked.where(F.col("rank") < _by_shard(F.col("target"), free)).select("node", "target")
+    # Votes, and a preference that differs from hub to hub, so that ties do not all go one way.
+    votes = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("votes")).withColumn("pref", F.xxhash64("hub", "shard"))
+    open_ = votes.where(~F.col("shard").isin(*closed)) if closed else votes
+    best = open_.groupBy("hub").agg(F.max(F.struct("votes", "pref", "shard")).alias("best"))
+    want = (votes.join(best, "hub").where((F.col("best.shard") != F.col("shard")) & (F.struct("votes", "pref") < F.struct("best.votes", "best.pref")))
+            .select("hub", "shard", F.col("best.shard").alias("target")))
+    movers = tmp.keep(linked.join(want, ["hub", "shard"]).select("node", "hub", "shard", "target"), "movers")
+    wanted = [[0] * shards for _ in range(shards)]
+    for r in movers.groupBy("shard", "target").count().collect():
+        wanted[r["shard"]][r["target"]] = r["count"]
+    moves = _allowed(wanted, held, capacity)
+    for b in range(shards):
+        if sum(moves[a][b] for a in range(shards)) < sum(wanted[a][b] for a in range(shards)):
+            closed.add(b)
+    quota = F.array(*[F.lit(n).cast("long") for row in moves for n in row])
+    ranked = numbered(movers, ["shard", "target"], ["hub", "node"], "rank", rows)
+    accepted = ranked.where(F.col("rank") < F.element_at(quota, F.col("shard") * shards + F.col("target") + 1)).select("node", "target")
     after = linked.join(accepted, "node", "left").select("node", "hub", F.coalesce("target", "shard").alias("shard"))
-    return after, ranked.where(F.col("rank") < _by_shard(F.col("target"), free)).count()
+    return after, sum(map(sum, moves))
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 4, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     ``size`` is the text's UTF-8 bytes plus 1, ``shard`` 0 to ``shards - 1``
@@ -76,9 +106,11 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 4, doc_col:
     groups = base.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
     linked = tmp.keep(base.join(groups, "hub").select("node", "hub", start), "linked")
     size = linked.count()
+    closed: set[int] = set()
     for _ in range(rounds):
-        after, moved = _propagate(linked, shards, capacity, size, tmp)
-        if not moved:
+        full = len(closed)
+        after, moved = _propagate(linked, shards, capacity, closed, size, tmp)
+        if not moved and len(closed) == full:
             break
         linked = tmp.keep(after, "linked")
 
