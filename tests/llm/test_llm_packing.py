@@ -1,0 +1,89 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import ODD, no_docs, odd_docs
+
+from sluice.llm.packing import pack, pack_documents
+from sluice.llm.tokens import WordEncoder
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def plain():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(PATH)
+    tok.encode_special_tokens = True
+    return lambda text: tok.encode(text, add_special_tokens=False).ids
+
+
+def ids(raw):
+    return np.frombuffer(raw, "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aAbBzZ'st.,!?09 \n\t\x1c\x1f\x85\xa0 éÉßİJ̌́ǰ漢😀<|>endoftx\x01"), max_size=60), max_size=4))
+def test_words_encode_as_whole_texts(plain, texts):
+    assert [ids(b) for b in WordEncoder(PATH).encode(texts)] == [plain(t) for t in texts]
+
+
+def test_special_strings_are_text(plain):
+    text = "a <|endoftext|> b <|startoftext|>c it's WE'LL état J̌x"
+    assert ids(WordEncoder(PATH).encode([text])[0]) == plain(text)
+    assert 49407 not in plain(text)
+
+
+def packed_well(rows, max_len):
+    seqs = defaultdict(list)
+    for r in rows:
+        seqs[r["sequence_id"]].append((r["offset"], r["length"]))
+    for spans in seqs.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at and length > 0
+            at += length
+        assert at <= max_len
+    return len(seqs)
+
+
+def test_odd_documents(spark, plain):
+    rows = pack_documents(odd_docs(spark, ["length", "_uid", "sequence_id", "piece"]), PATH).collect()
+    packed_well(rows, 2048)
+    want = Counter()
+    for doc, text, *_ in ODD:
+        tokens = [*plain(text or ""), 0]
+        for k in range(0, len(tokens), 2048):
+            part = tokens[k:k + 2048]
+            want[doc, k // 2048, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+
+
+def test_ids_are_kept_on_request(spark, plain):
+    rows = pack_documents(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), PATH, keep_ids=True).collect()
+    assert rows[0]["ids"] == [*plain("one two"), 0]
+
+
+def test_empty_table(spark):
+    assert pack_documents(no_docs(spark), PATH).collect() == []
+
+
+@pytest.mark.parametrize("lengths", [[7] * 5000, [1] * 3000 + [99] * 10, list(range(1, 101)) * 20, [51] * 9, [100] * 4])
+def test_few_sequences(spark, lengths):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "k long, length long")
+    rows = pack(df, 100).collect()
+    assert sorted(r["k"] for r in rows) == list(range(len(lengths)))
+    gaps, best = [], 0  # best fit, longest first, one by one
+    for n in sorted(lengths, reverse=True):
+        fit = min((g for g in gaps if g >= n), default=None)
+        if fit is None:
+            best += 1
+            gaps.append(100 - n)
+        else:
+            gaps[gaps.index(fit)] -= n
+    assert packed_well(rows, 100) <= best * 1.02 + 1
