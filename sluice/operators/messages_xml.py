@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 from sluice.operators.messages_json import ATTRIBUTE_KEYS
 from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, first_error, stage_barrier
 
-ROOT_RX = r"(?s)^\uFEFF?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<(?:[\w.-]+:)?([\w.-]+)"
+# Possessive loops run in constant stack, however many comments come before the root.
+ROOT_RX = r"(?s)^\uFEFF?\s*+(?:<\?.*?\?>\s*+|<!--.*?-->\s*+|<!DOCTYPE[^>]*+>\s*+)*+<(?:[\w.-]++:)?([\w.-]++)"
+NO_TIME_WINDOW = "unknown"
 _CORRUPT = "_corrupt_record"
 
 XML_APPOINTMENT = T.StructType([
@@ -34,6 +36,11 @@ XML_APPOINTMENT = T.StructType([
 ])
 
 
+def minute_window(time: Column) -> Column:
+    """Start of the 1-minute event-time window as text; a message without a time goes to ``unknown``."""
+    return F.coalesce(F.date_format(F.date_trunc("minute", time), "yyyy-MM-dd'T'HH:mm"), F.lit(NO_TIME_WINDOW))
+
+
 def attribute_triple(attrs: Column, keys: tuple[str, ...] = ATTRIBUTE_KEYS) -> Column:
     """``TopicName,MessageId,LogicalDate``; a missing key leaves an empty slot."""
     return F.concat_ws(",", *[F.coalesce(F.element_at(attrs, F.lit(k)), F.lit("")) for k in keys])
@@ -108,10 +115,12 @@ def archive_lines(
 ) -> DataFrame:
     """Every message as ``payload,TopicName,MessageId,LogicalDate`` with its minute.
 
-    ``window`` is the start of the message's 1-minute event-time window; the
-    archive is written partitioned by it.
+    ``window`` is the start of the message's 1-minute event-time window
+    (``unknown`` without a time); the archive is written partitioned by it.  An
+    envelope that could not be read is archived as it came.
     """
     attrs = F.coalesce(F.col(attributes_col), F.create_map().cast("map<string,string>"))
     value = F.concat_ws(",", F.coalesce(F.col(payload_col), F.lit("")), attribute_triple(attrs, keys))
-    window = F.date_format(F.window(F.col(time_col), "1 minute").start, "yyyy-MM-dd'T'HH:mm")
-    return df.select(window.alias("window"), value.alias("value"))
+    if "malformed" in df.columns:
+        value = F.coalesce(F.col("malformed"), value)
+    return df.select(minute_window(F.col(time_col)).alias("window"), value.alias("value"))

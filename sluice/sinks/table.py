@@ -76,48 +76,80 @@ def write_table(
 
     With ``partition_field`` the rows are routed to day partitions keyed by
     that field's date (``<field>_day=yyyymmdd``); a NULL date goes to the
-    default partition.  With ``run_id`` (append only) the rows land in
+    default partition.  ``WRITE_TRUNCATE`` then replaces the days that have
+    rows and leaves the others; without a partition field it replaces the
+    table.  With ``run_id`` (append only) the rows land in
     ``ingest_run=<run_id>`` partitions replaced as a whole, so running the
-    same load again after a failure does not duplicate rows.
+    same load again after a failure does not duplicate rows.  A catalog table
+    must have these partition columns, and every column that is written.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown write disposition {disposition!r}")
     spark = df.sparkSession
+    if not target_exists(spark, target) and not (create and _is_path(target)):
+        raise FileNotFoundError(f"target table {target} does not exist (tables are never created)")
+    if run_id is not None and disposition != "WRITE_APPEND":
+        raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
+    if disposition == "WRITE_EMPTY" and not _is_empty(spark, target):
+        raise ValueError(f"target table {target} is not empty")
     out = stamp_load_time(df, load_time_field)
+    parts: list[str] = []
+    if partition_field:
+        key = day_column(partition_field)
+        out = out.withColumn(key, partition_key(F.col(f"`{partition_field}`")))
+        if files_per_partition:
+            out = spread(out, key, files_per_partition)
+        parts = [key]
+    if run_id is not None:
+        out = out.withColumn(RUN_COL, F.lit(str(run_id)))
+        parts.append(RUN_COL)
+    replaced = run_id is not None or (disposition == "WRITE_TRUNCATE" and bool(parts))
+    if replaced:
+        overwrite_partitions(out, target, parts, fmt)
+    elif _is_path(target):
+        writer = out.write.mode("overwrite" if disposition == "WRITE_TRUNCATE" else "append").format(fmt)
+        (writer.partitionBy(*parts) if parts else writer).save(target)
+    else:
+        _as_table(out, target, parts).write.insertInto(target, overwrite=disposition == "WRITE_TRUNCATE")
+
+
+def target_exists(spark: SparkSession, target: str) -> bool:
+    return path_exists(spark, target) if _is_path(target) else spark.catalog.tableExists(target)
+
+
+def _is_empty(spark: SparkSession, target: str) -> bool:
+    if _is_path(target):
+        return not path_exists(spark, target) or not _has_data(spark, target)
+    return spark.table(target).isEmpty()
+
+
+def _as_table(df: DataFrame, target: str, parts: list[str]) -> DataFrame:
+    """The columns of a catalog table in its order; a column or partition that it lacks is an error."""
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(target)
+    names = {c.name.lower() for c in columns}
+    extra = [c for c in df.columns if c.lower() not in names]
+    if extra:
+        raise ValueError(f"target table {target} has no column {', '.join(extra)}")
+    partitions = {c.name.lower() for c in columns if c.isPartition}
+    unrouted = [c for c in parts if c.lower() not in partitions]
+    if unrouted:
+        raise ValueError(f"target table {target} is not partitioned by {', '.join(unrouted)}")
+    return df.select(*[F.col(f"`{c.name}`") for c in columns])
+
+
+def overwrite_partitions(df: DataFrame, target: str, parts: list[str], fmt: str) -> None:
+    """Replace the partitions that ``df`` has rows for, and leave all others as they are."""
     if _is_path(target):
-        exists = path_exists(spark, target)
-        if not exists and not create:
-            raise FileNotFoundError(f"target table {target} does not exist (tables are never created)")
-        if disposition == "WRITE_EMPTY" and exists and _has_data(spark, target):
-            raise ValueError(f"target table {target} is not empty")
-        writer_df = out
-        parts: list[str] = []
-        if partition_field:
-            key = day_column(partition_field)
-            writer_df = writer_df.withColumn(key, partition_key(F.col(f"`{partition_field}`")))
-            if files_per_partition:
-                writer_df = spread(writer_df, key, files_per_partition)
-            parts = [key]
-        mode = "overwrite" if disposition == "WRITE_TRUNCATE" else "append"
-        if run_id is not None:
-            if disposition != "WRITE_APPEND":
-                raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
-            writer_df = writer_df.withColumn(RUN_COL, F.lit(str(run_id)))
-            parts.append(RUN_COL)
-            mode = "overwrite"
-        writer = writer_df.write.mode(mode).format(fmt)
-        if run_id is not None:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.save(target)
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).format(fmt).save(target))
         return
-    if not spark.catalog.tableExists(target):
-        raise ValueError(f"[TABLE_OR_VIEW_NOT_FOUND] target table {target} does not exist")
-    if disposition == "WRITE_EMPTY" and not spark.table(target).isEmpty():
-        raise ValueError(f"target table {target} is not empty")
-    columns = spark.table(target).columns
-    out.select(*[F.col(f"`{c}`") for c in columns]).write.insertInto(target, overwrite=disposition == "WRITE_TRUNCATE")
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        _as_table(df, target, parts).write.insertInto(target, overwrite=True)
+    finally:
+        conf.set(key, before)
 
 
 def write_text(

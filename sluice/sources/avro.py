@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.avro_records import decode_json_datums, normalise_records
 from sluice.operators.results import ROW_ID_COL, ROW_SRC_COL, SRC_COL
-from sluice.sources.files import extract_path_date
+from sluice.sources.files import extract_path_date, file_path
 
 
 def writer_schema(spark: SparkSession, path: str) -> dict:
@@ -65,7 +65,7 @@ def read_avro_records(spark: SparkSession, path: str, schema: dict | None = None
     avro = schema or writer_schema(spark, path)
     df = _spark_avro(spark, path, avro)
     if df is not None:
-        return df.withColumn(SRC_COL, F.col("_metadata.file_path")), avro
+        return df.withColumn(SRC_COL, file_path()), avro
     rdd = spark.sparkContext.hadoopFile(
         path, "org.apache.avro.mapred.AvroAsTextInputFormat",
         "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable",

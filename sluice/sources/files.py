@@ -63,10 +63,16 @@ def extract_path_date(path: Column, regex: str | None) -> Column:
     return F.when(path.rlike(regex), F.regexp_extract(path, regex, 1))
 
 
+def file_path() -> Column:
+    """The path of a row's source file as it is named (Spark's metadata column holds it percent-encoded)."""
+    path = F.col("_metadata.file_path")
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
 def read_lines(spark: SparkSession, path: str, line_col: str = "line", path_col: str = "path") -> DataFrame:
     """One row per line (UTF-8), with the full source path of each line."""
     return spark.read.format("text").load(path).select(
-        F.col("value").alias(line_col), F.col("_metadata.file_path").alias(path_col)
+        F.col("value").alias(line_col), file_path().alias(path_col)
     )
 
 

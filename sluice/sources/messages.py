@@ -1,7 +1,9 @@
 """Message sources (S12) and payload decoding.
 
 An envelope is ``payload STRING, attributes MAP<STRING,STRING>,
-publish_time TIMESTAMP``.  Messages come from a folder of JSON-lines
+publish_time TIMESTAMP`` and ``malformed STRING``: the whole line of an
+envelope that cannot be read as such, or ``base64:`` and the bytes of a payload
+that is no UTF-8; NULL for a sound envelope.  Messages come from a folder of JSON-lines
 envelopes (batch or stream), or from Kafka where Spark's Kafka module is
 deployed (value -> payload, headers -> attributes, timestamp -> publish time).
 """
@@ -18,7 +20,9 @@ ENVELOPE = T.StructType([
     T.StructField("payload", T.StringType()),
     T.StructField("attributes", T.MapType(T.StringType(), T.StringType())),
     T.StructField("publish_time", T.TimestampType()),
+    T.StructField("malformed", T.StringType()),
 ])
+_READ = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
 
 
 def decode_payload(payload: Column) -> Column:
@@ -31,19 +35,21 @@ def kafka_envelopes(df: DataFrame) -> DataFrame:
     """Kafka rows -> envelopes: value -> payload, headers -> attributes, timestamp -> publish time.
 
     A header key may repeat in Kafka; the last value wins (a map cannot hold
-    the key twice).
+    the key twice).  A value that is no UTF-8 keeps its bytes in ``malformed``.
     """
     headers = F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>"))
     keys = F.transform(headers, lambda h: h["key"])
     last = F.filter(headers, lambda h, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), h["key"]))
     attributes = F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], decode_payload(h["value"]))))
-    return df.select(decode_payload(F.col("value")).alias("payload"), attributes.alias("attributes"),
-                     F.col("timestamp").alias("publish_time"))
+    value = F.col("value")
+    lost = F.when(value.isNotNull() & ~F.is_valid_utf8(value.cast("string")), F.concat(F.lit("base64:"), F.base64(value)))
+    return df.select(decode_payload(value).alias("payload"), attributes.alias("attributes"),
+                     F.col("timestamp").alias("publish_time"), lost.alias("malformed"))
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of JSON-lines envelopes."""
-    return spark.read.schema(ENVELOPE).json(path)
+    return spark.read.schema(ENVELOPE).options(**_READ).json(path)
 
 
 def read_message_stream(
@@ -58,7 +64,7 @@ def read_message_stream(
         for k, v in kafka_options.items():
             reader = reader.option(k, v)
         return kafka_envelopes(reader.load())
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(ENVELOPE).options(**_READ)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.json(subscription)

@@ -7,14 +7,16 @@ Each micro-batch is processed in ``foreachBatch``:
 2. messages are bound (JSON or XML); good rows are appended to the table,
    routed by day when a partition field is set, with the load time stamped
    (K2, K3, K4);
-3. failed messages go to the dead-letter store under their window (W3).
+3. failed messages go to the dead-letter store under their window (W3), and so
+   do envelopes that cannot be read, with their whole line.
 
 Writes are idempotent per batch: every output lands in a ``batch=<run>-<id>``
 partition written with dynamic partition overwrite, so a batch replayed after
 a failure (same offsets, from the checkpoint) replaces its own files instead
 of adding duplicates.  ``<run>`` is kept inside the checkpoint, so a new
 checkpoint never overwrites the batches of an earlier one.  Late messages keep
-their own minute's folder; nothing is dropped.
+their own minute's folder, messages without a time share the folder ``unknown``:
+the archive holds a line per message that came in.
 """
 
 from __future__ import annotations
@@ -30,22 +32,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.messages_json import bind_json_messages
-from sluice.operators.messages_xml import archive_lines, bind_xml_messages
+from sluice.operators.messages_xml import archive_lines, bind_xml_messages, minute_window
 from sluice.operators.results import bad_rows, good_rows
 from sluice.session import ensure_checkpoint_dir
-from sluice.sinks.table import day_column, partition_key, path_exists, spread, stamp_load_time
+from sluice.sinks.table import day_column, overwrite_partitions, partition_key, spread, stamp_load_time, target_exists
 from sluice.sources.messages import read_message_stream
 
 BATCH_COL = "batch"
+MALFORMED_ENVELOPE = "malformed message envelope"
 DEFAULT_TRIGGER = "1 minute"
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], fmt: str) -> None:
-    writer = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*partition_cols).format(fmt))
-    writer.save(path)
-
-
 def _run_id(spark: SparkSession, checkpoint: str) -> str:
     """A random id stored in the checkpoint folder at first start, read back on restarts."""
     jvm = spark._jvm
@@ -91,9 +88,9 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
     if not table:
         raise ValueError("BigQuerySinkDynamicStream.table is required")
     spark = batch.sparkSession
-    if not path_exists(spark, table):
+    if not target_exists(spark, table):
         raise FileNotFoundError(f"target table {table} does not exist (tables are never created)")
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = persisted = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bid = F.lit(str(batch_id))
         archive_root = config.get("messages-bucket")
@@ -101,13 +98,16 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
             archive = archive_lines(batch).withColumn(BATCH_COL, bid)
             if files_per_window:
                 archive = spread(archive, "window", files_per_window)
-            _overwrite_partitions(archive, archive_root, ["window", BATCH_COL], "text")
+            overwrite_partitions(archive, archive_root, ["window", BATCH_COL], "text")
 
         keep = ["publish_time"]
+        if "malformed" not in batch.columns:
+            batch = batch.withColumn("malformed", F.lit(None).cast("string"))
+        sound = batch.where(F.col("malformed").isNull())
         if kind == "json":
-            parsed = bind_json_messages(batch, keep=keep, **(bind_options or {}))
+            parsed = bind_json_messages(sound, keep=keep, **(bind_options or {}))
         elif kind == "xml":
-            parsed = bind_xml_messages(batch, keep=keep, **(bind_options or {}))
+            parsed = bind_xml_messages(sound, keep=keep, **(bind_options or {}))
         else:
             raise ValueError(f"unknown message kind {kind!r}")
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -121,20 +121,22 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
                 parts = [day_column(pfield), BATCH_COL]
             if table_files:
                 good = good.repartition(table_files, F.pmod(F.monotonically_increasing_id(), F.lit(table_files)))
-            _overwrite_partitions(good, table, parts, "parquet")
+            overwrite_partitions(good, table, parts, "parquet")
 
             error_root = config.get("errorPath")
             if error_root:
-                bad = bad_rows(parsed, keep=["publish_time"])
-                window = F.date_format(F.window("publish_time", "1 minute").start, "yyyy-MM-dd'T'HH:mm")
-                bad = bad.select(window.alias("window"), "value", "error", "source").withColumn(BATCH_COL, bid)
+                broken = batch.where(F.col("malformed").isNotNull()).select(
+                    F.col("malformed").alias("value"), F.lit(MALFORMED_ENVELOPE).alias("error"),
+                    F.lit(None).cast("string").alias("source"), "publish_time")
+                bad = bad_rows(parsed, keep=["publish_time"]).unionByName(broken)
+                bad = bad.select(minute_window(F.col("publish_time")).alias("window"), "value", "error", "source").withColumn(BATCH_COL, bid)
                 if files_per_window:
                     bad = spread(bad, "window", files_per_window)
-                _overwrite_partitions(bad, error_root, ["window", BATCH_COL], "json")
+                overwrite_partitions(bad, error_root, ["window", BATCH_COL], "json")
         finally:
             parsed.unpersist()
     finally:
-        batch.unpersist()
+        persisted.unpersist()
 
 
 def start_message_stream(
