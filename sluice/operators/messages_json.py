@@ -43,6 +43,7 @@ APPOINTMENTS = T.StructType([
 ])
 
 MALFORMED = "malformed JSON payload"
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def _is_absent(x: Column) -> Column:
@@ -62,13 +63,20 @@ def _is_container(x: Column) -> Column:
     return kind.startswith("OBJECT") | kind.startswith("ARRAY")
 
 
+def _field(x: Column, name: str) -> Column:
+    """One field of an object, taken by its path."""
+    if "'" in name or "\\" in name:
+        return F.element_at(_as_object(x), F.lit(name))
+    return F.try_variant_get(x, f"$['{name}']", "variant")
+
+
 def conforms(x: Column, dtype: T.DataType) -> Column:
     """True when the VARIANT value ``x`` binds to ``dtype`` (NULL/missing binds)."""
     if isinstance(dtype, T.StructType):
         obj = _as_object(x)
         allowed = F.array(*[F.lit(f.name) for f in dtype.fields])
         known = F.size(F.array_except(F.map_keys(obj), allowed)) == 0
-        fields = [conforms(F.element_at(obj, F.lit(f.name)), f.dataType) for f in dtype.fields]
+        fields = [conforms(_field(x, f.name), f.dataType) for f in dtype.fields]
         ok = obj.isNotNull() & known
         for f_ok in fields:
             ok = ok & f_ok
@@ -95,9 +103,8 @@ def _text_of(x: Column) -> Column:
 def bound_value(x: Column, dtype: T.DataType) -> Column:
     """The value a strict binder produces from VARIANT ``x`` for ``dtype`` (after ``conforms``)."""
     if isinstance(dtype, T.StructType):
-        obj = _as_object(x)
-        return F.when(obj.isNotNull(), F.struct(*[
-            bound_value(F.element_at(obj, F.lit(f.name)), f.dataType).alias(f.name) for f in dtype.fields
+        return F.when(F.schema_of_variant(x).startswith("OBJECT"), F.struct(*[
+            bound_value(_field(x, f.name), f.dataType).alias(f.name) for f in dtype.fields
         ]))
     if isinstance(dtype, T.ArrayType):
         return F.transform(_as_array(x), lambda e: bound_value(e, dtype.elementType))
@@ -120,18 +127,15 @@ def bind_json_messages(
     keep = list(keep or [])
     payload = F.col(payload_col)
     attrs = F.coalesce(F.col(attributes_col), F.create_map().cast("map<string,string>"))
-    # Parse once into a VARIANT; the rare payload it rejects (malformed, or
-    # duplicate keys, where the last value wins) falls back to the text parsers.
+    # Parse once into a VARIANT; of a repeated key the last value counts.
+    df.sparkSession.conf.set(DUPLICATE_KEYS, "true")
     parsed = df.select(*keep, payload.alias("__payload"), attrs.alias("__attrs"),
                        F.try_parse_json(payload).alias("__v"))
-    v0 = F.col("__v")
     base = parsed.select(
         *keep, "__payload", "__attrs", "__v",
-        F.try_variant_get(v0, "$", "map<string,variant>").alias("__top"),
-        F.when(v0.isNull(), F.from_json(F.col("__payload"), schema)).alias("__fallback"),
+        F.map_keys(F.try_variant_get(F.col("__v"), "$", "map<string,variant>")).alias("__keys"),
     )
-    p, a, v, top, fallback = (F.col(c) for c in ("__payload", "__attrs", "__v", "__top", "__fallback"))
-    keys = F.when(v.isNotNull(), F.map_keys(top)).otherwise(F.json_object_keys(p))
+    p, a, v, keys = (F.col(c) for c in ("__payload", "__attrs", "__v", "__keys"))
     allowed = F.array(*[F.lit(f.name) for f in schema.fields])
 
     errors = [F.when(p.isNull() | keys.isNull(), F.lit(MALFORMED))]
@@ -153,12 +157,11 @@ def bind_json_messages(
         else:
             attr_typed = attr_val.try_cast(f.dataType)
             attr_ok = attr_typed.isNotNull()
-        sub = F.element_at(top, F.lit(f.name))
+        sub = _field(v, f.name)
         payload_ok = conforms(sub, f.dataType)
         bad = F.when(from_attr, ~attr_ok).otherwise(~payload_ok)
         errors.append(F.when(bad, F.lit(f'Cannot bind field "{f.name}" to {f.dataType.simpleString()}')))
-        from_payload = F.when(v.isNotNull(), bound_value(sub, f.dataType)).otherwise(fallback.getField(f.name))
-        values.append(F.when(from_attr, attr_typed).otherwise(from_payload).alias(f.name))
+        values.append(F.when(from_attr, attr_typed).otherwise(bound_value(sub, f.dataType)).alias(f.name))
     error = first_error(errors)
     src = F.element_at(a, F.lit("MessageId")) if "MessageId" in required_attributes else F.lit(None).cast("string")
     return base.select(*keep, *values, error.alias(ERROR_COL), p.alias(RAW_COL), src.alias(SRC_COL), stage_barrier())
