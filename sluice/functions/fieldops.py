@@ -47,7 +47,7 @@ ZERO_RX = r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?\z"
 JAVA_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
 SPARK_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(nan|inf|infinity)[\x00-\x20]*\z"
 BIGDECIMAL_SCALE = 18
-MAX_PLAIN_SCALE = 100_000
+MAX_PLAIN_SCALE = 1_000_000
 
 ISO_MINUTE = "yyyy-MM-dd'T'HH:mm"
 ISO_SECOND = "yyyy-MM-dd'T'HH:mm:ss"
@@ -164,8 +164,15 @@ def _decimal_number(text: Column) -> Column:
 
 
 def _big_decimal(text: Column, scale: int) -> OpPlan:
-    parsed = F.when(text.rlike(DECIMAL_RX), _decimal_number(text).try_cast(f"decimal(38,{scale})"))
-    return OpPlan(parsed, reason=number_error(text))
+    """A number that the typed column holds exactly; one with more digits fails instead of being rounded."""
+    # Rounding can only happen with more fraction digits than the scale, or an exponent.
+    parts = _decimal_parts(text)
+    exact = parts["scale"] - (F.length(parts["digits"]) - F.length(F.rtrim(parts["digits"], F.lit("0")))) <= scale
+    long = text.rlike(r"\.[0-9]{%d}|[eE]" % (scale + 1))
+    fits = F.when(long, F.coalesce(exact, F.lit(False)) | text.rlike(ZERO_RX)).otherwise(F.lit(True))
+    parsed = F.when(text.rlike(DECIMAL_RX) & fits, _decimal_number(text).try_cast(f"decimal(38,{scale})"))
+    too_wide = F.concat(F.lit('Value does not fit DECIMAL(38,%d): "' % scale), text, F.lit('"'))
+    return OpPlan(parsed, reason=F.when(text.rlike(DECIMAL_RX), too_wide).otherwise(number_error(text)))
 
 
 _DECIMAL_PARTS_RX = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
@@ -174,12 +181,14 @@ _DECIMAL_PARTS_RX = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
 def _decimal_parts(text: Column) -> Column:
     """sign, integer digits, fraction digits and exponent of a valid decimal text."""
     exp_text = F.regexp_extract(text, _DECIMAL_PARTS_RX, 4)
-    return F.when(text.rlike(DECIMAL_RX), F.struct(
+    fraction = F.regexp_extract(text, _DECIMAL_PARTS_RX, 3)
+    exponent = F.when(exp_text == "", F.lit(0)).otherwise(exp_text.try_cast("int")).cast("bigint")
+    # An exponent beyond the limit would print as megabytes of zeros: the value fails.
+    usable = text.rlike(DECIMAL_RX) & F.coalesce(F.abs(F.length(fraction) - exponent) <= MAX_PLAIN_SCALE, F.lit(False))
+    return F.when(usable, F.struct(
         F.regexp_extract(text, _DECIMAL_PARTS_RX, 1).alias("sign"),
-        F.concat(F.regexp_extract(text, _DECIMAL_PARTS_RX, 2), F.regexp_extract(text, _DECIMAL_PARTS_RX, 3))
-        .alias("digits"),
-        (F.length(F.regexp_extract(text, _DECIMAL_PARTS_RX, 3))
-         - F.when(exp_text == "", F.lit(0)).otherwise(exp_text.try_cast("int"))).alias("scale"),
+        F.concat(F.regexp_extract(text, _DECIMAL_PARTS_RX, 2), fraction).alias("digits"),
+        (F.length(fraction) - exponent).cast("int").alias("scale"),
     ))
 
 
@@ -197,7 +206,7 @@ def _plain_from_parts(parts: Column) -> Column:
         .when(scale <= 0, F.concat(neg, unscaled, F.repeat(F.lit("0"), -scale)))
         .otherwise(F.concat(neg, F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, scale)))
     )
-    return F.when(parts.isNotNull() & scale.isNotNull() & (F.abs(scale) <= MAX_PLAIN_SCALE), plain)
+    return F.when(parts.isNotNull() & scale.isNotNull(), plain)
 
 
 def plain_decimal_text(text: Column) -> OpPlan:
@@ -224,14 +233,41 @@ def _precision(text: Column, arg: str) -> OpPlan:
     scale = _java_int(arg)
     if scale is None:
         return _always_fail(F.lit(f'For input string: "{arg}"'))
-    if scale > 38:
-        return _always_fail(F.lit(f"scale {scale} exceeds 38 digits"))
-    number = _decimal_number(text)
-    if scale >= 0:
-        rounded = number.try_cast(f"decimal(38,{scale})")
-    else:
-        rounded = F.round(number.try_cast(f"decimal(38,{BIGDECIMAL_SCALE})"), scale).cast("decimal(38,0)")
-    return OpPlan(F.when(text.rlike(DECIMAL_RX), rounded.cast("string")), reason=number_error(text))
+    if abs(scale) > MAX_PLAIN_SCALE:
+        return _always_fail(F.lit(f"scale {scale} is not supported"))
+    return OpPlan(_decimal_parts(text), lambda parts: _rounded(parts, scale), number_error(text))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _rounded(parts: Column, to: int) -> Column:
+    """HALF_UP at ``to`` decimals as plain text, by string arithmetic on the digits (no precision limit)."""
+    def plus_one(kept: Column) -> Column:
+        # Adding one turns the nines at the end into zeros.
+        head = F.rtrim(kept, F.lit("9"))
+        zeros = F.repeat(F.lit("0"), F.length(kept) - F.length(head))
+        last = (F.substring(head, F.length(head), F.lit(1)).cast("int") + 1).cast("string")
+        return F.when(head == "", F.concat(F.lit("1"), zeros)).otherwise(
+            F.concat(F.substring(head, F.lit(1), F.length(head) - 1), last, zeros))
+
+    def cut_at(p: Column) -> Column:
+        # ``cut`` digits are dropped, or zeros added when it is negative.
+        digits, cut, n = p["digits"], p["cut"], F.length(p["digits"])
+        kept = F.when(cut <= 0, F.concat(digits, F.repeat(F.lit("0"), -cut))).when(cut >= n, F.lit("")).otherwise(
+            F.substring(digits, F.lit(1), n - cut))
+        up = (cut > 0) & (cut <= n) & (F.substring(digits, n - cut + 1, F.lit(1)) >= "5")
+        unscaled = _let(F.struct(kept.alias("kept"), up.alias("up")),
+                        lambda k: F.when(k["up"], plus_one(k["kept"])).otherwise(k["kept"]))
+        return F.struct(p["sign"].alias("sign"), unscaled.alias("digits"), F.lit(to).alias("scale"))
+
+    def plain(p: Column) -> Column:
+        start = F.struct(p["sign"].alias("sign"), F.ltrim(p["digits"], F.lit("0")).alias("digits"), (p["scale"] - to).alias("cut"))
+        return _let(_let(start, cut_at), _plain_from_parts)
+
+    return F.when(parts.isNotNull(), _let(parts, plain))
 
 
 # ---------------------------------------------------------------- date / time
@@ -260,6 +296,22 @@ def iso_local_time(ts: Column) -> Column:
     )
 
 
+def _nanos(parsed: Column, text: Column, info: PatternInfo) -> Column:
+    """``parsed`` with the nine fraction digits of the text, which a timestamp holds only six of."""
+    group = next(g for ch, g in info.full_groups if ch == "S")
+    return F.when(parsed.isNotNull(), F.struct(
+        parsed.alias("at"), F.rpad(F.regexp_extract(text, info.full_regex, group), 9, "0").alias("fraction")))
+
+
+def _with_nanos(finish: Callable[[Column], Column], whole: str) -> Callable[[Column], Column]:
+    """ISO text of a ``_nanos`` value: nine digits where the last three are not all zero."""
+    def text(parsed: Column) -> Column:
+        short = F.substring(parsed["fraction"], 7, 3) == "000"
+        return F.when(short, finish(parsed["at"])).otherwise(
+            F.concat(F.date_format(parsed["at"], whole), F.lit("."), parsed["fraction"]))
+    return text
+
+
 def _plus_day(value: Column) -> Column:
     return value + F.make_dt_interval(F.lit(1))
 
@@ -393,12 +445,22 @@ def end_of_day_text(text: Column, info: PatternInfo) -> Column | None:
 
 
 def _clamped_parse(parse, text: Column, info: PatternInfo, plus_day=_plus_day) -> Column:
-    clamped = clamped_day_text(text, info)
-    first = parse(text)
-    parsed = first if clamped is None else F.coalesce(first, parse(clamped))
-    midnight = end_of_day_text(text, info)
-    if midnight is not None:
-        parsed = F.coalesce(parsed, plus_day(parse(midnight)))
+    """Strict parse, then the rare forms: a day past the month's end, hour 24.
+
+    The rare forms sit in a lambda over a one-element array: Spark interprets
+    it, and only for rows whose strict parse is NULL, instead of adding it to
+    the generated method of every row.
+    """
+    def rare(t: Column) -> Column | None:
+        clamped, midnight = clamped_day_text(t, info), end_of_day_text(t, info)
+        tries = [parse(clamped)] if clamped is not None else []
+        if midnight is not None:
+            tries.append(plus_day(parse(midnight)))
+        return F.coalesce(*tries) if tries else None
+
+    parsed = parse(text)
+    if rare(text) is not None:
+        parsed = F.coalesce(parsed, F.element_at(F.transform(F.array(text), rare), 1))
     cased = _text_fields_cased(text, info)
     return parsed if cased is None else F.when(cased, parsed)
 
@@ -437,6 +499,10 @@ def _datetime_op(kind: str, text: Column, arg: str) -> OpPlan:
     if need_time and not info.has_time:
         return _always_fail(F.concat(datetime_error(text), F.lit(": Unable to obtain LocalTime")))
     reason = datetime_error(text)
+    if kind in ("TIMESTAMP", "UTC_TIMESTAMP", "TIME") and info.letters.get("S", 0) > 6 and info.full_regex is not None:
+        parsed = utc_wall_clock(parse_instant(text, info)) if kind == "TIMESTAMP" else parse_local(text, info)
+        finish, whole = (iso_local_time, "HH:mm:ss") if kind == "TIME" else (iso_local_datetime, ISO_SECOND)
+        return OpPlan(_nanos(parsed, text, info), _with_nanos(finish, whole), reason)
     if kind == "TIMESTAMP":
         return OpPlan(utc_wall_clock(parse_instant(text, info)), iso_local_datetime, reason)
     if kind == "TRANSFORM_TIMESTAMP_TO_DATE":

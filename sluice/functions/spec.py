@@ -7,13 +7,8 @@ on the driver; only the resulting column expressions reach the executors.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
-# A ':' (and the blanks after it) that is not inside parentheses separates the
-# field name from its operation.
-_NAME_OP_SEPARATOR = re.compile(r":\s*(?![^()]*\))")
-
 
 @dataclass(frozen=True)
 class FieldSpec:
@@ -30,8 +25,23 @@ class FieldSpec:
     problem: str | None = None
 
 
+def _split_name_op(text: str) -> list[str]:
+    """Cut at each ':' (with the blanks after it) unless the next parenthesis behind it closes one."""
+    cuts, behind = [], ""
+    for i in reversed(range(len(text))):
+        if text[i] in "()":
+            behind = text[i]
+        elif text[i] == ":" and behind != ")":
+            cuts.append(i)
+    parts, start = [], 0
+    for i in reversed(cuts):
+        parts.append(text[start:i])
+        start = len(text) - len(text[i + 1:].lstrip())
+    return [*parts, text[start:]]
+
+
 def _java_style_split(text: str) -> list[str]:
-    parts = _NAME_OP_SEPARATOR.split(text)
+    parts = _split_name_op(text)
     # Java's String.split drops trailing empty strings.
     while parts and parts[-1] == "":
         parts.pop()

@@ -18,6 +18,8 @@ from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, first_error, s
 
 ARITY_ERROR = "File schema doesn't match with number of columns within the line"
 _CORRUPT = "_corrupt"
+# Separators (quoted ones too) from which on a line is not split but fails the cell count.
+MAX_CELLS = 1 << 16
 
 
 def full_match(line: Column, regex: str) -> Column:
@@ -57,12 +59,17 @@ def csv_options(splitter: str) -> dict[str, str]:
         "ignoreTrailingWhiteSpace": "true",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _CORRUPT,
+        "maxColumns": str(MAX_CELLS),
     }
 
 
 def _csv_struct(line: Column, width: int, splitter: str) -> Column:
+    """The split line; NULL (a wrong count) for one with too many separators for the parser, which would raise."""
+    if width >= MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS - 1} columns are not supported")
     schema = ", ".join(f"c{i} string" for i in range(width)) + f", {_CORRUPT} string"
-    return F.from_csv(line, schema, csv_options(splitter))
+    separators = F.length(line) - F.length(F.replace(line, F.lit(splitter[0]), F.lit("")))
+    return F.when(separators < MAX_CELLS - 1, F.from_csv(line, schema, csv_options(splitter)))
 
 
 def _cells_of(parsed: Column, width: int) -> list[Column]:
@@ -73,7 +80,7 @@ def _wrong_count(parsed: Column | None, line: Column) -> Column:
     # A blank line has no cells at all; the parser reports it as all-NULL.
     if parsed is None:
         return line != ""
-    return parsed[_CORRUPT].isNotNull() | (line == "")
+    return parsed.isNull() | parsed[_CORRUPT].isNotNull() | (line == "")
 
 
 def parse_delimited(
