@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.plans.jobs import csv_batch
+from sluice.plans.jobs import csv_batch, run
 from sluice.plans.message_queries import SQL as MESSAGE_SQL
-from sluice.plans.message_queries import json_envelopes, xml_envelopes
+from sluice.plans.message_queries import _JSON_CTE, JSON_ERROR, json_envelopes, xml_envelopes
 from sluice.plans.table_queries import SQL as TABLE_SQL
 from sluice.plans.table_queries import csv_line, pin_utc, read
 from sluice.session import scratch_path
-from sluice.sinks.table import write_table
+from sluice.sinks.table import write_table, write_text
 from sluice.streaming.stream import start_message_stream
 
 SQL: dict[str, str] = {}
@@ -31,42 +31,46 @@ def _mkdir(spark: SparkSession, path: str) -> None:
 
 
 def csv_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 end to end: dated CSV files with header/trailer lines -> table."""
+    """J1 through J5 end to end: dated CSV files with header/trailer lines -> table.
+
+    The configured path is a decoy: the runtime path wins (S2).  The folder's
+    name holds a space and a plus sign, which the lineage column must show.
+    """
     pin_utc(spark)
     root = scratch_path(spark, "csv-batch")
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")   # shuffled by month below anyway
-    data = csv_line(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity"), F.col("l_returnflag"))
-    header = F.when(F.col("l_linenumber") == 1, F.lit("l_orderkey,l_linenumber,l_quantity,l_returnflag"))
-    trailer = F.when(F.col("l_linenumber") == 1, F.lit("Tr,1"))
-    # One folder per shipping month (dated by the month's first day), one file each.
-    lines = li.select(
-        F.date_format(F.date_trunc("month", "l_shipdate"), "yyyyMMdd").alias("day"),
+    e = read(spark, sf_dir, "events")
+    data = csv_line(F.col("event_id"), F.col("user_id"), F.col("event_type"))
+    header = F.when(F.col("event_id") % 50 == 1, F.lit("event_id,user_id,event_type"))
+    trailer = F.when(F.col("event_id") % 50 == 1, F.lit("Tr,1"))
+    # One folder per event day, two files each.
+    lines = e.select(
+        F.date_format("ts", "yyyyMMdd").alias("day"), F.pmod(F.col("event_id"), F.lit(2)).alias("half"),
         F.explode(F.filter(F.array(header, data, trailer), lambda x: x.isNotNull())).alias("value"),
     )
-    lines.repartition("day").write.partitionBy("day").text(f"{root}/in")
+    lines.repartition("day", "half").drop("half").write.partitionBy("day").text(f"{root}/in files+1")
     _mkdir(spark, f"{root}/table")
     config = {
         "FileSource": {
-            "location": {"path": f"{root}/in/*/*.txt", "extractDateRegex": r"day=(\d{8})"},
-            "headerRegex": "^l_orderkey.*", "trailerRegex": "^Tr.*", "splitter": ",",
-        },
-        "CsvToTableRowTransform": {
-            "headers": "l_orderkey:LONG,l_linenumber:INTEGER,l_quantity:DOUBLE,l_returnflag:STRING,"
-                       "ship_day:DATE(yyyyMMdd)",
+            "location": {"path": f"{root}/nowhere/*.txt", "extractDateRegex": r"files\+1/day=(\d{8})"},
+            "headerRegex": "^event_id.*", "trailerRegex": "^Tr.*", "splitter": ",",
         },
+        "CsvToTableRowTransform": {"headers": "event_id:LONG,user_id:LONG,event_type:STRING,day:DATE(yyyyMMdd)"},
         "BigQuerySinkDynamic": {"table": f"{root}/table", "loadTimeField": "bq_load_dttm", "pField": ""},
         "errorPath": f"{root}/errors",
     }
-    csv_batch(spark, config)
+    run(spark, "csv_batch", config, file_path=f"{root}/in files+1/*/*.txt")
     return spark.read.parquet(f"{root}/table").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "ship_day")
+        "event_id", "user_id", "event_type", "day",
+        F.col("bq_row_src").contains("/in files+1/day=").alias("has_source"),
+        F.col("bq_load_dttm").isNotNull().alias("has_load_time"))
 
 
 SQL["csv_batch_files"] = """
-SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag,
-       strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS ship_day FROM lineitem
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
+       TRUE AS has_source, TRUE AS has_load_time FROM events
 """
 
+
 def csv_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 dead-letter path end to end: damaged order files -> dead-letter store."""
     from sluice.plans.table_queries import ORDERS_HEADERS, damaged_order_lines
@@ -89,10 +93,10 @@ def csv_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SINK_SCHEMA = T.StructType([
-    T.StructField("o_orderkey", T.LongType()),
-    T.StructField("o_orderdate", T.StringType()),
-    T.StructField("o_orderstatus", T.StringType()),
-    T.StructField("o_orderdate_day", T.StringType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("day", T.StringType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("day_day", T.StringType()),
 ])
 
 
@@ -101,18 +105,45 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     root = scratch_path(spark, "sink")
     _mkdir(spark, root)
-    # Orders are booked on the first day of their month, so each month is one day partition.
-    o = read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("o_orderdate"),
-        "o_orderstatus")
-    write_table(o, root, disposition="WRITE_EMPTY", partition_field="o_orderdate", load_time_field="bq_load_dttm",
-                files_per_partition=1)
+    e = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
+    write_table(e, root, disposition="WRITE_EMPTY", partition_field="day", load_time_field="bq_load_dttm",
+                files_per_partition=2)
     return spark.read.schema(SINK_SCHEMA).parquet(root)
 
 
 SQL["sink_partitioned"] = """
-SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS o_orderdate, o_orderstatus,
-       strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS o_orderdate_day FROM orders
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, event_type, strftime(ts, '%Y%m%d') AS day_day FROM events
+"""
+
+
+def sink_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load that truncates replaces its own days and leaves the others (K4 K5)."""
+    pin_utc(spark)
+    root = scratch_path(spark, "truncate")
+    _mkdir(spark, root)
+    e = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.lit("first").alias("load"))
+    write_table(e, root, partition_field="day", files_per_partition=2)
+    again = e.where(F.dayofmonth("day") % 2 == 0).withColumn("load", F.lit("second"))
+    write_table(again, root, disposition="WRITE_TRUNCATE", partition_field="day", files_per_partition=2)
+    return spark.read.schema("event_id long, day string, load string").parquet(root).select("event_id", "day", "load")
+
+
+SQL["sink_truncate"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN day(ts) % 2 = 0 THEN 'second' ELSE 'first' END AS load FROM events
+"""
+
+
+def text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines written in one folder per window and read back (K7)."""
+    root = scratch_path(spark, "text")
+    e = read(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("window"), F.concat_ws("|", F.col("event_id").cast("string"), "event_type").alias("value"))
+    write_text(e, root, partition_cols=["window"], num_files=4)
+    return spark.read.schema("value string, window string").text(root)
+
+
+SQL["text_sink"] = """
+SELECT CAST(event_id AS VARCHAR) || '|' || event_type AS value, strftime(ts, '%Y-%m-%d') AS "window" FROM events
 """
 
 
@@ -153,6 +184,59 @@ def stream_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, sf_dir, "xml")
 
 
+def _run_odd_stream(spark: SparkSession, sf_dir: str) -> str:
+    """A JSON stream with messages of all fates (see ``json_envelopes``), in real minutes of one hour.
+
+    Every seventh message has no publish time, every eleventh is a broken line.
+    """
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-odd")
+    events = read(spark, sf_dir, "events")
+    env = json_envelopes(events).select("payload", "attributes", "publish_time", F.col("publish_time").alias("ts"), "event_id")
+    minute = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(9), F.minute("ts"), F.second("ts").cast("decimal(8,6)"))
+    line = F.to_json(F.struct("payload", "attributes", F.when(F.col("event_id") % 7 != 0, minute).cast("timestamp").alias("publish_time")))
+    broken = F.concat(F.lit('{"payload":"cut-'), F.col("event_id").cast("string"))
+    env.select(F.when(F.col("event_id") % 11 == 0, broken).otherwise(line).alias("value")).write.text(f"{root}/in")
+    _mkdir(spark, f"{root}/table")
+    config = {
+        "errorPath": f"{root}/errors", "messages-bucket": f"{root}/archive",
+        "BigQuerySinkDynamicStream": {"table": f"{root}/table", "loadTimeField": "", "pField": "",
+                                      "customGcsTempLocation": f"{root}/checkpoint"},
+    }
+    start_message_stream(spark, "json", config, f"{root}/in", available_now=True, files_per_window=1).awaitTermination()
+    return root
+
+
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw archive a stream wrote: a line per message that came in, under its minute."""
+    return (spark.read.schema("value string, window string, batch string").text(f"{_run_odd_stream(spark, sf_dir)}/archive")
+            .select("window", "value"))
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead letters a stream wrote, broken envelopes and messages without a time too."""
+    schema = "value string, error string, source string, window string, batch string"
+    return spark.read.schema(schema).json(f"{_run_odd_stream(spark, sf_dir)}/errors").select("window", "value", "error", "source")
+
+
+_ODD_CTE = _JSON_CTE + """
+, m AS (
+  SELECT *, CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'unknown' ELSE strftime(ts, '2024-01-01T09:%M') END AS minute,
+         CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS payload,
+         '{"payload":"cut-' || eid AS cut
+  FROM p)
+"""
+SQL["stream_archive"] = _ODD_CTE + """
+SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE
+  payload || ',events,msg-' || eid || ',' || CASE k WHEN 9 THEN '' ELSE strftime(ts, '%Y-%m-%d') END END AS value FROM m
+"""
+SQL["stream_dead_letters"] = _ODD_CTE + f"""
+SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE payload END AS value,
+  CASE WHEN event_id % 11 = 0 THEN 'malformed message envelope' ELSE {JSON_ERROR} END AS error,
+  CASE WHEN event_id % 11 <> 0 THEN 'msg-' || eid END AS source
+FROM m WHERE event_id % 11 = 0 OR k IN (1, 2, 3, 4, 5, 9)
+"""
+
 SQL["csv_dead_letters"] = TABLE_SQL["csv_rejects"]
 SQL["stream_json"] = MESSAGE_SQL["json_bind"]
 SQL["stream_xml"] = MESSAGE_SQL["xml_bind"]
@@ -161,6 +245,10 @@ QUERIES = {
     "csv_batch_files": csv_batch_files,
     "csv_dead_letters": csv_dead_letters,
     "sink_partitioned": sink_partitioned,
+    "sink_truncate": sink_truncate,
+    "text_sink": text_sink,
     "stream_json": stream_json,
     "stream_xml": stream_xml,
+    "stream_archive": stream_archive,
+    "stream_dead_letters": stream_dead_letters,
 }

@@ -51,14 +51,16 @@ class BatchOutputs:
 def _maybe_cache(parsed: DataFrame, single_scan: bool) -> DataFrame:
     """``single_scan`` parses the input once and keeps the result on executor disk.
 
-    The default re-reads the input for each output instead; which is cheaper
-    depends on how expensive the source is to read again versus writing and
-    reading the parsed rows locally.  Lost cached blocks are recomputed from
-    the source, so executor loss is safe either way.
+    Lost cached blocks are recomputed from the source, so executor loss is safe.
     """
     return parsed.persist(StorageLevel.DISK_ONLY) if single_scan else parsed
 
 
+def _once(config: Mapping[str, Any], single_scan: bool | None) -> bool:
+    """A job that writes dead letters too parses its input once unless told otherwise."""
+    return bool(_get(config, "errorPath")) if single_scan is None else single_scan
+
+
 def _get(conf: Mapping[str, Any], dotted: str, default: Any = None) -> Any:
     cur: Any = conf
     for part in dotted.split("."):
@@ -151,9 +153,9 @@ def write_dead_letters(bad: DataFrame, path: str, fmt: str = "json", partition_c
 
 def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
               disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-              on_no_date: str = "fail", single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
+              on_no_date: str = "fail", single_scan: bool | None = None, run_id: str | None = None) -> BatchOutputs:
     """Run the delimited job and write both outputs (``run_id``: repeatable appends)."""
-    outputs = csv_outputs(spark, config, file_path, on_no_date, single_scan)
+    outputs = csv_outputs(spark, config, file_path, on_no_date, _once(config, single_scan))
     try:
         _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:
@@ -163,9 +165,9 @@ def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | N
 
 def avro_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
                disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-               compat: bool = False, single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
+               compat: bool = False, single_scan: bool | None = None, run_id: str | None = None) -> BatchOutputs:
     """Run the Avro job and write both outputs (``run_id``: repeatable appends)."""
-    outputs = avro_outputs(spark, config, file_path, compat, single_scan)
+    outputs = avro_outputs(spark, config, file_path, compat, _once(config, single_scan))
     try:
         _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:

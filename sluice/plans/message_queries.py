@@ -58,7 +58,7 @@ def json_envelopes(e: DataFrame) -> DataFrame:
     full = F.concat(F.lit('{"Type":'), type_json, F.lit(',"Data":'), data_json, extra, F.lit("}"))
     payload = F.when(k == 1, F.expr("substring(__full, 1, length(__full) - 1)")).otherwise(F.col("__full"))
     return (e.withColumn("__full", full)
-            .select(payload.alias("payload"), attributes(k == 9).alias("attributes"), F.col("ts").alias("publish_time")))
+            .select("event_id", payload.alias("payload"), attributes(k == 9).alias("attributes"), F.col("ts").alias("publish_time")))
 
 
 _JSON_CTE = """
@@ -108,18 +108,43 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_rows(bind_json_messages(json_envelopes(read(spark, sf_dir, "events")))).select("value", "error")
 
 
-SQL["json_rejects"] = _JSON_CTE + f"""
-SELECT CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS value,
+JSON_ERROR = f"""
   CASE k WHEN 1 THEN 'malformed JSON payload'
          WHEN 2 THEN 'Unrecognized field "Extra"'
          WHEN 3 THEN 'Cannot bind field "Data" to {DATA_TYPE}'
          WHEN 4 THEN 'Cannot bind field "Data" to {DATA_TYPE}'
          WHEN 5 THEN 'Cannot bind field "Type" to string'
-         WHEN 9 THEN 'missing attribute LogicalDate' END AS error
+         WHEN 9 THEN 'missing attribute LogicalDate' END"""
+SQL["json_rejects"] = _JSON_CTE + f"""
+SELECT CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS value, {JSON_ERROR} AS error
 FROM p WHERE k IN (1, 2, 3, 4, 5, 9)
 """
 
 
+def json_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A repeated key: the last value counts and is bound as strictly as any other (M1 M3 Q20)."""
+    pin_utc(spark)
+    e = read(spark, sf_dir, "events")
+    kind = F.col("event_id") % 4
+    last = (F.when(kind == 0, F.lit('"last"')).when(kind == 1, F.lit('{"o":1}')).when(kind == 2, F.lit("null")).otherwise(F.lit("7")))
+    payload = F.concat(F.lit('{"Type":"first","Type":'), last, F.lit(',"Data":[{"AppointmentId":"a","AppointmentId":"'),
+                       F.col("event_type"), F.when(F.col("event_id") % 5 == 0, F.lit('","Bogus":1,"Bogus":"2"}]}')).otherwise(F.lit('"}]}')))
+    bound = bind_json_messages(e.select(payload.alias("payload"), attributes().alias("attributes")))
+    return bound.select("MessageId", F.when(F.col("_error").isNull(), F.col("Type")).alias("type"),
+                        F.when(F.col("_error").isNull(), F.col("Data")[0]["AppointmentId"]).alias("id"), F.col("_error").alias("error"))
+
+
+SQL["json_repeated_keys"] = f"""
+WITH e AS (SELECT *, event_id % 4 AS k, event_id % 5 = 0 AS bogus FROM events)
+SELECT 'msg-' || CAST(event_id AS VARCHAR) AS "MessageId",
+       CASE WHEN k = 1 OR bogus THEN NULL WHEN k = 0 THEN 'last' WHEN k = 3 THEN '7' END AS type,
+       CASE WHEN k = 1 OR bogus THEN NULL ELSE event_type END AS id,
+       CASE WHEN k = 1 THEN 'Cannot bind field "Type" to string'
+            WHEN bogus THEN 'Cannot bind field "Data" to {DATA_TYPE}' END AS error
+FROM e
+"""
+
+
 def attr_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributes overlay payload keys and win (M2 M6)."""
     pin_utc(spark)
@@ -237,6 +262,7 @@ FROM events
 QUERIES = {
     "json_bind": json_bind,
     "json_rejects": json_rejects,
+    "json_repeated_keys": json_repeated_keys,
     "attr_override": attr_override,
     "xml_bind": xml_bind,
     "xml_rejects": xml_rejects,

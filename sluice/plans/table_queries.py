@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.fieldops import parse_iso_instant, parse_local_date, zoned_to_utc_date
 from sluice.operators.delimited import drop_header_trailer, parse_delimited
 from sluice.operators.results import bad_rows, good_rows
 from sluice.sources.tables import read_table
@@ -408,7 +409,107 @@ SELECT event_id, {_iso_sql('t')} AS ts_local, {_time_sql('t')} AS time_of_day,
        strftime(t, '%Y-%m-%d') AS day_local, strftime(t, '%Y-%m-%d') AS day_text FROM e
 """
 
+def wide_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with more digits than a decimal column holds: exact text, or an error, never rounded."""
+    pin_utc(spark)
+    li = read(spark, sf_dir, "lineitem")
+    key, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    wide = F.concat(F.lit("98765432109876543210"), key, F.lit("."), line, F.lit("00000000000000000000000000000000000049999"))
+    lines = li.select(csv_line(F.col("l_orderkey"), F.col("l_linenumber"), wide, wide, wide,
+                               F.concat(key, F.lit("E-120")),
+                               F.concat(key, F.lit(".0000000000000000000"), F.when(F.col("l_linenumber") < 3, F.lit("0")).otherwise(line)),
+                               F.concat(F.lit("1"), F.repeat(F.lit("0"), F.lit(35)), key)).alias("line"))
+    specs = ("k:LONG,n:INTEGER,same:int2bigDecimal,p2:PRECISION(2),p41:PRECISION(41),tiny:int2bigDecimal,"
+             "typed:BIGDECIMAL,big:BIGINT")
+    out = parse_delimited(lines, specs)
+    ok = F.col("_error").isNull()
+    return out.select("k", "n", "same", "p2", "p41", "tiny",
+                      F.when(ok, F.col("typed").cast("string")).alias("typed"), F.col("_error").alias("error"))
+
+
+SQL["wide_decimals"] = """
+WITH t AS (
+  SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_orderkey AS VARCHAR) AS ks, CAST(l_linenumber AS VARCHAR) AS ns,
+         '98765432109876543210' || CAST(l_orderkey AS VARCHAR) AS whole FROM lineitem),
+u AS (SELECT *, ks || '.0000000000000000000' || CASE WHEN n < 3 THEN '0' ELSE ns END AS typed_text,
+             '1' || repeat('0', 35) || ks AS big_text FROM t)
+SELECT CAST(k AS BIGINT) AS k, CAST(n AS INTEGER) AS n, whole || '.' || ns || '00000000000000000000000000000000000049999' AS same,
+       whole || '.' || ns || '0' AS p2, whole || '.' || ns || '0000000000000000000000000000000000005000' AS p41,
+       '0.' || repeat('0', 120 - length(ks)) || ks AS tiny,
+       CASE WHEN n < 3 AND length(big_text) <= 38 THEN ks || '.000000000000000000' END AS typed,
+       CASE WHEN n >= 3 THEN 'failed at field: typed, trace:Value does not fit DECIMAL(38,18): "' || typed_text || '"'
+            WHEN length(big_text) > 38 THEN 'failed at field: big, trace:For input string: "' || big_text || '"' END AS error
+FROM u
+"""
+
+
+def ts_nanos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven to nine fraction digits are kept."""
+    pin_utc(spark)
+    e = read(spark, sf_dir, "events")
+    nanos = F.lpad((F.col("event_id") * 7919 % 1_000_000_000).cast("string"), 9, "0")
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    lines = e.select(csv_line(F.col("event_id"), F.concat(at, F.lit("."), nanos, F.lit(" +02:00")), F.concat(at, F.lit("."), nanos),
+                              F.concat(F.date_format("ts", "HH:mm:ss"), F.lit("."), F.substring(nanos, 1, 7))).alias("line"))
+    specs = ("id:LONG,zoned:TIMESTAMP(yyyy-MM-dd HH:mm:ss.SSSSSSSSS XXX),local:UTC_TIMESTAMP(yyyy-MM-dd HH:mm:ss.SSSSSSSSS),"
+             "clock:TIME(HH:mm:ss.SSSSSSS)")
+    return good_rows(parse_delimited(lines, specs))
+
+
+SQL["ts_nanos"] = """
+WITH t AS (SELECT event_id, ts, lpad(CAST(event_id * 7919 % 1000000000 AS VARCHAR), 9, '0') AS f FROM events),
+u AS (SELECT *, substring(f, 1, 7) || '00' AS f7 FROM t)
+SELECT CAST(event_id AS BIGINT) AS id,
+""" + ",\n".join(f"""       strftime({at}, '{day}%H:%M') ||
+       CASE WHEN {f} = '000000000' AND second(ts) = 0 THEN ''
+            WHEN {f} = '000000000' THEN strftime(ts, ':%S')
+            WHEN substring({f}, 4) = '000000' THEN strftime(ts, ':%S.') || substring({f}, 1, 3)
+            WHEN substring({f}, 7) = '000' THEN strftime(ts, ':%S.') || substring({f}, 1, 6)
+            ELSE strftime(ts, ':%S.') || {f} END AS {name}""" for at, day, f, name in (
+    ("ts - INTERVAL 2 HOUR", "%Y-%m-%dT", "f", "zoned"), ("ts", "%Y-%m-%dT", "f", "local"), ("ts", "", "f7", "clock"))) + """
+FROM u
+"""
+
+
+def float_and_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLOAT cells, and an operation nobody knows, which fails each value but not an empty cell."""
+    pin_utc(spark)
+    li = read(spark, sf_dir, "lineitem")
+    lines = li.select(csv_line(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity"),
+                               F.when(F.col("l_linenumber") == 2, F.col("l_returnflag")).otherwise(F.lit(""))).alias("line"))
+    out = parse_delimited(lines, "k:LONG,n:INTEGER,quantity:FLOAT,flag:BOOLEAN")
+    return out.select("k", "n", F.col("quantity").cast("double").alias("quantity"), "flag", F.col("_error").alias("error"))
+
+
+SQL["float_and_unsupported"] = """
+SELECT CAST(l_orderkey AS BIGINT) AS k, CAST(l_linenumber AS INTEGER) AS n, CAST(CAST(l_quantity AS FLOAT) AS DOUBLE) AS quantity,
+       CAST(NULL AS VARCHAR) AS flag,
+       CASE WHEN l_linenumber = 2 THEN 'failed at field: flag, trace:Data type not supported' END AS error
+FROM lineitem
+"""
+
+
+def date_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library's date functions."""
+    pin_utc(spark)
+    e = read(spark, sf_dir, "events")
+    day = F.when(F.col("event_id") % 6 != 0, F.date_format("ts", "dd/MM/yyyy")).otherwise(F.lit("31/31/2024"))
+    return e.select(
+        "event_id", parse_local_date(day, "dd/MM/yyyy").cast("string").alias("day"),
+        F.date_format(parse_iso_instant(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")), "yyyy-MM-dd HH:mm:ss").alias("instant"),
+        zoned_to_utc_date(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm"), F.lit(" -05:00")), "yyyy-MM-dd HH:mm XXX").alias("utc_day"))
+
+
+SQL["date_helpers"] = """
+SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS instant, strftime(ts + INTERVAL 5 HOUR, '%Y-%m-%d') AS utc_day FROM events
+"""
+
 QUERIES = {
+    "wide_decimals": wide_decimals,
+    "ts_nanos": ts_nanos,
+    "float_and_unsupported": float_and_unsupported,
+    "date_helpers": date_helpers,
     "csv_typed": csv_typed,
     "csv_header_trailer": csv_header_trailer,
     "csv_rejects": csv_rejects,

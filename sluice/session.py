@@ -41,10 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests, a laptop) do we set one of our own.
+    and Spark runs in this one process (tests, a laptop) do we set one of our own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         root = DEFAULT_CHECKPOINT_DIR
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -53,5 +56,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root (never machine-local)."""
+    """A fresh folder under the shared checkpoint root."""
     return f"{ensure_checkpoint_dir(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"

@@ -9,7 +9,7 @@ from sluice.operators.delimited import ARITY_ERROR, drop_header_trailer, parse_d
 from sluice.operators.results import bad_rows, good_rows
 from sluice.plans.jobs import csv_batch, run
 
-APPOINTMENT_LINE = "AppointmentBooked,6c1dadd8-a71a-457a-a8d1-570033a5931a,2017-06-17:09:37Z,physio"
+APPOINTMENT_LINE = "VisitPlanned,visit-0042-b,2031-03-04:05:06Z,dermatology"
 PLAIN_HEADERS = "Type:STRING,AppointmentId:STRING,TimestampUTC:STRING,Discipline:STRING"
 
 
@@ -40,11 +40,11 @@ def test_header_trailer_full_match_only(spark):
 
 
 def test_file_date_is_the_last_cell(spark):
-    df = lines_df(spark, ["A,1", "A,1,2"]).withColumn("d", F.lit("20191228"))
+    df = lines_df(spark, ["A,1", "A,1,2"]).withColumn("d", F.lit("20310517"))
     out = parse_delimited(df, "a:STRING,b:LONG,Day:DATE(yyyyMMdd)", date_col="d")
     got = {r._raw: (r.Day, r._error) for r in out.collect()}
-    assert got["A,1,20191228"] == ("2019-12-28", None)
-    assert got["A,1,2,20191228"][1] == ARITY_ERROR
+    assert got["A,1,20310517"] == ("2031-05-17", None)
+    assert got["A,1,2,20310517"][1] == ARITY_ERROR
 
 
 def write(path, text, gz=False):
@@ -81,15 +81,15 @@ def test_reference_case_plain_csv(spark, scratch):
 
 
 def test_reference_case_header_trailer_dated_path(spark, scratch):
-    path = f"{scratch}/in/20191228/appointments_20191228.csv"
+    path = f"{scratch}/in/20310517/appointments_20310517.csv"
     write(path, "Type,AppointmentId,TimestampUTC,Discipline\n" + APPOINTMENT_LINE + "\nTr,1")
     headers = PLAIN_HEADERS + ",Transactional_Date:DATE(yyyyMMdd)"
     csv_batch(spark, csv_config(scratch, path, headers, r"(\d{8})", "^Type.*", "^Tr.*", pfield="Transactional_Date"))
     table = spark.read.parquet(f"{scratch}/table")
     assert table.count() == 1
     r = table.first()
-    assert r.Transactional_Date == "2019-12-28"
-    assert os.path.isdir(f"{scratch}/table/Transactional_Date_day=20191228")
+    assert r.Transactional_Date == "2031-05-17"
+    assert os.path.isdir(f"{scratch}/table/Transactional_Date_day=20310517")
 
 
 def test_gzip_input_and_dead_letters(spark, scratch):
@@ -162,10 +162,10 @@ def test_rerun_with_run_id_does_not_duplicate(spark, scratch):
     write(f"{scratch}/in/a.csv", APPOINTMENT_LINE + "\nonly,two\n")
     cfg = csv_config(scratch, f"{scratch}/in/a.csv")
     for _ in range(2):
-        csv_batch(spark, cfg, run_id="load-20191228")
-    csv_batch(spark, cfg, run_id="load-20191229")
+        csv_batch(spark, cfg, run_id="load-20310517")
+    csv_batch(spark, cfg, run_id="load-20320101")
     table = spark.read.parquet(f"{scratch}/table")
-    assert sorted(r.ingest_run for r in table.collect()) == ["load-20191228", "load-20191229"]
+    assert sorted(r.ingest_run for r in table.collect()) == ["load-20310517", "load-20320101"]
     assert spark.read.json(f"{scratch}/errors").count() == 2
     with pytest.raises(ValueError):
         csv_batch(spark, cfg, disposition="WRITE_TRUNCATE", run_id="x")
@@ -174,7 +174,7 @@ def test_rerun_with_run_id_does_not_duplicate(spark, scratch):
 def test_spread_splits_a_hot_key_of_identical_rows(spark):
     from sluice.sinks.table import spread
 
-    hot = spark.range(30000).select(F.lit("2019-12-28").alias("day"), F.lit("same").alias("v"))
+    hot = spark.range(30000).select(F.lit("2031-05-17").alias("day"), F.lit("same").alias("v"))
     cold = spark.range(60000).select(F.date_format(F.date_add(F.lit("2019-01-01"), (F.col("id") % 50).cast("int")),
                                                    "yyyy-MM-dd").alias("day"), F.lit("x").alias("v"))
     # At this size AQE would merge all shuffle partitions into one; at scale the
@@ -184,7 +184,7 @@ def test_spread_splits_a_hot_key_of_identical_rows(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
         spread_df = spread(hot.union(cold), "day", 4)
-        per_task = (spread_df.filter("day = '2019-12-28'").groupBy(F.spark_partition_id().alias("p")).count()
+        per_task = (spread_df.filter("day = '2031-05-17'").groupBy(F.spark_partition_id().alias("p")).count()
                     .collect())
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

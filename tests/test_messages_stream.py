@@ -9,46 +9,46 @@ from sluice.operators.messages_xml import archive_lines, bind_xml_messages
 from sluice.operators.results import bad_rows, good_rows
 from sluice.streaming.stream import process_batch, start_message_stream
 
-ATTRS = {"TopicName": "appointments", "MessageId": "messsage-id-001-23323", "LogicalDate": "2019-12-28"}
-JSON_PAYLOAD = json.dumps({"Type": "AppointmentBooked", "Data": [{
-    "AppointmentId": "6c1dadd8-a71a-457a-a8d1-570033a5931a", "TimestampUtc": "2017-06-17:09:37Z",
-    "Disciplines": ["Physio", "Cardio"]}]})
+ATTRS = {"TopicName": "appointments", "MessageId": "m-77", "LogicalDate": "2031-05-17"}
+JSON_PAYLOAD = json.dumps({"Type": "VisitPlanned", "Data": [{
+    "AppointmentId": "visit-0042-b", "TimestampUtc": "2031-03-04:05:06Z",
+    "Disciplines": ["Dermatology", "Radiology"]}]})
 XML_PAYLOAD = """<?xml version="1.0" encoding="utf-8"?>
 <Appointments>
-    <Type>AppointmentBooked</Type>
+    <Type>VisitPlanned</Type>
     <Data>
-        <AppointmentId>6c1dadd8-a71a-457a-a8d1-570033a5931a</AppointmentId>
-        <TimestampUtc>str1234</TimestampUtc>
-        <Discipline>physio</Discipline>
+        <AppointmentId>visit-0042-b</AppointmentId>
+        <TimestampUtc>at-noon</TimestampUtc>
+        <Discipline>dermatology</Discipline>
     </Data>
 </Appointments>"""
 
 
 def envelopes(spark, items):
     return spark.createDataFrame(
-        [(p, a, t or dt.datetime(2019, 12, 28, 10, 0, 5)) for p, a, t in items],
+        [(p, a, t or dt.datetime(2031, 5, 17, 10, 0, 5)) for p, a, t in items],
         "payload string, attributes map<string,string>, publish_time timestamp",
     )
 
 
 def test_reference_case_json(spark):
     out = good_rows(bind_json_messages(envelopes(spark, [(JSON_PAYLOAD, ATTRS, None)]))).first()
-    assert out.Type == "AppointmentBooked"
-    assert out.Data[0].AppointmentId == "6c1dadd8-a71a-457a-a8d1-570033a5931a"
-    assert out.Data[0].Disciplines == ["Physio", "Cardio"]
-    assert (out.TopicName, out.MessageId, out.LogicalDate) == ("appointments", "messsage-id-001-23323", "2019-12-28")
+    assert out.Type == "VisitPlanned"
+    assert out.Data[0].AppointmentId == "visit-0042-b"
+    assert out.Data[0].Disciplines == ["Dermatology", "Radiology"]
+    assert (out.TopicName, out.MessageId, out.LogicalDate) == ("appointments", "m-77", "2031-05-17")
 
 
 def test_reference_case_xml_with_sent_id(spark):
     out = good_rows(bind_xml_messages(envelopes(spark, [(XML_PAYLOAD, ATTRS, None)]))).first()
-    assert out.Type == "AppointmentBooked"
-    assert (out.TopicName, out.MessageId, out.LogicalDate) == ("appointments", "messsage-id-001-23323", "2019-12-28")
-    assert out.Data[0].Disciplines == ["physio"]
+    assert out.Type == "VisitPlanned"
+    assert (out.TopicName, out.MessageId, out.LogicalDate) == ("appointments", "m-77", "2031-05-17")
+    assert out.Data[0].Disciplines == ["dermatology"]
 
 
 def test_json_edge_messages(spark):
     items = [
-        ('{"Type":"AppointmentBooked","Data":{"AppointmentId":"1"}', ATTRS),      # truncated + object for array
+        ('{"Type":"VisitPlanned","Data":{"AppointmentId":"1"}', ATTRS),      # truncated + object for array
         ('{"Type":"X","Data":{"AppointmentId":"1"}}', ATTRS),                      # object where array expected
         ('{"Type":"X","Unknown":1}', ATTRS),                                        # unknown top-level field
         ('{"Type":"X","Data":[{"AppointmentId":"1","Room":2}]}', ATTRS),           # unknown nested field
@@ -60,7 +60,7 @@ def test_json_edge_messages(spark):
     ]
     out = bind_json_messages(envelopes(spark, [(p, a, None) for p, a in items]))
     good = {r.Type: r.MessageId for r in good_rows(out).collect()}
-    assert good == {"5": "messsage-id-001-23323", "X": "messsage-id-001-23323", "Ärzte": "messsage-id-001-23323"}
+    assert good == {"5": "m-77", "X": "m-77", "Ärzte": "m-77"}
     bad = {r.value: r.error for r in bad_rows(out).collect()}
     assert len(bad) == 6
     assert bad['{"Type":"X","Unknown":1}'] == 'Unrecognized field "Unknown"'
@@ -82,14 +82,14 @@ def test_xml_edge_messages(spark):
     assert sorted((r.Data[0].AppointmentId if r.Data else "") for r in good) == ["", "1", "2"]
     bad = bad_rows(out).collect()
     assert len(bad) == 3
-    assert all(b.value.endswith(",appointments,messsage-id-001-23323,2019-12-28") for b in bad)
+    assert all(b.value.endswith(",appointments,m-77,2031-05-17") for b in bad)
 
 
 def test_archive_keeps_every_message_with_empty_slot(spark):
-    df = envelopes(spark, [("p1", ATTRS, None), ("p2", {"TopicName": "t"}, dt.datetime(2019, 12, 28, 10, 1, 59))])
+    df = envelopes(spark, [("p1", ATTRS, None), ("p2", {"TopicName": "t"}, dt.datetime(2031, 5, 17, 10, 1, 59))])
     got = sorted((r.window, r.value) for r in archive_lines(df).collect())
-    assert got == [("2019-12-28T10:00", "p1,appointments,messsage-id-001-23323,2019-12-28"),
-                   ("2019-12-28T10:01", "p2,t,,")]
+    assert got == [("2031-05-17T10:00", "p1,appointments,m-77,2031-05-17"),
+                   ("2031-05-17T10:01", "p2,t,,")]
 
 
 def batch_runs(table):
@@ -112,7 +112,7 @@ def write_envelopes(spark, df, path):
 
 
 def test_stream_equals_batch_and_restarts_without_duplicates(spark, scratch):
-    t0 = dt.datetime(2019, 12, 28, 10, 0, 5)
+    t0 = dt.datetime(2031, 5, 17, 10, 0, 5)
     first = [(JSON_PAYLOAD, ATTRS, t0), (JSON_PAYLOAD, dict(ATTRS, MessageId="m2"), t0 + dt.timedelta(minutes=1)),
              ('{"Type":', ATTRS, t0)]
     cfg = stream_config(scratch)
@@ -122,7 +122,7 @@ def test_stream_equals_batch_and_restarts_without_duplicates(spark, scratch):
     batch_good = good_rows(bind_json_messages(envelopes(spark, first)))
     assert sorted(r.MessageId for r in table.collect()) == sorted(r.MessageId for r in batch_good.collect())
     # Two minutes in one batch: two archive windows; the malformed message is dead-lettered.
-    assert sorted(os.listdir(f"{scratch}/archive"))[:2] == ["window=2019-12-28T10%3A00", "window=2019-12-28T10%3A01"]
+    assert sorted(os.listdir(f"{scratch}/archive"))[:2] == ["window=2031-05-17T10%3A00", "window=2031-05-17T10%3A01"]
     assert spark.read.json(f"{scratch}/errors").count() == 1
 
     # A late message arrives in a later batch; restart from the same checkpoint:
@@ -133,9 +133,9 @@ def test_stream_equals_batch_and_restarts_without_duplicates(spark, scratch):
     write_envelopes(spark, envelopes(spark, late), f"{scratch}/in")
     start_message_stream(spark, "json", cfg, f"{scratch}/in", available_now=True).awaitTermination()
     ids = sorted(r.MessageId for r in spark.read.parquet(f"{scratch}/table").collect())
-    assert ids == ["late", "m2", "messsage-id-001-23323"]
+    assert ids == ["late", "m-77", "m2"]
     assert batch_runs(f"{scratch}/table") == runs
-    assert "window=2019-12-28T09%3A00" in os.listdir(f"{scratch}/archive")
+    assert "window=2031-05-17T09%3A00" in os.listdir(f"{scratch}/archive")
 
 
 def test_new_checkpoint_does_not_overwrite_earlier_batches(spark, scratch):
@@ -175,12 +175,12 @@ def test_run_dispatches_streams(spark, scratch):
     cfg = stream_config(scratch)
     write_envelopes(spark, envelopes(spark, [(XML_PAYLOAD, ATTRS, None)]), f"{scratch}/in")
     run(spark, "xml_stream", cfg, subscription=f"{scratch}/in", available_now=True).awaitTermination()
-    assert spark.read.parquet(f"{scratch}/table").first().MessageId == "messsage-id-001-23323"
+    assert spark.read.parquet(f"{scratch}/table").first().MessageId == "m-77"
 
 
 def test_files_per_window_bounds_archive_files(spark, scratch):
     cfg = stream_config(scratch)
-    t0 = dt.datetime(2019, 12, 28, 10, 0, 5)
+    t0 = dt.datetime(2031, 5, 17, 10, 0, 5)
     items = [(JSON_PAYLOAD, dict(ATTRS, MessageId=f"m{i}"), t0 + dt.timedelta(seconds=7 * i)) for i in range(40)]
     batch = envelopes(spark, items).repartition(4)
     process_batch(batch, 0, "json", cfg, files_per_window=1)
@@ -207,8 +207,8 @@ def test_kafka_rows_become_envelopes(spark):
 
     rows = [(bytearray(JSON_PAYLOAD.encode()), [("MessageId", bytearray(b"a")), ("TopicName", bytearray(b"t")),
                                                 ("MessageId", bytearray(b"b")), ("LogicalDate", bytearray(b"d"))],
-             dt.datetime(2019, 12, 28, 10, 0)),
-            (bytearray(b"\xff"), None, dt.datetime(2019, 12, 28, 10, 0))]
+             dt.datetime(2031, 5, 17, 10, 0)),
+            (bytearray(b"\xff"), None, dt.datetime(2031, 5, 17, 10, 0))]
     df = spark.createDataFrame(rows, "value binary, headers array<struct<key:string,value:binary>>, timestamp timestamp")
     env = kafka_envelopes(df).collect()
     assert env[0].attributes == {"MessageId": "b", "TopicName": "t", "LogicalDate": "d"}

@@ -11,7 +11,7 @@ from sluice.plans.jobs import avro_batch
 @pytest.fixture
 def records(spark):
     return spark.createDataFrame(
-        [("1", "2.345", None, ("a", "20191228"), "5"), ("2", "x", "k", ("b", "bad"), "6")],
+        [("1", "2.345", None, ("a", "20310517"), "5"), ("2", "x", "k", ("b", "bad"), "6")],
         "id string, amount string, maybe string, nested struct<name:string,day:string>, n string",
     )
 
@@ -58,9 +58,9 @@ def test_empty_rule_list_passes_through(spark, records):
 
 
 def test_derive_field(spark):
-    df = spark.createDataFrame([("2019-12-28 10:00:00",), (None,)], "ts string")
+    df = spark.createDataFrame([("2031-05-17 10:00:00",), (None,)], "ts string")
     out = derive_field(df, "p", "ts:DATE(yyyy-MM-dd HH:mm:ss)")
-    assert sorted(r.p or "" for r in good_rows(out).collect()) == ["", "2019-12-28"]
+    assert sorted(r.p or "" for r in good_rows(out).collect()) == ["", "2031-05-17"]
 
 
 AVRO_SCHEMA = {
@@ -81,8 +81,8 @@ AVRO_SCHEMA = {
 
 
 def avro_records():
-    base = {"Type": "Booked", "AppointmentId": "6c1", "TimestampUTC": "2017-06-17:09:37Z",
-            "Discipline": {"string": "physio"}, "Day": 18000, "At": 34567890, "Ts": 1577836800123,
+    base = {"Type": "Booked", "AppointmentId": "6c1", "TimestampUTC": "2031-03-04:05:06Z",
+            "Discipline": {"string": "dermatology"}, "Day": 18000, "At": 34567890, "Ts": 1577836800123,
             "Micros": 1577836800123456, "Amount": decimal_bytes(-12345), "Count": 5, "F": 1.5, "D": 2.25,
             "Back": {"long": 7}}
     other = dict(base, Type="Cancelled", AppointmentId="x", Discipline=None, Amount=decimal_bytes(10 ** 17 + 1),
@@ -93,8 +93,8 @@ def avro_records():
 def test_avro_job_normalises_and_routes(spark, scratch):
     import os
 
-    os.makedirs(f"{scratch}/in/20191228")
-    write_avro(spark, f"{scratch}/in/20191228/appointments.avro", AVRO_SCHEMA, avro_records(), codec="deflate")
+    os.makedirs(f"{scratch}/in/20310517")
+    write_avro(spark, f"{scratch}/in/20310517/appointments.avro", AVRO_SCHEMA, avro_records(), codec="deflate")
     os.makedirs(f"{scratch}/table")
     config = {
         "AvroSource": {"path": f"{scratch}/in/*/*.avro", "partition": {"extractDateRegex": r"(\d{8})", "pFieldName": "pdate"}},
@@ -113,7 +113,7 @@ def test_avro_job_normalises_and_routes(spark, scratch):
     rec = json.loads(sorted(d.value for d in dead)[0])
     assert rec["type"] == "Booked" and rec["day"] == "2019-04-14" and rec["at"] == "09:36:07.890"
     assert rec["ts"] == "2020-01-01T00:00:00.123Z" and rec["micros"] == 1577836800123456
-    assert rec["amount"] == -123.45 and rec["back"] == 7 and rec["pdate"] == "20191228"
+    assert rec["amount"] == -123.45 and rec["back"] == 7 and rec["pdate"] == "20310517"
     assert rec["bq_row_id"] and rec["bq_row_src"].endswith("appointments.avro")
 
 
@@ -132,7 +132,7 @@ def test_reference_case_avro(spark, scratch):
     avro_batch(spark, config)
     table = spark.read.parquet(f"{scratch}/table")
     r = table.filter("type = 'Booked'").first()
-    assert (r.type, r.appointmentid, r.timestamputc, r.discipline) == ("Booked", "6c1", "2017-06-17:09:37Z", "physio")
+    assert (r.type, r.appointmentid, r.timestamputc, r.discipline) == ("Booked", "6c1", "2031-03-04:05:06Z", "dermatology")
     assert r.bq_row_id and "appointments.avro" in r.bq_row_src
     big = table.filter("type = 'Cancelled'").first()
     assert str(big.amount) == "1000000000000000.01" and big.discipline is None and big.back is None
