@@ -4,7 +4,7 @@ Config is a plain dict that uses the same keys as the original job configs:
 
 * ``FileSource.location.{path, extractDateRegex}``, ``FileSource.{headerRegex,
   trailerRegex, splitter}``, ``CsvToTableRowTransform.headers``
-* ``AvroSource.{path, partition.{extractDateRegex, pFieldName}}``,
+* ``AvroSource.{path, rowText, partition.{extractDateRegex, pFieldName}}``,
   ``JsonStrategyTransform.jsonStrategy`` (list of ``{location, operation}``)
 * ``BigQuerySinkDynamic.{table, loadTimeField, pField}`` (batch) and
   ``BigQuerySinkDynamicStream.{table, loadTimeField, pField,
@@ -104,6 +104,7 @@ def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str
         spark, path,
         date_regex=_get(config, "AvroSource.partition.extractDateRegex", "") or "",
         partition_field=_get(config, "AvroSource.partition.pFieldName", "") or "",
+        row_text=bool(_get(config, "AvroSource.rowText", False)),
     )
     ruled = apply_rules(records, _get(config, "JsonStrategyTransform.jsonStrategy", []) or [], compat=compat)
     # The records carry uuid() lineage: caching keeps one id per record across both outputs.

@@ -2,15 +2,19 @@
 
 Spark's own Avro reader (``format("avro")``) is used when its module is on
 the classpath: it splits files, converts logical types and keeps the work in
-the JVM.  Without it, each datum comes through Avro's text input format as
-JSON (still one task per split, in parallel) and is typed with ``from_json``
-against the writer schema; that is the only step where rows pass through a
-Python worker, as plain strings.
+the JVM.  Without it, and only on request (``row_text=True``), each datum comes
+through Avro's text input format as JSON (still one task per split, in
+parallel) and is typed with ``from_json``; that is the only step where rows pass
+through a Python worker, as plain strings.
+
+Files of one load may have unlike schemas: the records have the fields of all
+of them, NULL where a file lacks one.
 """
 
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,34 +24,45 @@ from sluice.operators.results import ROW_ID_COL, ROW_SRC_COL, SRC_COL
 from sluice.sources.files import extract_path_date, file_path
 
 
-def writer_schema(spark: SparkSession, path: str) -> dict:
-    """Writer schema from the header of the first file matching ``path`` (driver, a few KB)."""
+def writer_schemas(spark: SparkSession, path: str) -> list[dict]:
+    """The distinct writer schemas of all files matching ``path``, from their headers (a few KB each), in path order."""
     jvm = spark._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(conf)
-    statuses = fs.globStatus(hpath)
-    if statuses is None or len(statuses) == 0:
-        raise FileNotFoundError(path)
-    first = None
-    for st in statuses:
-        if st.isDirectory():
-            inner = [s for s in fs.listStatus(st.getPath()) if s.getPath().getName().endswith(".avro")]
-            if inner:
-                first = inner[0].getPath()
-                break
-        else:
-            first = st.getPath()
-            break
-    if first is None:
+    files = []
+    for st in fs.globStatus(hpath) or []:
+        inner = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        files += [s.getPath() for s in inner if not st.isDirectory() or s.getPath().getName().endswith(".avro")]
+    if not files:
         raise FileNotFoundError(f"no Avro file under {path}")
-    reader = jvm.org.apache.avro.file.DataFileReader(
-        jvm.org.apache.avro.mapred.FsInput(first, conf), jvm.org.apache.avro.generic.GenericDatumReader()
-    )
-    try:
-        return json.loads(reader.getSchema().toString())
-    finally:
-        reader.close()
+
+    def header(file) -> str:
+        reader = jvm.org.apache.avro.file.DataFileReader(
+            jvm.org.apache.avro.mapred.FsInput(file, conf), jvm.org.apache.avro.generic.GenericDatumReader())
+        try:
+            return reader.getSchema().toString()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        texts = list(pool.map(header, files))
+    return [json.loads(t) for t in dict.fromkeys(texts)]
+
+
+def merged_schema(schemas: list[dict]) -> dict:
+    """One record schema with the fields of all; a field that some lack may be null, one of unlike types is an error."""
+    fields: dict[str, dict] = {}
+    for schema in schemas:
+        for f in schema["fields"]:
+            known = fields.setdefault(f["name"], dict(f))
+            if known["type"] != f["type"]:
+                raise ValueError(f"files disagree on the type of field {f['name']}: {known['type']} and {f['type']}; give a schema")
+    for name, f in fields.items():
+        if any(all(g["name"] != name for g in s["fields"]) for s in schemas):
+            kinds = f["type"] if isinstance(f["type"], list) else [f["type"]]
+            f.update(type=["null", *[k for k in kinds if k != "null"]], default=None)
+    return {**schemas[0], "fields": list(fields.values())}
 
 
 def _spark_avro(spark: SparkSession, path: str, avro: dict) -> DataFrame | None:
@@ -60,12 +75,14 @@ def _spark_avro(spark: SparkSession, path: str, avro: dict) -> DataFrame | None:
         raise
 
 
-def read_avro_records(spark: SparkSession, path: str, schema: dict | None = None) -> tuple[DataFrame, dict]:
-    """Physical records plus ``_src`` (source file); returns (frame, writer schema)."""
-    avro = schema or writer_schema(spark, path)
+def read_avro_records(spark: SparkSession, path: str, schema: dict | None = None, row_text: bool = False) -> tuple[DataFrame, dict]:
+    """Physical records plus ``_src`` (source file); returns (frame, schema)."""
+    avro = schema or merged_schema(writer_schemas(spark, path))
     df = _spark_avro(spark, path, avro)
     if df is not None:
         return df.withColumn(SRC_COL, file_path()), avro
+    if not row_text:
+        raise RuntimeError("Spark's Avro module is not deployed; row_text=True reads the files through Avro's text input format")
     rdd = spark.sparkContext.hadoopFile(
         path, "org.apache.avro.mapred.AvroAsTextInputFormat",
         "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable",
@@ -81,13 +98,14 @@ def read_avro(
     date_regex: str = "",
     partition_field: str = "",
     schema: dict | None = None,
+    row_text: bool = False,
 ) -> DataFrame:
     """Normalised records + partition date field + ``bq_row_id`` / ``bq_row_src``.
 
     The date (first match of ``date_regex`` in the source path) is written as
     raw text under ``partition_field`` when the regex is set and matches.
     """
-    physical, avro = read_avro_records(spark, path, schema)
+    physical, avro = read_avro_records(spark, path, schema, row_text)
     rows = normalise_records(physical, avro, keep=[SRC_COL])
     if date_regex and partition_field:
         date = extract_path_date(F.col(SRC_COL), date_regex)

@@ -1,3 +1,4 @@
+import os
 import json
 
 import pytest
@@ -97,7 +98,7 @@ def test_avro_job_normalises_and_routes(spark, scratch):
     write_avro(spark, f"{scratch}/in/20310517/appointments.avro", AVRO_SCHEMA, avro_records(), codec="deflate")
     os.makedirs(f"{scratch}/table")
     config = {
-        "AvroSource": {"path": f"{scratch}/in/*/*.avro", "partition": {"extractDateRegex": r"(\d{8})", "pFieldName": "pdate"}},
+        "AvroSource": {"rowText": True, "path": f"{scratch}/in/*/*.avro", "partition": {"extractDateRegex": r"(\d{8})", "pFieldName": "pdate"}},
         "JsonStrategyTransform": {"jsonStrategy": [
             {"location": "/pdate", "operation": "DATE(yyyyMMdd)"},
             {"location": "/appointmentid", "operation": "LONG"},
@@ -124,7 +125,7 @@ def test_reference_case_avro(spark, scratch):
     write_avro(spark, f"{scratch}/in/appointments.avro", AVRO_SCHEMA, avro_records())
     os.makedirs(f"{scratch}/table")
     config = {
-        "AvroSource": {"path": f"{scratch}/in/appointments.avro", "partition": {"extractDateRegex": "", "pFieldName": ""}},
+        "AvroSource": {"rowText": True, "path": f"{scratch}/in/appointments.avro", "partition": {"extractDateRegex": "", "pFieldName": ""}},
         "JsonStrategyTransform": {"jsonStrategy": []},
         "BigQuerySinkDynamic": {"table": f"{scratch}/table", "loadTimeField": "", "pField": ""},
         "errorPath": f"{scratch}/errors",
@@ -152,7 +153,7 @@ def test_avro_accepts_types_beyond_the_original_set(spark, scratch):
     os.makedirs(f"{scratch}/in")
     write_avro(spark, f"{scratch}/in/r.avro", schema,
                [{"Flag": True, "Tags": ["a", "b"], "Counts": {"k": 3}, "Inner": {"x": 1}}])
-    r = read_avro(spark, f"{scratch}/in/r.avro").first()
+    r = read_avro(spark, f"{scratch}/in/r.avro", row_text=True).first()
     assert (r.flag, r.tags, r.counts, r.inner.x) == (True, ["a", "b"], {"k": 3}, 1)
 
 
@@ -174,3 +175,22 @@ def test_other_timestamp_logical_types_stay_raw_longs(spark):
                    "cast('2020-01-01 00:00:00.123' as timestamp_ntz) b, "
                    "cast('2020-01-01 00:00:00.123456' as timestamp_ntz) c")
     assert tuple(normalise_records(df, schema).first()) == (1577836800123456, 1577836800123, 1577836800123456)
+
+
+def test_files_of_unlike_schemas_keep_all_fields(spark, scratch):
+    import pytest
+
+    from sluice.sources.avro import read_avro
+
+    os.makedirs(f"{scratch}/in", exist_ok=True)
+    one = {"type": "record", "name": "r", "fields": [{"name": "a", "type": "int"}, {"name": "f", "type": "float"}]}
+    two = {"type": "record", "name": "r", "fields": [{"name": "a", "type": "int"}, {"name": "b", "type": ["null", "double"]}]}
+    write_avro(spark, f"{scratch}/in/1.avro", one, [{"a": 1, "f": 0.5}])
+    write_avro(spark, f"{scratch}/in/2.avro", two, [{"a": 2, "b": {"double": 1.25}}, {"a": 3, "b": None}])
+    got = sorted((r["a"], r["f"], r["b"]) for r in read_avro(spark, f"{scratch}/in/*.avro", row_text=True).collect())
+    assert got == [(1, 0.5, None), (2, None, 1.25), (3, None, None)]
+    with pytest.raises(RuntimeError, match="Avro module"):
+        read_avro(spark, f"{scratch}/in/*.avro")
+    write_avro(spark, f"{scratch}/in/3.avro", {**one, "fields": [{"name": "a", "type": "string"}]}, [{"a": "x"}])
+    with pytest.raises(ValueError, match="disagree"):
+        read_avro(spark, f"{scratch}/in/*.avro", row_text=True)
