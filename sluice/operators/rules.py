@@ -103,6 +103,11 @@ def _record_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in INTERNAL_COLS]
 
 
+def _target(location: str) -> str:
+    """The field a rule writes: the pointer's last segment as it stands, escapes and all."""
+    return location.rsplit("/", 1)[-1]
+
+
 def _is_invalid(rule: Rule) -> bool:
     return pointer_segments(rule.location) is None
 
@@ -119,7 +124,7 @@ def _stages(rules: list[Rule]) -> list[list[Rule]]:
     for rule in rules:
         segments = pointer_segments(rule.location) or []
         reads = segments[0] if segments else None
-        target = segments[-1] if segments else None
+        target = _target(rule.location) if segments else None
         if not stages or reads in written or target in written:
             stages.append([])
             written = set()
@@ -165,7 +170,7 @@ def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, str] | Rule], *, com
             value_col, dtype, present = found
             text = as_text(value_col, dtype)
             items.append((text, plan_op(rule.operation, text, compat=compat, name="")))
-            targets.append((segments[-1], rule.operation, present))
+            targets.append((_target(rule.location), rule.operation, present))
         live = [it for it in items if it is not None]
         if not live and not invalid:
             continue

@@ -220,6 +220,18 @@ FROM e WHERE k IN (0, 1, 4, 5, 6)
 """
 
 
+def xml_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages spread over a fixed number of tasks before the parse."""
+    pin_utc(spark)
+    good = good_rows(bind_xml_messages(xml_envelopes(read(spark, sf_dir, "events")), parse_partitions=12))
+    detail = F.col("Data")[0]
+    return good.select("Type", detail["AppointmentId"].alias("AppointmentId"), detail["TimestampUtc"].alias("TimestampUtc"),
+                       F.array_join(detail["Disciplines"], "|").alias("disciplines"), "TopicName", "MessageId", "LogicalDate")
+
+
+SQL["xml_reshard"] = SQL["xml_bind"]
+
+
 def xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrong root, lower-case root and malformed XML, with the attribute triple (X2a X2d X5)."""
     pin_utc(spark)
@@ -265,6 +277,7 @@ QUERIES = {
     "json_repeated_keys": json_repeated_keys,
     "attr_override": attr_override,
     "xml_bind": xml_bind,
+    "xml_reshard": xml_reshard,
     "xml_rejects": xml_rejects,
     "raw_archive": raw_archive,
 }

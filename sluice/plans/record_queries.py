@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.avro_records import decode_json_datums, normalise_records
+from sluice.operators.documents import document_to_row
 from sluice.operators.results import bad_rows, good_rows
 from sluice.operators.rules import apply_rules, derive_field
 from sluice.plans.table_queries import pin_utc, read
@@ -169,7 +171,55 @@ def sql_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["sql_source"] = SOURCE_SQL
 
+def update_rules_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result kinds in compat mode, where typed numbers are written as NULL; then an empty list of rules (T4e T4f)."""
+    pin_utc(spark)
+    rules = [{"location": "/o_custkey", "operation": "DOUBLE"}, {"location": "/o_orderkey", "operation": "LONG"},
+             {"location": "/o_totalprice", "operation": "PRECISION(1)"}, {"location": "/maybe_null", "operation": "INTEGER"}]
+    out = apply_rules(good_rows(apply_rules(order_records(spark, sf_dir), rules, compat=True)), [])
+    return out.select("o_orderkey", "o_custkey", "o_totalprice", "maybe_null", F.col("_error").alias("error"))
+
+
+SQL["update_rules_compat"] = """
+SELECT o_orderkey, CAST(NULL AS DOUBLE) AS o_custkey, CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,1)) AS VARCHAR) AS o_totalprice,
+       CAST(NULL AS INTEGER) AS maybe_null, CAST(NULL AS VARCHAR) AS error
+FROM orders WHERE o_orderkey % 3 = 0
+"""
+
+
+def update_rules_bad_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location that is no pointer fails every record with a reason (T4g)."""
+    pin_utc(spark)
+    out = apply_rules(order_records(spark, sf_dir), [{"location": "o_custkey", "operation": "STRING"}])
+    return out.select("o_orderkey", F.col("_error").alias("error"))
+
+
+SQL["update_rules_bad_pointer"] = """
+SELECT o_orderkey, 'Invalid input: JSON Pointer expression must start with ''/'': "o_custkey"' AS error FROM orders
+"""
+
+
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents to rows, with the ones that are no object set aside."""
+    pin_utc(spark)
+    e = read(spark, sf_dir, "events")
+    doc = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("["), F.col("event_id").cast("string"))).otherwise(
+        F.to_json(F.struct("event_id", "event_type", F.col("user_id").alias("user"))))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("user", T.StringType())])
+    out = document_to_row(e.select(doc.alias("doc"), F.col("event_id").alias("key")), "doc", schema, keep=["key"])
+    return out.select("key", "event_id", "event_type", "user", F.col("_error").alias("error"))
+
+
+SQL["document_rows"] = """
+SELECT event_id AS key, CASE WHEN event_id % 9 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 9 <> 0 THEN event_type END AS event_type,
+       CASE WHEN event_id % 9 <> 0 THEN CAST(user_id AS VARCHAR) END AS "user",
+       CASE WHEN event_id % 9 = 0 THEN 'not a JSON object' END AS error FROM events
+"""
+
 QUERIES = {
+    "update_rules_compat": update_rules_compat,
+    "update_rules_bad_pointer": update_rules_bad_pointer,
+    "document_rows": document_rows,
     "update_rules": update_rules,
     "update_rules_rejects": update_rules_rejects,
     "partition_from_field": partition_from_field,
