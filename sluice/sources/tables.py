@@ -14,32 +14,30 @@ with many files or row groups are left exactly as scanned: no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-
-def _row_groups(path: str) -> int | None:
-    try:
-        import pyarrow.parquet as pq
-
-        local = path.removeprefix("file://").removeprefix("file:")
-        return pq.ParquetFile(local).metadata.num_row_groups
-    except Exception:  # noqa: BLE001 - a footer we cannot read: assume it splits
-        return None
+from pyspark.sql import functions as F
+
+
+def _row_groups(spark: SparkSession, path: str, enough: int) -> int:
+    """Row groups under ``path``, counted in file footers on whatever store it is in, up to ``enough``."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    files, groups = hpath.getFileSystem(conf).listFiles(hpath, True), 0
+    while groups < enough and files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+                jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file, conf))
+            try:
+                groups += footer.getRowGroups().size()
+            finally:
+                footer.close()
+    return groups
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores:
+    if _row_groups(spark, path, cores) >= cores:
         return df
-    groups = 0
-    for f in files:
-        n = _row_groups(f)
-        if n is None:
-            return df
-        groups += n
-    if groups >= cores:
-        return df
-    from pyspark.sql import functions as F
-
     return df.repartition(cores, F.monotonically_increasing_id())
