@@ -15,6 +15,18 @@ NO_ID = 2**63 - 1
 """Stands in for a null id while rows are compared: such rows sort after all others."""
 
 
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+"""Rows and bytes that go to a Python worker at once, at most (a longer text goes alone)."""
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches sent to Python workers, so that documents of any length fit beside the executor's heap."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -28,6 +40,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, operator: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/llm/{operator}-{uuid.uuid4().hex[:12]}"
         self._n = 0
@@ -62,6 +75,11 @@ def id_key(col: str) -> Column:
     return F.coalesce(F.col(col).cast("long"), F.lit(NO_ID))
 
 
+def restored(col: str, like) -> Column:
+    """An ``id_key`` column as the id it was, of the type ``like``; integers with nulls would lose digits in pandas."""
+    return F.when(F.col(col) != F.lit(NO_ID), F.col(col)).cast(like).alias(col)
+
+
 def text_hash(text: str) -> Column:
     """Tells rows that repeat an id with another text apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

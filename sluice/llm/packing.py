@@ -22,7 +22,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, numbered
+from sluice.llm.common import Scratch, id_key, numbered, restored, small_batches
 from sluice.llm.tokens import WordEncoder
 
 NARROW = 0.65
@@ -39,7 +39,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: i
     or empty text is one piece holding ``end_id``.  Null ids and repeated rows
     are kept; each row is a document of its own.  Other columns are left out.
     """
-    id_type = docs.schema[doc_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches):
@@ -55,12 +55,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: i
                     part = ids[a:a + 4 * max_len]
                     row = (doc, k, a // 4, len(part) // 4, zlib.crc32(part))
                     rows.append(row + ([*memoryview(part).cast("I")],) if keep_ids else row)
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-            out["doc_id"] = out["doc_id"].astype(object).where(out["doc_id"].notna(), None)
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    return docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(pieces, schema)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
+    out = docs.select(id_key(doc_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(pieces, schema)
+    return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
 def _sweep(lengths: dict[int, int], gaps: dict[int, int], max_len: int, next_id: int) -> tuple[list[tuple], int]:

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
+from sluice.llm.common import small_batches
+
 TERM_BITS = 12
 TERMS = 1 << TERM_BITS
 BINS = 6
@@ -127,6 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
     import numpy as np
 
     spark = docs.sparkSession
+    small_batches(spark)
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(doc_col).isNotNull() & ~held_out(doc_col))
     chosen = (usable.select(F.col(doc_col).alias("doc_id"), F.col(label_col).cast("int").alias("mark"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(sample).collect())
@@ -148,10 +151,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
     rows = known.mapInPandas(terms, "grams binary, bins binary, mark int").collect()
     if not rows:
         return None
-    grams = np.stack([np.frombuffer(r["grams"], np.float16) for r in rows]).astype(np.float32)
-    bins = np.stack([np.frombuffer(r["bins"], np.float16) for r in rows]).astype(np.float32)
     idf = (np.log((1 + n) / (1 + np.array(df))) + 0.1).astype(np.float32)
-    a = _vectors(grams, bins, idf)
+    a = np.empty((len(rows), TERMS + len(rows[0]["bins"]) // 2), np.float32)
+    for i, r in enumerate(rows):
+        a[i:i + 1] = _vectors(*(np.frombuffer(r[c], np.float16).astype(np.float32)[None] for c in ("grams", "bins")), idf)
     dims = min(dims, len(a))
     q = np.random.default_rng(0).standard_normal((a.shape[1], dims + 10)).astype(np.float32)
     for _ in range(5):
@@ -176,6 +179,7 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
     """
     import numpy as np
 
+    small_batches(docs.sparkSession)
     docs = docs.drop("score", "predicted")
     if model is None:
         return docs.withColumn("score", F.lit(0.5)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -183,10 +187,12 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
     k = min(neighbours, len(model["marks"]))
 
     def votes(frames):
+        import pyarrow as pa
+
         m = shipped.value
-        for pdf in frames:
-            out = np.zeros(len(pdf))
-            texts = pdf["_text"].tolist()
+        for rows in frames:
+            texts = [(t or "").encode() for t in rows.column(text_col).to_pylist()]
+            out = np.zeros(len(texts))
             for a in range(0, len(texts), 512):
                 part = texts[a:a + 512]
                 grams = np.array([trigrams(t) for t in part], np.float32)
@@ -195,10 +201,7 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
                 best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                 w = np.maximum(np.take_along_axis(near, best, 1), 1e-3).astype(np.float64) ** power
                 out[a:a + 512] = (w * m["marks"][best]).sum(1) / w.sum(1)
-            pdf = pdf.drop(columns="_text")
-            pdf["score"] = np.clip(out, 0, 1)
-            yield pdf
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.clip(out, 0, 1))], [*rows.schema.names, "score"])
 
-    kept = docs.select("*", F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     schema = StructType([*docs.schema.fields]).add("score", DoubleType())
-    return kept.mapInPandas(votes, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.mapInArrow(votes, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -19,7 +19,7 @@ from itertools import accumulate, combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, text_hash
+from sluice.llm.common import Scratch, id_key, restored, text_hash
 from sluice.llm.components import components
 
 BITS = 64
@@ -35,8 +35,6 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str =
     if there are fewer) votes by the bits of its XXH64.  A bit is 1 if over
     half the votes are.  Without words, as for null, the fingerprint is 0.
     """
-    id_type = docs.schema[doc_col].dataType.simpleString()
-
     def fingerprint(text: bytes) -> int:
         import numpy as np
         from xxhash import xxh64_intdigest
@@ -58,13 +56,12 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str =
         import pandas as pd
 
         for pdf in frames:
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None),
-                                "text_hash": pdf["text_hash"], "fp": [fingerprint(t) for t in pdf["text"]]})
-            yield out
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "fp": [fingerprint(t) for t in pdf["text"]]})
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    rows = docs.select(F.col(doc_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), text)
-    return rows.mapInPandas(batches, f"doc_id {id_type}, text_hash long, fp long")
+    rows = docs.select(id_key(doc_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), text)
+    out = rows.mapInPandas(batches, "doc_id long, text_hash long, fp long")
+    return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
 def _segments(m: int) -> list[tuple[int, int]]:

@@ -27,13 +27,14 @@ so a bucket of any size streams through its task.  Entries that repeat within
 a batch of documents are settled there, before the shuffle.
 """
 
+from __future__ import annotations
+
 import hashlib
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, id_key, text_hash
+from sluice.llm.common import Scratch, id_key, restored, text_hash
 
 LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
@@ -309,15 +310,15 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
 
         for pdf in batches:
             rows = []
-            for doc, text, spans in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), pdf["_text"], pdf["_spans"]):
+            for doc, text, spans in zip(pdf["doc_id"], pdf["_text"], pdf["_spans"]):
                 kept, removed, n = _cut(text, spans)
                 rows.append((doc, len(text), removed, n, hashlib.sha256(kept).hexdigest(), kept))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     rows = _with_spans(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
-    id_type = docs.schema[doc_col].dataType.simpleString()
-    return rows.drop("text").mapInPandas(
-        cut, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = rows.select(id_key("doc_id").alias("doc_id"), "_text", "_spans").mapInPandas(
+        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
 def without_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,10 +328,14 @@ def without_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     character of which only some bytes are left goes.  A column whose name is
     one of ``_id, _th, _spans, _text`` is left out.
     """
-    @F.pandas_udf("string")
-    def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_cut(t, s)[0].decode(errors="ignore") for t, s in zip(texts, spans)], dtype=object)
+    names = [c for c in docs.columns if c not in ("_id", "_th", "_spans", "_text")]
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            texts, spans = b.column(text_col).to_pylist(), b.column("_spans").to_pylist()
+            texts = [t if s is None else _cut(t.encode(), s)[0].decode(errors="ignore") for t, s in zip(texts, spans)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names], names)
 
-    rows = _with_spans(docs, doc_col, text_col)
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(left("_text", "_spans"))
-    return rows.withColumn(text_col, text).select(*[c for c in docs.columns if c not in ("_id", "_th", "_spans", "_text")])
+    return _with_spans(docs, doc_col, text_col).drop("_text").mapInArrow(cut, docs.select(*names).schema)

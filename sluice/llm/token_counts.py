@@ -21,12 +21,13 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import id_key, restored, small_batches
 from sluice.llm.tokens import worker_cache
 
 LEAF = 64
 """Pre-tokens per leaf of a fresh tree."""
 CONTEXT = 3
-CACHE = 400_000
+CACHE = 300_000
 REDACT = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}|\d{6,}", re.A)
 
 
@@ -168,22 +169,10 @@ def build_trees(docs: DataFrame, ranks: str, pattern: str, doc_col: str = "doc_i
             pdf["tokens"] = [t for _, t in leaves]
             yield pdf
 
-    id_type = docs.schema[doc_col].dataType.simpleString()
-    rows = docs.select(F.col(doc_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(_ids_kept(build), f"doc_id {id_type}, text string, chars array<int>, tokens array<int>")
-
-
-def _ids_kept(run):
-    """Integer ids with nulls stay integers."""
-    def frames(batches):
-        def exact():
-            for pdf in batches:
-                pdf["doc_id"] = pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None)
-                yield pdf
-
-        yield from run(exact())
-
-    return frames
+    small_batches(docs.sparkSession)
+    rows = docs.select(id_key(doc_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    out = rows.mapInPandas(build, "doc_id long, text string, chars array<int>, tokens array<int>")
+    return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
 def redactions(text: str) -> list[tuple[int, int, str]]:
@@ -216,6 +205,7 @@ def apply_edits(trees: DataFrame, ranks: str, pattern: str, edits=redactions) ->
                 rows.append((doc, text, chars, tokens, before, int(sum(tokens)), len(todo), encoded))
             yield pd.DataFrame(rows, columns=["doc_id", "text", "chars", "tokens", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"])
 
-    id_type = trees.schema["doc_id"].dataType.simpleString()
-    return trees.mapInPandas(_ids_kept(run), f"doc_id {id_type}, text string, chars array<int>, tokens array<int>, "
-                             "n_tokens_before long, n_tokens long, n_edits int, n_encoded long")
+    rows = trees.select(id_key("doc_id").alias("doc_id"), "text", "chars", "tokens")
+    out = rows.mapInPandas(run, "doc_id long, text string, chars array<int>, tokens array<int>, "
+                           "n_tokens_before long, n_tokens long, n_edits int, n_encoded long")
+    return out.withColumn("doc_id", restored("doc_id", trees.schema["doc_id"].dataType))

@@ -7,7 +7,7 @@ import sys
 import types
 from array import array
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 """Entries per cache and Python worker; a cache starts anew beyond that."""
 
 

@@ -20,7 +20,7 @@ ODD = [
     (9, LONG + " tail", "en", "s", len(LONG)),
     (10, "é" * 300 + " ß " + "é" * 300, "fr", "s", 603),
     (-4, "a negative id, " + COPY, "en", "s", 1),
-    (1 << 50, "a large id, " + COPY, "en", "s", 1),
+    ((1 << 60) + 1, "a large id, " + COPY, "en", "s", 1),
 ]
 
 
