@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.boosting import Booster
+from sluice.llm.common import id_key, restored, small_batches
 
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -289,14 +290,24 @@ class Layouts:
         if pick == 10:
             return f"<form{self.attrs('newsletter', 'login', 'search', 'subscribe')}>{r.choice(['', self.prose(1)])}<label>{self.some(1, 4)}</label><input name=q><button>{self.some(1, 2)}</button></form>"
         if pick == 11:
-            one = lambda: f"<{r.choice(['li', 'div', 'article'])} class=\"comment\"><b>{self.some(1, 2)}</b><p>{self.some(2, 80)}</p></div>"
-            return f"<{div} {r.choice(['class', 'id'])}=\"{r.choice(['comments', 'commentlist', 'discussion', 'responses', 'reader-comments'])}\"><h3>{self.some(1, 3)}</h3>{''.join(one() for _ in range(r.randint(1, 6)))}</{div}>"
+            return self.comments()
         return f"<div class=\"{r.choice(['share', 'social', 'tags', 'follow'])}\">{self.links(r.randint(2, 5))}</div>"
 
+    def comments(self) -> str:
+        r = self.r
+        item, shell = r.choice(["li", "div", "article"]), r.choice(["div", "section"])
+        said = [f"<{item}{r.choice(['', ' class=comment'])}>{r.choice(['', '<b>' + self.some(1, 2) + '</b>'])}<p>{self.some(2, 80)}</p></{item}>" for _ in range(r.randint(1, 8))]
+        said = "".join(said) if item != "li" else f"<{(k := r.choice(['ol', 'ul']))}>{''.join(said)}</{k}>"
+        name = r.choice(["comments", "commentlist", "discussion", "responses", "reader-comments", "comment-section"])
+        head = r.choice(["", f"<h2>{self.some(1, 3)}</h2>", f"<h3>{self.some(1, 3)}</h3>"])
+        form = r.choice(["", "<form><textarea></textarea><button>Post</button></form>"])
+        return f"<{shell} {r.choice(['class', 'id'])}=\"{name}\">{head}{said}{form}</{shell}>"
+
     def content(self) -> str:
         r, out = self.r, []
         if r.random() < 0.8:
-            out.append(f"<h1>{self.some(1, 14)}</h1>")
+            head = f"<h1>{self.some(1, 14)}</h1>"
+            out.append(f"<header>{head}</header>" if r.random() < 0.15 else head)
         for _ in range(r.randint(1, 24)):
             pick = r.random()
             if pick < 0.72:
@@ -320,10 +331,17 @@ class Layouts:
         r = self.r
         names = ["content", "article", "post", "entry", "story", "main"]
         tag = r.choice(["article", "article", "main", "div", "div", "section"])
-        inner = f"<{tag}{self.attrs(*names) if tag != 'div' or r.random() < 0.8 else ''}>\x02{self.content()}\x03"
-        if r.random() < 0.3:
-            inner += self.boilerplate()
-        inner += f"</{tag}>"
+        text, after = f"\x02{self.content()}\x03", self.boilerplate() if r.random() < 0.3 else ""
+        style = r.random()
+        if style < 0.08:
+            inner = text + after  # straight in the body
+        elif style < 0.16:
+            side = f"<td{self.attrs('menu', 'sidebar', 'ads')}>{r.choice([self.links(4), self.some(2, 30)])}</td>"
+            inner = f"<table><tr>{side if r.random() < 0.5 else ''}<td{self.attrs(*names)}>{text}</td>{side if r.random() < 0.5 else ''}</tr></table>"
+        else:
+            inner = f"<{tag}{self.attrs(*names) if tag != 'div' or r.random() < 0.8 else ''}>{text}{after}</{tag}>"
+            if r.random() < 0.15:
+                inner = f"<main>{inner}{self.comments() if r.random() < 0.5 else ''}</main>"
         if r.random() < 0.4:
             inner = f"<div{self.attrs('wrapper', 'container', 'page', 'layout')}>{self.boilerplate() if r.random() < 0.4 else ''}{inner}{self.boilerplate() if r.random() < 0.4 else ''}</div>"
         top = "".join(self.boilerplate() for _ in range(r.randint(0, 3)))
@@ -364,17 +382,19 @@ def _laid_out(page: str) -> tuple[list[Node], dict]:
     return nodes, main
 
 
-def train(pages: list[str], layouts: int = 500, seed: int = 0) -> Booster:
+def train(pages: list[str], layouts: int = 600, seed: int = 0) -> Booster:
     """Boosted trees from pages that mark their article and from ``layouts`` made pages around the text of all.
 
     A node is of class 1 if most of its text is main text, or, where it holds
-    other nodes, if any is.
+    other nodes, if any is.  Real pages, where there are any, count about half
+    as much as made ones.
     """
     import numpy as np
 
     texts = [t for p in pages for _, t in parse(p)[1] if len(t) > 20]
     made = Layouts(texts or ["text"], seed)
-    known = [m for m in map(_marked, pages) if m] + [_laid_out(made.page()) for _ in range(layouts)]
+    real = [m for m in map(_marked, pages) if m]
+    known = real * (1 + layouts // max(1, len(real)) // 2) + [_laid_out(made.page()) for _ in range(layouts)]
     rows, marks = [], []
     for nodes, main in known:
         for n, row in zip(nodes, features(nodes)):
@@ -394,9 +414,11 @@ def extract(pages: DataFrame, sample: int = 200, id_col: str = "page_id", url_co
     trained on at most ``sample`` pages, those first by hash, of at most
     a quarter of a million characters each (longer ones are not trained on).
     """
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    chosen = (rows.where("length(html) between 1 and 250000").select(F.xxhash64("html").alias("h"), "html")
-              .orderBy("h").limit(sample).collect())
+    rows = pages.select(id_key(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    small_batches(pages.sparkSession)
+    short = rows.where("length(html) between 1 and 250000").select(F.xxhash64("html").alias("h"), "html")
+    last = short.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # hashes first: pages stay on the executors
+    chosen = short.where(F.col("h") <= last).dropDuplicates(["h"]).orderBy("h").collect() if last is not None else []
     model = train([r["html"] for r in chosen])
 
     def run(frames):
@@ -405,10 +427,9 @@ def extract(pages: DataFrame, sample: int = 200, id_col: str = "page_id", url_co
             for a in range(0, len(pdf), 64):
                 texts += main_text(pdf["html"].iloc[a:a + 64].tolist(), model)
             out = pdf[["page_id", "url"]].copy()
-            out["page_id"] = out["page_id"].astype(object).where(out["page_id"].notna(), None)
             out["text"] = texts
             yield out
 
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    out = rows.mapInPandas(run, f"page_id {types['page_id']}, url {types['url']}, text string")
+    out = rows.mapInPandas(run, "page_id long, url string, text string")
+    out = out.withColumn("page_id", restored("page_id", pages.schema[id_col].dataType))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
