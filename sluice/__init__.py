@@ -10,7 +10,7 @@ from sluice.operators.delimited import drop_header_trailer, parse_delimited
 from sluice.operators.documents import document_to_row
 from sluice.operators.messages_json import bind_json_messages
 from sluice.operators.messages_xml import archive_lines, bind_xml_messages
-from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, bad_rows, good_rows, split
+from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, bad_rows, good_rows
 from sluice.operators.rules import apply_rules, derive_field
 from sluice.plans.jobs import avro_batch, csv_batch, run
 from sluice.sinks.table import write_table, write_text, write_topic
@@ -25,5 +25,5 @@ __all__ = [
     "apply_rules", "archive_lines", "avro_batch", "bad_rows", "bind_json_messages", "bind_xml_messages",
     "csv_batch", "derive_field", "document_to_row", "drop_header_trailer", "good_rows", "parse_delimited",
     "process_batch", "read_avro", "read_dated_lines", "read_lines", "read_message_stream", "read_messages",
-    "run", "split", "sql_source", "start_message_stream", "write_table", "write_text", "write_topic",
+    "run", "sql_source", "start_message_stream", "write_table", "write_text", "write_topic",
 ]

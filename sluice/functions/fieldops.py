@@ -40,6 +40,7 @@ PREFIX_OPS = [
 # Operations whose result an update rule keeps only in compat mode as NULL.
 RULE_NULLED_OPS = {"INTEGER", "DOUBLE", "FLOAT", "BIGINT", "BIGDECIMAL"}
 
+# The error texts here and in the messages below.
 UNSUPPORTED = "Data type not supported"
 INT_RX = r"^[+-]?[0-9]+\z"
 DECIMAL_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
@@ -125,6 +126,7 @@ def result_type(op: str) -> str:
 
 
 # ---------------------------------------------------------------- messages
+# The wording of these errors.
 
 def number_error(text: Column) -> Column:
     return F.concat(F.lit('For input string: "'), text, F.lit('"'))

@@ -16,6 +16,7 @@ from sluice.functions.fieldops import apply_plans, plan_spec
 from sluice.functions.spec import FieldSpec, parse_header_list
 from sluice.operators.results import ERROR_COL, RAW_COL, SRC_COL, first_error, stage_barrier
 
+# The error text of a wrong cell count.
 ARITY_ERROR = "File schema doesn't match with number of columns within the line"
 _CORRUPT = "_corrupt"
 # Separators (quoted ones too) from which on a line is not split but fails the cell count.

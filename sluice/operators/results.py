@@ -2,13 +2,12 @@
 
 ``_error`` is NULL for a good record and the failure reason otherwise;
 ``_raw`` is the text that goes to the dead-letter store; ``_src`` is the
-lineage source (file path or message id).  ``split`` is the only place where
-a plan branches into good and bad records.
+lineage source (file path or message id).  ``good_rows`` and ``bad_rows`` are the
+only places where a plan branches.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,15 +62,3 @@ def bad_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         *[F.col(c) for c in (keep or [])],
     )
 
-
-def split(df: DataFrame, storage: StorageLevel | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split a result frame into (good, bad).
-
-    Both branches re-evaluate the plan unless ``storage`` is given.  For a
-    batch job over files that is the cheaper choice at scale (a second scan of
-    the input instead of materialising all of it); a micro-batch passes a
-    storage level so that the three sinks of one batch share one evaluation.
-    """
-    if storage is not None:
-        df = df.persist(storage)
-    return good_rows(df), bad_rows(df)
