@@ -33,6 +33,26 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+SQL["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS s FROM d)),
+again AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS n FROM w) WHERE n > 1),
+steps AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS step FROM again),
+runs AS (SELECT doc_id, s, sum(step) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM steps),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), CAST(NULL AS BIGINT) FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * coalesce(b, length(h)) - 2 * a), '' ORDER BY a) AS k
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n, count(*) AS c FROM spans GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(c, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 4-word shingles, and the components of those at most 4 bits apart."""
     out = near_duplicates(read(spark, sf_dir, "documents"), max_bits=4, words=4, seed=42)
