@@ -4,8 +4,9 @@ For unit vectors a cosine of at least ``c`` is a Euclidean distance of at most
 ``r = sqrt(2 - 2c)``.  Pivots partition each label's vectors: a vector is owned
 by the cell of its nearest pivot.  By the triangle inequality a vector within
 ``r`` of one that pivot j owns is at most ``2r`` farther from pivot j than from
-its own pivot, so it is copied to exactly the cells for which that holds; all
-of a vector's partners are then in its own cell, and cells join independently.
+its own pivot, and at most ``r`` from the plane halfway between the two; it is
+copied to exactly the cells for which both hold.  All of a vector's partners
+are then in its own cell, and cells join independently.
 
 Equal vectors are one entry with a weight.  A cell's owned vectors are dealt in
 blocks over tasks, each with the cell's other vectors streamed past, so a cell
@@ -34,14 +35,16 @@ SLACK = 1e-6
 
 
 def _usable(embeddings: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """One row per label and distinct direction-bearing vector: ``node`` (smallest id), ``label``, ``v``, ``n``."""
+    """``vec_id, label, v`` and ``ok``, whether the vector can link; components stay floats if they are."""
+    kind = embeddings.schema[vec_col].dataType.elementType.simpleString()
+    kind = kind if kind == "float" else "double"
     v = F.col("v")
     fine = (F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0))
-    rows = embeddings.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vec_col).cast("array<double>").alias("v"))
+    rows = embeddings.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vec_col).cast(f"array<{kind}>").alias("v"))
     # Minus zero equals zero.
     return rows.withColumn("ok", F.coalesce(fine, F.lit(False))).withColumn(
-        "v", F.when(F.col("ok"), F.transform(v, lambda x: x + F.lit(0.0))))
+        "v", F.when(F.col("ok"), F.transform(v, lambda x: x + F.lit(0.0).cast(kind))))
 
 
 def _unit(vectors):
@@ -108,16 +111,19 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.98, id_col: str = "vec
                 if piv is None:
                     own, near = np.zeros(len(u), int), np.ones((len(u), 1), bool)
                 else:
-                    dist = np.sqrt(np.maximum(0, 2 - 2 * u @ piv.T))
-                    own = dist.argmin(1)
-                    near = dist <= dist.min(1, keepdims=True) + 2 * radius
+                    far = np.maximum(0, 2 - 2 * u @ piv.T)
+                    own = far.argmin(1)
+                    least = far[np.arange(len(u)), own][:, None]
+                    apart = np.sqrt(np.maximum(0, 2 - 2 * piv @ piv.T))[own]
+                    near = (np.sqrt(far) <= np.sqrt(least) + 2 * radius) & (far - least <= 2 * radius * apart + SLACK)
+                    near[np.arange(len(u)), own] = True
                 row, cell = np.nonzero(near)
                 out.append(pd.DataFrame({"cell": base + cell, "node": node[row], "n": n[row], "own": own[row] == cell,
                                          "v": part["v"].to_numpy()[row]}))
             if out:
                 yield pd.concat(out)
 
-    dealt = same.mapInPandas(cells, "cell long, node long, n long, own boolean, v array<double>")
+    dealt = same.mapInPandas(cells, f"cell long, node long, n long, own boolean, v {same.schema['v'].dataType.simpleString()}")
     dealt = tmp.keep(dealt, "cells")
     sizes = dealt.groupBy("cell").agg(F.ceil(F.sum(F.col("own").cast("int")) / BLOCK).cast("int").alias("blocks")).where("blocks > 0")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
