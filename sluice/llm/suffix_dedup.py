@@ -39,6 +39,7 @@ from sluice.llm.common import Scratch, id_key, restored, text_hash
 LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
 CHUNK = 1 << 16
+TOGETHER = 32 << 20
 ID_BITS, AT_BITS = 35, 28
 REMOVED, MIXED = 1, 2
 
@@ -138,16 +139,20 @@ def _runs(texts):
         yield doc, start, extent, p[i], b32[p[i]], b100, base
 
 
-def _entries(bucket, sig, loc, ext):
-    """Settle what repeats inside one batch: keep the earliest of alike entries, pass the others on as removed."""
+def _entries(bucket, sig, loc, ext, shift: int = 0):
+    """Settle what repeats inside one batch: keep the earliest of alike entries, pass the others on as removed.
+
+    With ``shift`` only the bucket's upper bits are kept.
+    """
     import numpy as np
     import pandas as pd
 
+    bucket = bucket >> np.uint64(shift)
     o = np.lexsort((loc, sig, bucket))
     bucket, sig, loc, ext = bucket[o], sig[o], loc[o], ext[o]
     again = np.zeros(len(o), bool)
     again[1:] = (bucket[1:] == bucket[:-1]) & (sig[1:] == sig[:-1])
-    bucket = np.where(again, loc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), bucket)
+    bucket = np.where(again, (loc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift), bucket)
     return pd.DataFrame({"bucket": bucket.view(np.int64), "sig": sig.view(np.int64), "loc": loc,
                          "ext": ext.astype(np.int32), "kind": again.astype(np.int32)})
 
@@ -155,10 +160,25 @@ def _entries(bucket, sig, loc, ext):
 ENTRY = "bucket long, sig long, loc long, ext int, kind int"
 
 
+def _gathered(batches):
+    """Batches joined until they hold ``TOGETHER`` bytes of text: the more documents at once, the more repeats settle before the shuffle."""
+    import pandas as pd
+
+    part, size = [], 0
+    for pdf in batches:
+        part.append(pdf)
+        size += sum(map(len, pdf["text"]))
+        if size >= TOGETHER:
+            yield pd.concat(part, ignore_index=True)
+            part, size = [], 0
+    if part:
+        yield pd.concat(part, ignore_index=True)
+
+
 def _run_entries(batches):
     import numpy as np
 
-    for pdf in batches:
+    for pdf in _gathered(batches):
         ids = pdf["id"].to_numpy(np.int64)
         out = []
         for doc, start, extent, pivot, bucket, b100, base in _runs(pdf["text"].tolist()):
@@ -176,7 +196,7 @@ def _window_entries(batches):
     """Entries of the single windows of unsettled runs; ``runs`` lists where a document's unsettled runs start."""
     import numpy as np
 
-    for pdf in batches:
+    for pdf in _gathered(batches):
         ids = pdf["id"].to_numpy(np.int64)
         starts = [np.asarray(m, np.int64) for m in pdf["runs"]]
         wanted = np.sort(np.concatenate([(i << AT_BITS) | m for i, m in enumerate(starts)]))
@@ -189,7 +209,8 @@ def _window_entries(batches):
             s = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
             out.append((bucket[run], b100[s], (ids[doc[run]] << AT_BITS) | (start[run] + s - base[run]), np.zeros(len(s), np.int64)))
         if out:
-            yield _entries(*(np.concatenate(x) for x in zip(*out)))
+            # 32 bits of the pivot bucket beside 64 of the window's tell windows apart, in fewer bytes.
+            yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
 
 
 def _refine(batches):
