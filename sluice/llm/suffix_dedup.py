@@ -39,7 +39,7 @@ from sluice.llm.common import Scratch, id_key, restored, text_hash
 LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
 CHUNK = 1 << 16
-TOGETHER = 32 << 20
+TOGETHER = 16 << 20
 ID_BITS, AT_BITS = 35, 28
 REMOVED, MIXED = 1, 2
 
