@@ -1,40 +1,41 @@
 """Sharding that keeps linked documents together, by balanced label propagation.
 
-Documents with equal texts are linked through their text's hash.  From a
-scatter by hash, rounds of joins move linked documents towards the shard that
-holds most of their neighbours.  Of the moves wanted from shard to shard, as
-many are allowed as leave no shard above its capacity (movers one way make
-room for movers the other way); movers are ranked and the first of them
-accepted.  A shard that had to refuse some takes no more, and their neighbours
-gather elsewhere in the next round.  Whatever a shard then holds too much goes,
-with the unlinked documents, to wherever places are left, so that counts differ
-by one at most.
-
-Everything is DataFrame expressions; the driver sees one count per pair of shards.
+Documents with equal texts are linked through their text's hash and form a
+group.  From a scatter by hash, each round lets every group that is not settled
+want the shard that holds most of its documents, of those with room for all of
+it.  Groups are ranked, larger ones first, and taken whole up to each shard's
+capacity; a group that was refused wants another shard in the next round, with
+all its documents.  A group larger than a shard fills shards of its own first,
+and its rest is a group like others.  Groups that no shard took whole go, with
+the unlinked documents, to wherever places are left, one group after the other,
+so that counts differ by one at most and fewer groups are cut than there are
+shards, besides those larger than a shard.
+
+Rounds work on one row per group.  Everything is DataFrame expressions; the
+driver sees counts per shard and the few groups that are cut.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, numbered
+from sluice.llm.common import Scratch, blocks_for, numbered
 
 LAW = "rows"
 
 
-def _by_shard(shard: Column, values: list[int]) -> Column:
-    out = F.lit(0).cast("long")
-    for s, v in enumerate(values):
-        out = F.when(shard == s, F.lit(v).cast("long")).otherwise(out)
+def _piece(number: Column, ends: list[tuple[int, int]]) -> Column:
+    """The shard of a place by its number, from ``(end, shard)`` in order; numbers past the last end get the last shard."""
+    out = F.lit(ends[-1][1])
+    for end, shard in reversed(ends[:-1]):
+        out = F.when(number < end, F.lit(shard)).otherwise(out)
     return out
 
 
-def _counts(df: DataFrame, shards: int) -> list[int]:
-    got = {r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
-    return [got.get(s, 0) for s in range(shards)]
-
-
 def _allowed(wanted: list[list[int]], held: list[int], capacity: list[int]) -> list[list[int]]:
     """Of the moves wanted from shard to shard, the most that leave no shard above its capacity (or above what it held)."""
     moves, shards = [[*row] for row in wanted], range(len(held))
@@ -56,31 +57,43 @@ def _allowed(wanted: list[list[int]], held: list[int], capacity: list[int]) -> l
             return moves
 
 
-def _propagate(linked: DataFrame, shards: int, capacity: list[int], closed: set[int], rows: int, tmp: Scratch) -> tuple[DataFrame, int]:
-    """One round: (node, hub, shard) after the accepted moves, and how many there were.
+def _running(groups: DataFrame, cls: str, rows: int) -> DataFrame:
+    """Add ``upto``: the sum of ``size`` within each ``cls`` up to and with this group, larger groups first.
 
-    ``closed`` shards take nobody; those that have to refuse some are added to it.
+    Groups are ordered by the binary digits of their size, then by ``hub``.
+    Blocks of about 200,000 groups, cut along that order, are summed on their
+    own and shifted by the blocks before: the order is the same for any number of blocks.
     """
-    held = _counts(linked, shards)
-    # Votes, and a preference that differs from hub to hub, so that ties do not all go one way.
-    votes = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("votes")).withColumn("pref", F.xxhash64("hub", "shard"))
-    open_ = votes.where(~F.col("shard").isin(*closed)) if closed else votes
-    best = open_.groupBy("hub").agg(F.max(F.struct("votes", "pref", "shard")).alias("best"))
-    want = (votes.join(best, "hub").where((F.col("best.shard") != F.col("shard")) & (F.struct("votes", "pref") < F.struct("best.votes", "best.pref")))
-            .select("hub", "shard", F.col("best.shard").alias("target")))
-    movers = tmp.keep(linked.join(want, ["hub", "shard"]).select("node", "hub", "shard", "target"), "movers")
-    wanted = [[0] * shards for _ in range(shards)]
-    for r in movers.groupBy("shard", "target").count().collect():
-        wanted[r["shard"]][r["target"]] = r["count"]
-    moves = _allowed(wanted, held, capacity)
-    for b in range(shards):
-        if sum(moves[a][b] for a in range(shards)) < sum(wanted[a][b] for a in range(shards)):
-            closed.add(b)
-    quota = F.array(*[F.lit(n).cast("long") for row in moves for n in row])
-    ranked = numbered(movers, ["shard", "target"], ["hub", "node"], "rank", rows)
-    accepted = ranked.where(F.col("rank") < F.element_at(quota, F.col("shard") * shards + F.col("target") + 1)).select("node", "target")
-    after = linked.join(accepted, "node", "left").select("node", "hub", F.coalesce("target", "shard").alias("shard"))
-    return after, sum(map(sum, moves))
+    bits = (blocks_for(rows) - 1).bit_length()
+    blocked = groups.withColumns({"_digits": -F.length(F.bin("size")), "_blk": F.shiftright("hub", 64 - bits) if bits else F.lit(0).cast("long")})
+    block = [cls, "_digits", "_blk"]
+    before = Window.partitionBy(cls).orderBy("_digits", "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocked.groupBy(*block).agg(F.sum("size").alias("_sum")).select(*block, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(*block).orderBy("hub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (blocked.withColumn("_within", F.sum("size").over(within)).join(sums, block)
+            .withColumn("upto", F.col("_within") + F.col("_base")).drop("_digits", "_blk", "_within", "_base"))
+
+
+def _propagate(groups: DataFrame, held: list[int], capacity: list[int], rows: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, list[int]]:
+    """One round over the groups not settled: (hub, shard) of those taken, the others, and what each shard then holds."""
+    shards = range(len(held))
+    room = F.array(*[F.lit(c - h).cast("long") for c, h in zip(capacity, held)])
+    fitting = F.filter(F.sequence(F.lit(0), F.lit(len(held) - 1)), lambda s: F.get(room, s) >= F.col("size"))
+    # Votes, and a preference that differs from group to group, so that ties do not all go one way.
+    best = F.array_max(F.transform(fitting, lambda s: F.struct(
+        F.coalesce(F.try_element_at("votes", s), F.lit(0)).alias("votes"), F.xxhash64("hub", s).alias("pref"), s.alias("shard"))))
+    wish = groups.withColumn("target", best["shard"])
+    ranked = _running(wish.where("target is not null"), "target", rows).unionByName(
+        wish.where("target is null").withColumn("upto", F.lit(None).cast("long")))
+    ranked = tmp.keep(ranked, "wishes")
+    wanted = {r["target"]: r["n"] for r in ranked.groupBy("target").agg(F.sum("size").alias("n")).collect()}
+    # The last place stands for the groups not settled, which hold no shard's room.
+    moves = [[0] * (len(held) + 1) for _ in shards] + [[*(wanted.get(s, 0) for s in shards), 0]]
+    quota = _allowed(moves, [*held, sum(wanted.values())], [*capacity, sum(wanted.values())])[-1]
+    ranked_in = F.coalesce(F.col("upto") <= F.get(F.array(*[F.lit(q).cast("long") for q in quota]), F.col("target")), F.lit(False))
+    taken = ranked.where(ranked_in).select("hub", "size", F.col("target").alias("shard"))
+    more = {r["shard"]: r["n"] for r in taken.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    return taken.select("hub", "shard"), ranked.where(~ranked_in).drop("target", "upto"), [h + more.get(s, 0) for s, h in enumerate(held)]
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,7 +104,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col:
     its shard, gapless from 0; ``grown_shard`` is null under this law.  A null
     text counts as empty.  Repeated rows and rows with null ids are rows of
     their own.  A group of equal texts larger than a shard fills one and goes on
-    in the next.  Other columns are left out.
+    in the next; of the others at most ``shards - 1`` are cut.  Other columns are left out.
     """
     tmp = Scratch(docs.sparkSession, "shards")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -103,33 +116,57 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col:
     capacity = [n // shards + (s < n % shards) for s in range(shards)]
 
     start = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
-    groups = base.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
-    linked = tmp.keep(base.join(groups, "hub").select("node", "hub", start), "linked")
-    size = linked.count()
-    closed: set[int] = set()
+    votes = base.groupBy("hub", start).agg(F.count(F.lit(1)).alias("votes"))
+    groups = tmp.keep(votes.groupBy("hub").agg(F.sum("votes").alias("size"), F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("votes"))
+                      .where("size > 1"), "groups")
+    # Groups larger than a shard, fewer than there are shards: each fills the next shards, and its rest is settled with the others.
+    held, pieces, rest, s = [0] * shards, {}, {}, 0
+    for r in groups.where(F.col("size") > capacity[0]).select("hub", "size").orderBy(F.desc("size"), "hub").collect():
+        pieces[r["hub"]], rest[r["hub"]] = [], r["size"]
+        while 0 < capacity[min(s, shards - 1)] <= rest[r["hub"]]:
+            held[s] = capacity[s]
+            pieces[r["hub"]].append((r["size"] - rest[r["hub"]] + capacity[s], s))
+            rest[r["hub"]] -= capacity[s]
+            s += 1
+    left = groups
+    if pieces:
+        size = F.col("size")
+        for hub, k in rest.items():
+            size = F.when(F.col("hub") == hub, F.lit(k)).otherwise(size)
+        left = groups.withColumn("size", size.cast("long")).where("size > 0")
+    many, settled = left.count(), []
     for _ in range(rounds):
-        full = len(closed)
-        after, moved = _propagate(linked, shards, capacity, closed, size, tmp)
-        if not moved and len(closed) == full:
+        before = held
+        taken, left, held = _propagate(left, held, capacity, many, tmp)
+        settled.append(taken)
+        if held == before:
             break
-        linked = tmp.keep(after, "linked")
-
-    held = _counts(linked, shards)
-    over = numbered(linked, ["shard"], ["node"], "rank", size)
-    placed = tmp.keep(over.withColumn("fits", F.col("rank") < _by_shard(F.col("shard"), capacity)).select("node", "hub", "shard", "fits"), "placed")
-    # Places left, in shard order, are handed out by number: first to documents that did not fit, then to the unlinked.
-    spill = sum(max(0, h - c) for h, c in zip(held, capacity))
-    left = [max(0, c - h) for h, c in zip(held, capacity)]
-    rest = numbered(placed.where("not fits").withColumn("kind", F.lit(0)), ["kind"], ["hub", "node"], "number", spill).select("node", "number")
-    lone = base.join(placed.select("node"), "node", "left_anti").select("node").withColumn("kind", F.lit(1))
-    lone = numbered(lone, ["kind"], ["node"], "number", n - size).select("node", (F.col("number") + spill).alias("number"))
-    seat, upto = F.lit(shards - 1), sum(left)
-    for s in reversed(range(shards)):
-        seat = F.when(F.col("number") < upto, F.lit(s)).otherwise(seat)
-        upto -= left[s]
-    seats = (placed.where("fits").select("node", "shard")
-             .unionByName(rest.unionByName(lone).select("node", seat.cast("int").alias("shard"))))
-    out = tmp.keep(base.join(seats, "node").drop("hub"), "seats")
+
+    # Places left, in shard order, are handed out by number: first to groups that no shard took, then to the unlinked.
+    free = [(end, s) for s, end in enumerate(accumulate(c - h for c, h in zip(capacity, held)))]
+    over = tmp.keep(_running(left.drop("votes").withColumn("all", F.lit(0)), "all", many).select(
+        "hub", "size", "upto", _piece(F.col("upto") - F.col("size"), free).alias("shard"), _piece(F.col("upto") - 1, free).alias("last")), "over")
+    spill = over.agg(F.max("upto")).first()[0] or 0
+    settled = tmp.keep(reduce(DataFrame.unionByName, settled, over.where("shard = last").select("hub", "shard")), "settled")
+    # Groups cut: the rest of those larger than a shard, and those that reach over the places left in a shard.
+    for r in settled.where(F.col("hub").isin(*pieces)).collect() if pieces else []:
+        pieces[r["hub"]].append((n, r["shard"]))
+    for r in over.where("shard <> last").collect():
+        done, at = pieces[r["hub"]][-1][0] if pieces.get(r["hub"]) else 0, r["upto"] - r["size"]
+        pieces[r["hub"]] = [*pieces.get(r["hub"], []), *((done + end - at, s) for end, s in free if end > at)]
+
+    cut = F.col("hub").isin(*pieces)
+    seats = (base.where(~cut) if pieces else base).join(settled, "hub", "left")
+    seated = tmp.keep(seats, "seats")
+    number = numbered(seated.where("shard is null").withColumn("kind", F.lit(1)), ["kind"], ["node"], "number", n).withColumn("number", F.col("number") + spill)
+    out = seated.where("shard is not null").unionByName(number.withColumn("shard", _piece(F.col("number"), free)).drop("kind", "number"))
+    if pieces:
+        part = numbered(base.where(cut), ["hub"], ["node"], "number", n)
+        shard = F.lit(0)
+        for hub, ends in pieces.items():
+            shard = F.when(F.col("hub") == hub, _piece(F.col("number"), ends)).otherwise(shard)
+        out = out.unionByName(part.withColumn("shard", shard).drop("number"))
+    out = tmp.keep(out.drop("hub").withColumn("shard", F.col("shard").cast("int")), "placed")
     out = numbered(out, ["shard"], ["node"], "slot", n)
     return out.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

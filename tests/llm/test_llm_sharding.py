@@ -65,3 +65,22 @@ def test_allowed_moves_never_overfill():
 def test_only_dataframe_operations(spark):
     plan = shard_documents(spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def cut_groups(rows):
+    of = defaultdict(set)
+    for r in rows:
+        of[r["text_crc32"]].add(r["shard"])
+    return sum(len(s) > 1 for s in of.values())
+
+
+def test_groups_stay_whole_when_all_shards_fill(spark, monkeypatch):
+    from sluice.llm import common, sharding
+
+    for module in (common, sharding):  # several blocks, as a large table has
+        monkeypatch.setattr(module, "blocks_for", lambda rows, per_block=50: max(1, -(-rows // per_block)), raising=False)
+    texts = [(i, "hot") for i in range(1000)] + [(5000 + i, f"t{i // 4}") for i in range(2000)]
+    rows = shard_documents(spark.createDataFrame(texts, "doc_id long, text string"), 8).collect()
+    check(rows, texts, 8)
+    assert cut_groups(rows) <= 8
+    assert len({r["shard"] for r in rows if r["doc_id"] < 5000}) <= 4
