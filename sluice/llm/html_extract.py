@@ -20,6 +20,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ class Node:
     def __init__(self, tag, words, up):
         self.tag, self.words, self.up, self.kids, self.parts = tag, words, up, [], []
         self.depth = up.depth + 1 if up else 0
-        self.chars = self.linked = self.tags = self.marks = self.blocks = self.n_words = 0
+        self.chars = self.linked = self.tags = self.marks = self.blocks = self.n_words = self.at = 0
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
@@ -190,15 +191,18 @@ def features(nodes: list[Node]) -> list[list[float]]:
         return math.log1p(up.chars), up.linked / max(1, up.chars), up.chars / total, long, long / len(up.kids)
 
     known = {}
-    kinds, out = {}, []
+    kinds, peer_tags, out = {}, {}, []
     for n in nodes:
+        if n.kids:
+            peer_tags[n] = Counter(k.tag for k in n.kids)
+            for i, k in enumerate(n.kids):
+                k.at = i
         own = [n.tag in k for k in TAG_KINDS] + [any(w in k for w in n.words) for k in WORD_KINDS]
         up = n.up
         over = [a or b for a, b in zip(*kinds[up])] if up else [False] * len(own)
         kinds[n] = own, over
-        same = [k for k in up.kids if k.tag == n.tag] if up and len(up.kids) < 64 else ()
-        peers = len(up.kids) if up else 1
-        place = up.kids.index(n) if up and peers < 64 else 0
+        peers, place = len(up.kids) if up else 1, n.at
+        same = peer_tags[up][n.tag] if up else 0
         prior = up.kids[place - 1].chars if up and place else 0
         later = up.kids[place + 1].chars if up and place + 1 < peers else 0
         parent = (0, 0, 0, 0, 0) if up is None else known.get(up) or known.setdefault(up, around(up))
@@ -206,7 +210,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
         out.append([
             *own, *over, math.log1p(n.chars), n.linked / max(1, n.chars), n.tags / max(1, n.n_words), n.marks / max(1, n.n_words),
             n.chars / max(1, n.blocks), n.chars / max(1, n.n_words), n.chars / total, before[n] / total, n.depth, len(n.kids),
-            peers, place / peers, len(same) / peers, math.log1p(prior), math.log1p(later), len(paragraphs),
+            peers, place / peers, same / peers, math.log1p(prior), math.log1p(later), len(paragraphs),
             sum(paragraphs) / max(1, n.chars), math.log1p(n.blocks), *parent])
     return out
 
@@ -251,6 +255,10 @@ class Layouts:
         a = self.r.randrange(max(1, len(words) - n + 1))
         return entities.escape(" ".join(words[a:a + n]))
 
+    def count(self, low: int, high: int, long: float = 0.05) -> int:
+        """How many siblings to make; now and then hundreds."""
+        return self.r.randint(64, 400) if self.r.random() < long else self.r.randint(low, high)
+
     def attrs(self, *names: str) -> str:
         if not names or self.r.random() < 0.15:
             return ""
@@ -269,7 +277,7 @@ class Layouts:
         r, pick = self.r, self.r.randrange(13)
         div = r.choice(["div", "div", "section", "aside"])
         if pick == 0:
-            return f"<nav{self.attrs('nav', 'menu')}>{self.links(r.randint(2, 9))}</nav>"
+            return f"<nav{self.attrs('nav', 'menu')}>{self.links(self.count(2, 9))}</nav>"
         if pick == 1:
             return f"<div class=\"{r.choice(['menu', 'navbar', 'navigation', 'breadcrumbs', 'pagination'])}\">{self.links(r.randint(2, 8))}</div>"
         if pick == 2:
@@ -296,7 +304,7 @@ class Layouts:
     def comments(self) -> str:
         r = self.r
         item, shell = r.choice(["li", "div", "article"]), r.choice(["div", "section"])
-        said = [f"<{item}{r.choice(['', ' class=comment'])}>{r.choice(['', '<b>' + self.some(1, 2) + '</b>'])}<p>{self.some(2, 80)}</p></{item}>" for _ in range(r.randint(1, 8))]
+        said = [f"<{item}{r.choice(['', ' class=comment'])}>{r.choice(['', '<b>' + self.some(1, 2) + '</b>'])}<p>{self.some(2, 80)}</p></{item}>" for _ in range(self.count(1, 8))]
         said = "".join(said) if item != "li" else f"<{(k := r.choice(['ol', 'ul']))}>{''.join(said)}</{k}>"
         name = r.choice(["comments", "commentlist", "discussion", "responses", "reader-comments", "comment-section"])
         head = r.choice(["", f"<h2>{self.some(1, 3)}</h2>", f"<h3>{self.some(1, 3)}</h3>"])
@@ -308,14 +316,14 @@ class Layouts:
         if r.random() < 0.8:
             head = f"<h1>{self.some(1, 14)}</h1>"
             out.append(f"<header>{head}</header>" if r.random() < 0.15 else head)
-        for _ in range(r.randint(1, 24)):
+        for _ in range(self.count(1, 24)):
             pick = r.random()
             if pick < 0.72:
                 out.append(f"<p>{self.some(1, 160)}" + r.choice(["</p>", "</p>", ""]))
             elif pick < 0.8:
                 out.append(f"<h{(k := r.randint(2, 4))}>{self.some(1, 8)}</h{k}>")
             elif pick < 0.86:
-                out.append("<ul>" + "".join(f"<li>{self.some(2, 30)}</li>" for _ in range(r.randint(2, 6))) + "</ul>")
+                out.append("<ul>" + "".join(f"<li>{self.some(2, 30)}</li>" for _ in range(self.count(2, 6, 0.01))) + "</ul>")
             elif pick < 0.9:
                 out.append(f"<p>{self.some(3, 40)} <a href=/x>{self.some(1, 5)}</a> {self.some(3, 40)}</p>")
             elif pick < 0.94:
@@ -323,7 +331,7 @@ class Layouts:
             elif pick < 0.97:
                 out.append(f"<p><b>{self.some(3, 80)}<br><p>{self.some(3, 60)}</p>")
             else:
-                out.append("<table>" + "".join(f"<tr><td>{self.some(1, 4)}</td><td>{self.some(1, 8)}</td></tr>" for _ in range(r.randint(2, 5))) + "</table>")
+                out.append("<table>" + "".join(f"<tr><td>{self.some(1, 4)}</td><td>{self.some(1, 8)}</td></tr>" for _ in range(self.count(2, 5, 0.01))) + "</table>")
         return "".join(out)
 
     def page(self) -> str:

@@ -103,3 +103,29 @@ def test_odd_pages(spark, sample):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert all(r["text"] == "" for r in got if r["page_id"] in (1, 2))
     assert extract(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_places_among_hundreds_of_siblings():
+    page = "<div>" + "".join(f"<h2>{'x' * i}</h2>" if i % 10 == 0 else f"<p>{'y' * i}</p>" for i in range(1, 301)) + "</div>"
+    nodes, _ = parse(page)
+    rows = np.array(features(nodes))
+    kids = nodes[1].kids
+    assert len(kids) == 300
+    first = N_FEATURES - 13  # the number of siblings
+    for i, row in enumerate(rows[[nodes.index(k) for k in kids]]):
+        assert row[first] == 300 and row[first + 1] == pytest.approx(i / 300)
+        assert row[first + 2] == pytest.approx(0.1 if (i + 1) % 10 == 0 else 0.9)
+        assert row[first + 3] == pytest.approx(np.log1p(i))
+        assert row[first + 4] == pytest.approx(np.log1p(i + 2 if i < 299 else 0))
+
+
+def test_articles_and_comments_of_hundreds_of_siblings(sample, model):
+    made = Layouts([t for p, in sample for t in blocks(p) if len(t) > 20], 5)
+    assert max(len(n.kids) for _ in range(100) for n in parse(made.page())[0]) > 64
+    for n in (70, 200, 400):
+        said = "".join(f"<div class=comment><p>{made.some(3, 60)}</p></div>" for _ in range(n))
+        page = f"<body><nav>{made.links(80)}</nav><div class=content><h1>Title</h1>{made.prose(n)}</div><div class=comments>{said}</div></body>"
+        inner = parse(page.partition("<div class=content>")[2].partition("</div>")[0])[1]
+        want, got = {t for _, t in inner}, main_text([page], model)[0].split("\n")
+        right = sum(len(t) for t in got if t in want)
+        assert right / sum(map(len, got)) > 0.95 and right / sum(len(t) for _, t in inner) > 0.95
