@@ -40,7 +40,8 @@ LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
 CHUNK = 1 << 16
 TOGETHER = 16 << 20
-ID_BITS, AT_BITS = 35, 28
+LOC_BITS, AT_BITS = 63, 28
+"""Bits of a place, and those of them that say where in the document, at least; longer texts take more, ids what is left."""
 REMOVED, MIXED = 1, 2
 
 
@@ -175,7 +176,7 @@ def _gathered(batches):
         yield pd.concat(part, ignore_index=True)
 
 
-def _run_entries(batches):
+def _run_entries(batches, at_bits: int):
     import numpy as np
 
     for pdf in _gathered(batches):
@@ -187,27 +188,27 @@ def _run_entries(batches):
             sig += b100[base + extent] * np.uint64(0xC4CEB9FE1A85EC53)
             sig ^= sig >> np.uint64(33)
             sig += (pivot - base).astype(np.uint64) * np.uint64(128) + extent.astype(np.uint64)
-            out.append((bucket, sig, (ids[doc] << AT_BITS) | start, extent))
+            out.append((bucket, sig, (ids[doc] << at_bits) | start, extent))
         if out:
             yield _entries(*(np.concatenate(x) for x in zip(*out)))
 
 
-def _window_entries(batches):
+def _window_entries(batches, at_bits: int):
     """Entries of the single windows of unsettled runs; ``runs`` lists where a document's unsettled runs start."""
     import numpy as np
 
     for pdf in _gathered(batches):
         ids = pdf["id"].to_numpy(np.int64)
         starts = [np.asarray(m, np.int64) for m in pdf["runs"]]
-        wanted = np.sort(np.concatenate([(i << AT_BITS) | m for i, m in enumerate(starts)]))
+        wanted = np.sort(np.concatenate([(i << at_bits) | m for i, m in enumerate(starts)]))
         out = []
         for doc, start, extent, _, bucket, b100, base in _runs(pdf["text"].tolist()):
-            key = (doc.astype(np.int64) << AT_BITS) | start
+            key = (doc.astype(np.int64) << at_bits) | start
             found = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
             n = (extent + 1) * found
             run = np.repeat(np.arange(len(n)), n)
             s = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((bucket[run], b100[s], (ids[doc[run]] << AT_BITS) | (start[run] + s - base[run]), np.zeros(len(s), np.int64)))
+            out.append((bucket[run], b100[s], (ids[doc[run]] << at_bits) | (start[run] + s - base[run]), np.zeros(len(s), np.int64)))
         if out:
             # 32 bits of the pivot bucket beside 64 of the window's tell windows apart, in fewer bytes.
             yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
@@ -270,36 +271,41 @@ def _cut(text: bytes, spans) -> tuple[bytes, int, int]:
     return kept, int((b - a).sum()), len(a)
 
 
-def _order(docs: DataFrame, tmp: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """Rows as ``(id, text bytes)`` with one small id per document, and the names of the ids where they are not the documents' own.
+def _order(docs: DataFrame, tmp: Scratch) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows as ``(id, text bytes)`` with one small id per document, the names of the ids where they are not the documents' own, and the bits that the longest text's places take.
 
     Documents' own ids serve when they are unique and small.  Otherwise each
     distinct (doc_id, text) gets its place in their order: by id, null last,
     then by text hash.
     """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    n = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("k"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    plain = n["n"] == n["k"] and (not n["n"] or (n["lo"] >= 0 and n["hi"] < 1 << ID_BITS))
+    n = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("k"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                 F.max(F.octet_length("text")).alias("longest")).first()
+    at_bits = max(AT_BITS, (n["longest"] or 0).bit_length())
+    ids = 1 << LOC_BITS - at_bits
+    plain = n["n"] == n["k"] and (not n["n"] or (n["lo"] >= 0 and n["hi"] < ids))
     if plain and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return docs.select(F.col("doc_id").cast("long").alias("id"), text), None
+        return docs.select(F.col("doc_id").cast("long").alias("id"), text), None, at_bits
     named = docs.select(id_key("doc_id").alias("_id"), text_hash("text").alias("_th"), text)
     keys = named.select("_id", "_th").distinct().orderBy("_id", "_th")
     rows = keys.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
     names = tmp.keep(keys.sparkSession.createDataFrame(rows, "_id long, _th long, id long"), "names")
-    return names.join(named.dropDuplicates(["_id", "_th"]), ["_id", "_th"]).select("id", "text"), names
+    if n["n"] > ids and names.count() > ids:
+        raise ValueError(f"more than {ids} documents beside a text of {n['longest']} bytes")
+    return names.join(named.dropDuplicates(["_id", "_th"]), ["_id", "_th"]).select("id", "text"), names, at_bits
 
 
 def _spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """Removed runs of windows per document, as start and extent packed into longs, and the key columns they go by."""
     tmp = Scratch(docs.sparkSession, "suffix")
-    texts, names = _order(docs, tmp)
-    at = F.col("loc").bitwiseAND(F.lit((1 << AT_BITS) - 1))
-    doc = F.shiftright("loc", AT_BITS).alias("id")
+    texts, names, at_bits = _order(docs, tmp)
+    at = F.col("loc").bitwiseAND(F.lit((1 << at_bits) - 1))
+    doc = F.shiftright("loc", at_bits).alias("id")
 
     long_enough = texts.where(F.octet_length("text") >= LENGTH)
-    runs = tmp.keep(_judged(long_enough.mapInPandas(_run_entries, ENTRY), "bucket"), "runs")
+    runs = tmp.keep(_judged(long_enough.mapInPandas(lambda batches: _run_entries(batches, at_bits), ENTRY), "bucket"), "runs")
     mixed = runs.where(F.col("kind") == MIXED).select(doc, at.alias("at")).groupBy("id").agg(F.collect_list("at").alias("runs"))
-    windows = long_enough.join(mixed, "id").mapInPandas(_window_entries, ENTRY)
+    windows = long_enough.join(mixed, "id").mapInPandas(lambda batches: _window_entries(batches, at_bits), ENTRY)
     single = tmp.keep(_judged(windows, "bucket", "sig").where(F.col("kind") == REMOVED), "windows")
     spans = (runs.where(F.col("kind") == REMOVED).unionByName(single)
              .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("_spans")))

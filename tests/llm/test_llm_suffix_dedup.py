@@ -88,3 +88,13 @@ def test_refinement_holds_one_entry_over_batches():
     whole = pd.concat(suffix_dedup._refine([frame(rows)])).sort_values("loc").values.tolist()
     split = pd.concat(suffix_dedup._refine(frame([r]) for r in rows)).sort_values("loc").values.tolist()
     assert whole == split == [[10, 0, 2], [11, 0, 1], [12, 0, 2], [15, 0, 1], [99, 4, 1]]
+
+
+def test_places_beyond_the_least_bits(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "AT_BITS", 8)
+    r = random.Random(8)
+    a = "".join(r.choice("abcdefgh ") for _ in range(3000))
+    check(spark, [(1, a), (2, "x" * 50 + a[1500:2500]), (3, a[200:900] + "z" * 700), (1000, a[2000:])])
+    # Ids that do not fit beside the longest text get names.
+    monkeypatch.setattr(suffix_dedup, "LOC_BITS", 20, raising=False)
+    check(spark, [(1, a), (2, "x" * 50 + a[1500:2500]), (300, a[200:900] + "z" * 700), (1000, a[2000:])])
