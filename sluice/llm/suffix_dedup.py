@@ -1,4 +1,4 @@
-"""Removal of long byte strings that occur earlier in the corpus, by bucket-pointer refinement.
+"""Removal of long byte strings that occur earlier in the corpus, by pivots and window hashes.
 
 Every byte covered by a ``LENGTH``-byte string that also starts earlier (in a
 document with a smaller id, or earlier in the same document) is removed.
@@ -16,11 +16,14 @@ the 64-byte buckets at offsets 0 and 36).
 2.  Refinement of whole runs: entries are shuffled by pivot bucket and sorted
     on the buckets at their run's first and last offset.  Alike runs hold the
     same windows: all but the earliest are removed.  A run alone in its pivot
-    bucket is unique and settled; so are windows of other runs that reach over
-    such a unique string.  Only runs whose pivot bucket holds unlike runs stay.
-3.  Refinement of single offsets: the windows of those runs, without the ones
-    known to be unique, are shuffled and sorted by pivot bucket and 100-byte
-    bucket; all but the earliest of each are removed.
+    bucket is unique and settled.  Only runs whose pivot bucket holds unlike
+    runs stay.
+3.  Refinement of single offsets: all windows of those runs are shuffled and
+    sorted by pivot bucket and 100-byte bucket; all but the earliest of each
+    are removed.
+
+Buckets are computed from each text alone.  No sort hands new bucket numbers to
+later offsets, as refinement of a suffix array's bucket pointers would.
 
 A sort that meets entries in order needs one earlier entry to judge the next,
 so a bucket of any size streams through its task.  Entries that repeat within
