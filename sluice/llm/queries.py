@@ -16,6 +16,7 @@ from sluice.llm.simhash import hex_digits, near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.token_counts import apply_edits, build_trees
 from sluice.llm.warc import archive
+from sluice.llm.window_packing import pack_windows
 
 SQL: dict[str, str] = {}
 
@@ -152,6 +153,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 1024 tokens, by best-fit decreasing."""
+    import public_tokenizers
+
+    out = pack_windows(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -163,4 +172,5 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_window_packing": op12_window_packing,
 }
