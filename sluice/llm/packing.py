@@ -1,33 +1,33 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
-Bulk-synchronous best-fit.  Pieces are range-sorted by length and numbered
-within their length.  A round takes the next range of lengths, longest first,
-and all open sequences, numbered within their gap (free places).  A sweep over
-the lengths, longest first, hands each the gaps that succeed it (the smallest
-gap at least as long); pieces that compete for the gaps of one size are told
-apart by rank: piece ``i`` of a length takes gap ``i // m`` of its share, ``m``
-pieces to a gap when several fit.  Pieces for which no gap is left open new
-sequences.  Then gaps are updated and the next round begins.
-
-The sweep itself sees only counts: at most ``max_len`` lengths and ``max_len``
-gap sizes, whatever the corpus holds.  Ranks, matches and gap updates are
-joins and aggregates keyed by (gap size, rank) or sequence, so a length shared
-by a third of all pieces is spread like any other.
+Bulk-synchronous best-fit.  Pieces are sorted by length, open sequences by their
+gap (free places).  A round takes the longest length that is left.  A successor
+sweep over the gap sizes hands it the smallest gaps that take it, tightest
+first; its pieces compete by rank: piece ``i`` of a length takes gap ``i // m`` of
+those handed to it, ``m`` pieces to a gap when several fit, and pieces for which
+no gap is left open new sequences.  Then gaps are updated and the next round
+begins, until no piece is left, so a gap is offered to all lengths that come
+after it was made.
+
+Rounds see only counts: at most ``max_len`` lengths and ``max_len`` gap sizes,
+whatever the corpus holds, so they need no pass over the pieces.  Each piece
+then finds its sequence from its rank within its length (``ranks.py``), which is
+made of counts by task: no length, however common, is gathered or sorted.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
+from collections import deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, id_key, numbered, restored, small_batches
+from sluice.llm.common import Scratch, id_key, restored, small_batches
+from sluice.llm.ranks import numbered_by_task, placed, ranked
 from sluice.llm.tokens import WordEncoder
 
-NARROW = 0.65
-"""A round takes lengths down to this share of the last round's shortest; more, smaller rounds pack a little tighter."""
-
 
 def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: int = 0,
                  doc_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -62,89 +62,57 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: i
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
-def _sweep(lengths: dict[int, int], gaps: dict[int, int], max_len: int, next_id: int) -> tuple[list[tuple], int]:
-    """Match one round's lengths to gap sizes by counts.
+def match(lengths: dict[int, int], max_len: int) -> list[tuple[int, int, int, int, int]]:
+    """Rounds over so many pieces of each length: entries ``(length, lo, per, first, offset)`` of ``ranks.placed``."""
+    sizes: list[int] = []  # of the gaps there are, sorted
+    gaps: dict[int, deque] = {}  # by size the open sequences, as ranges (first, how many)
+    opened, out = 0, []
+
+    def update(size: int, first: int, n: int) -> None:
+        if size and n:
+            if not gaps.get(size):
+                gaps[size] = deque()
+                insort(sizes, size)
+            gaps[size].append((first, n))
 
-    Returns entries ``(length, rank_lo, rank_hi, per_gap, gap, gap_lo, first_id)``:
-    pieces of that length with ranks in ``[rank_lo, rank_hi)`` go ``per_gap`` to
-    a gap, to gaps of size ``gap`` from rank ``gap_lo`` on, or, where
-    ``first_id`` is set, to new sequences numbered from it.
-    """
-    left = sorted(gaps)
-    free, taken = dict(gaps), dict.fromkeys(gaps, 0)
-    out = []
     for length in sorted(lengths, reverse=True):
-        lo, n = 0, lengths[length]
-        for gap in [g for g in left if g >= length]:
-            if lo == n:
-                break
-            m = gap // length
-            use = min(free[gap], -(-(n - lo) // m))
-            hi = min(n, lo + use * m)
-            out.append((length, lo, hi, m, gap, taken[gap], None))
-            free[gap] -= use
-            taken[gap] += use
-            lo = hi
-        left = [g for g in left if free[g]]
-        if lo < n:
-            m = max_len // length
-            out.append((length, lo, n, m, max_len, 0, next_id))
-            next_id += -(-(n - lo) // m)
-    return out, next_id
+        lo, n, made = 0, lengths[length], []
+        while lo < n:
+            at = bisect_left(sizes, length)
+            if at < len(sizes):
+                size = sizes[at]
+                first, most = gaps[size].popleft()
+            else:
+                size, first, most = max_len, opened, n
+            per = size // length
+            use = min(most, -(-(n - lo) // per))
+            if at == len(sizes):
+                opened += use
+            elif use < most:
+                gaps[size].appendleft((first + use, most - use))
+            elif not gaps[size]:
+                sizes.pop(at)
+            out.append((length, lo, per, first, max_len - size))
+            full, rest = divmod(min(n - lo, use * per), per)
+            made += [(size - per * length, first, full), (size - rest * length, first + full, 1 if rest else 0)]
+            lo = min(n, lo + use * per)
+        for gap in made:
+            update(*gap)
+    return out
 
 
 def pack(pieces: DataFrame, max_len: int = 2048) -> DataFrame:
     """Give each row of ``pieces`` (any columns beside ``length``, 1 to ``max_len``) a ``sequence_id`` and an ``offset``.
 
-    Within a sequence, offsets are gapless from 0.  An empty table gives an empty one.
+    Sequences are numbered from 0 without gaps; within a sequence, offsets are
+    gapless from 0.  Pieces of equal length take their places in any order.
+    Columns named ``sequence_id``, ``offset`` or ``_part, _nth, _rank`` are
+    replaced.  An empty table gives an empty one.
     """
-    spark = pieces.sparkSession
-    tmp = Scratch(spark, "pack")
-    cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    raw = tmp.keep(pieces.select(*cols).withColumn("_uid", F.monotonically_increasing_id()), "pieces")
-    lengths = {r["length"]: r["count"] for r in raw.groupBy("length").count().collect()}
-    items = numbered(raw, ["length"], ["_uid"], "_rank", sum(lengths.values()))
-    items = tmp.keep(items.repartitionByRange("length", "_rank").sortWithinPartitions("length"), "sorted")
-    tmp.drop(raw)
-
-    plan_schema = "length long, _lo long, _hi long, _per long, _gap long, _gap_lo long, _first long"
-    bins = tmp.keep(spark.createDataFrame([], "sequence_id long, gap long"), "gaps")
-    placed, next_id, hi, lo = [], 0, max_len, max_len // 2
-    while hi > 0:
-        todo = {k: n for k, n in lengths.items() if lo < k <= hi}
-        if todo:
-            gaps = {r["gap"]: r["count"] for r in bins.groupBy("gap").count().collect()}
-            entries, next_id = _sweep(todo, gaps, max_len, next_id)
-            plan = F.broadcast(spark.createDataFrame(entries, plan_schema))
-            share = F.col("_rank") - F.col("_lo")
-            at = (items.where((F.col("length") > lo) & (F.col("length") <= hi)).join(plan, "length")
-                  .where((share >= 0) & (F.col("_rank") < F.col("_hi")))
-                  .withColumn("_nth", F.floor(share / F.col("_per")))
-                  .withColumn("_in", (share % F.col("_per")) * F.col("length")))
-            new = at.where("_first is not null").withColumn("sequence_id", F.col("_first") + F.col("_nth"))
-            ranked = numbered(bins, ["gap"], ["sequence_id"], "_gap_rank", sum(gaps.values()))
-            match = (at.where("_first is null").withColumn("_gap_rank", F.col("_gap_lo") + F.col("_nth"))
-                     .join(ranked.withColumnRenamed("gap", "_gap"), ["_gap", "_gap_rank"]))
-            both = new.select(*match.drop("_gap_rank").columns).unionByName(match.drop("_gap_rank"))
-            done = tmp.keep(both.select(
-                *cols, "sequence_id", (F.lit(max_len) - F.col("_gap") + F.col("_in")).cast("long").alias("offset")), "placed")
-            placed.append(done)
-            opened = F.when(F.col("offset") == 0, max_len).otherwise(0)
-            moves = done.select("sequence_id", (opened - F.col("length")).cast("long").alias("gap"))
-            least = min([k for k in lengths if k <= lo], default=max_len + 1)
-            after = (bins.unionByName(moves).groupBy("sequence_id").agg(F.sum("gap").alias("gap"))
-                     .where(F.col("gap") >= least))
-            old, bins = bins, tmp.keep(after, "gaps")
-            tmp.drop(old)
-        hi, lo = lo, int(lo * NARROW) if lo > 8 else 0
-    tmp.drop(items)
-    if not placed:
-        return pieces.select(*cols).where(F.lit(False)).withColumns(
-            {"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
-    return out
+    tmp = Scratch(pieces.sparkSession, "pack")
+    own = pieces.drop("sequence_id", "offset", "_part", "_nth", "_rank")
+    rows, lengths = ranked(tmp.keep(numbered_by_task(own), "pieces"), tmp)
+    return placed(rows, match(lengths, max_len)).select(*own.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: int = 0,
