@@ -10,6 +10,7 @@ from sluice.llm.decontaminate import find_contamination, items_digest
 from sluice.llm.embedding_dedup import near_vectors
 from sluice.llm.html_extract import extract
 from sluice.llm.packing import pack_documents
+from sluice.llm.periodic_runs import periodic_runs, runs_digest, strongest_run, with_planted_runs
 from sluice.llm.quality import fit, held_out, score
 from sluice.llm.sharding import shard_documents
 from sluice.llm.simhash import hex_digits, near_duplicates
@@ -153,6 +154,48 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left once each is cut down to one period."""
+    found = periodic_runs(with_planted_runs(read(spark, sf_dir, "documents").select("doc_id", "text")), repeats=4, least=6)
+    best = found.withColumn("_best", strongest_run("runs"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.expr("(1000 * _best.length) div _best.period").alias("exponent_milli"),
+        runs_digest("runs").alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+SQL["op11_periodic_runs"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, CAST(doc_id AS VARCHAR) AS id FROM documents),
+crc AS (
+  SELECT doc_id, w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(id) + 1), lambda i: ascii(id[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h FROM docs),
+g AS (SELECT doc_id, w, len(w) AS n, h // 10 AS g, h % 10 = 0 AND len(w) > 0 AS made FROM crc),
+a AS (SELECT *, CASE WHEN made THEN g % n END AS a FROM g),
+texts AS (
+  SELECT doc_id, n, CASE WHEN made THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM a),
+lags AS (SELECT doc_id, n, w, unnest(range(1, n // 4 + 1)) AS q FROM texts WHERE n >= 6),
+probes AS (SELECT doc_id, n, w, q, list_filter(range(0, (n - 1) // q - 2), lambda j: w[1 + j * q] = w[1 + (j + 1) * q] AND w[1 + (j + 1) * q] = w[1 + (j + 2) * q] AND w[1 + (j + 2) * q] = w[1 + (j + 3) * q]) AS hits FROM lags),
+places AS (SELECT doc_id, n, w, q, unnest(range(0, n - q)) AS i FROM probes WHERE len(hits) > 0),
+same AS (SELECT doc_id, q, i FROM places WHERE w[1 + i] = w[1 + i + q]),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT doc_id, s, l, q FROM stretches x
+  WHERE NOT EXISTS (SELECT 1 FROM stretches y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.l >= x.s + x.l)),
+lines AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS text FROM runs GROUP BY doc_id),
+best AS (SELECT doc_id, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l::DOUBLE / q DESC, s, q) = 1),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.i) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM texts) t LEFT JOIN dropped d ON d.doc_id = t.doc_id AND d.i = t.i
+  WHERE d.i IS NULL GROUP BY t.doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, (1000 * l) // q AS exponent_milli,
+       sha256(coalesce(lines.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN lines USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 1024 tokens, by best-fit decreasing."""
     import public_tokenizers
@@ -172,5 +215,6 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_window_packing": op12_window_packing,
 }
