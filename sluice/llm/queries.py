@@ -9,6 +9,7 @@ from sluice.llm.common import read
 from sluice.llm.decontaminate import find_contamination, items_digest
 from sluice.llm.embedding_dedup import near_vectors
 from sluice.llm.html_extract import extract
+from sluice.llm.lexical_search import search
 from sluice.llm.packing import pack_documents
 from sluice.llm.periodic_runs import periodic_runs, runs_digest, strongest_run, with_planted_runs
 from sluice.llm.quality import fit, held_out, score
@@ -204,6 +205,34 @@ def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for every benchmark item."""
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), limit=10)
+
+
+SQL["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM sizes),
+lengths AS (SELECT doc_id, 10 + (90 * n * nd) // nl AS m FROM sizes, total),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+vocab AS (SELECT DISTINCT term FROM items),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) JOIN vocab USING (term) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -217,4 +246,5 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_window_packing": op12_window_packing,
+    "op13_lexical_search": op13_lexical_search,
 }
