@@ -37,8 +37,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id (null last, then by text hash); repeated rows leave one."""
     found = Scratch(spark, "near-copies").keep(near_duplicates(docs, max_bits=4, words=4, seed=42), "components")
-    rows = found.select(id_key("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "component")
-    first = rows.groupBy("component").agg(F.min(F.struct("_id", "_th")).alias("first"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_th")
+    rows = found.select("doc_id", id_key("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "component")
+    first = rows.groupBy("component").agg(F.min_by(F.struct("_id", "_th"), order).alias("first"))
     dropped = rows.join(first, "component").where(F.struct("_id", "_th") != F.col("first")).select("_id", "_th")
     out = _without(docs, dropped)
     if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
