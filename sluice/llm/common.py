@@ -11,11 +11,8 @@ from pyspark.sql import functions as F
 from sluice.session import ensure_checkpoint_dir
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-NO_ID = 2**63 - 1
-"""Stands in for a null id while rows are compared: such rows sort after all others."""
 
-
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 """Rows and bytes that go to a Python worker at once, at most (a longer text goes alone)."""
 
 
@@ -71,13 +68,16 @@ class Scratch:
 
 
 def id_key(col: str) -> Column:
-    """The id as a long that sorts nulls last and joins them to each other."""
-    return F.coalesce(F.col(col).cast("long"), F.lit(NO_ID))
+    """The id of any type as text that joins nulls to each other and passes through pandas, where integers with nulls would lose digits.
+
+    Ids are marked by ``=`` in front, so no id looks like the null one.
+    """
+    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit(""))
 
 
 def restored(col: str, like) -> Column:
-    """An ``id_key`` column as the id it was, of the type ``like``; integers with nulls would lose digits in pandas."""
-    return F.when(F.col(col) != F.lit(NO_ID), F.col(col)).cast(like).alias(col)
+    """An ``id_key`` column as the id it was, of the type ``like``."""
+    return F.when(F.col(col) != "", F.substring(col, 2, 1 << 30)).cast(like).alias(col)
 
 
 def text_hash(text: str) -> Column:

@@ -20,7 +20,7 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, id_key, text_hash
+from sluice.llm.common import Scratch, id_key, restored, text_hash
 
 BLOCK_WORDS = 2_000_000
 BROADCAST_PLACES = 500_000
@@ -116,7 +116,7 @@ def postings(texts: DataFrame, vocab: dict[bytes, int], terms: set[int] | None =
                     rows += [(int(ids[p[0]]), doc, th, p) for p in np.split(at, cut)]
             yield pd.DataFrame(rows, columns=["term", "id", "th", "positions"])
 
-    return texts.mapInPandas(index, "term int, id long, th long, positions array<int>")
+    return texts.mapInPandas(index, "term int, id string, th long, positions array<int>")
 
 
 def _places(index: DataFrame, anchors: set, spark) -> DataFrame:
@@ -252,7 +252,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         total = places.agg(F.sum(F.size("places"))).first()[0] or 0
         to_check = texts.join(F.broadcast(places) if total <= BROADCAST_PLACES else places, ["id", "th"])
         check = _phrase_hits(queries) if slop is None else _near_hits(queries, slop)
-        hits.append(tmp.keep(to_check.mapInPandas(check, f"id long, th long, spans array<int>, items array<{item_type}>"), "hits"))
+        hits.append(tmp.keep(to_check.mapInPandas(check, f"id string, th long, spans array<int>, items array<{item_type}>"), "hits"))
     if hits:
         found = hits[0].dropDuplicates(["id", "th"])
         for h in hits[1:]:
@@ -261,14 +261,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
             found = found.groupBy("id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
             found = found.withColumn("spans", _merged("spans"))
     else:
-        found = spark.createDataFrame([], f"id long, th long, spans array<int>, items array<{item_type}>")
+        found = spark.createDataFrame([], f"id string, th long, spans array<int>, items array<{item_type}>")
     none = F.array().cast
     out = lengths.join(found, ["id", "th"], "left")
     spans, listed = F.coalesce("spans", none("array<int>")), F.coalesce("items", none(f"array<{item_type}>"))
     hit = F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda s, x: s + x)
-    # A null id comes back as null: real documents keep their own.
-    doc = F.when(F.col("id") != F.lit(2**63 - 1), F.col("id")).cast(docs.schema["doc_id"].dataType)
-    return out.select(doc.alias("doc_id"), F.col("th").alias("text_hash"), "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
+    return out.select(restored("id", docs.schema["doc_id"].dataType).alias("doc_id"), F.col("th").alias("text_hash"), "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
                       listed.alias("items"), spans.alias("spans"), (hit > 0).alias("contaminated"))
 
 

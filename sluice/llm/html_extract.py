@@ -438,6 +438,6 @@ def extract(pages: DataFrame, sample: int = 200, id_col: str = "page_id", url_co
             out["text"] = texts
             yield out
 
-    out = rows.mapInPandas(run, "page_id long, url string, text string")
+    out = rows.mapInPandas(run, "page_id string, url string, text string")
     out = out.withColumn("page_id", restored("page_id", pages.schema[id_col].dataType))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

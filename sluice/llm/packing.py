@@ -57,7 +57,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: i
                     rows.append(row + ([*memoryview(part).cast("I")],) if keep_ids else row)
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
     out = docs.select(id_key(doc_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(pieces, schema)
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 

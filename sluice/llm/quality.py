@@ -12,9 +12,10 @@ nearest vote with weights that grow with similarity.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
 
 from sluice.llm.common import small_batches
 
@@ -122,16 +123,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
         text_col: str = "text", label_col: str = "quality") -> dict | None:
     """The voters: ``idf``, ``axes`` (terms by dims), ``points`` (latent vectors) and their ``marks``.
 
-    At most ``sample`` labelled rows are learnt from, those whose ids come first
-    by hash; rows whose CRC-32 of the id as text is divisible by 5 are held out.
-    None without usable labels.
+    At most ``sample`` labels are learnt from, those whose ids come first by
+    hash, each from one row of its document (where unlike texts share an id, the
+    one first by hash); a label given twice counts once, unlike labels of one id
+    count each.  Rows whose CRC-32 of the id as text is divisible by 5 are held
+    out; labels without an id or a document teach nothing.  None without usable
+    labels.
     """
     import numpy as np
 
     spark = docs.sparkSession
     small_batches(spark)
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(doc_col).isNotNull() & ~held_out(doc_col))
-    chosen = (usable.select(F.col(doc_col).alias("doc_id"), F.col(label_col).cast("int").alias("mark"))
+    chosen = (usable.select(F.col(doc_col).alias("doc_id"), F.col(label_col).cast("int").alias("mark")).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(sample).collect())
     if not chosen:
         return None
@@ -143,12 +147,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
         import pandas as pd
 
         for pdf in frames:
-            rows = [(np.minimum(trigrams(t), 65504).astype(np.float16).tobytes(), profile(t).astype(np.float16).tobytes(), m)
-                    for t, m in zip(pdf["text"], pdf["mark"])]
-            yield pd.DataFrame(rows, columns=["grams", "bins", "mark"])
+            rows = [(d, np.minimum(trigrams(t), 65504).astype(np.float16).tobytes(), profile(t).astype(np.float16).tobytes(), m)
+                    for d, t, m in zip(pdf["doc_id"], pdf["text"], pdf["mark"])]
+            yield pd.DataFrame(rows, columns=["doc_id", "grams", "bins", "mark"])
 
-    known = docs.select(F.col(doc_col).cast("long").alias("doc_id"), text).join(F.broadcast(chosen), "doc_id").limit(2 * sample)
-    rows = known.mapInPandas(terms, "grams binary, bins binary, mark int").collect()
+    known = docs.select(F.col(doc_col).cast("long").alias("doc_id"), text).join(F.broadcast(chosen), "doc_id")
+    known = known.groupBy("doc_id", "mark").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = sorted(known.mapInPandas(terms, "doc_id long, grams binary, bins binary, mark int").collect(), key=lambda r: (r["doc_id"], r["mark"]))
     if not rows:
         return None
     idf = (np.log((1 + n) / (1 + np.array(df))) + 0.1).astype(np.float32)
@@ -173,11 +178,15 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
     """Per row of ``docs``: its columns, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted``.
 
     The ``neighbours`` most similar of the model's points vote, weighted by
-    cosine to the ``power``.  Whole texts are scored; null is empty; an empty
-    text has a score like any other.  Without a model the score is 0.5.  Columns
-    named ``score`` or ``predicted`` are replaced.
+    cosine to the ``power``; of equally similar points any may be among them.
+    Whole texts are scored; null is empty; an empty text has a score like any
+    other.  Ids play no part: rows with null or repeated ids are kept and scored
+    each by its text.  Without a model the score is 0.5.  Columns named
+    ``score`` or ``predicted`` are replaced, all others stay as they are; only
+    texts leave the JVM.
     """
     import numpy as np
+    import pandas as pd
 
     small_batches(docs.sparkSession)
     docs = docs.drop("score", "predicted")
@@ -186,12 +195,10 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     k = min(neighbours, len(model["marks"]))
 
-    def votes(frames):
-        import pyarrow as pa
-
+    def votes(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shipped.value
-        for rows in frames:
-            texts = [(t or "").encode() for t in rows.column(text_col).to_pylist()]
+        for column in columns:
+            texts = column.tolist()
             out = np.zeros(len(texts))
             for a in range(0, len(texts), 512):
                 part = texts[a:a + 512]
@@ -201,7 +208,9 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
                 best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                 w = np.maximum(np.take_along_axis(near, best, 1), 1e-3).astype(np.float64) ** power
                 out[a:a + 512] = (w * m["marks"][best]).sum(1) / w.sum(1)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.clip(out, 0, 1))], [*rows.schema.names, "score"])
+            yield pd.Series(np.clip(out, 0, 1))
 
-    schema = StructType([*docs.schema.fields]).add("score", DoubleType())
-    return docs.mapInArrow(votes, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    votes.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    scored = docs.withColumn("score", F.pandas_udf(votes, "double")(text))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

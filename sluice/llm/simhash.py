@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str =
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     rows = docs.select(id_key(doc_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), text)
-    out = rows.mapInPandas(batches, "doc_id long, text_hash long, fp long")
+    out = rows.mapInPandas(batches, "doc_id string, text_hash long, fp long")
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 

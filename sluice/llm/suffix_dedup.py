@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import Scratch, id_key, restored, text_hash
@@ -42,7 +42,8 @@ from sluice.llm.common import Scratch, id_key, restored, text_hash
 LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
 CHUNK = 1 << 16
-TOGETHER = 16 << 20
+TOGETHER, WINDOWS = 16 << 20, 1 << 20
+"""Bytes of text, and windows of unsettled runs, that are settled together before the shuffle."""
 LOC_BITS, AT_BITS = 63, 28
 """Bits of a place, and those of them that say where in the document, at least; longer texts take more, ids what is left."""
 REMOVED, MIXED = 1, 2
@@ -204,14 +205,18 @@ def _window_entries(batches, at_bits: int):
         ids = pdf["id"].to_numpy(np.int64)
         starts = [np.asarray(m, np.int64) for m in pdf["runs"]]
         wanted = np.sort(np.concatenate([(i << at_bits) | m for i, m in enumerate(starts)]))
-        out = []
+        out, held = [], 0
         for doc, start, extent, _, bucket, b100, base in _runs(pdf["text"].tolist()):
             key = (doc.astype(np.int64) << at_bits) | start
             found = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
             n = (extent + 1) * found
             run = np.repeat(np.arange(len(n)), n)
             s = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((bucket[run], b100[s], (ids[doc[run]] << at_bits) | (start[run] + s - base[run]), np.zeros(len(s), np.int64)))
+            out.append((bucket[run], b100[s], (ids[doc[run]] << at_bits) | (start[run] + s - base[run]), np.zeros(len(s), np.int32)))
+            held += len(s)
+            if held >= WINDOWS:
+                yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
+                out, held = [], 0
         if out:
             # 32 bits of the pivot bucket beside 64 of the window's tell windows apart, in fewer bytes.
             yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
@@ -290,9 +295,13 @@ def _order(docs: DataFrame, tmp: Scratch) -> tuple[DataFrame, DataFrame | None,
     if plain and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return docs.select(F.col("doc_id").cast("long").alias("id"), text), None, at_bits
     named = docs.select(id_key("doc_id").alias("_id"), text_hash("text").alias("_th"), text)
-    keys = named.select("_id", "_th").distinct().orderBy("_id", "_th")
-    rows = keys.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    names = tmp.keep(keys.sparkSession.createDataFrame(rows, "_id long, _th long, id long"), "names")
+    order = [F.asc_nulls_last("doc_id"), F.asc("_th")]
+    keys = docs.select("doc_id", id_key("doc_id").alias("_id"), text_hash("text").alias("_th")).distinct()
+    keys = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    keys = tmp.keep(keys.select("_id", "_th", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_k")), "keys")
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    bases = keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).select("_p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    names = tmp.keep(keys.join(F.broadcast(bases), "_p").select("_id", "_th", (F.col("_base") + F.col("_k")).alias("id")), "names")
     if n["n"] > ids and names.count() > ids:
         raise ValueError(f"more than {ids} documents beside a text of {n['longest']} bytes")
     return names.join(named.dropDuplicates(["_id", "_th"]), ["_id", "_th"]).select("id", "text"), names, at_bits
@@ -313,7 +322,7 @@ def _spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     spans = (runs.where(F.col("kind") == REMOVED).unionByName(single)
              .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("_spans")))
     if names is None:
-        return spans.withColumnRenamed("id", "_id"), ["_id"]
+        return spans.select(F.concat(F.lit("="), F.col("id").cast("string")).alias("_id"), "_spans"), ["_id"]
     return spans.join(names, "id").drop("id"), ["_id", "_th"]
 
 
@@ -347,7 +356,7 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
 
     rows = _with_spans(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     out = rows.select(id_key("doc_id").alias("doc_id"), "_text", "_spans").mapInPandas(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 

@@ -171,7 +171,7 @@ def build_trees(docs: DataFrame, ranks: str, pattern: str, doc_col: str = "doc_i
 
     small_batches(docs.sparkSession)
     rows = docs.select(id_key(doc_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = rows.mapInPandas(build, "doc_id long, text string, chars array<int>, tokens array<int>")
+    out = rows.mapInPandas(build, "doc_id string, text string, chars array<int>, tokens array<int>")
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
@@ -206,6 +206,6 @@ def apply_edits(trees: DataFrame, ranks: str, pattern: str, edits=redactions) ->
             yield pd.DataFrame(rows, columns=["doc_id", "text", "chars", "tokens", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"])
 
     rows = trees.select(id_key("doc_id").alias("doc_id"), "text", "chars", "tokens")
-    out = rows.mapInPandas(run, "doc_id long, text string, chars array<int>, tokens array<int>, "
+    out = rows.mapInPandas(run, "doc_id string, text string, chars array<int>, tokens array<int>, "
                            "n_tokens_before long, n_tokens long, n_edits int, n_encoded long")
     return out.withColumn("doc_id", restored("doc_id", trees.schema["doc_id"].dataType))

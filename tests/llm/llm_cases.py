@@ -21,6 +21,7 @@ ODD = [
     (10, "é" * 300 + " ß " + "é" * 300, "fr", "s", 603),
     (-4, "a negative id, " + COPY, "en", "s", 1),
     ((1 << 60) + 1, "a large id, " + COPY, "en", "s", 1),
+    ((1 << 63) - 1, "the largest id, " + COPY, "en", "s", 1),
 ]
 
 
