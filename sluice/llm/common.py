@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluice.session import ensure_checkpoint_dir
 
@@ -24,6 +25,34 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def tidy(fn):
+    """``fn`` over batches; what its task has freed goes back to the system when the task ends, as Python workers live on."""
+    def run(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few rows as a DataFrame, through Arrow (plain lists would start Python workers of another kind)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(schema)
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.types)], names=kinds.names), schema)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

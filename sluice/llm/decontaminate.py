@@ -19,8 +19,9 @@ from itertools import repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from sluice.llm.common import Scratch, id_key, restored, text_hash
+from sluice.llm.common import Scratch, id_key, restored, small_frame, text_hash, tidy
 
 BLOCK_WORDS = 2_000_000
 BROADCAST_PLACES = 500_000
@@ -87,7 +88,7 @@ def term_counts(texts: DataFrame, vocab: dict[bytes, int]) -> dict[int, int]:
         seen = np.flatnonzero(total[:n])
         yield pd.DataFrame({"term": seen, "n": total[seen]})
 
-    rows = texts.select("text").mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = texts.select("text").mapInPandas(tidy(count), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return {r["term"]: r["n"] for r in rows.collect()}
 
 
@@ -116,7 +117,11 @@ def postings(texts: DataFrame, vocab: dict[bytes, int], terms: set[int] | None =
                     rows += [(int(ids[p[0]]), doc, th, p) for p in np.split(at, cut)]
             yield pd.DataFrame(rows, columns=["term", "id", "th", "positions"])
 
-    return texts.mapInPandas(index, "term int, id string, th long, positions array<int>")
+    return texts.mapInPandas(tidy(index), "term int, id string, th long, positions array<int>")
+
+
+def _ints(*names: str) -> StructType:
+    return StructType([StructField(n, IntegerType()) for n in names])
 
 
 def _places(index: DataFrame, anchors: set, spark) -> DataFrame:
@@ -124,7 +129,7 @@ def _places(index: DataFrame, anchors: set, spark) -> DataFrame:
     rows = sorted(anchors)
     first = [(q, t, o, k, 1 if t2 >= 0 else 3) for k, (q, t, o, t2, o2) in enumerate(rows)]
     second = [(q, t2, o2, k, 2) for k, (q, t, o, t2, o2) in enumerate(rows) if t2 >= 0]
-    anchor = spark.createDataFrame(first + second, "q int, term int, off int, pair int, side int")
+    anchor = small_frame(spark, first + second, _ints("q", "term", "off", "pair", "side"))
     said = (index.where("term >= 0").join(F.broadcast(anchor), "term")
             .select("id", "th", "q", "pair", "side", F.explode("positions").alias("p"), "off")
             .select("id", "th", "q", "pair", "side", (F.col("p") - F.col("off")).alias("at")))
@@ -246,13 +251,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         if slop is None:
             places = _places(index, anchors, spark)
         else:
-            by_term = spark.createDataFrame(sorted({(a[0], a[1]) for a in anchors}), "q int, term int")
+            by_term = small_frame(spark, sorted({(a[0], a[1]) for a in anchors}), _ints("q", "term"))
             places = index.where("term >= 0").join(F.broadcast(by_term), "term").select("id", "th", "q", F.lit(0).alias("at")).distinct()
         places = tmp.keep(places.groupBy("id", "th").agg(F.collect_list(F.struct("q", "at")).alias("places")), "places")
         total = places.agg(F.sum(F.size("places"))).first()[0] or 0
         to_check = texts.join(F.broadcast(places) if total <= BROADCAST_PLACES else places, ["id", "th"])
         check = _phrase_hits(queries) if slop is None else _near_hits(queries, slop)
-        hits.append(tmp.keep(to_check.mapInPandas(check, f"id string, th long, spans array<int>, items array<{item_type}>"), "hits"))
+        hits.append(tmp.keep(to_check.mapInPandas(tidy(check), f"id string, th long, spans array<int>, items array<{item_type}>"), "hits"))
     if hits:
         found = hits[0].dropDuplicates(["id", "th"])
         for h in hits[1:]:

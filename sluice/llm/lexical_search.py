@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, small_frame, tidy
 
 BLOCK_WORDS = 500_000
 BLOCK_DOCS = 64
@@ -82,7 +82,7 @@ def vectors(docs: DataFrame, vocab: dict[bytes, int]) -> DataFrame:
                                              ["doc_id", "n", "terms", "tfs"])
 
     schema = StructType([docs.schema["doc_id"]]).add("n", LongType()).add("terms", ArrayType(IntegerType())).add("tfs", ArrayType(IntegerType()))
-    return docs.mapInArrow(count, schema)
+    return docs.mapInArrow(tidy(count), schema)
 
 
 def impact(total: int, words: int) -> str:
@@ -295,7 +295,7 @@ def _block(docs: DataFrame, items: list[list[bytes]], limit: int, tmp: Scratch)
     ids = [np.array(sorted((vocab[t] for t in x), key=lambda t: (-weight[t], t)), np.int64) for x in items]
 
     ranked = Window.partitionBy("item").orderBy(F.desc("score"))
-    first = (table.mapInArrow(_first_scores(ids, weight, total, words, limit), "item int, score long")
+    first = (table.mapInArrow(tidy(_first_scores(ids, weight, total, words, limit)), "item int, score long")
              .withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= limit)
              .groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")))
     least = [0] * len(ids)
@@ -313,9 +313,9 @@ def _block(docs: DataFrame, items: list[list[bytes]], limit: int, tmp: Scratch)
 
     id_type = docs.schema["doc_id"].dataType
     schema = StructType([StructField("ids", ArrayType(id_type)), *[StructField(c, ArrayType(IntegerType())) for c in INDEX]])
-    index = tmp.keep(table.mapInArrow(_index(related, total, words), schema), "index")
+    index = tmp.keep(table.mapInArrow(tidy(_index(related, total, words)), schema), "index")
     out = StructType([StructField("item", IntegerType()), StructField("doc_id", id_type), StructField("score", LongType())])
-    hits = index.mapInArrow(_search(ids, opened, weight, least, limit), out)
+    hits = index.mapInArrow(tidy(_search(ids, opened, weight, least, limit)), out)
     ranked = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = tmp.keep(hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= limit), "best")
     tmp.drop(table, index)
@@ -355,7 +355,7 @@ def search(docs: DataFrame, items: DataFrame, limit: int = 10, doc_col: str = "d
             continue
         best = _block(docs, [t for _, t in rows], limit, tmp)
         names = StructType([StructField("item", IntegerType()), asked.schema["item_id"]])
-        named = best.join(F.broadcast(spark.createDataFrame([(k, r[0]) for k, r in enumerate(rows)], names)), "item")
+        named = best.join(F.broadcast(small_frame(spark, [(k, r[0]) for k, r in enumerate(rows)], names)), "item")
         found = named.select("item_id", "rank", "doc_id", "score")
         out = found if out is None else out.unionByName(found)
     if out is None:

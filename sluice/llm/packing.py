@@ -23,9 +23,10 @@ from collections import deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from sluice.llm.common import Scratch, id_key, restored, small_batches
-from sluice.llm.ranks import numbered_by_task, placed, ranked
+from sluice.llm.common import Scratch, small_batches, tidy
+from sluice.llm.ranks import RANK_FIELDS, TaskRanks, numbered_by_task, placed, ranked
 from sluice.llm.tokens import WordEncoder
 
 
@@ -35,31 +36,35 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: i
 
     Returns per piece: the document's id, ``piece`` (from 0), ``start`` (ids of
     its document before it), ``length``, ``ids_crc32`` over its ids as
-    little-endian 32-bit, and with ``keep_ids`` the ``ids`` themselves.  A null
-    or empty text is one piece holding ``end_id``.  Null ids and repeated rows
-    are kept; each row is a document of its own.  Other columns are left out.
+    little-endian 32-bit, with ``keep_ids`` the ``ids`` themselves, and its number
+    among the pieces of its length in its task (``_part, _nth``).  A null or empty
+    text is one piece holding ``end_id``.  Null ids and repeated rows are kept;
+    each row is a document of its own.  Other columns are left out.
     """
     small_batches(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
     def pieces(batches):
-        import pandas as pd
+        import pyarrow as pa
 
-        enc = WordEncoder(tokenizer)
-        for pdf in batches:
-            rows = []
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            for doc, ids in zip(pdf["doc_id"], enc.encode(texts)):
+        enc, ranks = WordEncoder(tokenizer), TaskRanks()
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * keep_ids
+        for b in batches:
+            rows, source = [], []
+            for doc, ids in enumerate(enc.encode([t or "" for t in b.column("text").to_pylist()])):
                 ids += end
                 for k, a in enumerate(range(0, len(ids), 4 * max_len)):
                     part = ids[a:a + 4 * max_len]
-                    row = (doc, k, a // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + ([*memoryview(part).cast("I")],) if keep_ids else row)
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
+                    rows.append((k, a // 4, len(part) // 4, zlib.crc32(part), *([[*memoryview(part).cast("I")]] * keep_ids)))
+                    source.append(doc)
+            made = [pa.array(x, t) for x, t in zip(list(zip(*rows)) or [[]] * len(kinds), kinds)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(source, pa.int64())), *made, *ranks.columns(made[2].to_numpy())], [*cols, "_part", "_nth"])
 
-    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    out = docs.select(id_key(doc_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(pieces, schema)
-    return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
+    rows = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kinds = {"piece": IntegerType(), "ids": ArrayType(LongType())}
+    schema = StructType([rows.schema["doc_id"], *[StructField(c, kinds.get(c, LongType())) for c in cols[1:]], *RANK_FIELDS])
+    return rows.mapInArrow(tidy(pieces), schema)
 
 
 def match(lengths: dict[int, int], max_len: int) -> list[tuple[int, int, int, int, int]]:
@@ -109,13 +114,17 @@ def pack(pieces: DataFrame, max_len: int = 2048) -> DataFrame:
     Columns named ``sequence_id``, ``offset`` or ``_part, _nth, _rank`` are
     replaced.  An empty table gives an empty one.
     """
-    tmp = Scratch(pieces.sparkSession, "pack")
     own = pieces.drop("sequence_id", "offset", "_part", "_nth", "_rank")
-    rows, lengths = ranked(tmp.keep(numbered_by_task(own), "pieces"), tmp)
-    return placed(rows, match(lengths, max_len)).select(*own.columns, "sequence_id", "offset")
+    return _packed(numbered_by_task(own), max_len)
+
+
+def _packed(pieces: DataFrame, max_len: int) -> DataFrame:
+    tmp = Scratch(pieces.sparkSession, "pack")
+    rows, lengths = ranked(tmp.keep(pieces, "pieces"), tmp)
+    return placed(rows, match(lengths, max_len)).select(*[c for c in pieces.columns if c not in ("_part", "_nth")], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: int = 0,
                    doc_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack ``docs``: the columns of ``token_pieces`` with ``sequence_id`` and ``offset``."""
-    return pack(token_pieces(docs, tokenizer, max_len, end_id, doc_col, text_col, keep_ids), max_len)
+    """Tokenise, cut and pack ``docs``: the columns of ``token_pieces`` but for the task's numbers, with ``sequence_id`` and ``offset``."""
+    return _packed(token_pieces(docs, tokenizer, max_len, end_id, doc_col, text_col, keep_ids), max_len)

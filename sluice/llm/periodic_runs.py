@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from sluice.llm.common import small_batches
+from sluice.llm.common import small_batches, tidy
 
 RUN = StructType().add("start", LongType()).add("length", LongType()).add("period", LongType())
 
@@ -190,7 +190,7 @@ def periodic_runs(docs: DataFrame, repeats: int = 4, least: int = 6, doc_col: st
 
     rows = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     schema = StructType([rows.schema["doc_id"]]).add("n_words", LongType()).add("runs", ArrayType(RUN)).add("collapsed", BinaryType())
-    return rows.mapInArrow(scan, schema).withColumn("collapsed", F.col("collapsed").cast("string"))
+    return rows.mapInArrow(tidy(scan), schema).withColumn("collapsed", F.col("collapsed").cast("string"))
 
 
 def strongest_run(runs: str | Column) -> Column:

@@ -16,8 +16,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
-from sluice.llm.common import small_batches
+from sluice.llm.common import small_batches, small_frame, tidy
 
 TERM_BITS = 12
 TERMS = 1 << TERM_BITS
@@ -114,7 +115,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, list[int]]:
                 n += 1
         yield pd.DataFrame({"term": range(-1, TERMS), "df": [n, *df]})
 
-    rows = texts.mapInPandas(count, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    rows = texts.mapInPandas(tidy(count), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
     got = {r["term"]: r["df"] for r in rows}
     return got.get(-1, 0), [got.get(t, 0) for t in range(TERMS)]
 
@@ -139,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
               .orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(sample).collect())
     if not chosen:
         return None
-    chosen = spark.createDataFrame(chosen, "doc_id long, mark int")
+    chosen = small_frame(spark, [(int(r["doc_id"]), r["mark"]) for r in chosen], StructType().add("doc_id", LongType()).add("mark", IntegerType()))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     n, df = document_frequencies(docs.select(text))
 
@@ -153,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
 
     known = docs.select(F.col(doc_col).cast("long").alias("doc_id"), text).join(F.broadcast(chosen), "doc_id")
     known = known.groupBy("doc_id", "mark").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    rows = sorted(known.mapInPandas(terms, "doc_id long, grams binary, bins binary, mark int").collect(), key=lambda r: (r["doc_id"], r["mark"]))
+    rows = sorted(known.mapInPandas(tidy(terms), "doc_id long, grams binary, bins binary, mark int").collect(), key=lambda r: (r["doc_id"], r["mark"]))
     if not rows:
         return None
     idf = (np.log((1 + n) / (1 + np.array(df))) + 0.1).astype(np.float32)
@@ -195,7 +196,9 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     k = min(neighbours, len(model["marks"]))
 
-    def votes(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def votes(columns):
+        import pandas as pd
+
         m = shipped.value
         for column in columns:
             texts = column.tolist()
@@ -210,7 +213,8 @@ def score(docs: DataFrame, model: dict | None, neighbours: int = 25, power: int
                 out[a:a + 512] = (w * m["marks"][best]).sum(1) / w.sum(1)
             yield pd.Series(np.clip(out, 0, 1))
 
-    votes.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    run = tidy(votes)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    scored = docs.withColumn("score", F.pandas_udf(votes, "double")(text))
+    scored = docs.withColumn("score", F.pandas_udf(run, "double")(text))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

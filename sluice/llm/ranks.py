@@ -9,38 +9,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, tidy
 
 BROADCAST_BASES = 500_000
 """Rows (writing task, length) that may be sent to all executors; more are joined by a shuffle."""
 
 
+class TaskRanks:
+    """Numbers the pieces of each length that one task handles, in the order they come."""
+
+    def __init__(self):
+        import numpy as np
+        from pyspark import TaskContext
+
+        self.part, self.seen = TaskContext.get().partitionId(), np.zeros(1 << 12, np.int64)
+
+    def columns(self, length):
+        """``_part`` and ``_nth`` of pieces of these lengths, as Arrow arrays."""
+        import numpy as np
+        import pyarrow as pa
+
+        if len(length) and length.max() >= len(self.seen):
+            self.seen = np.concatenate([self.seen, np.zeros(length.max() + 1 - len(self.seen), np.int64)])
+        o = np.argsort(length, kind="stable")
+        own, first, n = np.unique(length[o], return_index=True, return_counts=True)
+        nth = np.empty(len(o), np.int64)
+        nth[o] = np.arange(len(o)) - np.repeat(first - self.seen[own], n)
+        self.seen[own] += n
+        return [pa.array(np.full(len(o), self.part, np.int32)), pa.array(nth)]
+
+
+RANK_FIELDS = [StructField("_part", IntegerType()), StructField("_nth", LongType())]
+
+
 def numbered_by_task(pieces: DataFrame) -> DataFrame:
     """``pieces(length, ...)`` with the task that handles a row, ``_part``, and the row's number ``_nth`` among that task's rows of its length."""
     names = [c for c in pieces.columns if c not in ("_part", "_nth")]
-    longest = 1 << 16
 
     def number(batches):
-        import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        part, seen = TaskContext.get().partitionId(), np.zeros(longest, np.int64)
+        ranks = TaskRanks()
         for b in batches:
-            length = b.column("length").to_numpy()
-            if len(length) and length.max() >= len(seen):
-                seen = np.concatenate([seen, np.zeros(length.max() + 1 - len(seen), np.int64)])
-            o = np.argsort(length, kind="stable")
-            own, first, n = np.unique(length[o], return_index=True, return_counts=True)
-            nth = np.empty(len(o), np.int64)
-            nth[o] = np.arange(len(o)) - np.repeat(first - seen[own], n)
-            seen[own] += n
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(np.full(len(o), part, np.int32)), pa.array(nth)], [*names, "_part", "_nth"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *ranks.columns(b.column("length").to_numpy())], [*names, "_part", "_nth"])
 
-    schema = StructType([f for f in pieces.schema.fields if f.name in names]).add("_part", IntegerType()).add("_nth", LongType())
-    return pieces.select(*names).mapInArrow(number, schema)
+    return pieces.select(*names).mapInArrow(tidy(number), StructType([*pieces.select(*names).schema.fields, *RANK_FIELDS]))
 
 
 def ranked(pieces: DataFrame, tmp: Scratch) -> tuple[DataFrame, dict[int, int]]:
@@ -94,4 +109,4 @@ def placed(pieces: DataFrame, plan: list[tuple[int, int, int, int, int]]) -> Dat
 
     fields = [f for f in pieces.schema.fields if f.name in names]
     schema = StructType(fields).add("sequence_id", LongType()).add("offset", LongType())
-    return pieces.select(*names, "_rank").mapInArrow(place, schema)
+    return pieces.select(*names, "_rank").mapInArrow(tidy(place), schema)

@@ -19,7 +19,7 @@ from itertools import accumulate, combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, id_key, restored, text_hash
+from sluice.llm.common import Scratch, id_key, restored, text_hash, tidy
 from sluice.llm.components import components
 
 BITS = 64
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str =
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     rows = docs.select(id_key(doc_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), text)
-    out = rows.mapInPandas(batches, "doc_id string, text_hash long, fp long")
+    out = rows.mapInPandas(tidy(batches), "doc_id string, text_hash long, fp long")
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
@@ -178,7 +178,7 @@ def near_links(fps: DataFrame, max_bits: int, m: int) -> DataFrame:
         stored.append(F.struct(base.alias("key"), F.lit(False).alias("probe")))
         probes.append(ball(base, width))
     rows = fps.select("fp", F.explode(F.concat(F.array(*stored), *probes)).alias("e")).select("e.key", "e.probe", "fp")
-    return rows.repartition("key").sortWithinPartitions("key", "probe").mapInPandas(_forest(max_bits), "a long, b long")
+    return rows.repartition("key").sortWithinPartitions("key", "probe").mapInPandas(tidy(_forest(max_bits)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, words: int = 4, seed: int = 42, segments: int | None = None,

@@ -37,13 +37,15 @@ import hashlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, id_key, restored, text_hash
+from sluice.llm.common import Scratch, id_key, restored, text_hash, tidy
 
 LENGTH, GRAM = 100, 32
 PIVOTS = LENGTH - GRAM + 1
 CHUNK = 1 << 16
 TOGETHER, WINDOWS = 16 << 20, 1 << 20
 """Bytes of text, and windows of unsettled runs, that are settled together before the shuffle."""
+ROWS = 1 << 16
+"""Entries handed to Spark at once."""
 LOC_BITS, AT_BITS = 63, 28
 """Bits of a place, and those of them that say where in the document, at least; longer texts take more, ids what is left."""
 REMOVED, MIXED = 1, 2
@@ -158,8 +160,10 @@ def _entries(bucket, sig, loc, ext, shift: int = 0):
     again = np.zeros(len(o), bool)
     again[1:] = (bucket[1:] == bucket[:-1]) & (sig[1:] == sig[:-1])
     bucket = np.where(again, (loc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift), bucket)
-    return pd.DataFrame({"bucket": bucket.view(np.int64), "sig": sig.view(np.int64), "loc": loc,
-                         "ext": ext.astype(np.int32), "kind": again.astype(np.int32)})
+    for a in range(0, len(loc), ROWS):
+        k = slice(a, a + ROWS)
+        yield pd.DataFrame({"bucket": bucket[k].view(np.int64), "sig": sig[k].view(np.int64), "loc": loc[k],
+                            "ext": ext[k].astype(np.int32), "kind": again[k].astype(np.int32)})
 
 
 ENTRY = "bucket long, sig long, loc long, ext int, kind int"
@@ -194,7 +198,7 @@ def _run_entries(batches, at_bits: int):
             sig += (pivot - base).astype(np.uint64) * np.uint64(128) + extent.astype(np.uint64)
             out.append((bucket, sig, (ids[doc] << at_bits) | start, extent))
         if out:
-            yield _entries(*(np.concatenate(x) for x in zip(*out)))
+            yield from _entries(*(np.concatenate(x) for x in zip(*out)))
 
 
 def _window_entries(batches, at_bits: int):
@@ -215,11 +219,11 @@ def _window_entries(batches, at_bits: int):
             out.append((bucket[run], b100[s], (ids[doc[run]] << at_bits) | (start[run] + s - base[run]), np.zeros(len(s), np.int32)))
             held += len(s)
             if held >= WINDOWS:
-                yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
+                yield from _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
                 out, held = [], 0
         if out:
             # 32 bits of the pivot bucket beside 64 of the window's tell windows apart, in fewer bytes.
-            yield _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
+            yield from _entries(*(np.concatenate(x) for x in zip(*out)), shift=32)
 
 
 def _refine(batches):
@@ -261,7 +265,7 @@ def _refine(batches):
 
 def _judged(entries: DataFrame, *by: str) -> DataFrame:
     return (entries.repartition(*by).sortWithinPartitions("bucket", "sig", "loc")
-            .mapInPandas(_refine, "loc long, ext int, kind int"))
+            .mapInPandas(tidy(_refine), "loc long, ext int, kind int"))
 
 
 def _cut(text: bytes, spans) -> tuple[bytes, int, int]:
@@ -315,9 +319,9 @@ def _spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     doc = F.shiftright("loc", at_bits).alias("id")
 
     long_enough = texts.where(F.octet_length("text") >= LENGTH)
-    runs = tmp.keep(_judged(long_enough.mapInPandas(lambda batches: _run_entries(batches, at_bits), ENTRY), "bucket"), "runs")
+    runs = tmp.keep(_judged(long_enough.mapInPandas(tidy(lambda batches: _run_entries(batches, at_bits)), ENTRY), "bucket"), "runs")
     mixed = runs.where(F.col("kind") == MIXED).select(doc, at.alias("at")).groupBy("id").agg(F.collect_list("at").alias("runs"))
-    windows = long_enough.join(mixed, "id").mapInPandas(lambda batches: _window_entries(batches, at_bits), ENTRY)
+    windows = long_enough.join(mixed, "id").mapInPandas(tidy(lambda batches: _window_entries(batches, at_bits)), ENTRY)
     single = tmp.keep(_judged(windows, "bucket", "sig").where(F.col("kind") == REMOVED), "windows")
     spans = (runs.where(F.col("kind") == REMOVED).unionByName(single)
              .select(doc, (F.shiftleft(at, 7) + F.col("ext")).alias("s")).groupBy("id").agg(F.collect_list("s").alias("_spans")))
@@ -356,7 +360,7 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
 
     rows = _with_spans(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     out = rows.select(id_key("doc_id").alias("doc_id"), "_text", "_spans").mapInPandas(
-        cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        tidy(cut), "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumn("doc_id", restored("doc_id", docs.schema[doc_col].dataType))
 
 
@@ -377,4 +381,4 @@ def without_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
             texts = [t if s is None else _cut(t.encode(), s)[0].decode(errors="ignore") for t, s in zip(texts, spans)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names], names)
 
-    return _with_spans(docs, doc_col, text_col).drop("_text").mapInArrow(cut, docs.select(*names).schema)
+    return _with_spans(docs, doc_col, text_col).drop("_text").mapInArrow(tidy(cut), docs.select(*names).schema)

@@ -23,10 +23,10 @@ from collections import deque
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from sluice.llm.common import Scratch, small_batches
-from sluice.llm.ranks import numbered_by_task, placed, ranked
+from sluice.llm.common import Scratch, small_batches, tidy
+from sluice.llm.ranks import RANK_FIELDS, TaskRanks, placed, ranked
 from sluice.llm.tokens import ByteEncoder
 
 
@@ -102,7 +102,7 @@ def best_fit_decreasing(lengths: dict[int, int], window: int) -> list[tuple[int,
 
 def cut_documents(docs: DataFrame, tokenizer: str, window: int, end_id: int = 0, doc_col: str = "doc_id",
                   text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Whole texts tokenised, ended by ``end_id`` and cut into full windows and a rest."""
+    """Whole texts tokenised, ended by ``end_id`` and cut into full windows and a rest, with each piece's number among those of its length in its task."""
     small_batches(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
@@ -110,7 +110,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, window: int, end_id: int = 0,
     def cut(batches):
         import pyarrow as pa
 
-        enc = ByteEncoder(tokenizer)
+        enc, ranks = ByteEncoder(tokenizer), TaskRanks()
         for b in batches:
             rows, source = [], []
             for k, text in enumerate(b.column("text").to_pylist()):
@@ -120,13 +120,12 @@ def cut_documents(docs: DataFrame, tokenizer: str, window: int, end_id: int = 0,
                     rows.append((a // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, *([[*memoryview(piece).cast("I")]] * keep_ids)))
                     source.append(k)
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * keep_ids
-            made = [pa.array(x, t) for x, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(source, pa.int64())), *made], cols)
+            made = [pa.array(x, t) for x, t in zip(list(zip(*rows)) or [[]] * len(kinds), kinds)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(source, pa.int64())), *made, *ranks.columns(made[1].to_numpy())], [*cols, "_part", "_nth"])
 
-    out = StructType([docs.select(F.col(doc_col).alias("doc_id")).schema["doc_id"]])
-    for name in cols[1:]:
-        out = out.add(name, ArrayType(LongType()) if name == "ids" else LongType())
-    return docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, out)
+    rows = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
+    made = [StructField(c, ArrayType(LongType()) if c == "ids" else LongType()) for c in cols[1:]]
+    return rows.mapInArrow(tidy(cut), StructType([rows.schema["doc_id"], *made, *RANK_FIELDS]))
 
 
 def pack_windows(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, doc_col: str = "doc_id",
@@ -146,7 +145,7 @@ def pack_windows(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: in
     """
     tmp = Scratch(docs.sparkSession, "windows")
     pieces = cut_documents(docs, tokenizer, window, end_id, doc_col, text_col, keep_ids)
-    numbered, lengths = ranked(tmp.keep(numbered_by_task(pieces), "pieces"), tmp)
+    numbered, lengths = ranked(tmp.keep(pieces, "pieces"), tmp)
     return placed(numbered, best_fit_decreasing(lengths, window))
 
 
