@@ -18,6 +18,7 @@ from sluice.plans.message_queries import _JSON_CTE, JSON_ERROR, json_envelopes,
 from sluice.plans.table_queries import SQL as TABLE_SQL
 from sluice.plans.table_queries import csv_line, pin_utc, read
 from sluice.session import scratch_path
+from sluice.sinks.avro_files import write_avro
 from sluice.sinks.table import write_table, write_text
 from sluice.streaming.stream import start_message_stream
 
@@ -92,6 +93,76 @@ def csv_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{root}/errors").select("value", "error")
 
 
+_KIND = {"type": "enum", "name": "Kind", "symbols": ["view", "click", "purchase", "error", "signup"]}
+_FIXED = [
+    {"name": "EventId", "type": "long"}, {"name": "Kind", "type": _KIND},
+    {"name": "Ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    {"name": "Day", "type": {"type": "int", "logicalType": "date"}},
+    {"name": "AtMillis", "type": {"type": "int", "logicalType": "time-millis"}},
+    {"name": "Amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 2}},
+    {"name": "Score", "type": "double"},
+]
+EVENTS_V1 = {"type": "record", "name": "Event", "fields": _FIXED + [
+    {"name": "Minute", "type": "int"}, {"name": "UserId", "type": "int"}, {"name": "Ratio", "type": "float"}, {"name": "Props", "type": "string"}]}
+"""The schema of files up to the 15th of a month ..."""
+EVENTS_V2 = {"type": "record", "name": "Event", "fields": _FIXED + [
+    {"name": "Minute", "type": ["null", "int"]}, {"name": "UserId", "type": "long"}, {"name": "Ratio", "type": ["double", "null"]},
+    {"name": "Props", "type": ["string", "null"]}, {"name": "Late", "type": "boolean"}]}
+"""... and of those after: nullable, wider and new fields."""
+
+
+def avro_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 through J5 end to end: Avro files of two schemas in day folders -> table.
+
+    The files are read by Avro's own library; fields that the schemas type
+    unlike each other take a type that holds both.  Amounts are negative for odd ids.
+    """
+    pin_utc(spark)
+    root = scratch_path(spark, "avro-batch")
+    ts = F.col("ts").cast("timestamp")
+    late = F.dayofmonth("ts") > 15
+    sign = F.when(F.col("event_id") % 2 == 1, -1).otherwise(1)
+    e = read(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyyMMdd").alias("folder"), late.alias("Late"),
+        F.col("event_id").cast("long").alias("EventId"), F.col("event_type").alias("Kind"), F.unix_millis(ts).alias("Ts"),
+        F.unix_date(F.to_date(ts)).alias("Day"), (F.unix_millis(ts) % 86_400_000).cast("int").alias("AtMillis"),
+        (F.round(F.col("value") * 100).cast("decimal(12,0)") * sign / 100).cast("decimal(12,2)").alias("Amount"), F.col("value").alias("Score"),
+        F.when(~late | (F.col("event_id") % 4 != 0), F.minute("ts")).alias("Minute"), F.col("user_id").alias("UserId"),
+        F.when(late, F.when(F.col("event_id") % 3 != 0, F.col("value"))).otherwise(F.col("value").cast("float").cast("double")).alias("Ratio"),
+        F.when(~late | (F.col("event_id") % 5 != 0), F.coalesce("props", F.lit(""))).alias("Props"))
+    e = e.repartition("folder")  # a file a day
+    write_avro(e.where(~F.col("Late")), f"{root}/in/v1", EVENTS_V1, ["folder"])
+    write_avro(e.where("Late"), f"{root}/in/v2", EVENTS_V2, ["folder"], codec="null")
+    _mkdir(spark, f"{root}/table")
+    config = {
+        "AvroSource": {"rowText": True, "path": f"{root}/nowhere/*.avro", "partition": {"extractDateRegex": r"folder=(\d{8})", "pFieldName": "pdate"}},
+        "JsonStrategyTransform": {"jsonStrategy": [
+            {"location": "/pdate", "operation": "DATE(yyyyMMdd)"}, {"location": "/eventid", "operation": "STRING"}]},
+        "BigQuerySinkDynamic": {"table": f"{root}/table", "loadTimeField": "bq_load_dttm", "pField": ""},
+        "errorPath": f"{root}/errors",
+    }
+    run(spark, "avro_batch", config, file_path=f"{root}/in/*/folder=*/*.txt")
+    table = spark.read.parquet(f"{root}/table")
+    return table.select(
+        F.col("eventid").cast("string").alias("eventid"), "kind", "ts", "day", "atmillis", F.col("amount").cast("string").alias("amount"), "score",
+        F.col("minute").cast("long").alias("minute"), F.col("userid").cast("long").alias("userid"), F.col("ratio").cast("double").alias("ratio"),
+        "props", "late", "pdate", F.col("bq_row_src").contains("/folder=").alias("has_source"), F.col("bq_load_dttm").isNotNull().alias("has_load_time"),
+        F.length("bq_row_id").alias("id_length"))
+
+
+SQL["avro_batch_files"] = """
+WITH e AS (SELECT *, date_trunc('millisecond', ts) AS tm, day(ts) > 15 AS late FROM events)
+SELECT CAST(event_id AS VARCHAR) AS eventid, event_type AS kind, strftime(tm, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts,
+       strftime(ts, '%Y-%m-%d') AS day, strftime(tm, '%H:%M:%S.%g') AS atmillis,
+       CAST(CAST(round(value * 100) * (CASE WHEN event_id % 2 = 1 THEN -1 ELSE 1 END) / 100 AS DECIMAL(12,2)) AS VARCHAR) AS amount,
+       value AS score, CASE WHEN NOT late OR event_id % 4 <> 0 THEN CAST(minute(ts) AS BIGINT) END AS minute, CAST(user_id AS BIGINT) AS userid,
+       CASE WHEN NOT late THEN CAST(CAST(value AS FLOAT) AS DOUBLE) WHEN event_id % 3 <> 0 THEN value END AS ratio,
+       CASE WHEN NOT late OR event_id % 5 <> 0 THEN coalesce(props, '') END AS props, CASE WHEN late THEN TRUE END AS late,
+       strftime(ts, '%Y-%m-%d') AS pdate, TRUE AS has_source, TRUE AS has_load_time, 36 AS id_length
+FROM e
+"""
+
+
 SINK_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("day", T.StringType()),
@@ -244,6 +315,7 @@ SQL["stream_xml"] = MESSAGE_SQL["xml_bind"]
 QUERIES = {
     "csv_batch_files": csv_batch_files,
     "csv_dead_letters": csv_dead_letters,
+    "avro_batch_files": avro_batch_files,
     "sink_partitioned": sink_partitioned,
     "sink_truncate": sink_truncate,
     "text_sink": text_sink,

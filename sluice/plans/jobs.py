@@ -4,7 +4,7 @@ Config is a plain dict that uses the same keys as the original job configs:
 
 * ``FileSource.location.{path, extractDateRegex}``, ``FileSource.{headerRegex,
   trailerRegex, splitter}``, ``CsvToTableRowTransform.headers``
-* ``AvroSource.{path, rowText, partition.{extractDateRegex, pFieldName}}``,
+* ``AvroSource.{path, rowText, fillDefaults, partition.{extractDateRegex, pFieldName}}``,
   ``JsonStrategyTransform.jsonStrategy`` (list of ``{location, operation}``)
 * ``BigQuerySinkDynamic.{table, loadTimeField, pField}`` (batch) and
   ``BigQuerySinkDynamicStream.{table, loadTimeField, pField,
@@ -81,7 +81,7 @@ def csv_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str |
     prepare_session(spark)
     path = resolve_path(_get(config, "FileSource.location.path"), file_path)
     date_regex = _get(config, "FileSource.location.extractDateRegex", "") or ""
-    lines = read_dated_lines(spark, path, date_regex, on_no_date)
+    lines = read_dated_lines(spark, path, date_regex, on_no_date, id_col=ROW_ID_COL)
     lines = drop_header_trailer(lines, _get(config, "FileSource.headerRegex"), _get(config, "FileSource.trailerRegex"))
     parsed = parse_delimited(
         lines,
@@ -89,9 +89,11 @@ def csv_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str |
         splitter=_get(config, "FileSource.splitter", ",") or ",",
         date_col="file_date" if date_regex else None,
         src_col="path",
+        keep=[ROW_ID_COL],
     )
     parsed = _maybe_cache(parsed, single_scan)
-    stamped = parsed.withColumn(ROW_ID_COL, F.expr("uuid()")).withColumn(ROW_SRC_COL, F.col(SRC_COL))
+    fields = [c for c in parsed.columns if c != ROW_ID_COL]
+    stamped = parsed.select(*fields, ROW_ID_COL, F.col(SRC_COL).alias(ROW_SRC_COL))
     return BatchOutputs(good_rows(stamped), bad_rows(parsed), parsed if single_scan else None)
 
 
@@ -105,9 +107,9 @@ def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str
         date_regex=_get(config, "AvroSource.partition.extractDateRegex", "") or "",
         partition_field=_get(config, "AvroSource.partition.pFieldName", "") or "",
         row_text=bool(_get(config, "AvroSource.rowText", False)),
+        fill_defaults=bool(_get(config, "AvroSource.fillDefaults", False)),
     )
     ruled = apply_rules(records, _get(config, "JsonStrategyTransform.jsonStrategy", []) or [], compat=compat)
-    # The records carry uuid() lineage: caching keeps one id per record across both outputs.
     ruled = _maybe_cache(ruled, single_scan)
     return BatchOutputs(good_rows(ruled), bad_rows(ruled), ruled if single_scan else None)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
 DEFAULT_CHECKPOINT_DIR = "/tmp/sluice-checkpoints"
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+_CONTEXT_FOLDER = re.compile(r"/[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}/?$")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -40,19 +42,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    and Spark runs in this one process (tests, a laptop) do we set one of our own.
+    The cluster names it in ``spark.checkpoint.dir``, or the application has set
+    one on its context; only when there is none and Spark runs in this one
+    process (tests, a laptop) do we set one of our own on the context.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
-        root = DEFAULT_CHECKPOINT_DIR
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        if not root and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError(f"spark.checkpoint.dir is not set; {sc.master} needs a folder that all executors share")
+        sc.setCheckpointDir(root or DEFAULT_CHECKPOINT_DIR)
+    # The context adds a folder of its own to what it was given: without it, a restart finds the same place.
+    return (root or _CONTEXT_FOLDER.sub("", sc.getCheckpointDir())).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -69,10 +69,25 @@ def file_path() -> Column:
     return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
-def read_lines(spark: SparkSession, path: str, line_col: str = "line", path_col: str = "path") -> DataFrame:
-    """One row per line (UTF-8), with the full source path of each line."""
+def row_id(path: Column | None = None, block: Column | None = None) -> Column:
+    """A row's id in UUID form, made of its file, its block's start in the file and its number among the rows its task reads.
+
+    To be taken right above the scan.  A retried task, the two outputs of a job
+    and a second run over the same files (under the same split settings) all
+    give a row the same id.
+    """
+    path = F.col("_metadata.file_path") if path is None else path
+    block = F.col("_metadata.file_block_start") if block is None else block
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    h = F.md5(F.concat_ws("|", path, block.cast("string"), number.cast("string")).cast("binary"))
+    return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+
+
+def read_lines(spark: SparkSession, path: str, line_col: str = "line", path_col: str = "path", id_col: str | None = None) -> DataFrame:
+    """One row per line (UTF-8), with the full source path of each line, and its id under ``id_col`` if given."""
+    ids = [row_id().alias(id_col)] if id_col else []
     return spark.read.format("text").load(path).select(
-        F.col("value").alias(line_col), file_path().alias(path_col)
+        F.col("value").alias(line_col), file_path().alias(path_col), *ids
     )
 
 
@@ -81,14 +96,15 @@ def read_dated_lines(
     path: str,
     date_regex: str | None,
     on_no_match: str = "fail",
+    id_col: str | None = None,
 ) -> DataFrame:
-    """Lines + path + ``file_date``.
+    """Lines + path + ``file_date`` (+ the row's id under ``id_col``).
 
     ``on_no_match='fail'`` stops the job on a path without a date (a task error
     raised by ``raise_error``); ``'dead_letter'`` keeps the rows with a NULL
     date so the delimited step sends them to the dead-letter store.
     """
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, id_col=id_col)
     date = extract_path_date(F.col("path"), date_regex)
     if date_regex and on_no_match == "fail":
         date = F.coalesce(date, F.raise_error(F.concat(F.lit(f"{NO_DATE_MATCH}: "), F.col("path"))).cast("string"))
