@@ -11,10 +11,11 @@ Config is a plain dict that uses the same keys as the original job configs:
   customGcsTempLocation}`` (stream)
 * ``errorPath`` (dead letters), ``messages-bucket`` (raw archive)
 
-Batch jobs branch the plan into good and bad rows without caching: each
-branch re-reads its input, which costs less at scale than materialising the
-whole parsed input, and ``uuid()`` lineage is only computed on the good
-branch.
+Batch jobs write both of their outputs at once and publish them together where
+the table is a path (``sinks/routed.py``): the input is read and parsed once and
+nothing is cached.  A catalog table takes its rows through Spark's own insert;
+the job then reads its input once for each output, or with ``single_scan=True``
+keeps the parsed rows on executor disk between them.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from sluice.operators.delimited import drop_header_trailer, parse_delimited
 from sluice.operators.results import ROW_ID_COL, ROW_SRC_COL, SRC_COL, bad_rows, good_rows
 from sluice.operators.rules import apply_rules
-from sluice.sinks.table import RUN_COL, write_table, write_text
+from sluice.sinks.routed import write_routed
+from sluice.sinks.table import RUN_COL, is_path, write_table, write_text
 from sluice.sources.avro import read_avro
 from sluice.sources.files import read_dated_lines, resolve_path
 
@@ -41,6 +43,7 @@ MODES = ("csv_batch", "avro_batch", "json_stream", "xml_stream")
 class BatchOutputs:
     good: DataFrame          # rows as written to the table (without the load time)
     bad: DataFrame           # dead letters: value, error, source
+    rows: DataFrame          # both, with the internal columns that tell them apart
     cached: DataFrame | None = None
 
     def release(self) -> None:
@@ -56,11 +59,6 @@ def _maybe_cache(parsed: DataFrame, single_scan: bool) -> DataFrame:
     return parsed.persist(StorageLevel.DISK_ONLY) if single_scan else parsed
 
 
-def _once(config: Mapping[str, Any], single_scan: bool | None) -> bool:
-    """A job that writes dead letters too parses its input once unless told otherwise."""
-    return bool(_get(config, "errorPath")) if single_scan is None else single_scan
-
-
 def _get(conf: Mapping[str, Any], dotted: str, default: Any = None) -> Any:
     cur: Any = conf
     for part in dotted.split("."):
@@ -94,7 +92,7 @@ def csv_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str |
     parsed = _maybe_cache(parsed, single_scan)
     fields = [c for c in parsed.columns if c != ROW_ID_COL]
     stamped = parsed.select(*fields, ROW_ID_COL, F.col(SRC_COL).alias(ROW_SRC_COL))
-    return BatchOutputs(good_rows(stamped), bad_rows(parsed), parsed if single_scan else None)
+    return BatchOutputs(good_rows(stamped), bad_rows(parsed), stamped, parsed if single_scan else None)
 
 
 def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
@@ -111,7 +109,7 @@ def avro_outputs(spark: SparkSession, config: Mapping[str, Any], file_path: str
     )
     ruled = apply_rules(records, _get(config, "JsonStrategyTransform.jsonStrategy", []) or [], compat=compat)
     ruled = _maybe_cache(ruled, single_scan)
-    return BatchOutputs(good_rows(ruled), bad_rows(ruled), ruled if single_scan else None)
+    return BatchOutputs(good_rows(ruled), bad_rows(ruled), ruled, ruled if single_scan else None)
 
 
 def _write_batch(outputs: BatchOutputs, config: Mapping[str, Any], disposition: str,
@@ -120,6 +118,10 @@ def _write_batch(outputs: BatchOutputs, config: Mapping[str, Any], disposition:
     if run_id is not None and disposition != "WRITE_APPEND":
         raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
     error_path = _get(config, "errorPath")
+    if error_path and outputs.cached is None and is_path(sink["table"]):
+        write_routed(outputs.rows, sink["table"], error_path, disposition, sink.get("pField", "") or "",
+                     sink.get("loadTimeField", "") or "", run_id, dead_letter_format)
+        return
     if error_path:
         write_dead_letters(outputs.bad, error_path, dead_letter_format, run_id=run_id)
     write_table(outputs.good, sink["table"], disposition=disposition,
@@ -156,9 +158,9 @@ def write_dead_letters(bad: DataFrame, path: str, fmt: str = "json", partition_c
 
 def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
               disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-              on_no_date: str = "fail", single_scan: bool | None = None, run_id: str | None = None) -> BatchOutputs:
+              on_no_date: str = "fail", single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
     """Run the delimited job and write both outputs (``run_id``: repeatable appends)."""
-    outputs = csv_outputs(spark, config, file_path, on_no_date, _once(config, single_scan))
+    outputs = csv_outputs(spark, config, file_path, on_no_date, single_scan)
     try:
         _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:
@@ -168,9 +170,9 @@ def csv_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | N
 
 def avro_batch(spark: SparkSession, config: Mapping[str, Any], file_path: str | None = None,
                disposition: str = "WRITE_APPEND", dead_letter_format: str = "json",
-               compat: bool = False, single_scan: bool | None = None, run_id: str | None = None) -> BatchOutputs:
+               compat: bool = False, single_scan: bool = False, run_id: str | None = None) -> BatchOutputs:
     """Run the Avro job and write both outputs (``run_id``: repeatable appends)."""
-    outputs = avro_outputs(spark, config, file_path, compat, _once(config, single_scan))
+    outputs = avro_outputs(spark, config, file_path, compat, single_scan)
     try:
         _write_batch(outputs, config, disposition, dead_letter_format, run_id)
     finally:

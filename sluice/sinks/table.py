@@ -1,14 +1,21 @@
 """Table sink (K1, K3-K6) and text/topic sinks (K7, K8).
 
 A target is a catalog table name or a path.  Nothing is created implicitly:
-a missing target is an error, as is a non-empty one under ``WRITE_EMPTY``.
+a missing target is an error, as is a non-empty one under ``WRITE_EMPTY``.  What
+replaces rows of a path is staged and then published as a whole
+(``sinks/publish.py``): a load that dies while it writes leaves the old rows.
 """
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.sinks.publish import Files, Publication, recover
+
 DISPOSITIONS = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
 RUN_COL = "ingest_run"
 
@@ -29,7 +36,7 @@ def stamp_load_time(df: DataFrame, load_time_field: str | None) -> DataFrame:
     return df.withColumn(load_time_field, F.current_timestamp())
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
@@ -51,6 +58,20 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def by_day(df: DataFrame, key: str, files_per_key: int | None) -> DataFrame:
+    """Deal rows of a day-partitioned write to its writers.
+
+    By default the rows are shuffled by day and Spark rebalances the partitions
+    by their measured sizes (the session's advisory partition size): a day with
+    half the rows gets its share of the writers, small days share one and get a
+    file each.  A number sets the writers of every day, 0 leaves rows where
+    they are, so that every task writes a file for each of its days.
+    """
+    if files_per_key is None:
+        return df.hint("rebalance", F.col(f"`{key}`"))
+    return spread(df, key, files_per_key) if files_per_key else df
+
+
 def spread(df: DataFrame, key: str, files_per_key: int) -> DataFrame:
     """Shuffle rows so each key value is written by ``files_per_key`` tasks.
 
@@ -76,9 +97,9 @@ def write_table(
 
     With ``partition_field`` the rows are routed to day partitions keyed by
     that field's date (``<field>_day=yyyymmdd``); a NULL date goes to the
-    default partition.  ``WRITE_TRUNCATE`` then replaces the days that have
-    rows and leaves the others; without a partition field it replaces the
-    table.  With ``run_id`` (append only) the rows land in
+    default partition.  ``files_per_partition`` is ``by_day``'s.  ``WRITE_TRUNCATE``
+    then replaces the days that have rows and leaves the others; without a
+    partition field it replaces the table.  With ``run_id`` (append only) the rows land in
     ``ingest_run=<run_id>`` partitions replaced as a whole, so running the
     same load again after a failure does not duplicate rows.  A catalog table
     must have these partition columns, and every column that is written.
@@ -86,39 +107,64 @@ def write_table(
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown write disposition {disposition!r}")
     spark = df.sparkSession
-    if not target_exists(spark, target) and not (create and _is_path(target)):
+    if not target_exists(spark, target) and not (create and is_path(target)):
         raise FileNotFoundError(f"target table {target} does not exist (tables are never created)")
     if run_id is not None and disposition != "WRITE_APPEND":
         raise ValueError("run_id makes appends repeatable; use it with WRITE_APPEND")
-    if disposition == "WRITE_EMPTY" and not _is_empty(spark, target):
+    if disposition == "WRITE_EMPTY" and not is_empty(spark, target):
         raise ValueError(f"target table {target} is not empty")
     out = stamp_load_time(df, load_time_field)
     parts: list[str] = []
     if partition_field:
         key = day_column(partition_field)
         out = out.withColumn(key, partition_key(F.col(f"`{partition_field}`")))
-        if files_per_partition:
-            out = spread(out, key, files_per_partition)
+        out = by_day(out, key, files_per_partition)
         parts = [key]
     if run_id is not None:
         out = out.withColumn(RUN_COL, F.lit(str(run_id)))
         parts.append(RUN_COL)
-    replaced = run_id is not None or (disposition == "WRITE_TRUNCATE" and bool(parts))
-    if replaced:
+    replaced = run_id is not None or disposition == "WRITE_TRUNCATE"
+    if is_path(target):
+        recover(spark, target)
+    if replaced and is_path(target):
+        _replace(out, target, parts, fmt)
+    elif replaced and parts:
         overwrite_partitions(out, target, parts, fmt)
-    elif _is_path(target):
-        writer = out.write.mode("overwrite" if disposition == "WRITE_TRUNCATE" else "append").format(fmt)
+    elif is_path(target):
+        writer = out.write.mode("append").format(fmt)
         (writer.partitionBy(*parts) if parts else writer).save(target)
     else:
         _as_table(out, target, parts).write.insertInto(target, overwrite=disposition == "WRITE_TRUNCATE")
 
 
+def outdated(files: Files, target: str, staged: list[str], parts: list[str]) -> list[str]:
+    """Data files of ``target`` that the staged ones replace: those of the same partitions, or all without partitions."""
+    if not parts:
+        return files.data_files(target)
+    folders = {f.rpartition("/")[0] for f in staged}
+    return [f"{folder}/{f}" for folder in sorted(folders) for f in files.data_files(f"{target}/{folder}")]
+
+
+def _replace(df: DataFrame, target: str, parts: list[str], fmt: str) -> None:
+    """Stage the rows, then publish them in place of the partitions they fill (or of the whole table)."""
+    change = Publication(df.sparkSession, target)
+    stage = change.stage(target)
+    try:
+        writer = df.write.format(fmt)
+        (writer.partitionBy(*parts) if parts else writer).save(stage)
+        change.add(target, stage, outdated(change.files, target.rstrip("/"), change.files.data_files(stage), parts))
+    except BaseException:
+        change.discard()
+        raise
+    change.publish()
+
+
 def target_exists(spark: SparkSession, target: str) -> bool:
-    return path_exists(spark, target) if _is_path(target) else spark.catalog.tableExists(target)
+    return path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
 
 
-def _is_empty(spark: SparkSession, target: str) -> bool:
-    if _is_path(target):
+def is_empty(spark: SparkSession, target: str) -> bool:
+    if is_path(target):
         return not path_exists(spark, target) or not _has_data(spark, target)
     return spark.table(target).isEmpty()
 
@@ -140,16 +186,33 @@ def _as_table(df: DataFrame, target: str, parts: list[str]) -> DataFrame:
 
 def overwrite_partitions(df: DataFrame, target: str, parts: list[str], fmt: str) -> None:
     """Replace the partitions that ``df`` has rows for, and leave all others as they are."""
-    if _is_path(target):
+    if is_path(target):
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).format(fmt).save(target))
         return
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
+    with _dynamic_overwrite(df.sparkSession):
         _as_table(df, target, parts).write.insertInto(target, overwrite=True)
+
+
+_overwriting: dict[str, list] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """The session's overwrite mode is dynamic while any writer is inside; inserts into catalog tables know no other way to say so."""
+    key, session = "spark.sql.sources.partitionOverwriteMode", spark._jsparkSession.sessionUUID()
+    with _lock:
+        held = _overwriting.setdefault(session, [0, spark.conf.get(key)])
+        held[0] += 1
+        spark.conf.set(key, "dynamic")
+    try:
+        yield
     finally:
-        conf.set(key, before)
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(key, held[1])
+                del _overwriting[session]
 
 
 def write_text(

@@ -16,7 +16,8 @@ a failure (same offsets, from the checkpoint) replaces its own files instead
 of adding duplicates.  ``<run>`` is kept inside the checkpoint, so a new
 checkpoint never overwrites the batches of an earlier one.  Late messages keep
 their own minute's folder, messages without a time share the folder ``unknown``:
-the archive holds a line per message that came in.
+the archive holds a line per message that came in.  With ``compact_every`` the
+table's batches are merged as the stream goes on (``streaming/compaction.py``).
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ from sluice.operators.messages_json import bind_json_messages
 from sluice.operators.messages_xml import archive_lines, bind_xml_messages, minute_window
 from sluice.operators.results import bad_rows, good_rows
 from sluice.session import ensure_checkpoint_dir
-from sluice.sinks.table import day_column, overwrite_partitions, partition_key, spread, stamp_load_time, target_exists
+from sluice.sinks.table import day_column, is_path, overwrite_partitions, partition_key, spread, stamp_load_time, target_exists
 from sluice.sources.messages import read_message_stream
+from sluice.streaming.compaction import BATCH_COL, compact, compacted_upto, split_batch_id
 
-BATCH_COL = "batch"
 MALFORMED_ENVELOPE = "malformed message envelope"
 DEFAULT_TRIGGER = "1 minute"
 
@@ -73,7 +74,7 @@ def default_checkpoint(spark: SparkSession, kind: str, subscription: str, table:
 
 def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapping[str, Any],
                   bind_options: Mapping[str, Any] | None = None, files_per_window: int | None = None,
-                  table_files: int | None = None) -> None:
+                  table_files: int | None = None, compact_every: int | None = None) -> None:
     """The body of one micro-batch (also usable on a static frame of envelopes).
 
     ``files_per_window`` gathers each window's archive and dead-letter lines
@@ -81,7 +82,9 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
     when one batch spans many minutes, e.g. while catching up on a backlog.
     ``table_files`` spreads the batch's table rows evenly over that many
     writers (the original loads used 200 shards).  By default every task
-    writes its own rows.
+    writes its own rows.  After every ``compact_every``-th batch the table's
+    earlier batches (of a path, not a catalog table) are merged; a batch that
+    has been merged before is a replay, and its rows are in the table.
     """
     sink = dict(config.get("BigQuerySinkDynamicStream", {}) or {})
     table = sink.get("table")
@@ -121,7 +124,9 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
                 parts = [day_column(pfield), BATCH_COL]
             if table_files:
                 good = good.repartition(table_files, F.pmod(F.monotonically_increasing_id(), F.lit(table_files)))
-            overwrite_partitions(good, table, parts, "parquet")
+            named = split_batch_id(batch_id) if is_path(table) else None
+            if named is None or named[1] > compacted_upto(spark, table, named[0]):
+                overwrite_partitions(good, table, parts, "parquet")
 
             error_root = config.get("errorPath")
             if error_root:
@@ -137,6 +142,8 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
             parsed.unpersist()
     finally:
         persisted.unpersist()
+    if compact_every and named and (named[1] + 1) % compact_every == 0:
+        compact(spark, table, *named, parents=parts[:-1], fan=max(2, min(16, compact_every - 1)))
 
 
 def start_message_stream(
@@ -153,11 +160,13 @@ def start_message_stream(
     max_files_per_trigger: int | None = None,
     files_per_window: int | None = None,
     table_files: int | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start J3 (``kind='json'``) or J4 (``kind='xml'``).
 
     The checkpoint goes to ``customGcsTempLocation`` when set, else under the
-    cluster's shared ``spark.checkpoint.dir``.
+    cluster's shared ``spark.checkpoint.dir``.  ``compact_every`` merges the
+    table's committed batches after every so many.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sink = config.get("BigQuerySinkDynamicStream", {}) or {}
@@ -167,7 +176,7 @@ def start_message_stream(
     source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger)
     writer = (source.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, f"{run}-{bid}", kind, config, bind_options,
-                                                          files_per_window, table_files))
+                                                          files_per_window, table_files, compact_every))
               .option("checkpointLocation", location))
     if available_now:
         writer = writer.trigger(availableNow=True)
