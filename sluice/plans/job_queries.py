@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 
 from sluice.plans.jobs import csv_batch, run
 from sluice.plans.message_queries import SQL as MESSAGE_SQL
-from sluice.plans.message_queries import _JSON_CTE, JSON_ERROR, json_envelopes, xml_envelopes
+from sluice.plans.message_queries import _JSON_CTE, _XML_CTE, JSON_ERROR, json_envelopes, raw_messages, xml_envelopes
 from sluice.plans.table_queries import SQL as TABLE_SQL
 from sluice.plans.table_queries import csv_line, pin_utc, read
 from sluice.session import scratch_path
 from sluice.sinks.avro_files import write_avro
+from sluice.sinks.publish import Files
 from sluice.sinks.table import write_table, write_text
 from sluice.streaming.stream import start_message_stream
 
@@ -34,41 +35,41 @@ def _mkdir(spark: SparkSession, path: str) -> None:
 def csv_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 through J5 end to end: dated CSV files with header/trailer lines -> table.
 
-    The configured path is a decoy: the runtime path wins (S2).  The folder's
-    name holds a space and a plus sign, which the lineage column must show.
+    One folder and file per ship day.  The configured path is a decoy: the
+    runtime path wins (S2).  The folder's name holds a space and a plus sign,
+    which the lineage column must show.
     """
     pin_utc(spark)
     root = scratch_path(spark, "csv-batch")
-    e = read(spark, sf_dir, "events")
-    data = csv_line(F.col("event_id"), F.col("user_id"), F.col("event_type"))
-    header = F.when(F.col("event_id") % 50 == 1, F.lit("event_id,user_id,event_type"))
-    trailer = F.when(F.col("event_id") % 50 == 1, F.lit("Tr,1"))
-    # One folder per event day, two files each.
-    lines = e.select(
-        F.date_format("ts", "yyyyMMdd").alias("day"), F.pmod(F.col("event_id"), F.lit(2)).alias("half"),
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")  # shuffled by day below anyway
+    data = csv_line(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_returnflag"))
+    header = F.when(F.col("l_linenumber") == 1, F.lit("l_orderkey,l_linenumber,l_quantity,l_extendedprice,l_returnflag"))
+    trailer = F.when(F.col("l_linenumber") == 1, F.lit("Tr,1"))
+    lines = li.select(
+        F.date_format("l_shipdate", "yyyyMMdd").alias("day"),
         F.explode(F.filter(F.array(header, data, trailer), lambda x: x.isNotNull())).alias("value"),
     )
-    lines.repartition("day", "half").drop("half").write.partitionBy("day").text(f"{root}/in files+1")
+    lines.repartition("day").write.partitionBy("day").text(f"{root}/in files+1")
     _mkdir(spark, f"{root}/table")
     config = {
         "FileSource": {
             "location": {"path": f"{root}/nowhere/*.txt", "extractDateRegex": r"files\+1/day=(\d{8})"},
-            "headerRegex": "^event_id.*", "trailerRegex": "^Tr.*", "splitter": ",",
+            "headerRegex": "^l_orderkey.*", "trailerRegex": "^Tr.*", "splitter": ",",
         },
-        "CsvToTableRowTransform": {"headers": "event_id:LONG,user_id:LONG,event_type:STRING,day:DATE(yyyyMMdd)"},
+        "CsvToTableRowTransform": {"headers": "l_orderkey:LONG,l_linenumber:INTEGER,l_quantity:DOUBLE,l_extendedprice:DOUBLE,l_returnflag:STRING,ship_day:DATE(yyyyMMdd)"},
         "BigQuerySinkDynamic": {"table": f"{root}/table", "loadTimeField": "bq_load_dttm", "pField": ""},
         "errorPath": f"{root}/errors",
     }
     run(spark, "csv_batch", config, file_path=f"{root}/in files+1/*/*.txt")
     return spark.read.parquet(f"{root}/table").select(
-        "event_id", "user_id", "event_type", "day",
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "ship_day",
         F.col("bq_row_src").contains("/in files+1/day=").alias("has_source"),
-        F.col("bq_load_dttm").isNotNull().alias("has_load_time"))
+        F.col("bq_load_dttm").isNotNull().alias("has_load_time"), F.length("bq_row_id").alias("id_length"))
 
 
 SQL["csv_batch_files"] = """
-SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
-       TRUE AS has_source, TRUE AS has_load_time FROM events
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
+       TRUE AS has_source, TRUE AS has_load_time, 36 AS id_length FROM lineitem
 """
 
 
@@ -164,26 +165,58 @@ FROM e
 
 
 SINK_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("day", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("day_day", T.StringType()),
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("o_orderdate", T.StringType()),
+    T.StructField("o_orderstatus", T.StringType()),
+    T.StructField("o_orderdate_day", T.StringType()),
 ])
 
 
 def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day-partitioned table writes and read-back (K1 K3 K4 K5 K6)."""
+    """Day-partitioned table writes and read-back, a partition per order day (K1 K3 K4 K5 K6)."""
     pin_utc(spark)
     root = scratch_path(spark, "sink")
     _mkdir(spark, root)
-    e = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
-    write_table(e, root, disposition="WRITE_EMPTY", partition_field="day", load_time_field="bq_load_dttm",
-                files_per_partition=2)
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderstatus")
+    write_table(o, root, disposition="WRITE_EMPTY", partition_field="o_orderdate", load_time_field="bq_load_dttm")
     return spark.read.schema(SINK_SCHEMA).parquet(root)
 
 
 SQL["sink_partitioned"] = """
-SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, event_type, strftime(ts, '%Y%m%d') AS day_day FROM events
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderstatus, strftime(o_orderdate, '%Y%m%d') AS o_orderdate_day FROM orders
+"""
+
+
+def sink_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a sink refuses, and what a load that dies leaves (K5 K6).
+
+    A target that is not there and one that is not empty are refused; a
+    replacing load that dies on its last rows leaves every old row.
+    """
+    pin_utc(spark)
+    root = scratch_path(spark, "failures")
+    _mkdir(spark, root)
+    e = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.lit("first").alias("load"))
+    write_table(e, root, partition_field="day")
+    poison = F.when(F.rand(1) >= 0, F.raise_error(F.concat(F.lit("poison "), F.col("day"))).cast("string"))
+    again = e.withColumn("load", F.when(F.col("day") < "2024-01-20", F.lit("second")).otherwise(poison))
+    outcomes = {}
+    for name, df, target, disposition in (("missing", e, f"{root}-missing", "WRITE_APPEND"), ("not_empty", e, root, "WRITE_EMPTY"), ("died", again, root, "WRITE_TRUNCATE")):
+        try:
+            write_table(df, target, disposition=disposition, partition_field="day")
+            outcomes[name] = "written"
+        except FileNotFoundError:
+            outcomes[name] = "no table"
+        except ValueError:
+            outcomes[name] = "refused"
+        except Exception as exc:  # noqa: BLE001 - the load's own failure
+            outcomes[name] = "poison" if "poison" in str(exc) else repr(exc)
+    table = spark.read.schema("event_id long, day string, load string").parquet(root)
+    return table.select("event_id", "day", "load", *[F.lit(v).alias(k) for k, v in outcomes.items()])
+
+
+SQL["sink_failures"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, 'first' AS load, 'no table' AS missing, 'refused' AS not_empty, 'poison' AS died FROM events
 """
 
 
@@ -193,9 +226,9 @@ def sink_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "truncate")
     _mkdir(spark, root)
     e = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.lit("first").alias("load"))
-    write_table(e, root, partition_field="day", files_per_partition=2)
+    write_table(e, root, partition_field="day")
     again = e.where(F.dayofmonth("day") % 2 == 0).withColumn("load", F.lit("second"))
-    write_table(again, root, disposition="WRITE_TRUNCATE", partition_field="day", files_per_partition=2)
+    write_table(again, root, disposition="WRITE_TRUNCATE", partition_field="day")
     return spark.read.schema("event_id long, day string, load string").parquet(root).select("event_id", "day", "load")
 
 
@@ -218,84 +251,125 @@ SELECT CAST(event_id AS VARCHAR) || '|' || event_type AS value, strftime(ts, '%Y
 """
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+BATCHES = 4
+
+
+def _arrivals(env: DataFrame, clock: str) -> DataFrame:
+    """Messages with the micro-batch they come in: by the third of the day, but every thirteenth comes late, in the last one."""
+    third = F.floor((F.hour(clock) * 60 + F.minute(clock)) / 480).cast("int")
+    return env.withColumn("arrival", F.when(F.col("event_id") % 13 == 0, BATCHES - 1).otherwise(third))
+
+
+def _one_day(time: str):
+    """A time of the events' month in the same minute of one day."""
+    return F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.hour(time), F.minute(time), F.second(time).cast("decimal(8,6)"))
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, kind: str, odd: bool = False, compact_every: int | None = None) -> tuple[str, bool]:
+    """A stream of all events in four micro-batches, the last one with late messages, each in its minute of one day.
+
+    With ``odd`` every seventh message has no publish time and every eleventh is a
+    broken line.  Returns the folder of the outputs, and whether the stream did
+    take several batches.
+    """
     pin_utc(spark)
     root = scratch_path(spark, f"stream-{kind}")
     events = read(spark, sf_dir, "events")
     env = json_envelopes(events) if kind == "json" else xml_envelopes(events)
-    # Messages are published at the start of their event's month: one archive
-    # window keeps the fixture's file count small (windows are tested in tests/).
-    env = env.withColumn("publish_time", F.date_trunc("month", F.col("publish_time")).cast("timestamp"))
-    env.write.json(f"{root}/in")
+    time = _one_day("publish_time").cast("timestamp")
+    time = F.when(F.col("event_id") % 7 != 0, time) if odd else time
+    line = F.to_json(F.struct("payload", "attributes", time.alias("publish_time")))
+    if odd:
+        broken = F.concat(F.lit('{"payload":"cut-'), F.col("event_id").cast("string"))
+        line = F.when(F.col("event_id") % 11 == 0, broken).otherwise(line)
+    lines = _arrivals(env, "publish_time").select(line.alias("value"), "arrival").cache()
+    for k in range(BATCHES):  # one after the other: the stream takes files in the order they came
+        lines.where(F.col("arrival") == k).select("value").coalesce(2).write.mode("append").text(f"{root}/in")
+    lines.unpersist()
     _mkdir(spark, f"{root}/table")
     config = {
-        "errorPath": f"{root}/errors",
-        "messages-bucket": f"{root}/archive",
+        "errorPath": f"{root}/errors", "messages-bucket": f"{root}/archive",
         "BigQuerySinkDynamicStream": {"table": f"{root}/table", "loadTimeField": "bq_load_dttm", "pField": "",
                                       "customGcsTempLocation": f"{root}/checkpoint"},
     }
-    query = start_message_stream(spark, kind, config, f"{root}/in", available_now=True)
-    query.awaitTermination()
+    start_message_stream(spark, kind, config, f"{root}/in", available_now=True, max_files_per_trigger=2, files_per_window=1,
+                         compact_every=compact_every).awaitTermination()
+    commits = [n for n in Files(spark, root).children(f"{root}/checkpoint/commits") if n.isdigit()]
+    return root, len(commits) >= 3
+
+
+def _stream_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    root, several = _run_stream(spark, sf_dir, kind, compact_every=2)
     table = spark.read.parquet(f"{root}/table")
     detail = F.col("Data")[0]
     cols = ["Type", detail["AppointmentId"].alias("AppointmentId"), detail["TimestampUtc"].alias("TimestampUtc"),
             F.array_join(detail["Disciplines"], "|").alias("disciplines")]
     if kind == "json":
         cols.append(F.size("Data").alias("n_data"))
-    return table.select(*cols, "TopicName", "MessageId", "LogicalDate")
+    return table.select(*cols, "TopicName", "MessageId", "LogicalDate", F.lit(several).alias("several_batches"))
 
 
 def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON envelopes streamed (availableNow) into the table."""
-    return _run_stream(spark, sf_dir, "json")
+    """JSON envelopes streamed in several batches, late ones too, into a table that is compacted meanwhile."""
+    return _stream_table(spark, sf_dir, "json")
 
 
 def stream_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """XML envelopes streamed (availableNow) into the table."""
-    return _run_stream(spark, sf_dir, "xml")
+    """XML envelopes streamed in several batches, late ones too, into a table that is compacted meanwhile."""
+    return _stream_table(spark, sf_dir, "xml")
 
 
-def _run_odd_stream(spark: SparkSession, sf_dir: str) -> str:
-    """A JSON stream with messages of all fates (see ``json_envelopes``), in real minutes of one hour.
+def _archive(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("value string, window string, batch string").text(f"{root}/archive").select("window", "value")
 
-    Every seventh message has no publish time, every eleventh is a broken line.
-    """
-    pin_utc(spark)
-    root = scratch_path(spark, "stream-odd")
-    events = read(spark, sf_dir, "events")
-    env = json_envelopes(events).select("payload", "attributes", "publish_time", F.col("publish_time").alias("ts"), "event_id")
-    minute = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(9), F.minute("ts"), F.second("ts").cast("decimal(8,6)"))
-    line = F.to_json(F.struct("payload", "attributes", F.when(F.col("event_id") % 7 != 0, minute).cast("timestamp").alias("publish_time")))
-    broken = F.concat(F.lit('{"payload":"cut-'), F.col("event_id").cast("string"))
-    env.select(F.when(F.col("event_id") % 11 == 0, broken).otherwise(line).alias("value")).write.text(f"{root}/in")
-    _mkdir(spark, f"{root}/table")
-    config = {
-        "errorPath": f"{root}/errors", "messages-bucket": f"{root}/archive",
-        "BigQuerySinkDynamicStream": {"table": f"{root}/table", "loadTimeField": "", "pField": "",
-                                      "customGcsTempLocation": f"{root}/checkpoint"},
-    }
-    start_message_stream(spark, "json", config, f"{root}/in", available_now=True, files_per_window=1).awaitTermination()
-    return root
+
+def _dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    schema = "value string, error string, source string, window string, batch string"
+    return spark.read.schema(schema).json(f"{root}/errors").select("window", "value", "error", "source")
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw archive a stream wrote: a line per message that came in, under its minute."""
-    return (spark.read.schema("value string, window string, batch string").text(f"{_run_odd_stream(spark, sf_dir)}/archive")
-            .select("window", "value"))
+    """The raw archive a JSON stream wrote: a line per message that came in, under its minute."""
+    return _archive(spark, _run_stream(spark, sf_dir, "json", odd=True)[0])
 
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dead letters a stream wrote, broken envelopes and messages without a time too."""
-    schema = "value string, error string, source string, window string, batch string"
-    return spark.read.schema(schema).json(f"{_run_odd_stream(spark, sf_dir)}/errors").select("window", "value", "error", "source")
+    """The dead letters a JSON stream wrote, broken envelopes and messages without a time too."""
+    return _dead_letters(spark, _run_stream(spark, sf_dir, "json", odd=True)[0])
+
+
+def stream_xml_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw archive an XML stream wrote."""
+    return _archive(spark, _run_stream(spark, sf_dir, "xml", odd=True)[0])
 
 
-_ODD_CTE = _JSON_CTE + """
-, m AS (
-  SELECT *, CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'unknown' ELSE strftime(ts, '2024-01-01T09:%M') END AS minute,
-         CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS payload,
-         '{"payload":"cut-' || eid AS cut
-  FROM p)
+def stream_xml_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead letters an XML stream wrote."""
+    return _dead_letters(spark, _run_stream(spark, sf_dir, "xml", odd=True)[0])
+
+
+_ODD = """
+  CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'unknown' ELSE strftime(ts, '2024-01-01T%H:%M') END AS minute,
+  '{"payload":"cut-' || eid AS cut"""
+_ODD_CTE = _JSON_CTE + f"""
+, m AS (SELECT *, CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS payload, {_ODD} FROM p)
+"""
+_XML_ODD_CTE = _XML_CTE + f"""
+, x AS (
+  SELECT *, '<Type>' || event_type || '</Type><Data><AppointmentId>evt-' || eid || '</AppointmentId><TimestampUtc>' ||
+         ts_text || '</TimestampUtc><Discipline>' || event_type || '</Discipline><Discipline>k' || kval || '</Discipline></Data>' AS core FROM e),
+m AS (
+  SELECT *, {_ODD},
+    CASE k WHEN 1 THEN '<ns:Appointments xmlns:ns="urn:appt"><ns:Type>' || event_type || '</ns:Type><ns:Data><ns:AppointmentId>evt-' || eid ||
+                       '</ns:AppointmentId><ns:TimestampUtc>' || ts_text || '</ns:TimestampUtc><ns:Discipline>' || event_type ||
+                       '</ns:Discipline></ns:Data></ns:Appointments>'
+           WHEN 2 THEN '<Appointment>' || core || '</Appointment>' WHEN 3 THEN '<appointments>' || core || '</appointments>'
+           WHEN 4 THEN '<Appointments>' || core || '<Data><AppointmentId>evt-' || eid || '-b</AppointmentId></Data></Appointments>'
+           WHEN 5 THEN '<Appointments>' || core || '<Extra>' || CAST(user_id AS VARCHAR) || '</Extra></Appointments>'
+           WHEN 6 THEN '<?xml version="1.0" encoding="utf-8"?><!-- event ' || eid || ' --><Appointments>' || core || '</Appointments>'
+           WHEN 7 THEN '<Appointments>' || core ELSE '<Appointments>' || core || '</Appointments>' END
+    || ',events,msg-' || eid || ',' || strftime(ts, '%Y-%m-%d') AS line
+  FROM x)
 """
 SQL["stream_archive"] = _ODD_CTE + """
 SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE
@@ -307,10 +381,50 @@ SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE payload END
   CASE WHEN event_id % 11 <> 0 THEN 'msg-' || eid END AS source
 FROM m WHERE event_id % 11 = 0 OR k IN (1, 2, 3, 4, 5, 9)
 """
+SQL["stream_xml_archive"] = _XML_ODD_CTE + """
+SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE line END AS value FROM m
+"""
+SQL["stream_xml_dead_letters"] = _XML_ODD_CTE + """
+SELECT minute AS "window", CASE WHEN event_id % 11 = 0 THEN cut ELSE line END AS value,
+  CASE WHEN event_id % 11 = 0 THEN 'malformed message envelope'
+       WHEN k = 2 THEN 'unexpected element (expected <Appointments>): <Appointment>'
+       WHEN k = 3 THEN 'unexpected element (expected <Appointments>): <appointments>' ELSE 'malformed XML payload' END AS error,
+  CASE WHEN event_id % 11 <> 0 THEN 'msg-' || eid END AS source
+FROM m WHERE event_id % 11 = 0 OR k IN (2, 3, 7)
+"""
+
+
+def stream_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A broker's rows streamed from files: bytes, repeated headers, text that is no UTF-8."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-raw")
+    raw = raw_messages(read(spark, sf_dir, "events")).withColumn("timestamp", _one_day("timestamp").cast("timestamp"))
+    raw.drop("event_id").write.parquet(f"{root}/in")
+    for name in ("table", "errors"):
+        _mkdir(spark, f"{root}/{name}")
+    config = {"errorPath": f"{root}/errors", "BigQuerySinkDynamicStream": {
+        "table": f"{root}/table", "loadTimeField": "", "pField": "", "customGcsTempLocation": f"{root}/checkpoint"}}
+    start_message_stream(spark, "json", config, f"{root}/in", available_now=True, files_per_window=1, raw=True,
+                         bind_options={"required_attributes": ("MessageId", "LogicalDate")}).awaitTermination()
+    table = spark.read.parquet(f"{root}/table").select("MessageId", "Type", "TopicName", F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("error"))
+    dead = spark.read.schema("value string, error string, source string").json(f"{root}/errors")
+    none = F.lit(None).cast("string")
+    return table.unionByName(dead.select(F.col("source").alias("MessageId"), none.alias("Type"), none.alias("TopicName"), "value", "error"))
+
+
+SQL["stream_raw_messages"] = _JSON_CTE + f"""
+, m AS (SELECT *, CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS payload, event_id % 17 = 0 AS bytes FROM p)
+SELECT CASE WHEN NOT bytes THEN 'msg-' || eid END AS "MessageId",
+       CASE WHEN NOT bytes AND k IN (0, 6, 7, 8) THEN CASE k WHEN 6 THEN CAST(user_id AS VARCHAR) WHEN 8 THEN event_type || 'é' ELSE event_type END END AS "Type",
+       CASE WHEN NOT bytes AND k IN (0, 6, 7, 8) AND event_id % 19 <> 0 THEN 'events' END AS "TopicName",
+       CASE WHEN bytes THEN 'base64:' || to_base64(unhex('FF') || encode(payload)) WHEN k NOT IN (0, 6, 7, 8) THEN payload END AS value,
+       CASE WHEN bytes THEN 'malformed message envelope' ELSE {JSON_ERROR} END AS error
+FROM m
+"""
 
 SQL["csv_dead_letters"] = TABLE_SQL["csv_rejects"]
-SQL["stream_json"] = MESSAGE_SQL["json_bind"]
-SQL["stream_xml"] = MESSAGE_SQL["xml_bind"]
+SQL["stream_json"] = f"SELECT *, TRUE AS several_batches FROM ({MESSAGE_SQL['json_bind']})"
+SQL["stream_xml"] = f"SELECT *, TRUE AS several_batches FROM ({MESSAGE_SQL['xml_bind']})"
 
 QUERIES = {
     "csv_batch_files": csv_batch_files,
@@ -318,9 +432,13 @@ QUERIES = {
     "avro_batch_files": avro_batch_files,
     "sink_partitioned": sink_partitioned,
     "sink_truncate": sink_truncate,
+    "sink_failures": sink_failures,
     "text_sink": text_sink,
     "stream_json": stream_json,
     "stream_xml": stream_xml,
     "stream_archive": stream_archive,
     "stream_dead_letters": stream_dead_letters,
+    "stream_xml_archive": stream_xml_archive,
+    "stream_xml_dead_letters": stream_xml_dead_letters,
+    "stream_raw_messages": stream_raw_messages,
 }

@@ -189,7 +189,27 @@ def xml_envelopes(e: DataFrame) -> DataFrame:
         .when(k == 7, F.concat(F.lit("<Appointments>"), inner))
         .otherwise(F.concat(F.lit("<Appointments>"), inner, F.lit("</Appointments>")))
     )
-    return e.select(payload.alias("payload"), attributes().alias("attributes"), F.col("ts").alias("publish_time"))
+    return e.select("event_id", payload.alias("payload"), attributes().alias("attributes"), F.col("ts").alias("publish_time"))
+
+
+def raw_messages(e: DataFrame) -> DataFrame:
+    """Events as a broker's rows: the JSON messages of ``json_envelopes`` as bytes, attributes as headers.
+
+    Every third message repeats a header (the last one counts), every seventeenth
+    holds a byte that is no UTF-8, every nineteenth has a header that is none.
+    """
+    env = json_envelopes(e)
+    damaged = F.when(F.col("event_id") % 17 == 0, F.concat(F.unhex(F.lit("FF")), F.col("payload").cast("binary"))).otherwise(F.col("payload").cast("binary"))
+
+    def header(key: str, value: Column) -> Column:
+        return F.struct(F.lit(key).alias("key"), value.cast("binary").alias("value"))
+
+    day = F.element_at("attributes", "LogicalDate")
+    first = F.when(F.col("event_id") % 3 == 0, F.array(header("MessageId", F.lit("first")))).otherwise(F.array().cast("array<struct<key:string,value:binary>>"))
+    topic = F.when(F.col("event_id") % 19 == 0, F.unhex(F.lit("C328"))).otherwise(F.lit("events").cast("binary"))
+    headers = F.concat(first, F.array(header("TopicName", topic), header("MessageId", F.element_at("attributes", "MessageId"))),
+                       F.when(day.isNotNull(), F.array(header("LogicalDate", day))).otherwise(F.array().cast("array<struct<key:string,value:binary>>")))
+    return env.select("event_id", damaged.alias("value"), headers.alias("headers"), F.col("publish_time").cast("timestamp").alias("timestamp"))
 
 
 def xml_bind(spark: SparkSession, sf_dir: str) -> DataFrame:

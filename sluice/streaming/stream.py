@@ -161,19 +161,21 @@ def start_message_stream(
     files_per_window: int | None = None,
     table_files: int | None = None,
     compact_every: int | None = None,
+    raw: bool = False,
 ) -> StreamingQuery:
     """Start J3 (``kind='json'``) or J4 (``kind='xml'``).
 
     The checkpoint goes to ``customGcsTempLocation`` when set, else under the
     cluster's shared ``spark.checkpoint.dir``.  ``compact_every`` merges the
-    table's committed batches after every so many.
+    table's committed batches after every so many; ``raw`` reads a folder of a
+    broker's rows instead of envelopes.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sink = config.get("BigQuerySinkDynamicStream", {}) or {}
     location = checkpoint or sink.get("customGcsTempLocation") or default_checkpoint(
         spark, kind, subscription, str(sink.get("table")))
     run = _run_id(spark, location)
-    source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger)
+    source = read_message_stream(spark, subscription, kafka_options, max_files_per_trigger, raw)
     writer = (source.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, f"{run}-{bid}", kind, config, bind_options,
                                                           files_per_window, table_files, compact_every))
