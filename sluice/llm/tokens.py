@@ -111,12 +111,12 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.words, self.cores = {}, {}
+        self.words, self.cores, self.merges = {}, {}, None
         ranks = merge_ranks(path)
         if ranks:
             import tiktoken
 
-            self.merges = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+            self.merges = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         probe = ["Straße", "éàêñöū", "thnter", "a", "é"]
         self.direct = ranks is not None and all(self._direct(w.lower()) == self._whole(w) for w in probe)
 
@@ -132,17 +132,18 @@ class WordEncoder:
             cores.clear()
         if len(known) > CACHE_WORDS:
             known.clear()
+        merges, tails, get = self.merges if self.direct else None, self.TAIL, cores.get
         for w in words:
-            core = w.rstrip(self.TAIL)
-            low = core.lower()
-            if not (self.direct and low.isalpha() and max(low) < "\u0250"):
+            low = w.lower()
+            core = low.rstrip(tails)
+            if merges is None or not core.isalpha() or not core.isascii() and max(core) >= "\u0250":
                 known[w] = self._whole(w)
                 continue
-            ids = cores.get(low)
+            ids = get(core)
             if ids is None:
-                ids = cores[low] = self._direct(low)
-            if len(core) < len(w):
-                tail = w[len(core):]
+                ids = cores[core] = array("I", merges(core.encode() + b"\xff")).tobytes()
+            if len(core) < len(low):
+                tail = low[len(core):]
                 if tail not in cores:
                     cores[tail] = self._whole(tail)
                 ids += cores[tail]
