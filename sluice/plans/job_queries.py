@@ -19,7 +19,7 @@ from sluice.plans.table_queries import SQL as TABLE_SQL
 from sluice.plans.table_queries import csv_line, pin_utc, read
 from sluice.session import scratch_path
 from sluice.sinks.avro_files import write_avro
-from sluice.sinks.publish import Files
+from sluice.sinks.publish import AT_ONCE, Files
 from sluice.sinks.table import write_table, write_text
 from sluice.streaming.stream import start_message_stream
 
@@ -49,7 +49,7 @@ def csv_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyyMMdd").alias("day"),
         F.explode(F.filter(F.array(header, data, trailer), lambda x: x.isNotNull())).alias("value"),
     )
-    lines.repartition("day").write.partitionBy("day").text(f"{root}/in files+1")
+    lines.repartition("day").write.options(**AT_ONCE).partitionBy("day").text(f"{root}/in files+1")
     _mkdir(spark, f"{root}/table")
     config = {
         "FileSource": {
@@ -255,18 +255,18 @@ BATCHES = 4
 
 
 def _arrivals(env: DataFrame, clock: str) -> DataFrame:
-    """Messages with the micro-batch they come in: by the third of the day, but every thirteenth comes late, in the last one."""
-    third = F.floor((F.hour(clock) * 60 + F.minute(clock)) / 480).cast("int")
+    """Messages with the micro-batch they come in: by the third of the two hours, but every thirteenth comes late, in the last one."""
+    third = F.floor((F.hour(clock) % 2 * 60 + F.minute(clock)) / 40).cast("int")
     return env.withColumn("arrival", F.when(F.col("event_id") % 13 == 0, BATCHES - 1).otherwise(third))
 
 
-def _one_day(time: str):
-    """A time of the events' month in the same minute of one day."""
-    return F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.hour(time), F.minute(time), F.second(time).cast("decimal(8,6)"))
+def _two_hours(time: str):
+    """A time of the events' month in the same minute of two hours of one day."""
+    return F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(9) + F.hour(time) % 2, F.minute(time), F.second(time).cast("decimal(8,6)"))
 
 
 def _run_stream(spark: SparkSession, sf_dir: str, kind: str, odd: bool = False, compact_every: int | None = None) -> tuple[str, bool]:
-    """A stream of all events in four micro-batches, the last one with late messages, each in its minute of one day.
+    """A stream of all events in four micro-batches, the last one with late messages, each in its minute of two hours.
 
     With ``odd`` every seventh message has no publish time and every eleventh is a
     broken line.  Returns the folder of the outputs, and whether the stream did
@@ -276,7 +276,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, kind: str, odd: bool = False,
     root = scratch_path(spark, f"stream-{kind}")
     events = read(spark, sf_dir, "events")
     env = json_envelopes(events) if kind == "json" else xml_envelopes(events)
-    time = _one_day("publish_time").cast("timestamp")
+    time = _two_hours("publish_time").cast("timestamp")
     time = F.when(F.col("event_id") % 7 != 0, time) if odd else time
     line = F.to_json(F.struct("payload", "attributes", time.alias("publish_time")))
     if odd:
@@ -349,7 +349,7 @@ def stream_xml_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ODD = """
-  CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'unknown' ELSE strftime(ts, '2024-01-01T%H:%M') END AS minute,
+  CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'unknown' ELSE '2024-01-01T' || CASE WHEN hour(ts) % 2 = 0 THEN '09' ELSE '10' END || strftime(ts, ':%M') END AS minute,
   '{"payload":"cut-' || eid AS cut"""
 _ODD_CTE = _JSON_CTE + f"""
 , m AS (SELECT *, CASE k WHEN 1 THEN substring(body, 1, length(body) - 1) ELSE body END AS payload, {_ODD} FROM p)
@@ -398,7 +398,7 @@ def stream_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A broker's rows streamed from files: bytes, repeated headers, text that is no UTF-8."""
     pin_utc(spark)
     root = scratch_path(spark, "stream-raw")
-    raw = raw_messages(read(spark, sf_dir, "events")).withColumn("timestamp", _one_day("timestamp").cast("timestamp"))
+    raw = raw_messages(read(spark, sf_dir, "events")).withColumn("timestamp", _two_hours("timestamp").cast("timestamp"))
     raw.drop("event_id").write.parquet(f"{root}/in")
     for name in ("table", "errors"):
         _mkdir(spark, f"{root}/{name}")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.results import BARRIER_COL, ERROR_COL, INTERNAL_COLS, RAW_COL, ROW_SRC_COL, SRC_COL
-from sluice.sinks.publish import Publication, recover
+from sluice.sinks.publish import AT_ONCE, Publication, recover
 from sluice.sinks.table import RUN_COL, is_empty, by_day, day_column, outdated, partition_key, path_exists, stamp_load_time
 
 STATUS = "_status"
@@ -75,12 +75,12 @@ def write_routed(parsed: DataFrame, target: str, error_path: str, disposition: s
     stage, letters = change.stage(target), change.stage(error_path)
     try:
         rows, parts = routed_rows(parsed, partition_field, load_time_field, run_id, files_per_partition)
-        rows.write.partitionBy(*parts).parquet(stage)
+        rows.write.options(**AT_ONCE).partitionBy(*parts).parquet(stage)
         change.add(target, f"{stage}/{STATUS}=good")
         good = change.parts[-1]
         if run_id is not None or disposition == "WRITE_TRUNCATE":
-            good.gone = outdated(change.files, target, good.files, parts[1:])
-        if not good.files and len(good.gone) == len(change.files.data_files(target)):
+            good.gone = outdated(change.files, target, change.files.data_files(good.stage), parts[1:])
+        if not good.files and not good.folders and len(good.gone) == len(change.files.data_files(target)):
             # A table without rows still has columns.
             rows.drop(*parts).limit(0).write.parquet(f"{stage}/{STATUS}=none")
             change.add(target, f"{stage}/{STATUS}=none")

@@ -1,9 +1,9 @@
 """Table sink (K1, K3-K6) and text/topic sinks (K7, K8).
 
 A target is a catalog table name or a path.  Nothing is created implicitly:
-a missing target is an error, as is a non-empty one under ``WRITE_EMPTY``.  What
-replaces rows of a path is staged and then published as a whole
-(``sinks/publish.py``): a load that dies while it writes leaves the old rows.
+a missing target is an error, as is a non-empty one under ``WRITE_EMPTY``.  What a
+load writes to a path is staged and then published as a whole
+(``sinks/publish.py``): one that dies while it writes leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sinks.publish import Files, Publication, recover
+from sluice.sinks.publish import AT_ONCE, Files, Publication, recover
 
 DISPOSITIONS = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
 RUN_COL = "ingest_run"
@@ -64,11 +64,18 @@ def by_day(df: DataFrame, key: str, files_per_key: int | None) -> DataFrame:
     By default the rows are shuffled by day and Spark rebalances the partitions
     by their measured sizes (the session's advisory partition size): a day with
     half the rows gets its share of the writers, small days share one and get a
-    file each.  A number sets the writers of every day, 0 leaves rows where
-    they are, so that every task writes a file for each of its days.
+    file each.  Loads expected to hold less than one such partition per core are
+    dealt by day to all cores, so that no single task opens all their files.  A
+    number sets the writers of every day, 0 leaves rows where they are, so that
+    every task writes a file for each of its days.
     """
     if files_per_key is None:
-        return df.hint("rebalance", F.col(f"`{key}`"))
+        spark, column = df.sparkSession, F.col(f"`{key}`")
+        advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+            spark._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+        expected = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        cores = spark.sparkContext.defaultParallelism
+        return df.hint("rebalance", column) if expected >= advisory * cores else df.repartition(cores, column)
     return spread(df, key, files_per_key) if files_per_key else df
 
 
@@ -125,14 +132,9 @@ def write_table(
         parts.append(RUN_COL)
     replaced = run_id is not None or disposition == "WRITE_TRUNCATE"
     if is_path(target):
-        recover(spark, target)
-    if replaced and is_path(target):
-        _replace(out, target, parts, fmt)
+        _load(out, target, parts, fmt, replaced)
     elif replaced and parts:
         overwrite_partitions(out, target, parts, fmt)
-    elif is_path(target):
-        writer = out.write.mode("append").format(fmt)
-        (writer.partitionBy(*parts) if parts else writer).save(target)
     else:
         _as_table(out, target, parts).write.insertInto(target, overwrite=disposition == "WRITE_TRUNCATE")
 
@@ -145,14 +147,16 @@ def outdated(files: Files, target: str, staged: list[str], parts: list[str]) ->
     return [f"{folder}/{f}" for folder in sorted(folders) for f in files.data_files(f"{target}/{folder}")]
 
 
-def _replace(df: DataFrame, target: str, parts: list[str], fmt: str) -> None:
-    """Stage the rows, then publish them in place of the partitions they fill (or of the whole table)."""
+def _load(df: DataFrame, target: str, parts: list[str], fmt: str, replaced: bool) -> None:
+    """Stage the rows, then publish them beside the old ones or in place of the partitions they fill (or of the whole table)."""
+    if path_exists(df.sparkSession, target):
+        recover(df.sparkSession, target)
     change = Publication(df.sparkSession, target)
     stage = change.stage(target)
     try:
-        writer = df.write.format(fmt)
+        writer = df.write.format(fmt).options(**AT_ONCE)
         (writer.partitionBy(*parts) if parts else writer).save(stage)
-        change.add(target, stage, outdated(change.files, target.rstrip("/"), change.files.data_files(stage), parts))
+        change.add(target, stage, outdated(change.files, target.rstrip("/"), change.files.data_files(stage), parts) if replaced else ())
     except BaseException:
         change.discard()
         raise
@@ -187,7 +191,8 @@ def _as_table(df: DataFrame, target: str, parts: list[str]) -> DataFrame:
 def overwrite_partitions(df: DataFrame, target: str, parts: list[str], fmt: str) -> None:
     """Replace the partitions that ``df`` has rows for, and leave all others as they are."""
     if is_path(target):
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).format(fmt).save(target))
+        # Spark stages these files itself and moves whole partitions when all are written.
+        (df.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **AT_ONCE).partitionBy(*parts).format(fmt).save(target))
         return
     with _dynamic_overwrite(df.sparkSession):
         _as_table(df, target, parts).write.insertInto(target, overwrite=True)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.sinks.publish import Files, Publication, recover
+from sluice.sinks.publish import AT_ONCE, Files, Publication, recover
 
 BATCH_COL = "batch"
 LEAF = re.compile(rf"{BATCH_COL}=(?P<run>.+)-(?P<first>\d+)(?:\.\.(?P<last>\d+))?$")
@@ -99,7 +99,7 @@ def compact(spark: SparkSession, root: str, run: str, before: int, parents: list
     stage = change.stage(root)
     try:
         keys = [F.col(f"`{p}`") for p in parents]
-        rows.hint("rebalance", *keys).write.format(fmt).partitionBy(*parents, BATCH_COL).save(stage)
+        rows.hint("rebalance", *keys).write.options(**AT_ONCE).format(fmt).partitionBy(*parents, BATCH_COL).save(stage)
         change.add(root, stage, paths)
         upto = max(last, compacted_upto(spark, root, run))
         files.make(f"{root}/_log")
