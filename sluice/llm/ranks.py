@@ -13,7 +13,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from sluice.llm.common import Scratch, tidy
 
-BROADCAST_BASES = 500_000
+BROADCAST_BASES = 100_000
 """Rows (writing task, length) that may be sent to all executors; more are joined by a shuffle."""
 
 
