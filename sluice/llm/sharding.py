@@ -1,18 +1,29 @@
 """Sharding that keeps linked documents together, by balanced label propagation.
 
-Documents with equal texts are linked through their text's hash and form a
-group.  From a scatter by hash, each round lets every group that is not settled
-want the shard that holds most of its documents, of those with room for all of
-it.  Groups are ranked, larger ones first, and taken whole up to each shard's
-capacity; a group that was refused wants another shard in the next round, with
-all its documents.  A group larger than a shard fills shards of its own first,
-and its rest is a group like others.  Groups that no shard took whole go, with
-the unlinked documents, to wherever places are left, one group after the other,
-so that counts differ by one at most and fewer groups are cut than there are
-shards, besides those larger than a shard.
-
-Rounds work on one row per group.  Everything is DataFrame expressions; the
-driver sees counts per shard and the few groups that are cut.
+Documents with equal texts form a group, which moves as one.  Groups are linked
+through the long lines that they share; a line stands between them, so that one
+held by a third of all documents adds a link per document and no pairs.
+
+Propagation.  From a scatter by hash, each round joins the lines with their
+groups' present shards and the groups with their lines: a group's votes for a
+shard are its neighbours' shares of each line there.  A group wants the shard
+with most votes, if that beats its own.  Half of the groups may move in a round,
+another half each time: neighbours that both moved would only change places.
+Moves from shard to shard are added up
+and cut to what leaves no shard above its capacity; groups are ranked, larger
+ones first, and move whole up to that quota.  Votes are taken anew in the next
+round, from where the groups are then.
+
+Settlement.  Each group wants the shard it has come to, or one with room for all
+of it, and is taken whole up to each shard's capacity, larger ones first; a group
+that was refused wants another shard in the next round.  A group larger than a
+shard fills shards of its own first, and its rest is a group like others.
+Groups that no shard took whole go, with the unlinked documents, to wherever
+places are left, one group after the other, so that counts differ by one at most
+and fewer groups are cut than there are shards, besides those larger than one.
+
+Rounds work on one row per group and one per link.  Everything is DataFrame
+expressions; the driver sees counts per shard and the few groups that are cut.
 """
 
 from __future__ import annotations
@@ -26,6 +37,10 @@ from pyspark.sql import functions as F
 from sluice.llm.common import Scratch, blocks_for, numbered
 
 LAW = "rows"
+LINE = 40
+"""Characters of a line that links the documents that hold it, at least."""
+SCALE = 1 << 20
+"""A line's votes in all, in whole numbers so that their sums do not depend on order."""
 
 
 def _piece(number: Column, ends: list[tuple[int, int]]) -> Column:
@@ -74,6 +89,50 @@ def _running(groups: DataFrame, cls: str, rows: int) -> DataFrame:
             .withColumn("upto", F.col("_within") + F.col("_base")).drop("_digits", "_blk", "_within", "_base"))
 
 
+def line_links(rows: DataFrame) -> DataFrame:
+    """``hub, line`` for each line of at least ``LINE`` characters that several groups share; ``rows`` hold ``hub`` and ``text``."""
+    line = F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))).alias("line")
+    links = rows.select("hub", line).where(F.char_length("line") >= LINE).select("hub", F.xxhash64("line").alias("line")).distinct()
+    shared = links.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line")
+    return links.join(shared, "line")
+
+
+def neighbour_votes(links: DataFrame, state: DataFrame, shards: int) -> DataFrame:
+    """``hub, votes``: for each linked group and shard the neighbours' shares of its lines there, from the groups' present places ``state(hub, size, shard)``."""
+    placed = links.join(state, "hub")
+    per_line = placed.groupBy("line").agg(F.sum("size").alias("all"), F.array(*[F.sum(F.when(F.col("shard") == s, F.col("size")).otherwise(0)) for s in range(shards)]).alias("there"))
+    # Without its own documents a group's line has all - size left to vote.
+    share = [F.floor(SCALE * (F.get("there", F.lit(s)) - F.when(F.col("shard") == s, F.col("size")).otherwise(0)) / (F.col("all") - F.col("size"))) for s in range(shards)]
+    return placed.join(per_line, "line").groupBy("hub").agg(F.array(*[F.sum(v).cast("long") for v in share]).alias("votes"))
+
+
+def propagate(links: DataFrame, state: DataFrame, capacity: list[int], rounds: int, rows: int, tmp: Scratch) -> DataFrame:
+    """``state(hub, size, shard)`` after so many rounds of moves towards the neighbours' shards, or as many as change anything."""
+    shards = range(len(capacity))
+    for turn in range(rounds):
+        votes = neighbour_votes(links, state, len(capacity))
+        best = F.array_max(F.transform(F.sequence(F.lit(0), F.lit(len(capacity) - 1)), lambda s: F.struct(
+            F.get("votes", s).alias("votes"), (s == F.col("shard")).alias("own"), F.xxhash64("hub", s).alias("pref"), s.alias("shard"))))
+        mine = F.pmod(F.xxhash64("hub", F.lit(turn)), F.lit(2)) == 0
+        wish = state.where(mine).join(votes, "hub").withColumn("target", best["shard"]).where("target <> shard")
+        wish = tmp.keep(_running(wish.withColumn("way", F.col("shard") * len(capacity) + F.col("target")), "way", rows), "moves")
+        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+        moving, quota = wish, None
+        while True:
+            sums = {(r["shard"], r["target"]): r["n"] for r in moving.groupBy("shard", "target").agg(F.sum("size").alias("n")).collect()}
+            flows = [[sums.get((a, b), 0) for b in shards] for a in shards]
+            quota = _allowed(flows, [held.get(s, 0) for s in shards], capacity)
+            if quota == flows:
+                break
+            # Groups move whole, so less may leave a shard than was counted on: cut again until the sums hold.
+            moving = wish.where(F.col("upto") <= F.get(F.array(*[F.lit(q).cast("long") for row in quota for q in row]), F.col("way")))
+        if not any(map(any, quota)):
+            break
+        moved = moving.select("hub", F.col("target").alias("_to"))
+        state = tmp.keep(state.join(moved, "hub", "left").select("hub", "size", F.coalesce("_to", "shard").alias("shard")), "state")
+    return state
+
+
 def _propagate(groups: DataFrame, held: list[int], capacity: list[int], rows: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, list[int]]:
     """One round over the groups not settled: (hub, shard) of those taken, the others, and what each shard then holds."""
     shards = range(len(held))
@@ -96,7 +155,7 @@ def _propagate(groups: DataFrame, held: list[int], capacity: list[int], rows: in
     return taken.select("hub", "shard"), ranked.where(~ranked_in).drop("target", "upto"), [h + more.get(s, 0) for s, h in enumerate(held)]
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     ``size`` is the text's UTF-8 bytes plus 1, ``shard`` 0 to ``shards - 1``
@@ -104,7 +163,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col:
     its shard, gapless from 0; ``grown_shard`` is null under this law.  A null
     text counts as empty.  Repeated rows and rows with null ids are rows of
     their own.  A group of equal texts larger than a shard fills one and goes on
-    in the next; of the others at most ``shards - 1`` are cut.  Other columns are left out.
+    in the next; of the others at most ``shards - 1`` are cut.  Documents that
+    share lines of ``LINE`` characters move together as far as that allows, in
+    ``rounds`` rounds at most.  Other columns are left out.
     """
     tmp = Scratch(docs.sparkSession, "shards")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -115,10 +176,12 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, doc_col:
     n = base.count()
     capacity = [n // shards + (s < n % shards) for s in range(shards)]
 
-    start = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
-    votes = base.groupBy("hub", start).agg(F.count(F.lit(1)).alias("votes"))
-    groups = tmp.keep(votes.groupBy("hub").agg(F.sum("votes").alias("size"), F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("votes"))
-                      .where("size > 1"), "groups")
+    links = tmp.keep(line_links(docs.select(F.xxhash64(text).alias("hub"), text.alias("text"))), "links")
+    linked = links.select("hub").distinct().withColumn("linked", F.lit(True))
+    sizes = base.groupBy("hub").agg(F.count(F.lit(1)).alias("size")).join(linked, "hub", "left").where("size > 1 or linked")
+    state = tmp.keep(sizes.select("hub", "size", F.pmod(F.xxhash64("hub", F.lit(1)), F.lit(shards)).cast("int").alias("shard")), "state")
+    state = propagate(links, state, capacity, rounds, state.count(), tmp)
+    groups = tmp.keep(state.select("hub", "size", F.create_map("shard", F.col("size")).alias("votes")), "groups")
     # Groups larger than a shard, fewer than there are shards: each fills the next shards, and its rest is settled with the others.
     held, pieces, rest, s = [0] * shards, {}, {}, 0
     for r in groups.where(F.col("size") > capacity[0]).select("hub", "size").orderBy(F.desc("size"), "hub").collect():

@@ -4,7 +4,8 @@ from collections import Counter, defaultdict
 
 from llm_cases import ODD, no_docs, odd_docs
 
-from sluice.llm.sharding import _allowed, shard_documents
+from sluice.llm.common import Scratch
+from sluice.llm.sharding import SCALE, _allowed, line_links, neighbour_votes, propagate, shard_documents
 
 
 def check(rows, texts, shards):
@@ -84,3 +85,78 @@ def test_groups_stay_whole_when_all_shards_fill(spark, monkeypatch):
     check(rows, texts, 8)
     assert cut_groups(rows) <= 8
     assert len({r["shard"] for r in rows if r["doc_id"] < 5000}) <= 4
+
+
+def random_graph(r, groups, lines, shards):
+    members = {line: sorted(r.sample(range(groups), r.randint(2, 4))) for line in range(lines)}
+    links = [(g, line) for line, gs in members.items() for g in gs]
+    state = {g: (r.randint(1, 4), r.randrange(shards)) for g in range(groups)}
+    return links, state
+
+
+def frames(spark, links, state):
+    return (spark.createDataFrame(links, "hub long, line long"),
+            spark.createDataFrame([(g, n, s) for g, (n, s) in state.items()], "hub long, size long, shard int"))
+
+
+def brute_votes(links, state, shards):
+    votes = {}
+    for g, line in links:
+        others = [state[h] for h, k in links if k == line and h != g]
+        total = sum(n for n, _ in others)
+        for s in range(shards):
+            votes.setdefault(g, [0] * shards)[s] += SCALE * sum(n for n, t in others if t == s) // total
+    return votes
+
+
+def test_votes_match_brute_force(spark):
+    r = random.Random(2)
+    for _ in range(3):
+        links, state = random_graph(r, 30, 25, 4)
+        got = neighbour_votes(*frames(spark, links, state), 4).collect()
+        assert {x["hub"]: x["votes"] for x in got} == brute_votes(links, state, 4)
+
+
+def cut_weight(links, shard_of):
+    """Lines whose groups lie in several shards."""
+    of = defaultdict(set)
+    for g, line in links:
+        of[line].add(shard_of[g])
+    return sum(len(s) > 1 for s in of.values())
+
+
+def test_propagation_cuts_fewer_links_and_keeps_quotas(spark):
+    r = random.Random(3)
+    before = after = 0
+    for _ in range(3):
+        links, state = random_graph(r, 40, 30, 3)
+        total = sum(n for n, _ in state.values())
+        capacity = [-(-total // 3) + 4] * 3
+        start = Counter()
+        for n, s in state.values():
+            start[s] += n
+        end = propagate(*frames(spark, links, state), capacity, 6, 40, Scratch(spark, "test")).collect()
+        assert {x["hub"]: x["size"] for x in end} == {g: n for g, (n, _) in state.items()}
+        held = Counter()
+        for x in end:
+            held[x["shard"]] += x["size"]
+        assert all(held[s] <= max(capacity[s], start[s]) for s in range(3))
+        before += cut_weight(links, {g: s for g, (_, s) in state.items()})
+        after += cut_weight(links, {x["hub"]: x["shard"] for x in end})
+    assert after < 0.6 * before
+
+
+def test_documents_that_share_lines_meet(spark):
+    line = [f"a line of cluster {c} that is long enough to link its documents" for c in range(16)]
+    texts = [(i, f"head {i}\n{line[i % 16]}\nshort\n{line[i % 16]} again") for i in range(320)] + [(1000 + i, f"alone {i}") for i in range(320)]
+    rows = shard_documents(spark.createDataFrame(texts, "doc_id long, text string"), 4).collect()
+    check(rows, texts, 4)
+    together = Counter((r["doc_id"] % 16, r["shard"]) for r in rows if r["doc_id"] < 1000)
+    assert sum(max(together[c, s] for s in range(4)) for c in range(16)) > 0.8 * 320
+
+
+def test_line_links_are_shared_lines_only(spark):
+    long = "x" * 40
+    rows = spark.createDataFrame([(1, f"{long}\n{long}\nshort"), (2, f"  {long}  \nother {long}"), (3, "short\nshort"), (4, "")], "hub long, text string")
+    got = line_links(rows).collect()
+    assert sorted(r["hub"] for r in got) == [1, 2] and len({r["line"] for r in got}) == 1
