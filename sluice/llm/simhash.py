@@ -7,9 +7,10 @@ probes the tables with every value in the Hamming ball of that radius around
 its own; whatever a probe meets is checked on all 64 bits.
 
 Equal fingerprints are one entry.  Entries meet their probes in a sort by
-(segment, value); a task returns, instead of all pairs that link, a spanning
-forest of them, so a large group of near copies yields as many links as it has
-fingerprints.
+(segment, value); a value with many entries is dealt to several tasks, each
+holding some of its entries and meeting all of its probes.  A task returns,
+instead of all pairs that link, a spanning forest of them, so a large group of
+near copies yields as many links as it has fingerprints (times its tasks).
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from sluice.llm.components import components
 BITS = 64
 LARGE = 1 << 12
 """Pairs of a bucket that are compared in one go with other buckets' pairs; larger buckets are searched one by one."""
+HOT = 1 << 12
+"""Table entries of a segment value that one task holds; more are dealt to several, each of which meets all probes of the value."""
+BLOCK_BITS = 20
+BROADCAST_HOT = 200_000
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,22 +152,26 @@ def _forest(max_bits: int):
         return links[links[:, 0] != links[:, 1]]
 
     def batches(frames):
-        rest = None
+        held = []  # rows of keys that may go on in the next batch; all but the first batch's are of one key
         for pdf in frames:
-            key, probe, fp = (pdf[c].to_numpy() for c in ("key", "probe", "fp"))
-            if rest is not None:
-                key, probe, fp = (np.concatenate(x) for x in zip(rest, (key, probe, fp)))
-            cut = np.searchsorted(key, key[-1]) if len(key) else 0
-            rest = key[cut:], probe[cut:], fp[cut:]
+            rows = tuple(pdf[c].to_numpy() for c in ("key", "probe", "fp"))
+            if not len(rows[0]):
+                continue
+            if held and held[-1][0][-1] == rows[0][-1]:
+                held.append(rows)
+                continue
+            key, probe, fp = (np.concatenate(x) for x in zip(*held, rows))
+            cut = np.searchsorted(key, key[-1])
+            held = [(key[cut:], probe[cut:], fp[cut:])]
             if cut:
                 yield pd.DataFrame(bucket_links(key[:cut], probe[:cut], fp[:cut]), columns=["a", "b"])
-        if rest is not None and len(rest[0]):
-            yield pd.DataFrame(bucket_links(*rest), columns=["a", "b"])
+        if held:
+            yield pd.DataFrame(bucket_links(*(np.concatenate(x) for x in zip(*held))), columns=["a", "b"])
 
     return batches
 
 
-def near_links(fps: DataFrame, max_bits: int, m: int) -> DataFrame:
+def near_links(fps: DataFrame, max_bits: int, m: int, tmp: Scratch) -> DataFrame:
     """Links ``(a, b)`` that connect the distinct ``fp`` that chains of steps of at most ``max_bits`` bits connect."""
     def key(i: int, shift: int, width: int):
         value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
@@ -177,7 +186,16 @@ def near_links(fps: DataFrame, max_bits: int, m: int) -> DataFrame:
         base = key(i, shift, width)
         stored.append(F.struct(base.alias("key"), F.lit(False).alias("probe")))
         probes.append(ball(base, width))
+    entries = fps.select(F.explode(F.array(*[s["key"] for s in stored])).alias("key"))
+    hot = tmp.keep(entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("blocks")).where("blocks > 1"), "hot")
+    n = hot.count()
     rows = fps.select("fp", F.explode(F.concat(F.array(*stored), *probes)).alias("e")).select("e.key", "e.probe", "fp")
+    if n:
+        # An entry goes to one block of its value, a probe to all.
+        dealt = rows.join(F.broadcast(hot) if n <= BROADCAST_HOT else hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        own = F.array(F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        block = F.explode(F.when(F.col("probe"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)).alias("block")
+        rows = dealt.select("key", "probe", "fp", block).select((F.shiftleft("key", BLOCK_BITS) + F.col("block")).alias("key"), "probe", "fp")
     return rows.repartition("key").sortWithinPartitions("key", "probe").mapInPandas(tidy(_forest(max_bits)), "a long, b long")
 
 
@@ -195,7 +213,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, words: int = 4, seed: in
     prints = tmp.keep(fingerprints(docs, words, seed, doc_col, text_col), "fingerprints")
     distinct = tmp.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     m = segments or (3 if distinct.count() <= 1 << 27 else 2)
-    classes = components(near_links(distinct, max_bits, m), tmp).withColumnRenamed("node", "fp")
+    classes = components(near_links(distinct, max_bits, m, tmp), tmp).withColumnRenamed("node", "fp")
     named = distinct.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     named = named.join(smallest, "component").select("fp", "component_id", "component")

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -68,7 +69,7 @@ def test_links_connect_what_brute_force_connects(spark, segments):
                 s ^= 1 << b
             prints.add(s)
     df = spark.createDataFrame([(signed(p), i) for i, p in enumerate(sorted(prints))], "fp long, low long")
-    links = near_links(df, 4, segments)
+    links = near_links(df, 4, segments, Scratch(spark, "test"))
     assert all(((x["a"] ^ x["b"]) & (1 << 64) - 1).bit_count() <= 4 for x in links.collect())
     got = {x["node"]: x["component"] for x in components(links, Scratch(spark, "test")).collect()}
     of = classes(prints)
@@ -114,3 +115,29 @@ def test_components_of_a_long_chain_and_a_star(spark):
     star = [(1000, 1001 + i) for i in range(300)] + [(5000, 5000)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain + star, "a long, b long"), Scratch(spark, "test")).collect()}
     assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(301)) and 5000 not in got
+
+
+def test_hot_segment_value_is_dealt_to_several_tasks(spark, monkeypatch):
+    """Fingerprints that share a segment's value, in one task or in many: the same components as brute force."""
+    r = random.Random(8)
+    base = r.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in r.sample(range(22, 64), k)) for k in (0, 2, 3, 9, 12) for _ in range(120)}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    fps = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(4)
+    want = classes(prints)
+
+    def found():
+        tmp = Scratch(spark, "test")
+        got = {x["node"] & (2**64 - 1): x["component"] for x in components(near_links(fps, 4, 3, tmp), tmp).collect()}
+        members = defaultdict(set)
+        for p in prints:
+            members[got.get(p, p)].add(p)
+        return sorted(map(sorted, members.values()))
+
+    groups = defaultdict(set)
+    for p, c in want.items():
+        groups[c].add(p)
+    expected = sorted(map(sorted, groups.values()))
+    assert found() == expected
+    monkeypatch.setattr(simhash, "HOT", 50)
+    assert found() == expected
