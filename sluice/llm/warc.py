@@ -196,6 +196,12 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(entries, ENTRY)
 
 
+def sound(index: DataFrame) -> DataFrame:
+    """``index``, failing at a record whose payload has not the digest or the length that its header states."""
+    damaged = F.concat(F.lit("damaged record in "), "file", F.lit(" at "), F.col("offset").cast("string"))
+    return index.withColumn("whole", F.when(F.col("whole"), F.lit(True)).otherwise(F.raise_error(damaged).cast("boolean")))
+
+
 ORDER = ("urlkey", "captured", "record", "offset")
 MAX_RANGES, MAX_KEYS = 200_000, 1_000_000
 
@@ -243,7 +249,8 @@ def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     empty; a null URL is left out of its record and sorts first; a null id gets
     no id field.  Rows that repeat an id with another payload are records of
     their own, of which a revisit refers to the id alone; rows that repeat
-    another altogether are written again.  Other columns are left out.
+    another altogether are written again.  A record that does not read back
+    whole stops the job.  Other columns are left out.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     at = F.col(captured).cast("long") if captured else F.lit(EPOCH) + F.coalesce(F.col(id_col), F.lit(0)).cast("long") % 1_000_000_000
@@ -253,4 +260,4 @@ def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     tmp = Scratch(spark, "warc")
     path = path or tmp.path("archives")
     write_archives(decide(rows, tmp, min_revisit), path, max(1, FILE_BYTES * total["n"] // max(1, total["bytes"] or 1)))
-    return merge_index(tmp.keep(read_index(spark, path), "index"))
+    return merge_index(tmp.keep(sound(read_index(spark, path)), "index"))

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from sluice.llm.warc import LoserTree, archive, merge_index, parse, read_index, surt
+from sluice.llm.warc import LoserTree, archive, merge_index, parse, read_index, sound, surt
 
 PAGES = "page_id long, url string, html string"
 BIG = "<html>" + "same " * 300
@@ -89,3 +89,20 @@ def test_loser_tree_merges(k):
 def test_surt_orders_hosts():
     assert surt("http://www.a.example:80/p?q#f") == "example,a)/p?q"
     assert surt(None) == surt("") == ""
+
+
+def test_a_damaged_record_stops_the_job(spark, scratch):
+    import glob
+
+    path = f"{scratch}/damaged"
+    archive(spark.createDataFrame([(1, "http://a.example/", "sound payload")], PAGES), path)
+    assert sound(read_index(spark, path)).count() == 1
+    import os
+
+    name, = (f for f in glob.glob(f"{path}/part-*") if os.path.getsize(f))
+    raw = open(name, "rb").read()
+    for crc in glob.glob(f"{path}/.*.crc"):
+        os.remove(crc)
+    open(name, "wb").write(raw.replace(b"sound payload", b"sOund payload"))
+    with pytest.raises(Exception, match="damaged record"):
+        sound(read_index(spark, path)).collect()
