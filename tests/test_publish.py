@@ -72,6 +72,23 @@ def test_publication_that_dies_is_finished_by_the_next_writer(spark, scratch, mo
     assert not hidden(scratch) and recover(spark, scratch) == 0
 
 
+def test_two_writers_may_finish_the_same_manifest(spark, scratch, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from sluice.sinks import publish
+
+    done = publish.carry_out
+    monkeypatch.setattr(publish, "carry_out", lambda *a: None)  # dies right after the manifest
+    write_table(days(spark, 200, "one"), scratch, partition_field="day")
+    monkeypatch.undo()
+    assert hidden(scratch) and loads(spark, scratch) == {}
+    name, = (n for n in os.listdir(scratch) if n.startswith("_publish"))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: done(spark, scratch, f"{scratch}/{name}"), range(2)))
+    done(spark, scratch, f"{scratch}/{name}")
+    assert sum(loads(spark, scratch).values()) == 200 and not hidden(scratch)
+
+
 def test_stage_that_dies_before_its_manifest_changes_nothing(spark, scratch):
     write_table(days(spark, 20, "one"), scratch)
     change = Publication(spark, scratch)
