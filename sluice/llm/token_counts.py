@@ -180,13 +180,28 @@ def redactions(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), "[ip]" if "." in m[0] else "[number]") for m in REDACT.finditer(text)]
 
 
+def joined_edits(text: str, edits: list[tuple[int, int, str]], near: int = 8 * LEAF) -> list[tuple[int, int, str]]:
+    """Edits less than ``near`` characters apart as one that spans them all: their regions would be encoded anew several times over."""
+    out: list[tuple[int, int, list[str]]] = []
+    for start, end, new in edits:
+        if out and start - out[-1][1] < near:
+            first, last, parts = out[-1]
+            out[-1] = first, end, parts
+            parts += [text[last:start], new]
+        else:
+            out.append((start, end, [new]))
+    return [(start, end, "".join(parts)) for start, end, parts in out]
+
+
 def apply_edits(trees: DataFrame, ranks: str, pattern: str, edits=redactions) -> DataFrame:
     """Edit the texts of ``build_trees`` rows and bring their trees up to date.
 
     ``edits`` gives a text's edits ``(start, end, replacement)`` in ascending
-    order without overlaps, by places in the text as it is.  Returns ``doc_id,
-    text, chars, tokens`` after the edits, with ``n_tokens_before``,
-    ``n_tokens``, ``n_edits`` and ``n_encoded`` (pre-tokens encoded again).
+    order without overlaps, by places in the text as it is; those close to each
+    other are made in one go.  Returns ``doc_id, text, chars, tokens`` after the
+    edits, with ``n_tokens_before``, ``n_tokens``, ``n_edits`` and ``n_encoded``
+    (pre-tokens encoded again).  Null and repeated ids are kept; other columns
+    are left out.
     """
     def run(frames):
         import pandas as pd
@@ -198,7 +213,7 @@ def apply_edits(trees: DataFrame, ranks: str, pattern: str, edits=redactions) ->
                 todo, before, encoded = edits(text), int(sum(tokens)), 0
                 if todo:
                     tree = Tree([int(c) for c in chars], [int(t) for t in tokens])
-                    for start, end, new in reversed(todo):  # from the end: places before stay as they are
+                    for start, end, new in reversed(joined_edits(text, todo)):  # from the end: places before stay as they are
                         text, n = tree.edit(text, start, end, new, counter)
                         encoded += n
                     chars, tokens = tree.leaves

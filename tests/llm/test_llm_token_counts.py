@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import ODD, no_docs, odd_docs
 
-from sluice.llm.token_counts import Counter, Tree, apply_edits, build_trees, redactions
+from sluice.llm.token_counts import Counter, Tree, apply_edits, build_trees, joined_edits, redactions
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 PIECES = st.text(alphabet=st.sampled_from("aB'strevlmd 0 1\n\t.,!é漢 "), max_size=40)
@@ -58,3 +58,25 @@ def test_redactions_apply(spark):
 
 def test_empty_table(spark):
     assert apply_edits(build_trees(no_docs(spark), RANKS, PATTERN), RANKS, PATTERN).collect() == []
+
+
+def test_joined_edits_make_the_same_text():
+    text = "ab 1234567 cd 7654321 " + "x" * 2000 + " 10.0.0.1 y"
+    edits = redactions(text)
+    joined = joined_edits(text, edits)
+    assert len(edits) == 3 and len(joined) == 2
+
+    def made(edits):
+        out = text
+        for a, b, new in reversed(edits):
+            out = out[:a] + new + out[b:]
+        return out
+
+    assert made(joined) == made(edits) and joined_edits(text, []) == []
+
+
+def test_many_edits_cost_about_a_rebuild(spark, counter):
+    text = " ".join(f"n {i + 1000000}" for i in range(20_000))
+    r = apply_edits(build_trees(spark.createDataFrame([(1, text)], "doc_id long, text string"), RANKS, PATTERN), RANKS, PATTERN).first()
+    pieces = len(counter.pattern.findall(r["text"]))
+    assert r["n_edits"] == 20_000 and r["n_tokens"] == len(counter.encode(r["text"])) and r["n_encoded"] <= pieces
