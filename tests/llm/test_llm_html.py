@@ -129,3 +129,25 @@ def test_articles_and_comments_of_hundreds_of_siblings(sample, model):
         want, got = {t for _, t in inner}, main_text([page], model)[0].split("\n")
         right = sum(len(t) for t in got if t in want)
         assert right / sum(map(len, got)) > 0.95 and right / sum(len(t) for _, t in inner) > 0.95
+
+
+def test_decoding_finds_the_optimum():
+    """Against all sets of nodes in which a kept node's parent is kept."""
+    import random
+    from itertools import combinations
+
+    from sluice.llm.html_extract import Node, decode
+
+    r = random.Random(6)
+    for _ in range(60):
+        nodes = [Node("div", [], None)]
+        for _ in range(r.randint(0, 8)):
+            nodes.append(Node("p", [], r.choice(nodes)))
+        # Parents come before their children, as in a page.
+        logits = [r.uniform(-2, 2) for _ in nodes]
+        worth = dict(zip(nodes, logits))
+        best = max(sum(worth[n] for n in part) for k in range(len(nodes) + 1) for part in combinations(nodes, k)
+                   if all(n.up is None or n.up in part for n in part))
+        kept = decode(nodes, logits)
+        assert all(n.up is None or n.up in kept for n in kept)
+        assert abs(sum(worth[n] for n in kept) - best) < 1e-9

@@ -61,3 +61,35 @@ def test_features_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     monkeypatch.setattr(quality, "BLOCK", 1000)
     assert np.array_equal(whole[0], trigrams(text)) and np.allclose(whole[1], profile(text), atol=1e-6)
     assert trigrams(b"").sum() == 0 and np.isfinite(profile(b"")).all() and np.isfinite(profile(b"\xff\xfe")).all()
+
+
+def test_votes_match_a_plain_loop(tables, model):
+    """Cosines with every point one by one, in double precision, and the nearest points' votes."""
+    docs, _ = tables
+    some = docs.orderBy("doc_id").limit(60)
+    got = {r["doc_id"]: r["score"] for r in score(some, model).collect()}
+    axes, points = model["axes"].astype(np.float64), model["points"].astype(np.float64)
+    for r in some.collect():
+        text = (r["text"] or "").encode()
+        grams, bins = np.log1p(trigrams(text)) * model["idf"], profile(text)
+        halves = [x / max(np.sqrt((x * x).sum()), 1e-12) for x in (grams, bins)]
+        terms = np.concatenate(halves)
+        latent = terms / np.sqrt((terms * terms).sum()) @ axes
+        latent /= max(np.sqrt((latent * latent).sum()), 1e-12)
+        near = sorted(((float(np.dot(latent, p)), float(m)) for p, m in zip(points, model["marks"])), reverse=True)[:25]
+        weights = [max(c, 1e-3) ** 32 for c, _ in near]
+        assert abs(got[r["doc_id"]] - sum(w * m for w, (_, m) in zip(weights, near)) / sum(weights)) < 1e-3
+
+
+def test_repeated_labels_and_documents_teach_once(spark, tables):
+    docs, labels = tables
+    once = fit(docs, labels, sample=200, dims=16)
+    again = fit(docs.unionByName(docs).unionByName(docs.limit(500)), labels.unionByName(labels), sample=200, dims=16)
+    assert len(once["marks"]) == len(again["marks"]) == 200
+    assert np.array_equal(once["marks"], again["marks"])
+
+
+def test_ties_and_repeated_rows_score_alike(spark, model):
+    rows = [(None, "same text here"), (1, "same text here"), (1, "same text here"), (2**63 - 1, "same text here")]
+    got = score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert len(got) == 4 and len({r["score"] for r in got}) == 1 and {r["doc_id"] for r in got} == {None, 1, 2**63 - 1}
