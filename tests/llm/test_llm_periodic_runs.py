@@ -145,3 +145,11 @@ def test_query_on_a_small_table(spark, scratch):
         assert r["runs_sha256"] == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest()
         assert r["collapsed_sha256"] == hashlib.sha256(collapse(words, runs)).hexdigest()
     assert seen > 10
+
+
+def test_planted_runs_leave_the_others_alone(spark):
+    hit = next(d for d in range(1000) if zlib.crc32(str(d).encode()) % 10 == 0)
+    docs = [(None, "a  b"), (hit, None), (hit, " \n "), (hit, "a  b\tc d e f g h"), (hit + 1 if zlib.crc32(str(hit + 1).encode()) % 10 else hit + 2, "x  y")]
+    got = with_planted_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [r["text"] for r in got[:3]] == ["a  b", None, " \n "] and got[4]["text"] == "x  y"
+    assert got[3]["text"].encode().split() == planted(hit, docs[3][1]) != [b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h"]
