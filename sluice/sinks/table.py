@@ -18,6 +18,8 @@ from sluice.sinks.publish import AT_ONCE, Files, Publication, recover
 
 DISPOSITIONS = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
 RUN_COL = "ingest_run"
+SMALL_LOAD = 8
+"""Partitions of the advisory size below which a load is dealt by day alone: the most that one day's task can get."""
 
 
 def partition_key(day: Column) -> Column:
@@ -64,7 +66,7 @@ def by_day(df: DataFrame, key: str, files_per_key: int | None) -> DataFrame:
     By default the rows are shuffled by day and Spark rebalances the partitions
     by their measured sizes (the session's advisory partition size): a day with
     half the rows gets its share of the writers, small days share one and get a
-    file each.  Loads expected to hold less than one such partition per core are
+    file each.  Loads expected to hold less than ``SMALL_LOAD`` such partitions are
     dealt by day to all cores, so that no single task opens all their files.  A
     number sets the writers of every day, 0 leaves rows where they are, so that
     every task writes a file for each of its days.
@@ -74,8 +76,8 @@ def by_day(df: DataFrame, key: str, files_per_key: int | None) -> DataFrame:
         advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
             spark._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
         expected = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        cores = spark.sparkContext.defaultParallelism
-        return df.hint("rebalance", column) if expected >= advisory * cores else df.repartition(cores, column)
+        small = expected < SMALL_LOAD * advisory
+        return df.repartition(spark.sparkContext.defaultParallelism, column) if small else df.hint("rebalance", column)
     return spread(df, key, files_per_key) if files_per_key else df
 
 
