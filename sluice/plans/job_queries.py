@@ -252,6 +252,8 @@ SELECT CAST(event_id AS VARCHAR) || '|' || event_type AS value, strftime(ts, '%Y
 
 
 BATCHES = 4
+FILE_EVENTS = 200_000
+"""Events for which each arrival gets a file more: a file stays at some ten MB of lines, however many events there are."""
 
 
 def _arrivals(env: DataFrame, clock: str) -> DataFrame:
@@ -265,6 +267,11 @@ def _two_hours(time: str):
     return F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(9) + F.hour(time) % 2, F.minute(time), F.second(time).cast("decimal(8,6)"))
 
 
+def _files_per_arrival(events: DataFrame) -> int:
+    """Files that each arrival's messages are written to; the stream takes as many at a time, so an arrival is a micro-batch."""
+    return max(2, -(-events.count() // FILE_EVENTS))
+
+
 def _run_stream(spark: SparkSession, sf_dir: str, kind: str, odd: bool = False, compact_every: int | None = None) -> tuple[str, bool]:
     """A stream of all events in four micro-batches, the last one with late messages, each in its minute of two hours.
 
@@ -274,25 +281,25 @@ def _run_stream(spark: SparkSession, sf_dir: str, kind: str, odd: bool = False,
     """
     pin_utc(spark)
     root = scratch_path(spark, f"stream-{kind}")
-    events = read(spark, sf_dir, "events")
-    env = json_envelopes(events) if kind == "json" else xml_envelopes(events)
+    events = _arrivals(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")  # dealt to the writers below anyway
+    render = json_envelopes if kind == "json" else xml_envelopes
     time = _two_hours("publish_time").cast("timestamp")
     time = F.when(F.col("event_id") % 7 != 0, time) if odd else time
     line = F.to_json(F.struct("payload", "attributes", time.alias("publish_time")))
     if odd:
         broken = F.concat(F.lit('{"payload":"cut-'), F.col("event_id").cast("string"))
         line = F.when(F.col("event_id") % 11 == 0, broken).otherwise(line)
-    lines = _arrivals(env, "publish_time").select(line.alias("value"), "arrival").cache()
+    files = _files_per_arrival(events)
     for k in range(BATCHES):  # one after the other: the stream takes files in the order they came
-        lines.where(F.col("arrival") == k).select("value").coalesce(2).write.mode("append").text(f"{root}/in")
-    lines.unpersist()
+        arrived = events.where(F.col("arrival") == k).repartition(files)
+        render(arrived).select(line.alias("value")).write.mode("append").text(f"{root}/in")
     _mkdir(spark, f"{root}/table")
     config = {
         "errorPath": f"{root}/errors", "messages-bucket": f"{root}/archive",
         "BigQuerySinkDynamicStream": {"table": f"{root}/table", "loadTimeField": "bq_load_dttm", "pField": "",
                                       "customGcsTempLocation": f"{root}/checkpoint"},
     }
-    start_message_stream(spark, kind, config, f"{root}/in", available_now=True, max_files_per_trigger=2, files_per_window=1,
+    start_message_stream(spark, kind, config, f"{root}/in", available_now=True, max_files_per_trigger=files, files_per_window=1,
                          compact_every=compact_every).awaitTermination()
     commits = [n for n in Files(spark, root).children(f"{root}/checkpoint/commits") if n.isdigit()]
     return root, len(commits) >= 3

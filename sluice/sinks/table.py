@@ -18,6 +18,7 @@ from sluice.sinks.publish import AT_ONCE, Files, Publication, recover
 
 DISPOSITIONS = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
 RUN_COL = "ingest_run"
+SALT_COL = "__writer"
 SMALL_LOAD = 8
 """Partitions of the advisory size below which a load is dealt by day alone: the most that one day's task can get."""
 
@@ -85,10 +86,12 @@ def spread(df: DataFrame, key: str, files_per_key: int) -> DataFrame:
     """Shuffle rows so each key value is written by ``files_per_key`` tasks.
 
     The salt cycles with the row id, so a hot key -- even one made of
-    identical copies -- is split over several writers instead of one.
+    identical copies -- is split over several writers instead of one.  What a
+    task would get beyond the session's advisory partition size Spark gives to
+    further ones, so that no task's share grows with the input.
     """
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_key))
-    return df.repartition(F.col(f"`{key}`"), salt)
+    salted = df.withColumn(SALT_COL, F.pmod(F.monotonically_increasing_id(), F.lit(files_per_key)))
+    return salted.hint("rebalance", F.col(f"`{key}`"), F.col(SALT_COL)).drop(SALT_COL)
 
 
 def write_table(

@@ -78,8 +78,9 @@ def process_batch(batch: DataFrame, batch_id: int | str, kind: str, config: Mapp
     """The body of one micro-batch (also usable on a static frame of envelopes).
 
     ``files_per_window`` gathers each window's archive and dead-letter lines
-    into that many writers (a salted shuffle), which bounds the file count
-    when one batch spans many minutes, e.g. while catching up on a backlog.
+    into that many writers (a salted shuffle; more for what is beyond the
+    advisory partition size), which bounds the file count when one batch
+    spans many minutes, e.g. while catching up on a backlog.
     ``table_files`` spreads the batch's table rows evenly over that many
     writers (the original loads used 200 shards).  By default every task
     writes its own rows.  After every ``compact_every``-th batch the table's

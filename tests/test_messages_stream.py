@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.messages_json import bind_json_messages
@@ -190,6 +191,40 @@ def test_files_per_window_bounds_archive_files(spark, scratch):
     assert spark.read.text(f"{scratch}/archive").count() == 40
 
 
+def test_a_large_window_is_dealt_to_several_writers(spark, scratch):
+    cfg = stream_config(scratch)
+    batch = spark.range(0, 20_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"), F.lit(None).cast("map<string,string>").alias("attributes"),
+        F.lit(None).cast("timestamp").alias("publish_time"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        process_batch(batch, 0, "json", cfg, files_per_window=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for out in ("archive", "errors"):
+        folder = f"{scratch}/{out}/window=unknown/batch=0"
+        sizes = [os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("part-")]
+        assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+        assert spark.read.text(folder).distinct().count() == 20_000
+
+
+@pytest.mark.parametrize("kind", ["json", "xml"])
+def test_files_of_a_streams_messages_grow_in_number(spark, scratch, monkeypatch, kind):
+    from sluice.plans import job_queries
+
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 61)
+    (spark.range(4000).select(F.col("id").alias("event_id"), at.alias("ts"), F.lit(7).cast("bigint").alias("user_id"),
+                              F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 5}').alias("props"))
+     .coalesce(1).write.parquet(f"{scratch}/events.parquet"))
+    monkeypatch.setattr(job_queries, "FILE_EVENTS", 500)
+    root, several = job_queries._run_stream(spark, scratch, kind, odd=True)
+    files = [f for f in os.listdir(f"{root}/in") if f.startswith("part-")]
+    lines = [sum(1 for _ in open(f"{root}/in/{f}")) for f in files]
+    assert len(files) == 8 * job_queries.BATCHES and max(lines) <= 500 and sum(lines) == 4000
+    assert several and sorted(n for n in os.listdir(f"{root}/checkpoint/commits") if n.isdigit()) == list("0123")
+    assert job_queries._archive(spark, root).distinct().count() == 4000
+
+
 def test_xml_text_keeps_surrounding_blanks(spark):
     payload = "<Appointments><Type>  x y  </Type><Data><AppointmentId> 1 </AppointmentId></Data></Appointments>"
     out = good_rows(bind_xml_messages(envelopes(spark, [(payload, ATTRS, None)]))).first()
