@@ -49,6 +49,8 @@ JAVA_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
 SPARK_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(nan|inf|infinity)[\x00-\x20]*\z"
 BIGDECIMAL_SCALE = 18
 MAX_PLAIN_SCALE = 1_000_000
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+"""HotSpot never compiles a longer method; Spark then runs a projection in many small ones instead of a single long one."""
 
 ISO_MINUTE = "yyyy-MM-dd'T'HH:mm"
 ISO_SECOND = "yyyy-MM-dd'T'HH:mm:ss"
@@ -72,8 +74,9 @@ def _identity(c: Column) -> Column:
 class OpPlan:
     """An operation split into stages so heavy work runs once per row.
 
-    ``parse`` (over the input text) is projected first; ``finish`` turns a
-    reference to it into the value; the error is derived afterwards from a
+    ``parse`` (over the input text) is projected first, then each of ``steps``
+    over the result before it (NULL stays NULL); ``finish`` turns a reference
+    to the last one into the value; the error is derived afterwards from a
     NULL value, so no parse is repeated for the error text.
     """
 
@@ -82,6 +85,7 @@ class OpPlan:
     reason: Column | None = None       # why a non-empty value failed
     always_fails: bool = False         # fails every value, empty or not
     nulled_type: str | None = None     # compat: result replaced by NULL of this type
+    steps: tuple[Callable[[Column], Column], ...] = ()
 
     def error(self, text: Column, parsed: Column) -> Column:
         """Failure text given the input and a reference to the parse result.
@@ -100,8 +104,11 @@ class OpPlan:
 
     def inline(self, text: Column) -> Typed:
         """Single-expression form (the parse may be evaluated more than once)."""
-        value = self.finish(self.parse)
-        error = self.error(text, self.parse)
+        parsed = self.parse
+        for step in self.steps:
+            parsed = _let(parsed, step)
+        value = _let(parsed, self.finish) if self.steps else self.finish(parsed)
+        error = self.error(text, parsed)
         if self.nulled_type:
             value = F.lit(None).cast(self.nulled_type)
         return Typed(value, error)
@@ -160,55 +167,58 @@ def _floating(text: Column, spark_type: str) -> OpPlan:
     return OpPlan(F.when(~special | java_ok, parsed), reason=number_error(text))
 
 
-def _decimal_number(text: Column) -> Column:
-    """The text for a decimal cast; a zero is cast as '0' (Spark rejects e.g. '0e38')."""
-    return F.when(text.rlike(ZERO_RX), F.lit("0")).otherwise(text)
-
-
 def _big_decimal(text: Column, scale: int) -> OpPlan:
     """A number that the typed column holds exactly; one with more digits fails instead of being rounded."""
-    # Rounding can only happen with more fraction digits than the scale, or an exponent.
-    parts = _decimal_parts(text)
-    exact = parts["scale"] - (F.length(parts["digits"]) - F.length(F.rtrim(parts["digits"], F.lit("0")))) <= scale
-    long = text.rlike(r"\.[0-9]{%d}|[eE]" % (scale + 1))
-    fits = F.when(long, F.coalesce(exact, F.lit(False)) | text.rlike(ZERO_RX)).otherwise(F.lit(True))
-    parsed = F.when(text.rlike(DECIMAL_RX) & fits, _decimal_number(text).try_cast(f"decimal(38,{scale})"))
+    def cast(p: Column) -> Column:
+        zeros = F.length(p["digits"]) - F.length(F.rtrim(p["digits"], F.lit("0")))
+        exact = F.coalesce((F.abs(p["scale"]) <= MAX_PLAIN_SCALE) & (p["scale"] - zeros <= scale), F.lit(False))
+        is_zero = p["digits"] == ""
+        # A zero is cast as '0' (Spark rejects e.g. '0e38').
+        number = F.when(is_zero, F.lit("0")).when(exact, p["text"])
+        return number.try_cast(f"decimal(38,{scale})")
+
     too_wide = F.concat(F.lit('Value does not fit DECIMAL(38,%d): "' % scale), text, F.lit('"'))
-    return OpPlan(parsed, reason=F.when(text.rlike(DECIMAL_RX), too_wide).otherwise(number_error(text)))
+    reason = F.when(text.rlike(DECIMAL_RX), too_wide).otherwise(number_error(text))
+    return OpPlan(_mantissa_and_exponent(text), reason=reason, steps=(lambda p: _decimal_parts(p, p["text"].alias("text")), cast))
+
+
+def _mantissa_and_exponent(text: Column) -> Column:
+    """The text of a valid decimal, what comes before its exponent, and that exponent (NULL beyond an int)."""
+    lowered = F.replace(text, F.lit("E"), F.lit("e"))
+    exponent = F.when(F.contains(lowered, F.lit("e")), F.substring_index(lowered, "e", -1).try_cast("int")).otherwise(F.lit(0))
+    return F.when(text.rlike(DECIMAL_RX), F.struct(
+        text.alias("text"), F.substring_index(lowered, "e", 1).alias("mantissa"), exponent.cast("bigint").alias("exponent")))
 
 
-_DECIMAL_PARTS_RX = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
+def _decimal_parts(p: Column, *more: Column) -> Column:
+    """Sign, digits from the first that is not zero, and scale of a ``_mantissa_and_exponent``."""
+    unsigned = F.ltrim(p["mantissa"], F.lit("+-"))
+    fraction = F.when(F.contains(unsigned, F.lit(".")), F.length(unsigned) - F.instr(unsigned, ".")).otherwise(F.lit(0))
+    return F.when(p.isNotNull(), F.struct(
+        F.startswith(p["mantissa"], F.lit("-")).alias("negative"),
+        F.ltrim(F.replace(unsigned, F.lit("."), F.lit("")), F.lit("0")).alias("digits"),
+        (fraction - p["exponent"]).alias("scale"), *more))
 
 
-def _decimal_parts(text: Column) -> Column:
-    """sign, integer digits, fraction digits and exponent of a valid decimal text."""
-    exp_text = F.regexp_extract(text, _DECIMAL_PARTS_RX, 4)
-    fraction = F.regexp_extract(text, _DECIMAL_PARTS_RX, 3)
-    exponent = F.when(exp_text == "", F.lit(0)).otherwise(exp_text.try_cast("int")).cast("bigint")
-    # An exponent beyond the limit would print as megabytes of zeros: the value fails.
-    usable = text.rlike(DECIMAL_RX) & F.coalesce(F.abs(F.length(fraction) - exponent) <= MAX_PLAIN_SCALE, F.lit(False))
-    return F.when(usable, F.struct(
-        F.regexp_extract(text, _DECIMAL_PARTS_RX, 1).alias("sign"),
-        F.concat(F.regexp_extract(text, _DECIMAL_PARTS_RX, 2), fraction).alias("digits"),
-        (F.length(fraction) - exponent).cast("int").alias("scale"),
-    ))
+def _printable(p: Column) -> Column:
+    """Parts to be printed; an exponent beyond the limit would print as megabytes of zeros: the value fails."""
+    usable = F.coalesce(F.abs(p["scale"]) <= MAX_PLAIN_SCALE, F.lit(False))
+    return F.when(usable, F.struct(p["negative"].alias("negative"), p["digits"].alias("digits"), p["scale"].cast("int").alias("scale")))
 
 
 def _plain_from_parts(parts: Column) -> Column:
-    scale = parts["scale"]
-    unscaled = F.ltrim(parts["digits"], F.lit("0"))
+    scale, unscaled = parts["scale"], parts["digits"]
     is_zero = unscaled == ""
-    neg = F.when((parts["sign"] == "-") & ~is_zero, F.lit("-")).otherwise(F.lit(""))
+    neg = F.when(parts["negative"], F.lit("-")).otherwise(F.lit(""))
     width = F.greatest(F.length(unscaled), scale + 1)
     padded = F.lpad(unscaled, width, "0")
     cut = width - scale
-    plain = (
+    return (
         F.when(is_zero & (scale <= 0), F.lit("0"))
         .when(is_zero, F.concat(F.lit("0."), F.repeat(F.lit("0"), scale)))
         .when(scale <= 0, F.concat(neg, unscaled, F.repeat(F.lit("0"), -scale)))
         .otherwise(F.concat(neg, F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, scale)))
     )
-    return F.when(parts.isNotNull() & scale.isNotNull(), plain)
 
 
 def plain_decimal_text(text: Column) -> OpPlan:
@@ -216,10 +226,10 @@ def plain_decimal_text(text: Column) -> OpPlan:
 
     ``1E3`` -> ``1000``, ``1.50`` -> ``1.50``, ``.5`` -> ``0.5``,
     ``1.50E1`` -> ``15.0``, ``-0.0`` -> ``0.0``.  Built from string functions so
-    it has no precision limit; the text is taken apart once (parse stage) and
-    put back together from those parts (finish stage).
+    it has no precision limit; the text is taken apart once (parse stage and
+    steps) and put back together from those parts (finish stage).
     """
-    return OpPlan(_decimal_parts(text), _plain_from_parts, number_error(text))
+    return OpPlan(_mantissa_and_exponent(text), _plain_from_parts, number_error(text), steps=(_decimal_parts, _printable))
 
 
 def _java_int(text: str) -> int | None:
@@ -237,39 +247,51 @@ def _precision(text: Column, arg: str) -> OpPlan:
         return _always_fail(F.lit(f'For input string: "{arg}"'))
     if abs(scale) > MAX_PLAIN_SCALE:
         return _always_fail(F.lit(f"scale {scale} is not supported"))
-    return OpPlan(_decimal_parts(text), lambda parts: _rounded(parts, scale), number_error(text))
+    return OpPlan(_mantissa_and_exponent(text), lambda p: _plain_at(p, scale), number_error(text),
+                  steps=(_decimal_parts, _printable, lambda p: _cut_at(p, scale), _rounded_up))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often ``use`` refers to it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
+
+
+# HALF_UP at ``to`` decimals as plain text, by string arithmetic on the digits (no precision limit):
+# the digits are cut, one is added if need be, and the point is put in.
+
+def _cut_at(p: Column, to: int) -> Column:
+    """The digits down to ``to`` decimals after a zero, and whether the first one dropped is 5 or more."""
+    # ``cut`` digits are dropped, or zeros added when it is negative.
+    digits, cut = p["digits"], p["scale"] - to
+    left = F.length(digits) - cut
+    kept = F.concat(F.lit("0"), F.substring(digits, F.lit(1), left), F.repeat(F.lit("0"), -cut))
+    up = (left >= 0) & (F.substring(digits, left + 1, F.lit(1)) >= "5")
+    return F.when(p.isNotNull(), F.struct(p["negative"].alias("negative"), kept.alias("kept"), up.alias("up")))
+
 
+def _rounded_up(p: Column) -> Column:
+    kept = p["kept"]
 
-def _rounded(parts: Column, to: int) -> Column:
-    """HALF_UP at ``to`` decimals as plain text, by string arithmetic on the digits (no precision limit)."""
-    def plus_one(kept: Column) -> Column:
-        # Adding one turns the nines at the end into zeros.
-        head = F.rtrim(kept, F.lit("9"))
-        zeros = F.repeat(F.lit("0"), F.length(kept) - F.length(head))
-        last = (F.substring(head, F.length(head), F.lit(1)).cast("int") + 1).cast("string")
-        return F.when(head == "", F.concat(F.lit("1"), zeros)).otherwise(
-            F.concat(F.substring(head, F.lit(1), F.length(head) - 1), last, zeros))
+    def plus_one(number: Column) -> Column:
+        n = F.length(number)
+        last = F.substring(number, n, F.lit(1))
+        return F.concat(F.substring(number, F.lit(1), n - 1), (last.cast("int") + 1).cast("string"))
 
-    def cut_at(p: Column) -> Column:
-        # ``cut`` digits are dropped, or zeros added when it is negative.
-        digits, cut, n = p["digits"], p["cut"], F.length(p["digits"])
-        kept = F.when(cut <= 0, F.concat(digits, F.repeat(F.lit("0"), -cut))).when(cut >= n, F.lit("")).otherwise(
-            F.substring(digits, F.lit(1), n - cut))
-        up = (cut > 0) & (cut <= n) & (F.substring(digits, n - cut + 1, F.lit(1)) >= "5")
-        unscaled = _let(F.struct(kept.alias("kept"), up.alias("up")),
-                        lambda k: F.when(k["up"], plus_one(k["kept"])).otherwise(k["kept"]))
-        return F.struct(p["sign"].alias("sign"), unscaled.alias("digits"), F.lit(to).alias("scale"))
+    # Adding one turns the nines at the end into zeros; the zero in front keeps a digit before them.
+    head = F.rtrim(kept, F.lit("9"))
+    carried = F.concat(plus_one(head), F.repeat(F.lit("0"), F.length(kept) - F.length(head)))
+    whole = F.when(~p["up"], kept).when(F.endswith(kept, F.lit("9")), carried).otherwise(plus_one(kept))
+    return F.when(p.isNotNull(), F.struct(p["negative"].alias("negative"), F.ltrim(whole, F.lit("0")).alias("digits")))
 
-    def plain(p: Column) -> Column:
-        start = F.struct(p["sign"].alias("sign"), F.ltrim(p["digits"], F.lit("0")).alias("digits"), (p["scale"] - to).alias("cut"))
-        return _let(_let(start, cut_at), _plain_from_parts)
 
-    return F.when(parts.isNotNull(), _let(parts, plain))
+def _plain_at(p: Column, to: int) -> Column:
+    digits = p["digits"]
+    neg = F.when(p["negative"] & (digits != ""), F.lit("-")).otherwise(F.lit(""))
+    if to <= 0:
+        return F.when(digits == "", F.lit("0")).otherwise(F.concat(neg, digits, F.repeat(F.lit("0"), F.lit(-to))))
+    width = F.greatest(F.length(digits), F.lit(to + 1))
+    padded = F.lpad(digits, width, "0")
+    return F.concat(neg, F.substring(padded, F.lit(1), width - to), F.lit("."), F.substring(padded, width - to + 1, F.lit(to)))
 
 
 # ---------------------------------------------------------------- date / time
@@ -574,7 +596,7 @@ def plan_spec(spec: FieldSpec, text: Column, *, compat: bool = False, named: boo
     if named and reason is not None:
         reason = field_error(spec.name, reason)
     nulled = result_type(spec.op) if compat and kind in RULE_NULLED_OPS else None
-    return OpPlan(parse, plan.finish, reason, False, nulled)
+    return OpPlan(parse, plan.finish, reason, False, nulled, plan.steps)
 
 
 def compile_op(op: str, text: Column, *, compat: bool = False) -> Typed:
@@ -589,16 +611,22 @@ def compile_field(spec: FieldSpec, text: Column, *, compat: bool = False) -> Typ
 def apply_plans(df: DataFrame, items: list[tuple[Column, OpPlan]], passthrough: list[str]):
     """Evaluate each plan's parse once: ``(text column, OpPlan)`` items.
 
-    Projects ``passthrough`` plus one ``__p<i>`` column per item, and returns
+    Projects ``passthrough`` plus one ``__p<i>`` column per item, once for the
+    parses and once for each step of those that have some, and returns
     ``(frame, values, errors)`` where values and errors are expressions over
     that frame for the caller's next projection.  Each parse column is used
     twice there (value and error), so Catalyst keeps the two projections
     apart and no parse is repeated.  The text columns must survive in
     ``passthrough`` when an error needs them.
     """
+    df.sparkSession.conf.set(*METHOD_LIMIT)
     p = [f"__p{i}" for i in range(len(items))]
     staged = df.select(*[F.col(f"`{c}`") for c in passthrough],
                        *[plan.parse.alias(p[i]) for i, (_, plan) in enumerate(items)])
+    for k in range(max((len(plan.steps) for _, plan in items), default=0)):
+        staged = staged.select(*[F.col(f"`{c}`") for c in passthrough],
+                               *[(plan.steps[k](F.col(p[i])) if k < len(plan.steps) else F.col(p[i])).alias(p[i])
+                                 for i, (_, plan) in enumerate(items)])
     values = [plan.value(F.col(p[i])) for i, (_, plan) in enumerate(items)]
     errors = [plan.error(text, F.col(p[i])) for i, (text, plan) in enumerate(items)]
     return staged, values, errors

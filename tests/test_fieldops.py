@@ -1,3 +1,6 @@
+import decimal
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +195,35 @@ def test_document_to_row(spark):
     got = {r._raw: (r.a, r.n, r._error) for r in document_to_row(df, "doc", schema).collect()}
     assert got['{"a":"x","n":5,"extra":1}'] == ("x", 5, None)
     assert got["not json"][2] == "not a JSON object"
+
+
+def test_decimal_steps_are_projected_once_and_stay_compiled(spark):
+    from sluice.functions.fieldops import METHOD_LIMIT
+    from sluice.operators.delimited import parse_delimited
+
+    texts = ["0", "-0.00", "9.995", "-9.995", "99.5", "0.005", "-0.004", ".5", "5.", "1E3", "-1.5e-3", "+00012.3400", "1e9999999999",
+             "0e9999999", "1E2000000", "7E-1", "", "x", "-", ".", "1e", "9" * 40 + ".5", "0." + "0" * 30 + "1"]
+    df = spark.createDataFrame([(f"{t},{t},{t},{t},{t}",) for t in texts], "line string").repartition(2)
+    out = parse_delimited(df, "plain:int2bigDecimal,p2:PRECISION(2),p0:PRECISION(0),tens:PRECISION(-1),typed:BIGDECIMAL")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[eE][+-]?[0-9]+)?\\z") <= 2 * 5 and "transform(" not in plan
+    assert spark.conf.get(METHOD_LIMIT[0]) == METHOD_LIMIT[1]
+
+    def want(t, to):
+        if not re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", t):
+            return None
+        ctx = decimal.Context(prec=200, Emax=10**15, Emin=-10**15)
+        d = ctx.create_decimal(t)
+        if abs(d.as_tuple().exponent) > 1_000_000:
+            return None
+        if to is not None:
+            d = d.quantize(decimal.Decimal(1).scaleb(-to), decimal.ROUND_HALF_UP, ctx)
+        return format(abs(d) if d == 0 else d, "f") if d != 0 or d.as_tuple().exponent <= 0 else "0"
+
+    got = {r["_raw"].split(",")[0]: r for r in out.collect()}
+    for t in texts:
+        for name, to in (("plain", None), ("p2", 2), ("p0", 0), ("tens", -1)):
+            expected = want(t, to)
+            assert got[t][name] == ("0" if expected is not None and set(expected) == {"0"} else expected), (t, name)
+    assert got["0e9999999"]["typed"] == 0 and got["1E3"]["typed"] == 1000 and got["9.995"]["typed"] == decimal.Decimal("9.995")
+    assert got["0." + "0" * 30 + "1"]["typed"] is None and got["1e9999999999"]["typed"] is None
