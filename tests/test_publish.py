@@ -89,6 +89,28 @@ def test_two_writers_may_finish_the_same_manifest(spark, scratch, monkeypatch):
     assert sum(loads(spark, scratch).values()) == 200 and not hidden(scratch)
 
 
+def test_file_taken_away_between_look_and_move(spark, scratch):
+    from sluice.sinks.publish import Files
+
+    class Late(Files):
+        """Sees the source once after another writer has moved it."""
+
+        late = True
+
+        def exists(self, path):
+            if path.endswith("gone") and self.late:
+                self.late = False
+                return True
+            return super().exists(path)
+
+    os.makedirs(f"{scratch}/there")
+    Late(spark, scratch).move(f"{scratch}/gone", f"{scratch}/there")
+    with pytest.raises(OSError):
+        Late(spark, scratch).move(f"{scratch}/gone", f"{scratch}/nowhere")
+    with pytest.raises(OSError):
+        Late(spark, scratch).move_folder(f"{scratch}/gone", f"{scratch}/nowhere")
+
+
 def test_stage_that_dies_before_its_manifest_changes_nothing(spark, scratch):
     write_table(days(spark, 20, "one"), scratch)
     change = Publication(spark, scratch)
