@@ -44,6 +44,7 @@ RULE_NULLED_OPS = {"INTEGER", "DOUBLE", "FLOAT", "BIGINT", "BIGDECIMAL"}
 UNSUPPORTED = "Data type not supported"
 INT_RX = r"^[+-]?[0-9]+\z"
 DECIMAL_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+PLAIN_RX = r"^(?:-?[1-9][0-9]*+|0)(?:\.[0-9]++)?\z"
 ZERO_RX = r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?\z"
 JAVA_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
 SPARK_SPECIAL_RX = r"^[\x00-\x20]*[+-]?(nan|inf|infinity)[\x00-\x20]*\z"
@@ -182,12 +183,25 @@ def _big_decimal(text: Column, scale: int) -> OpPlan:
     return OpPlan(_mantissa_and_exponent(text), reason=reason, steps=(lambda p: _decimal_parts(p, p["text"].alias("text")), cast))
 
 
-def _mantissa_and_exponent(text: Column) -> Column:
-    """The text of a valid decimal, what comes before its exponent, and that exponent (NULL beyond an int)."""
+def _around_e(text: Column) -> tuple[Column, Column]:
+    """What comes before a decimal's exponent, and that exponent (NULL beyond an int)."""
     lowered = F.replace(text, F.lit("E"), F.lit("e"))
     exponent = F.when(F.contains(lowered, F.lit("e")), F.substring_index(lowered, "e", -1).try_cast("int")).otherwise(F.lit(0))
-    return F.when(text.rlike(DECIMAL_RX), F.struct(
-        text.alias("text"), F.substring_index(lowered, "e", 1).alias("mantissa"), exponent.cast("bigint").alias("exponent")))
+    return F.substring_index(lowered, "e", 1).alias("mantissa"), exponent.cast("bigint").alias("exponent")
+
+
+def _mantissa_and_exponent(text: Column) -> Column:
+    """The text of a valid decimal, what comes before its exponent, and that exponent (NULL beyond an int)."""
+    return F.when(text.rlike(DECIMAL_RX), F.struct(text.alias("text"), *_around_e(text)))
+
+
+def _plain_or_parts(text: Column, may_be_plain: bool = True) -> Column:
+    """A plain decimal without needless zeros in front, as it is, with the place of its point (0: none); a ``_mantissa_and_exponent`` of any other."""
+    plain = F.lit(may_be_plain) & (F.octet_length(text) <= MAX_PLAIN_SCALE) & text.rlike(PLAIN_RX)
+    none = F.lit(None)
+    as_is = F.struct(text.alias("plain"), F.instr(text, ".").alias("point"), none.cast("string").alias("mantissa"), none.cast("bigint").alias("exponent"))
+    return F.when(plain, as_is).when(text.rlike(DECIMAL_RX), F.struct(
+        none.cast("string").alias("plain"), none.cast("int").alias("point"), *_around_e(text)))
 
 
 def _decimal_parts(p: Column, *more: Column) -> Column:
@@ -200,27 +214,40 @@ def _decimal_parts(p: Column, *more: Column) -> Column:
         (fraction - p["exponent"]).alias("scale"), *more))
 
 
+def _parts_unless_plain(p: Column) -> Column:
+    """``plain`` where the text is settled, else the ``_decimal_parts``."""
+    none = F.lit(None)
+    settled = F.struct(none.cast("boolean").alias("negative"), none.cast("string").alias("digits"), none.cast("bigint").alias("scale"), p["plain"].alias("plain"))
+    return F.when(p["plain"].isNotNull(), settled).otherwise(_decimal_parts(p, none.cast("string").alias("plain")))
+
+
 def _printable(p: Column) -> Column:
     """Parts to be printed; an exponent beyond the limit would print as megabytes of zeros: the value fails."""
-    usable = F.coalesce(F.abs(p["scale"]) <= MAX_PLAIN_SCALE, F.lit(False))
-    return F.when(usable, F.struct(p["negative"].alias("negative"), p["digits"].alias("digits"), p["scale"].cast("int").alias("scale")))
+    usable = F.coalesce(p["plain"].isNotNull() | (F.abs(p["scale"]) <= MAX_PLAIN_SCALE), F.lit(False))
+    return F.when(usable, F.struct(p["plain"].alias("plain"), p["negative"].alias("negative"), p["digits"].alias("digits"),
+                                   p["scale"].cast("int").alias("scale")))
 
 
 def _plain_from_parts(parts: Column) -> Column:
     scale, unscaled = parts["scale"], parts["digits"]
     is_zero = unscaled == ""
     neg = F.when(parts["negative"], F.lit("-")).otherwise(F.lit(""))
-    width = F.greatest(F.length(unscaled), scale + 1)
-    padded = F.lpad(unscaled, width, "0")
-    cut = width - scale
     return (
-        F.when(is_zero & (scale <= 0), F.lit("0"))
+        F.when(parts["plain"].isNotNull(), parts["plain"])
+        .when(is_zero & (scale <= 0), F.lit("0"))
         .when(is_zero, F.concat(F.lit("0."), F.repeat(F.lit("0"), scale)))
         .when(scale <= 0, F.concat(neg, unscaled, F.repeat(F.lit("0"), -scale)))
-        .otherwise(F.concat(neg, F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, scale)))
+        .otherwise(_pointed(neg, unscaled, scale))
     )
 
 
+def _pointed(neg: Column, digits: Column, scale: Column) -> Column:
+    """Digits with a point before the last ``scale`` (above 0) of them."""
+    whole = F.octet_length(digits) - scale
+    return (F.when(whole > 0, F.concat(neg, F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, scale)))
+            .otherwise(F.concat(neg, F.lit("0."), F.repeat(F.lit("0"), -whole), digits)))
+
+
 def plain_decimal_text(text: Column) -> OpPlan:
     """Decimal text -> plain text with the scale the text implies.
 
@@ -229,7 +256,7 @@ def plain_decimal_text(text: Column) -> OpPlan:
     it has no precision limit; the text is taken apart once (parse stage and
     steps) and put back together from those parts (finish stage).
     """
-    return OpPlan(_mantissa_and_exponent(text), _plain_from_parts, number_error(text), steps=(_decimal_parts, _printable))
+    return OpPlan(_plain_or_parts(text), _plain_from_parts, number_error(text), steps=(_parts_unless_plain, _printable))
 
 
 def _java_int(text: str) -> int | None:
@@ -247,8 +274,8 @@ def _precision(text: Column, arg: str) -> OpPlan:
         return _always_fail(F.lit(f'For input string: "{arg}"'))
     if abs(scale) > MAX_PLAIN_SCALE:
         return _always_fail(F.lit(f"scale {scale} is not supported"))
-    return OpPlan(_mantissa_and_exponent(text), lambda p: _plain_at(p, scale), number_error(text),
-                  steps=(_decimal_parts, _printable, lambda p: _cut_at(p, scale), _rounded_up))
+    return OpPlan(_plain_or_parts(text, scale >= 0), lambda p: _plain_at(p, scale), number_error(text),
+                  steps=(lambda p: _plain_cut_at(p, scale), lambda p: _cut_at(p, scale), _rounded_up))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -256,42 +283,66 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
-# HALF_UP at ``to`` decimals as plain text, by string arithmetic on the digits (no precision limit):
+# HALF_UP at ``to`` decimals as plain text, by string arithmetic on the digits (no precision limit).
+# A plain decimal is cut behind the last digit kept, and one is added there if need be.  Of any other text
 # the digits are cut, one is added if need be, and the point is put in.
 
+def _plain_cut_at(p: Column, to: int) -> Column:
+    """``plain`` down to ``to`` decimals, with what is left of it without nines at its end as ``head`` where one is added; the parts of any other."""
+    text, point = p["plain"], p["point"]
+    scale = F.when(point == 0, F.lit(0)).otherwise(F.octet_length(text) - point)
+    kept = F.substring(text, F.lit(1), point + to if to > 0 else point - 1)
+    up = F.substring(text, point + (to + 1), F.lit(1)) >= "5"
+    zeros = F.concat(text, F.when((point == 0) & F.lit(to > 0), F.lit(".")).otherwise(F.lit("")), F.repeat(F.lit("0"), F.lit(to) - scale))
+    none = F.lit(None)
+    cut = F.struct(none.cast("boolean").alias("negative"), none.cast("string").alias("digits"), none.cast("bigint").alias("scale"),
+                   F.when(scale > to, kept).otherwise(zeros).alias("plain"),
+                   F.when((scale > to) & up, F.rtrim(kept, F.lit("9."))).alias("head"))
+    return F.when(text.isNotNull(), cut).otherwise(_decimal_parts(p, none.cast("string").alias("plain"), none.cast("string").alias("head")))
+
+
+def _plus_one(number: Column) -> Column:
+    n = F.octet_length(number)
+    last = F.substring(number, n, F.lit(1))
+    return F.concat(F.substring(number, F.lit(1), n - 1), (last.cast("int") + 1).cast("string"))
+
+
 def _cut_at(p: Column, to: int) -> Column:
-    """The digits down to ``to`` decimals after a zero, and whether the first one dropped is 5 or more."""
+    """``plain`` with one added; of parts, the digits down to ``to`` decimals after a zero, and whether the first one dropped is 5 or more."""
+    plain, head = p["plain"], p["head"]
+    raised = F.when(head.isin("", "-"), F.concat(head, F.lit("1"))).otherwise(_plus_one(head))
+    nines = F.substring(plain, F.octet_length(head) + 1, F.octet_length(plain))
+    settled = F.when(head.isNull(), plain).otherwise(F.concat(raised, F.replace(nines, F.lit("9"), F.lit("0"))))
     # ``cut`` digits are dropped, or zeros added when it is negative.
-    digits, cut = p["digits"], p["scale"] - to
-    left = F.length(digits) - cut
+    usable = F.coalesce(F.abs(p["scale"]) <= MAX_PLAIN_SCALE, F.lit(False))
+    digits, cut = p["digits"], p["scale"].cast("int") - to
+    left = F.octet_length(digits) - cut
     kept = F.concat(F.lit("0"), F.substring(digits, F.lit(1), left), F.repeat(F.lit("0"), -cut))
     up = (left >= 0) & (F.substring(digits, left + 1, F.lit(1)) >= "5")
-    return F.when(p.isNotNull(), F.struct(p["negative"].alias("negative"), kept.alias("kept"), up.alias("up")))
+    none = F.lit(None)
+    return F.when(plain.isNotNull(), F.struct(settled.alias("plain"), none.cast("boolean").alias("negative"), none.cast("string").alias("kept"), none.cast("boolean").alias("up"))).when(
+        usable, F.struct(none.cast("string").alias("plain"), p["negative"].alias("negative"), kept.alias("kept"), up.alias("up")))
 
 
 def _rounded_up(p: Column) -> Column:
     kept = p["kept"]
-
-    def plus_one(number: Column) -> Column:
-        n = F.length(number)
-        last = F.substring(number, n, F.lit(1))
-        return F.concat(F.substring(number, F.lit(1), n - 1), (last.cast("int") + 1).cast("string"))
-
     # Adding one turns the nines at the end into zeros; the zero in front keeps a digit before them.
     head = F.rtrim(kept, F.lit("9"))
-    carried = F.concat(plus_one(head), F.repeat(F.lit("0"), F.length(kept) - F.length(head)))
-    whole = F.when(~p["up"], kept).when(F.endswith(kept, F.lit("9")), carried).otherwise(plus_one(kept))
-    return F.when(p.isNotNull(), F.struct(p["negative"].alias("negative"), F.ltrim(whole, F.lit("0")).alias("digits")))
+    carried = F.concat(_plus_one(head), F.repeat(F.lit("0"), F.length(kept) - F.length(head)))
+    whole = F.when(~p["up"], kept).when(F.endswith(kept, F.lit("9")), carried).otherwise(_plus_one(kept))
+    settled = F.struct(p["plain"].alias("plain"), F.lit(None).cast("boolean").alias("negative"), F.lit(None).cast("string").alias("digits"))
+    return F.when(p["plain"].isNotNull(), settled).when(p.isNotNull(), F.struct(
+        F.lit(None).cast("string").alias("plain"), p["negative"].alias("negative"), F.ltrim(whole, F.lit("0")).alias("digits")))
 
 
 def _plain_at(p: Column, to: int) -> Column:
     digits = p["digits"]
     neg = F.when(p["negative"] & (digits != ""), F.lit("-")).otherwise(F.lit(""))
     if to <= 0:
-        return F.when(digits == "", F.lit("0")).otherwise(F.concat(neg, digits, F.repeat(F.lit("0"), F.lit(-to))))
-    width = F.greatest(F.length(digits), F.lit(to + 1))
-    padded = F.lpad(digits, width, "0")
-    return F.concat(neg, F.substring(padded, F.lit(1), width - to), F.lit("."), F.substring(padded, width - to + 1, F.lit(to)))
+        printed = F.when(digits == "", F.lit("0")).otherwise(F.concat(neg, digits, F.repeat(F.lit("0"), F.lit(-to))))
+    else:
+        printed = _pointed(neg, digits, F.lit(to))
+    return F.when(p["plain"].isNotNull(), p["plain"]).otherwise(printed)
 
 
 # ---------------------------------------------------------------- date / time

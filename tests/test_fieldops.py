@@ -227,3 +227,25 @@ def test_decimal_steps_are_projected_once_and_stay_compiled(spark):
             assert got[t][name] == ("0" if expected is not None and set(expected) == {"0"} else expected), (t, name)
     assert got["0e9999999"]["typed"] == 0 and got["1E3"]["typed"] == 1000 and got["9.995"]["typed"] == decimal.Decimal("9.995")
     assert got["0." + "0" * 30 + "1"]["typed"] is None and got["1e9999999999"]["typed"] is None
+
+
+def test_plain_decimals_are_settled_without_being_taken_apart(spark):
+    from sluice.functions import fieldops
+
+    texts = ["1.50", "0", "0.00", "-7", "1234567890123456789012345678901234567890.5", "-12.995", "9.5", "99", "007", "1E3", "+1", "-0.0", ".5", "5."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    parts = df.select("t", fieldops._plain_or_parts(F.col("t")).alias("p")).select("t", "p.plain", "p.mantissa").collect()
+    assert [r["t"] for r in parts if r["plain"] is not None] == texts[:8]
+    assert all((r["plain"] is None) != (r["mantissa"] is None) for r in parts)
+
+
+def test_rounded_plain_decimals(spark):
+    from decimal import ROUND_HALF_UP, Context, Decimal
+
+    whole = ["0", "1", "-1", "9", "-9", "99", "10", "109", "-1099", "98765432109876543210" * 3]
+    texts = [w + f for w in whole for f in ("", ".0", ".4", ".5", ".9", ".04", ".05", ".49", ".94", ".95", ".99", ".995", ".999", ".0949", ".0950", ".9950", ".00049999", ".19999995")]
+    for scale in (-1, 0, 1, 2, 3, 7, 9):
+        got = ok(apply(spark, f"PRECISION({scale})", texts))
+        for t in texts:
+            want = f"{Decimal(t).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP, Context(prec=200)):f}"
+            assert got[t] == (want.lstrip("-") if not Decimal(want) else want), (t, scale)
